@@ -1,0 +1,130 @@
+"""Run registered queries in Spark and their SQL twin in DuckDB; compare.
+
+Usage: python tests/oracle_check.py [sf_dir] [name ...]
+
+Comparison is order-insensitive: columns sorted by name, every value turned
+into canonical text, rows sorted.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import math
+import os
+import sys
+import time
+
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, os.path.dirname(HERE))
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents "
+    "embeddings pages benchmark labels conversations"
+).split()
+
+
+def _canon(v):
+    if v is None:
+        return "<null>"
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "<nan>"
+        return f"{v:.9g}"
+    if isinstance(v, decimal.Decimal):
+        return f"{float(v):.9g}"
+    if isinstance(v, dt.datetime):
+        return v.replace(tzinfo=None).isoformat(sep=" ")
+    if isinstance(v, dt.date):
+        return v.isoformat()
+    if isinstance(v, (list, tuple)):
+        return "[" + ",".join(_canon(x) for x in v) + "]"
+    if isinstance(v, bool):
+        return str(v).lower()
+    return str(v)
+
+
+def canon_rows(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    out = sorted(tuple(_canon(r[i]) for i in order) for r in rows)
+    return [columns[i] for i in order], out
+
+
+def duck(sf_dir: str):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in TABLES:
+        p = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(p):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return con
+
+
+def spark_rows(df):
+    cols = df.columns
+    return cols, [tuple(r) for r in df.collect()]
+
+
+def duck_rows(con, sql):
+    res = con.execute(sql)
+    cols = [d[0] for d in res.description]
+    return cols, res.fetchall()
+
+
+def compare(spark, sf_dir, name, query, sql, con):
+    t0 = time.time()
+    s_cols, s_rows = spark_rows(query(spark, sf_dir))
+    t1 = time.time()
+    if sql is None:
+        return {"name": name, "rows": len(s_rows), "oracle": None, "spark_s": round(t1 - t0, 2)}
+    d_cols, d_rows = duck_rows(con, sql)
+    t2 = time.time()
+    sc, sr = canon_rows(s_cols, s_rows)
+    dc, dr = canon_rows(d_cols, d_rows)
+    res = {
+        "name": name,
+        "rows": len(s_rows),
+        "oracle_rows": len(d_rows),
+        "cols_match": sc == dc,
+        "values_match": sr == dr,
+        "spark_s": round(t1 - t0, 2),
+        "duck_s": round(t2 - t1, 2),
+    }
+    if sc != dc:
+        res["spark_cols"], res["oracle_cols"] = sc, dc
+    elif sr != dr:
+        diff_s = sorted(set(sr) - set(dr))[:3]
+        diff_d = sorted(set(dr) - set(sr))[:3]
+        res["only_spark"], res["only_oracle"] = diff_s, diff_d
+    return res
+
+
+def main(argv):
+    from tallyho.session import build_session
+
+    import __spark_entry__ as entry
+
+    sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
+    names = argv[2:]
+    spark = build_session()
+    qs = entry.queries()
+    sqls = entry.oracle_sql()
+    con = duck(sf_dir)
+    ok = True
+    for name, q in qs.items():
+        if names and name not in names:
+            continue
+        try:
+            r = compare(spark, sf_dir, name, q, sqls.get(name), con)
+        except Exception as e:  # report and continue
+            r = {"name": name, "error": repr(e)[:800]}
+        good = r.get("values_match", r.get("oracle") is None and "error" not in r)
+        ok = ok and bool(good)
+        print(("OK  " if good else "BAD ") + str(r), flush=True)
+    spark.stop()
+    return 0 if ok else 1
+
+
+if __name__ == "__main__":
+    sys.exit(main(sys.argv))
