@@ -19,6 +19,9 @@ from ..functions.keys import first_field
 from ..operators import board, replay, segments, topnames, trailing
 from ..session import configure, scratch_path
 from ..sources import feed, fixtures, sinks
+from ..streaming import board as stream_board
+from ..streaming import runner, sliding
+from ..streaming import trailing as stream_trailing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -257,3 +260,58 @@ QUERIES: dict[str, Query] = {
     "board_deltas": board_deltas,
     "compacted_counts": compacted_counts,
 }
+
+
+# ---- streams (events replayed in 4 landings, availableNow per landing) ----
+
+
+def _stream_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return fixtures.table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+
+
+def hourly_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = runner.replay_runs(
+        spark,
+        _stream_table(spark, sf_dir),
+        lambda src: sliding.sliding_counts(fixtures.mentions(src), "1 hour", "5 minutes", "1 hour"),
+        output_mode="update",
+        tag="sliding",
+    )
+    final = sliding.final_counts(runner.read_sink(spark, out))
+    return final.select(_ntz("window_start"), _ntz("window_end"), "name", "n")
+
+
+def _trailing_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = runner.replay_runs(
+        spark,
+        _stream_table(spark, sf_dir),
+        lambda src: stream_trailing.trailing_stream(fixtures.mentions(src)),
+        tag="trailing",
+    )
+    return runner.read_sink(spark, out)
+
+
+def stateful_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = _trailing_log(spark, sf_dir)
+    return trailing.arrival_counts(log).select("name", "event_id", _ntz("ts"), "n")
+
+
+def board_evictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = runner.replay_runs(
+        spark,
+        _stream_table(spark, sf_dir),
+        lambda src: stream_trailing.trailing_stream(fixtures.mentions(src)),
+        sink=stream_board.board_sink(100),
+        tag="board",
+    )
+    return spark.read.parquet(f"{out}/deltas").select("batch", "name", "count")
+
+
+QUERIES.update(
+    {
+        "hourly_sliding_counts": hourly_sliding_counts,
+        "stateful_trailing": stateful_trailing,
+        "board_evictions": board_evictions,
+    }
+)

@@ -267,6 +267,16 @@ FROM per_bucket GROUP BY bucket"""
 
 COMPACTED_COUNTS = "SELECT event_type, CAST(count(*) AS BIGINT) AS rows FROM events GROUP BY event_type"
 
+HOURLY_SLIDING_COUNTS = """
+WITH w AS (
+  SELECT 'user_' || CAST(user_id AS VARCHAR) AS name,
+         unnest(generate_series(time_bucket(INTERVAL 5 MINUTE, ts) - INTERVAL 55 MINUTE,
+                                time_bucket(INTERVAL 5 MINUTE, ts), INTERVAL 5 MINUTE)) AS window_start
+  FROM events
+)
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, name, CAST(count(*) AS BIGINT) AS n
+FROM w GROUP BY window_start, name"""
+
 SQL: dict[str, str] = {
     "top_names_per_day": TOP_NAMES_PER_DAY,
     "name_counts_per_day": NAME_COUNTS_PER_DAY,
@@ -294,4 +304,6 @@ SQL: dict[str, str] = {
     "board_floor": BOARD_FLOOR,
     "board_deltas": BOARD_DELTAS,
     "compacted_counts": COMPACTED_COUNTS,
+    "hourly_sliding_counts": HOURLY_SLIDING_COUNTS,
+    "stateful_trailing": TRAILING_COUNT,
 }
