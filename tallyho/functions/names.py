@@ -30,8 +30,10 @@ def _col(c: Column | str) -> Column:
 
 
 def drop_malformed(text: Column | str) -> Column:
-    """Remove U+FFFD left by lenient UTF-8 decoding (also genuine ones)."""
-    return F.replace(_col(text), F.lit(REPLACEMENT_CHAR), F.lit(""))
+    """Drop malformed UTF-8: text readers keep invalid bytes as they are,
+    ``make_valid_utf8`` turns each into U+FFFD, and those are removed (a
+    genuine U+FFFD in the data goes too)."""
+    return F.replace(F.make_valid_utf8(_col(text)), F.lit(REPLACEMENT_CHAR), F.lit(""))
 
 
 def name_tokens(all_names: Column | str) -> Column:
