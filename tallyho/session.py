@@ -66,8 +66,13 @@ def shared_dir(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    else:
+    elif sc.master.startswith("local"):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tallyho-ckpt-"))
+    else:
+        raise RuntimeError(
+            "set spark.checkpoint.dir to a folder every executor can reach "
+            "(streams, board batches and landed copies are written there)"
+        )
     return sc.getCheckpointDir()
 
 
