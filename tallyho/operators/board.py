@@ -16,9 +16,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.render import counts_json
+from .running import row_index
 from .trailing import EXPIRY
 
 BOARD_SIZE = 100
+# names per delta message part (bounds one group's list)
+MESSAGE_ENTRIES = 10_000
 
 
 def _change_order() -> Column:
@@ -68,11 +71,18 @@ def coalesce_deltas(changelog: DataFrame, every_seconds: int = 1) -> DataFrame:
     )
 
 
-def delta_messages(deltas: DataFrame) -> DataFrame:
-    """(bucket, entries, message): one JSON array per bucket, name-sorted,
-    ``[{"name":...,"count":...},...]``. Groups hold one row per name changed
-    in the bucket."""
-    return deltas.groupBy("bucket").agg(
+def delta_messages(deltas: DataFrame, max_entries: int = MESSAGE_ENTRIES, **index_kw) -> DataFrame:
+    """(bucket, part, entries, message): the bucket's changes as JSON arrays
+    ``[{"name":...,"count":...},...]``, name-sorted and cut into parts of at
+    most ``max_entries`` names (part 0 holds the first names, and so on).
+
+    A bucket can hold any number of changed names, so no group collects a
+    whole bucket: names are numbered per bucket (hot-bucket safe, see
+    :func:`tallyho.operators.running.row_index`) and each part is one group.
+    """
+    numbered = row_index(deltas, ["bucket"], ["name"], "_i", **index_kw)
+    parts = numbered.withColumn("part", F.expr(f"(_i - 1) div {int(max_entries)}"))
+    return parts.groupBy("bucket", "part").agg(
         F.count(F.lit(1)).alias("entries"),
         counts_json(F.collect_list(F.struct(F.col("name"), F.col("count")))).alias("message"),
     )

@@ -19,6 +19,8 @@ from ..functions.names import NOISE_NAMES, is_name, name_tokens, strip_offset
 from ..functions.render import ranked_list_text
 
 DEFAULT_K = 10
+# days shown by the raw-line job (its take(10) over per-day rows)
+FIRST_DAYS = 10
 
 
 def explode_names(
@@ -70,11 +72,14 @@ def top_lists(top: DataFrame, by: Sequence[str] = ("day",), k: int = DEFAULT_K)
     return grouped.select(*by, ranked_list_text(F.slice(F.array_sort("_top"), 1, k)).alias("top_names"))
 
 
-def first_days(per_day: DataFrame, days: int = 10) -> DataFrame:
+def first_days(per_day: DataFrame, days: int = FIRST_DAYS) -> DataFrame:
     """Rows of the earliest ``days`` days only (the RDD job's take(10)).
 
-    The day list is cut by ``limit(days)``, so its broadcast is bounded by
-    ``days`` rows.
+    ``per_day`` is a ranked result (at most k rows per day, so its size is
+    set by the calendar, not the data); the days are numbered on it with
+    ``dense_rank``, which reads it once. Joining a day list back would
+    compute the whole top-k plan a second time.
     """
-    first = per_day.select("day").distinct().orderBy("day").limit(days)
-    return per_day.join(F.broadcast(first), "day", "left_semi")
+    order = Window.orderBy("day")
+    numbered = per_day.withColumn("_day_no", F.dense_rank().over(order))
+    return numbered.where(F.col("_day_no") <= days).drop("_day_no")

@@ -217,7 +217,7 @@ def board_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
 def board_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = trailing.trailing_changelog(_mentions(spark, sf_dir))
     msgs = board.delta_messages(board.coalesce_deltas(log, every_seconds=3600))
-    return msgs.select(_ntz("bucket"), "entries", "message")
+    return msgs.select(_ntz("bucket"), "part", "entries", "message")
 
 
 # ---- sinks ---------------------------------------------------------------

@@ -259,10 +259,12 @@ per_bucket AS (
     FROM log
   ) WHERE rn = 1
 )
-SELECT bucket, CAST(count(*) AS BIGINT) AS entries,
+SELECT bucket, part, CAST(count(*) AS BIGINT) AS entries,
        '[' || string_agg('{"name":"' || name || '","count":' || CAST(cnt AS VARCHAR) || '}', ',' ORDER BY name)
            || ']' AS message
-FROM per_bucket GROUP BY bucket"""
+FROM (SELECT *, (row_number() OVER (PARTITION BY bucket ORDER BY name) - 1) // 10000 AS part
+      FROM per_bucket)
+GROUP BY bucket, part"""
 )
 
 COMPACTED_COUNTS = "SELECT event_type, CAST(count(*) AS BIGINT) AS rows FROM events GROUP BY event_type"

@@ -51,7 +51,20 @@ def test_delta_messages(spark):
     )
     msg = board.delta_messages(board.coalesce_deltas(log, 1)).first()
     assert msg["message"] == '[{"name":"a","count":2},{"name":"b","count":1}]'
-    assert msg["entries"] == 2
+    assert msg["entries"] == 2 and msg["part"] == 0
+
+
+def test_delta_messages_split_into_parts(spark):
+    """A bucket with more names than a part holds: every change kept, parts
+    name-contiguous and bounded, including through the hot-bucket path."""
+    deltas = spark.createDataFrame(
+        [(T0, f"n{i:02d}", i) for i in range(7)], "bucket timestamp, name string, count long"
+    )
+    for kw in ({}, {"hot_rows": 1, "pieces": 3}):
+        numbered = board.delta_messages(deltas, max_entries=3, **kw)
+        rows = numbered.orderBy("part").collect()
+        assert [(r["part"], r["entries"]) for r in rows] == [(0, 3), (1, 3), (2, 1)]
+        assert rows[1]["message"].startswith('[{"name":"n03","count":3}')
 
 
 def test_step_board_evicts_with_zero(spark):
