@@ -2,7 +2,11 @@
 decrement, R5 changelog output), with ``transformWithStateInPandas``.
 
 State per name: the (time, event id) of its mentions still inside the
-retention period, as a list state on RocksDB. For each micro-batch the
+retention period, as a list state on RocksDB whose elements are chunks (two
+packed int64 arrays, one chunk per batch that brought rows), so a name with
+many pending mentions costs a few state rows, not one per mention. A batch
+that expires nothing only appends its chunk; one that expires something
+rewrites the survivors as a single chunk. For each micro-batch the
 rows of a name are sorted by (time, event id); a mention expires *before* an
 arrival at or after its deadline, so every arrival's count is the exact
 number of that name's mentions in (t - retention, t] - as in the batch form
@@ -32,7 +36,8 @@ from pyspark.sql.streaming.stateful_processor import (
 from ..operators.trailing import ARRIVAL, EXPIRY, RETENTION_MINUTES
 
 OUTPUT_SCHEMA = "name string, event_id long, kind string, change_us long, n long"
-PENDING_SCHEMA = "ts_us long, event_id long"
+PENDING_SCHEMA = "ts_us binary, event_id binary"
+_I64 = np.dtype("<i8")
 
 
 class TrailingCounter(StatefulProcessor):
@@ -48,24 +53,37 @@ class TrailingCounter(StatefulProcessor):
     # -- helpers -----------------------------------------------------------
 
     def _load(self) -> tuple[np.ndarray, np.ndarray]:
-        if not self.pending.exists():
+        chunks = list(self.pending.get()) if self.pending.exists() else []
+        if not chunks:
             return np.empty(0, np.int64), np.empty(0, np.int64)
-        items = list(self.pending.get())
-        if not items:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        arr = np.array(items, dtype=np.int64).reshape(-1, 2)
-        return arr[:, 0], arr[:, 1]
+        ts = np.concatenate([np.frombuffer(c[0], dtype=_I64) for c in chunks]).astype(np.int64)
+        eid = np.concatenate([np.frombuffer(c[1], dtype=_I64) for c in chunks]).astype(np.int64)
+        return ts, eid
 
-    def _store(self, ts: np.ndarray, eid: np.ndarray) -> None:
+    @staticmethod
+    def _chunk(ts: np.ndarray, eid: np.ndarray) -> tuple[bytes, bytes]:
+        return ts.astype(_I64).tobytes(), eid.astype(_I64).tobytes()
+
+    def _set_timer(self, oldest_ts_us: int | None) -> None:
         for t in list(self.handle.listTimers()):
             self.handle.deleteTimer(t)
+        if oldest_ts_us is not None:
+            # fire when the watermark (ms) reaches the oldest deadline (us)
+            self.handle.registerTimer(-(-(oldest_ts_us + self.retention_us) // 1000))
+
+    def _store(self, ts: np.ndarray, eid: np.ndarray) -> None:
+        """Replace the pending set by (ts, eid)."""
         if len(ts) == 0:
             self.pending.clear()
+            self._set_timer(None)
             return
-        self.pending.put([(int(a), int(b)) for a, b in zip(ts, eid)])
-        # fire when the watermark (ms) reaches the oldest deadline (us)
-        oldest = int(ts.min()) + self.retention_us
-        self.handle.registerTimer(-(-oldest // 1000))
+        self.pending.put([self._chunk(ts, eid)])
+        self._set_timer(int(ts.min()))
+
+    def _append(self, ts: np.ndarray, eid: np.ndarray, oldest: int) -> None:
+        """Add (ts, eid) to the pending set; ``oldest`` is the new minimum."""
+        self.pending.appendValue(self._chunk(ts, eid))
+        self._set_timer(oldest)
 
     @staticmethod
     def _frame(name, eid, kind, change_us, n) -> pd.DataFrame:
@@ -100,8 +118,11 @@ class TrailingCounter(StatefulProcessor):
         t, d, e = t[order], d[order], e[order]
         n = len(old_ts) + np.cumsum(d)
         kind = np.where(d > 0, ARRIVAL, EXPIRY)
-        keep = ~expire
-        self._store(all_ts[keep], all_id[keep])
+        if expire.any():
+            keep = ~expire
+            self._store(all_ts[keep], all_id[keep])
+        else:
+            self._append(new_ts, new_id, int(all_ts.min()))
         yield self._frame(name, e, kind, t, n)
 
     def handleExpiredTimer(
@@ -110,7 +131,7 @@ class TrailingCounter(StatefulProcessor):
         name = key[0]
         ts, eid = self._load()
         if len(ts) == 0:
-            self.pending.clear()
+            self._store(ts, eid)
             return
         watermark_us = int(timerValues.getCurrentWatermarkInMs()) * 1000
         deadline = ts + self.retention_us
