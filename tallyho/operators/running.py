@@ -6,12 +6,19 @@ third of the data. Here keys are split in two:
 
 * cold keys (fewer than ``hot_rows`` rows) use the plain window: one hash
   shuffle by key, each group bounded by ``hot_rows``;
-* hot keys (the top ``max_hot_keys`` keys with at least ``hot_rows`` rows;
-  a set bounded by ``max_hot_keys``, so broadcasting it is safe) are
-  range-partitioned on (key, order) into ``pieces`` contiguous pieces. Each
-  piece gets a local running sum, and an offset equal to the total of the
-  earlier pieces of the same key. The per-piece totals table holds at most
-  ``max_hot_keys + pieces`` rows, so it is broadcast as well.
+* hot keys (the top ``max_hot_keys`` keys with at least ``hot_rows`` rows)
+  are cut into at most ``pieces`` contiguous ranges of the order. Each piece
+  gets a local running sum, plus an offset equal to the total of the earlier
+  pieces of the same key.
+
+Two small tables are written once to the shared checkpoint folder and read
+back, so every part of the plan sees the same values however often Spark
+evaluates it: the hot keys with their row counts (at most ``max_hot_keys``
+rows), and the piece bounds per hot key (at most ``pieces - 1`` order values
+each, taken from a sample). A row's piece is then a pure function of the row
+and those bounds, so the local sums and the offsets agree even when a stage
+is recomputed after a lost executor. When there is no hot key the plan is the
+plain window, with no join.
 
 The result is exact: ``prefix = offset(piece) + local prefix``. The union of
 both parts gives every input row once.
@@ -24,10 +31,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 # A task comfortably sorts a few million narrow rows; keys above this size
 # are split.
 HOT_ROWS = 2_000_000
 MAX_HOT_KEYS = 1_000
+# sampled rows per piece when choosing the piece bounds of a hot key
+SAMPLES_PER_PIECE = 20
 
 
 def _cols(cols: Sequence[str | Column]) -> list[Column]:
@@ -40,15 +51,38 @@ def hot_keys(
     hot_rows: int = HOT_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
-    """Keys with at least ``hot_rows`` rows, at most ``max_hot_keys`` of them
-    (largest first). Aggregated map-side, then a bounded top-k."""
+    """(*keys, _rows): keys with at least ``hot_rows`` rows, at most
+    ``max_hot_keys`` of them (largest first). Aggregated map-side, then a
+    bounded top-k."""
     stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return (
-        stats.where(F.col("_rows") >= hot_rows)
-        .orderBy(F.desc("_rows"))
-        .limit(max_hot_keys)
-        .select(*keys)
+    return stats.where(F.col("_rows") >= hot_rows).orderBy(F.desc("_rows")).limit(max_hot_keys)
+
+
+def piece_bounds(
+    hot_rows_df: DataFrame,
+    hot: DataFrame,
+    keys: Sequence[str],
+    pieces: int,
+    per_piece: int = SAMPLES_PER_PIECE,
+) -> DataFrame:
+    """(*keys, _bounds): per hot key, the sorted order values (``_o``) that
+    open pieces 1 .. pieces-1, from a sample of about ``pieces * per_piece``
+    rows of that key. Every group holds only the sample of one key."""
+    target = float(pieces * per_piece)
+    sampled = (
+        hot_rows_df.join(F.broadcast(hot), list(keys))
+        .where(F.rand(17) * F.col("_rows") < F.lit(target))
+        .select(*keys, "_o")
+    )
+    by_key = Window.partitionBy(*keys)
+    numbered = sampled.withColumn("_r", F.row_number().over(by_key.orderBy("_o"))).withColumn(
+        "_m", F.count(F.lit(1)).over(by_key)
     )
+    # sample rank r falls in piece floor((r - 1) * pieces / m); the first
+    # sample of every piece after the first is a bound
+    piece_of = lambda r: F.floor((r - F.lit(1)) * F.lit(pieces) / F.col("_m"))
+    firsts = numbered.where((F.col("_r") > 1) & (piece_of(F.col("_r")) > piece_of(F.col("_r") - 1)))
+    return firsts.groupBy(*keys).agg(F.array_sort(F.collect_list("_o")).alias("_bounds"))
 
 
 def running_sum(
@@ -64,36 +98,45 @@ def running_sum(
     """Add ``out`` = running sum of ``value`` per ``keys`` in ``order``.
 
     ``order`` must be a total order within a key (ties make a running sum
-    ambiguous); include a unique column last.
+    ambiguous); include a unique column last. Runs one small job at build
+    time (the hot-key count).
     """
     keys = list(keys)
     order_cols = _cols(order)
     val = F.col(value) if isinstance(value, str) else value
     spark = df.sparkSession
-    n_pieces = pieces or int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    hot = F.broadcast(hot_keys(df, keys, hot_rows, max_hot_keys).withColumn("_hot", F.lit(True)))
-    tagged = df.join(hot, keys, "left")
+    n_pieces = int(pieces or spark.conf.get("spark.sql.shuffle.partitions"))
 
     whole = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    cold = tagged.where(F.col("_hot").isNull()).drop("_hot")
-    cold_out = cold.withColumn(out, F.sum(val).over(whole))
-
-    ranged = (
-        tagged.where(F.col("_hot").isNotNull())
-        .drop("_hot")
-        .repartitionByRange(n_pieces, *[F.col(k) for k in keys], *order_cols)
-        .withColumn("_piece", F.spark_partition_id())
+    shared_dir(spark)
+    hot = hot_keys(df, keys, hot_rows, max_hot_keys).checkpoint(eager=True)
+    if hot.isEmpty():
+        return df.withColumn(out, F.sum(val).over(whole))
+
+    tagged = df.join(F.broadcast(hot.select(*keys, F.lit(True).alias("_hot"))), keys, "left")
+    cold_out = tagged.where(F.col("_hot").isNull()).drop("_hot").withColumn(out, F.sum(val).over(whole))
+
+    ordered = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(order_cols)])
+    hot_part = tagged.where(F.col("_hot").isNotNull()).drop("_hot").withColumn("_o", ordered)
+    bounds = piece_bounds(hot_part, hot, keys, n_pieces).checkpoint(eager=True)
+    pieced = (
+        hot_part.join(F.broadcast(bounds), keys, "left")
+        .withColumn(
+            "_piece",
+            F.coalesce(F.size(F.filter("_bounds", lambda b: b <= F.col("_o"))), F.lit(0)),
+        )
+        .drop("_bounds", "_o")
     )
     in_piece = Window.partitionBy(*keys, "_piece").orderBy(*order_cols).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    local = ranged.withColumn("_local", F.sum(val).over(in_piece))
+    local = pieced.withColumn("_local", F.sum(val).over(in_piece))
     before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    # at most max_hot_keys * pieces rows
     offsets = (
-        ranged.groupBy(*keys, "_piece")
+        pieced.groupBy(*keys, "_piece")
         .agg(F.sum(val).alias("_piece_sum"))
         .withColumn("_offset", F.coalesce(F.sum("_piece_sum").over(before), F.lit(0)))
         .drop("_piece_sum")

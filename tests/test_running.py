@@ -62,3 +62,20 @@ def test_trailing_hot_name_matches_plain(spark):
     b = {(r["event_id"], r["kind"]): r["n"] for r in trailing.trailing_changelog(m, hot_rows=40, pieces=6).collect()}
     assert a == b
     assert min(a.values()) >= 0  # the trailing count is never negative
+
+
+def test_piece_bounds_split_hot_key(spark):
+    _, df = _frame(spark)
+    hot = running.hot_keys(df, ["k"], hot_rows=200)
+    rows = df.join(hot.select("k"), "k").withColumn(
+        "_o", F.struct(F.col("t").alias("_o0"), F.col("id").alias("_o1"))
+    )
+    bounds = {r["k"]: r["_bounds"] for r in running.piece_bounds(rows, hot, ["k"], 7).collect()}
+    assert len(bounds["hot"]) == 6
+    assert bounds["hot"] == sorted(bounds["hot"])
+
+
+def test_cold_input_plans_plain_window(spark):
+    _, df = _frame(spark, n=500)
+    plan = running.running_sum(df, ["k"], ["t", "id"], "v", "s")._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in plan and "BroadcastHashJoin" not in plan
