@@ -14,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.keys import first_field
-from ..functions.times import stamp_instant
+from ..functions.keys import first_field, parse_record_key
+from ..functions.times import millis_instant, stamp_instant
 from .running import row_index
 
 # One file covers 15 minutes of feed; the release loop runs
@@ -101,3 +101,29 @@ def release_batch(paced: DataFrame, second: int) -> DataFrame:
 def release_counts(paced: DataFrame, file_col: str = "file") -> DataFrame:
     """(file, release_second, rows): batch size of every second that sends."""
     return paced.groupBy(file_col, "release_second").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def feed_records(lines: DataFrame, line_col: str = "value", **index_kw) -> DataFrame:
+    """Raw feed lines -> (key, value, timestamp, event_ms): what the feeder
+    publishes. ``key`` is the record id (first field), ``timestamp`` the
+    event time from :func:`spread_event_times`.
+
+    A segment is identified by the stamp part of its record ids (every id
+    in a segment file starts with the file's stamp), so the result does not
+    depend on how the files were split into tasks; rows are ordered inside a
+    segment by the id's sequence number.
+    """
+    key = first_field(line_col)
+    records = lines.select(key.alias("record_key"), F.col(line_col).alias("value")).select(
+        "record_key",
+        "value",
+        first_field("record_key", "-").alias("_segment"),
+        parse_record_key("record_key")["key_seq"].alias("_seq"),
+    )
+    spread = spread_event_times(records, "_segment", "_seq", "record_key", **index_kw)
+    return spread.select(
+        F.col("record_key").alias("key"),
+        "value",
+        millis_instant("event_ms").alias("timestamp"),
+        "event_ms",
+    )

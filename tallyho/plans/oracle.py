@@ -279,6 +279,48 @@ WITH w AS (
 SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, name, CAST(count(*) AS BIGINT) AS n
 FROM w GROUP BY window_start, name"""
 
+FEED_STREAM_TOP = (
+    "WITH "
+    + FEED_CTE.strip()
+    + r""",
+lines AS (
+  SELECT AllNames, split_part(record_id, '-', 1) AS seg,
+         CAST(split_part(record_id, '-', 2) AS BIGINT) AS seq
+  FROM feed
+),
+spread AS (
+  SELECT AllNames,
+         epoch_ms(strptime(substr(seg, 1, 12), '%Y%m%d%H%M')) AS start_ms,
+         row_number() OVER (PARTITION BY seg ORDER BY seq) AS line_no,
+         count(*) OVER (PARTITION BY seg) AS lines
+  FROM lines
+),
+timed AS (
+  SELECT AllNames, make_timestamp((start_ms + (line_no - 1) * (900000 // lines)) * 1000) AS ts
+  FROM spread
+),
+toks AS (SELECT ts, unnest(string_split(AllNames, ';')) AS tok FROM timed WHERE AllNames <> ''),
+named AS (
+  SELECT ts, name FROM (
+    SELECT ts, CASE WHEN strpos(tok, ',') > 0 THEN regexp_replace(tok, ',[^,]*$', '') ELSE tok END AS name
+    FROM toks)
+  WHERE name IS NOT NULL AND name <> '' AND name NOT IN ('null', 'Type ParentCategory')
+),
+w AS (
+  SELECT name,
+         unnest(generate_series(time_bucket(INTERVAL 15 MINUTE, ts) - INTERVAL 45 MINUTE,
+                                time_bucket(INTERVAL 15 MINUTE, ts), INTERVAL 15 MINUTE)) AS window_start
+  FROM named
+),
+counts AS (SELECT window_start, name, count(*) AS n FROM w GROUP BY window_start, name),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY n DESC, name) AS rank FROM counts
+)
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, CAST(rank AS INTEGER) AS rank,
+       name, CAST(n AS BIGINT) AS n
+FROM ranked WHERE rank <= 10"""
+)
+
 SQL: dict[str, str] = {
     "top_names_per_day": TOP_NAMES_PER_DAY,
     "name_counts_per_day": NAME_COUNTS_PER_DAY,
@@ -306,6 +348,7 @@ SQL: dict[str, str] = {
     "board_floor": BOARD_FLOOR,
     "board_deltas": BOARD_DELTAS,
     "compacted_counts": COMPACTED_COUNTS,
+    "feed_stream_top": FEED_STREAM_TOP,
     "hourly_sliding_counts": HOURLY_SLIDING_COUNTS,
     "stateful_trailing": TRAILING_COUNT,
 }

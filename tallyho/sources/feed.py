@@ -4,6 +4,8 @@
 * :func:`read_lines` - raw-line scan, positional access (S2, S3, S18).
 * :func:`articles_from_typed` / :func:`articles_from_lines` - the one parse
   step both batch and streaming queries use: (record_id, day, AllNames).
+* :func:`record_mentions` - published records (key, value, timestamp) ->
+  one row per mentioned name, for streams (R1).
 
 Quoting is off (``quote=''``): a leading ``"`` in a field is data, not the
 start of a quoted field that would swallow tabs. Malformed UTF-8 is decoded
@@ -12,10 +14,12 @@ leniently and the replacement characters are removed.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.names import drop_malformed
+from ..functions.names import NOISE_NAMES, drop_malformed, is_name, name_tokens, strip_offset
 from ..functions.times import day_of_stamp
 from ..schema import ALL_NAMES_INDEX, DATE_INDEX, FEED_SCHEMA, MIN_FIELDS, RECORD_ID_INDEX
 
@@ -74,14 +78,15 @@ def split_fields(line_col: str = "value"):
     return F.split(drop_malformed(line_col), FIELD_SEP, -1)
 
 
-def articles_from_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
-    """Raw lines -> (record_id, day, AllNames); rows with fewer than 24 fields
-    are dropped (see :func:`line_report` for their count)."""
+def articles_from_lines(lines: DataFrame, line_col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """Raw lines -> (*keep, record_id, day, AllNames); rows with fewer than
+    24 fields are dropped (see :func:`line_report` for their count)."""
     fields = split_fields(line_col)
     return (
-        lines.select(fields.alias("_f"))
+        lines.select(*keep, fields.alias("_f"))
         .where(F.size("_f") >= MIN_FIELDS)
         .select(
+            *keep,
             F.get("_f", RECORD_ID_INDEX).alias("record_id"),
             day_of_stamp(F.get("_f", DATE_INDEX)).alias("day"),
             F.get("_f", ALL_NAMES_INDEX).alias("AllNames"),
@@ -101,3 +106,28 @@ def line_report(lines: DataFrame, line_col: str = "value") -> DataFrame:
         F.count_if(~short & day_of_stamp(F.get(fields, DATE_INDEX)).isNull()).alias("undated_lines"),
         F.count_if(~short & (F.coalesce(names, F.lit("")) == "")).alias("empty_name_lines"),
     )
+
+
+def record_mentions(
+    records: DataFrame,
+    strip: str = "last",
+    noise: Iterable[str] = NOISE_NAMES,
+) -> DataFrame:
+    """Published records (key, value = feed line, timestamp) -> (event_id,
+    record_key, name, ts): one row per mentioned name, at the record's event
+    time. Stateless, so it runs unchanged on a stream (R1) or a batch.
+
+    ``event_id`` identifies a mention: ``xxhash64(record key, position in
+    the list)``.
+    """
+    arts = articles_from_lines(records, keep=["key", "timestamp"])
+    toks = arts.where(F.col("AllNames") != F.lit("")).select(
+        "key", "timestamp", F.posexplode(name_tokens("AllNames")).alias("_pos", "_tok")
+    )
+    named = toks.select(
+        F.xxhash64("key", "_pos").alias("event_id"),
+        F.col("key").alias("record_key"),
+        strip_offset("_tok", strip).alias("name"),
+        F.col("timestamp").alias("ts"),
+    )
+    return named.where(is_name("name", noise))

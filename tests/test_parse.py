@@ -117,3 +117,48 @@ def test_lists_and_first_days(spark, tmp_dir):
     assert {r["top_names"] for r in lists} == {"Ann:2;Bob:1"}
     first = topnames.first_days(top, days=10).select("day").distinct().count()
     assert first == 10
+
+
+def test_feed_records_spread_per_segment(spark, tmp_dir):
+    """The feeder keys each line by its record id and spreads a segment's
+    lines over 15 minutes from the segment stamp, by sequence number."""
+    from tallyho.operators import replay
+
+    lines = [_line("Ann,1", rid=f"20150218101500-{i}") for i in (3, 1, 2, 4)]
+    lines += [_line("Bob,1", rid="20150218103000-9")]
+    path = _write(tmp_dir, lines)
+    recs = replay.feed_records(feed.read_lines(spark, path)).collect()
+    got = {r["key"]: r["event_ms"] for r in recs}
+    base = 1424254500000  # 2015-02-18 10:15 UTC
+    assert got == {
+        "20150218101500-1": base,
+        "20150218101500-2": base + 225000,
+        "20150218101500-3": base + 450000,
+        "20150218101500-4": base + 675000,
+        "20150218103000-9": base + 900000,
+    }
+    assert all(r["value"].startswith(r["key"] + "\t") for r in recs)
+
+
+def test_record_mentions_parse_stage(spark, tmp_dir):
+    """Records -> one row per real name at the record's event time, with
+    distinct mention ids (same parse rules as the batch path)."""
+    import datetime as dt
+
+    t = dt.datetime(2015, 2, 18, 10, 0)
+    rows = [
+        ("20150218100000-1", _line("Ann Lee,5;Bob,9;;null,3", rid="20150218100000-1"), t),
+        ("20150218100000-2", _line("Smith, John,12;Ann Lee,1", rid="20150218100000-2"), t),
+        ("20150218100000-3", _line("", rid="20150218100000-3"), t),
+        ("20150218100000-4", "short\tline", t),
+    ]
+    recs = spark.createDataFrame(rows, "key string, value string, timestamp timestamp")
+    got = feed.record_mentions(recs).collect()
+    assert sorted((r["record_key"], r["name"]) for r in got) == [
+        ("20150218100000-1", "Ann Lee"),
+        ("20150218100000-1", "Bob"),
+        ("20150218100000-2", "Ann Lee"),
+        ("20150218100000-2", "Smith, John"),
+    ]
+    assert len({r["event_id"] for r in got}) == 4
+    assert {r["ts"] for r in got} == {t}
