@@ -214,6 +214,11 @@ def board_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return board.board_floor(board.board(_latest(spark, sf_dir), 100))
 
 
+def board_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole board as the one JSON message a new subscriber gets."""
+    return board.snapshot_message(board.board(_latest(spark, sf_dir), 100))
+
+
 def board_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = trailing.trailing_changelog(_mentions(spark, sf_dir))
     msgs = board.delta_messages(board.coalesce_deltas(log, every_seconds=3600))
@@ -257,6 +262,7 @@ QUERIES: dict[str, Query] = {
     "latest_per_name": latest_per_name,
     "board_100": board_100,
     "board_floor": board_floor,
+    "board_snapshot": board_snapshot,
     "board_deltas": board_deltas,
     "compacted_counts": compacted_counts,
 }

@@ -248,6 +248,14 @@ SELECT CAST(count(*) AS BIGINT) AS entries, min(n) AS floor_n,
 FROM board"""
 )
 
+BOARD_SNAPSHOT = (
+    _with(MENTIONS_CTE, CHANGELOG_CTE, LATEST_CTE, BOARD_CTE)
+    + """
+SELECT '[' || string_agg('{"name":"' || name || '","count":' || CAST(n AS VARCHAR) || '}', ',' ORDER BY name)
+       || ']' AS message
+FROM board"""
+)
+
 BOARD_DELTAS = (
     _with(MENTIONS_CTE, CHANGELOG_CTE)
     + """,
@@ -346,6 +354,7 @@ SQL: dict[str, str] = {
     "latest_per_name": LATEST_PER_NAME,
     "board_100": BOARD_100,
     "board_floor": BOARD_FLOOR,
+    "board_snapshot": BOARD_SNAPSHOT,
     "board_deltas": BOARD_DELTAS,
     "compacted_counts": COMPACTED_COUNTS,
     "feed_stream_top": FEED_STREAM_TOP,

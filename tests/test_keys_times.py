@@ -101,3 +101,32 @@ def test_pacing_matches_loop(spark, rows, seconds):
     want = {i + 1: k for i, k in enumerate(_loop(rows, seconds)) if k}
     assert counts == want
     assert sum(counts.values()) == rows  # rows are conserved
+
+
+def test_landed_files_and_missing(spark, tmp_dir):
+    """Segment names from the files actually landed in a folder, and the
+    expected ones that are missing."""
+    import os
+
+    from tallyho.operators import segments
+
+    for stamp in ("20150218100000", "20150218104500"):
+        with open(os.path.join(tmp_dir, f"{stamp}.gkg.csv"), "w") as fh:
+            fh.write("x\n")
+    landed = segments.landed_files(spark.read.text(tmp_dir))
+    assert sorted(r["file_name"] for r in landed.collect()) == [
+        "20150218100000.gkg.csv", "20150218104500.gkg.csv"
+    ]
+    missing = segments.missing_segments(segments.expected_segments(landed), landed)
+    assert sorted(r["file_name"] for r in missing.collect()) == [
+        "20150218101500.gkg.csv", "20150218103000.gkg.csv"
+    ]
+
+
+def test_kafka_record_shape(spark):
+    from tallyho.sources import sinks
+
+    df = spark.createDataFrame([("k1", 3)], "name string, n long")
+    out = sinks.kafka_records(df, "name", "n", "gdelt-histogram", partition=0)
+    assert out.columns == ["key", "value", "topic", "partition"]
+    assert tuple(out.first()) == ("k1", "3", "gdelt-histogram", 0)
