@@ -127,6 +127,6 @@ def test_kafka_record_shape(spark):
     from tallyho.sources import sinks
 
     df = spark.createDataFrame([("k1", 3)], "name string, n long")
-    out = sinks.kafka_records(df, "name", "n", "gdelt-histogram", partition=0)
+    out = sinks.kafka_records(df, "name", "n", "name-counts", partition=0)
     assert out.columns == ["key", "value", "topic", "partition"]
-    assert tuple(out.first()) == ("k1", "3", "gdelt-histogram", 0)
+    assert tuple(out.first()) == ("k1", "3", "name-counts", 0)
