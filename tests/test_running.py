@@ -79,3 +79,35 @@ def test_cold_input_plans_plain_window(spark):
     _, df = _frame(spark, n=500)
     plan = running.running_sum(df, ["k"], ["t", "id"], "v", "s")._jdf.queryExecution().executedPlan().toString()
     assert "Union" not in plan and "BroadcastHashJoin" not in plan
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    n=st.integers(min_value=1, max_value=400),
+    keys=st.integers(min_value=1, max_value=4),
+    ties=st.integers(min_value=1, max_value=30),
+    pieces=st.integers(min_value=1, max_value=9),
+    hot_rows=st.integers(min_value=1, max_value=150),
+    seed=st.integers(min_value=0, max_value=10_000),
+)
+def test_running_sum_property(spark, n, keys, ties, pieces, hot_rows, seed):
+    """Any mix of hot and cold keys, heavy ties in the first order column,
+    any piece count: equal to the brute-force cumulative sum."""
+    rng = np.random.default_rng(seed)
+    pdf = pd.DataFrame(
+        {
+            "k": rng.choice([f"k{i}" for i in range(keys)], n),
+            "t": rng.integers(0, ties, n),
+            "id": rng.permutation(n),
+            "v": rng.integers(-5, 6, n),
+        }
+    )
+    df = spark.createDataFrame(pdf)
+    out = running.running_sum(df, ["k"], ["t", "id"], "v", "s", hot_rows=hot_rows, pieces=pieces)
+    got = {r["id"]: r["s"] for r in out.collect()}
+    assert len(got) == n
+    assert got == _brute(pdf)
