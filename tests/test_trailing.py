@@ -101,3 +101,34 @@ def test_stream_matches_batch(spark):
     exp_b = {k: v for k, v in b_rows.items() if k[1] == "expiry" and v[1] <= last}
     assert exp_s == exp_b
     assert min(v[2] for v in s_rows.values()) >= 0
+
+
+def test_pipeline_tee_and_board(spark, tmp_dir):
+    """Records through the two-query application: the mentions tee holds
+    every parsed name once, the board holds the top names after the run."""
+    import os
+
+    from tallyho.operators import replay
+    from tallyho.sources import feed
+    from tallyho.streaming import pipeline
+
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    cols = [""] * 27
+    with open(os.path.join(src, "20150218100000.gkg.csv"), "w") as fh:
+        for i, names in enumerate(["Ann,1;Bob,5", "Ann,2", "Cy,3;Ann,9;null,1"], start=1):
+            cols[0], cols[1], cols[23] = f"20150218100000-{i}", "20150218100000", names
+            fh.write("\t".join(cols) + "\n")
+    topic = os.path.join(tmp_dir, "topic")
+    pipeline.publish(replay.feed_records(feed.read_lines(spark, src)), topic)
+    root = os.path.join(tmp_dir, "app")
+    qs = pipeline.start(spark, pipeline.records_source(spark, topic), root, board_size=2, available_now=True)
+    for q in qs.values():
+        q.awaitTermination()
+        assert q.exception() is None
+    names = sorted(r["name"] for r in spark.read.parquet(f"{root}/mentions").collect())
+    assert names == ["Ann", "Ann", "Ann", "Bob", "Cy"]
+    boards = spark.read.parquet(f"{root}/board/board")
+    last = boards.agg(F.max("batch")).first()[0]
+    top = [(r["name"], r["n"]) for r in boards.where(F.col("batch") == last).orderBy("rank").collect()]
+    assert top == [("Ann", 3), ("Bob", 1)]
