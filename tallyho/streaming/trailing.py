@@ -53,7 +53,7 @@ class TrailingCounter(StatefulProcessor):
     # -- helpers -----------------------------------------------------------
 
     def _load(self) -> tuple[np.ndarray, np.ndarray]:
-        chunks = list(self.pending.get()) if self.pending.exists() else []
+        chunks = list(self.pending.get())  # empty when the name has no state
         if not chunks:
             return np.empty(0, np.int64), np.empty(0, np.int64)
         ts = np.concatenate([np.frombuffer(c[0], dtype=_I64) for c in chunks]).astype(np.int64)
@@ -64,26 +64,27 @@ class TrailingCounter(StatefulProcessor):
     def _chunk(ts: np.ndarray, eid: np.ndarray) -> tuple[bytes, bytes]:
         return ts.astype(_I64).tobytes(), eid.astype(_I64).tobytes()
 
-    def _set_timer(self, oldest_ts_us: int | None) -> None:
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        if oldest_ts_us is not None:
-            # fire when the watermark (ms) reaches the oldest deadline (us)
-            self.handle.registerTimer(-(-(oldest_ts_us + self.retention_us) // 1000))
+    def _timer_ms(self, ts: np.ndarray) -> int | None:
+        """The one timer a name has: at its oldest pending deadline, in ms
+        (rounded up), or none when nothing is pending."""
+        if len(ts) == 0:
+            return None
+        return -(-(int(ts.min()) + self.retention_us) // 1000)
+
+    def _move_timer(self, old: int | None, new: int | None) -> None:
+        if old == new:
+            return
+        if old is not None:
+            self.handle.deleteTimer(old)
+        if new is not None:
+            self.handle.registerTimer(new)
 
     def _store(self, ts: np.ndarray, eid: np.ndarray) -> None:
         """Replace the pending set by (ts, eid)."""
         if len(ts) == 0:
             self.pending.clear()
-            self._set_timer(None)
-            return
-        self.pending.put([self._chunk(ts, eid)])
-        self._set_timer(int(ts.min()))
-
-    def _append(self, ts: np.ndarray, eid: np.ndarray, oldest: int) -> None:
-        """Add (ts, eid) to the pending set; ``oldest`` is the new minimum."""
-        self.pending.appendValue(self._chunk(ts, eid))
-        self._set_timer(oldest)
+        else:
+            self.pending.put([self._chunk(ts, eid)])
 
     @staticmethod
     def _frame(name, eid, kind, change_us, n) -> pd.DataFrame:
@@ -121,8 +122,11 @@ class TrailingCounter(StatefulProcessor):
         if expire.any():
             keep = ~expire
             self._store(all_ts[keep], all_id[keep])
+            new_timer = self._timer_ms(all_ts[keep])
         else:
-            self._append(new_ts, new_id, int(all_ts.min()))
+            self.pending.appendValue(self._chunk(new_ts, new_id))
+            new_timer = self._timer_ms(all_ts)
+        self._move_timer(self._timer_ms(old_ts), new_timer)
         yield self._frame(name, e, kind, t, n)
 
     def handleExpiredTimer(
@@ -131,7 +135,6 @@ class TrailingCounter(StatefulProcessor):
         name = key[0]
         ts, eid = self._load()
         if len(ts) == 0:
-            self._store(ts, eid)
             return
         watermark_us = int(timerValues.getCurrentWatermarkInMs()) * 1000
         deadline = ts + self.retention_us
@@ -140,6 +143,9 @@ class TrailingCounter(StatefulProcessor):
         expire = deadline <= watermark_us
         k = int(expire.sum())
         self._store(ts[~expire], eid[~expire])
+        # the timer that fired is gone; the next one is at the new oldest
+        # deadline (past the watermark, since the oldest always expires here)
+        self._move_timer(None, self._timer_ms(ts[~expire]))
         if k:
             n = len(ts) - np.arange(1, k + 1)
             yield self._frame(name, eid[expire], EXPIRY, deadline[expire], n)
