@@ -130,3 +130,29 @@ def test_kafka_record_shape(spark):
     out = sinks.kafka_records(df, "name", "n", "name-counts", partition=0)
     assert out.columns == ["key", "value", "topic", "partition"]
     assert tuple(out.first()) == ("k1", "3", "name-counts", 0)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.integers(min_value=1, max_value=60), min_size=1, max_size=5))
+def test_replay_conserves_rows_per_file(spark, sizes):
+    """Several files at once: every file's rows are released exactly once
+    within its seconds, and spread over its own 15 minutes."""
+    rows = []
+    for f, size in enumerate(sizes):
+        stamp = f"2015021810{15 * f:02d}00" if f < 4 else "20150218110000"
+        rows += [(stamp, i, f"{stamp}-{i}") for i in range(1, size + 1)]
+    df = spark.createDataFrame(rows, "file string, seq long, record_key string")
+    paced = replay.release_counts(replay.pace_release(df, seconds=7)).collect()
+    per_file = {}
+    for r in paced:
+        assert 1 <= r["release_second"] <= 7
+        per_file[r["file"]] = per_file.get(r["file"], 0) + r["rows"]
+    want = {}
+    for stamp, _, _ in rows:
+        want[stamp] = want.get(stamp, 0) + 1
+    assert per_file == want
+    spread = replay.spread_event_times(df).collect()
+    for r in spread:
+        start = int(dt.datetime.strptime(r["file"][:12], "%Y%m%d%H%M").replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
+        assert start <= r["event_ms"] < start + 900_000
+    assert len({(r["file"], r["event_ms"]) for r in spread}) == len(rows)
