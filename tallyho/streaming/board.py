@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,19 +29,16 @@ from ..operators.board import BOARD_SIZE, latest_per_name
 BOARD_SCHEMA = "rank int, name string, n long"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
-
-
 def previous_board(spark: SparkSession, out: str, batch_id: int) -> DataFrame:
-    """Board after batch ``batch_id - 1`` (empty before the first batch)."""
+    """Board after batch ``batch_id - 1`` (the newest earlier one written;
+    empty before the first batch)."""
     for b in range(batch_id - 1, -1, -1):
-        path = f"{out}/board/batch={b}"
-        if _exists(spark, path):
-            return spark.read.schema(BOARD_SCHEMA).parquet(path)
+        try:
+            # an explicit schema keeps this a metadata lookup; a missing
+            # folder is reported here, before anything is read
+            return spark.read.schema(BOARD_SCHEMA).parquet(f"{out}/board/batch={b}")
+        except AnalysisException:
+            continue
     return spark.createDataFrame([], BOARD_SCHEMA)
 
 
