@@ -1,12 +1,11 @@
 """Replay of a file's rows: event times spread evenly (W2) and per-second
 release pacing (W3, T6), with rows per file (A8).
 
-Both need a row's position within its file. That comes from
-:func:`tallyho.operators.running.row_index`, which splits a file holding a
-large share of all rows over many tasks instead of one window partition.
-Per-file totals are a grouped aggregate joined back on the file; the join
-is left to AQE, which broadcasts the totals only when their runtime size is
-under the broadcast threshold.
+Both need a row's position within its file and the file's totals. Those
+come from :func:`tallyho.operators.running.row_index`, which evaluates the
+totals in the same window partitioning (one read of the input, no join) and
+splits a file holding a large share of all rows over many tasks instead of
+one window partition.
 """
 
 from __future__ import annotations
@@ -24,14 +23,6 @@ INTERVAL_MINUTES = 15
 SECONDS_PER_FILE = INTERVAL_MINUTES * 60
 
 
-def file_stats(records: DataFrame, file_col: str = "file", seq_col: str = "seq", key_col: str = "record_key") -> DataFrame:
-    """(file, lines, first_key): rows per file and the key of its first row."""
-    return records.groupBy(file_col).agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.min_by(F.col(key_col), F.col(seq_col)).alias("first_key"),
-    )
-
-
 def spread_event_times(
     records: DataFrame,
     file_col: str = "file",
@@ -46,16 +37,15 @@ def spread_event_times(
 
     Adds ``line_no``, ``lines`` and ``event_ms``.
     """
-    indexed = row_index(records, [file_col], [seq_col], "line_no", **index_kw)
-    stats = file_stats(records, file_col, seq_col, key_col)
+    totals = {
+        "lines": F.count(F.lit(1)),
+        "first_key": F.min_by(F.col(key_col), F.col(seq_col)),
+    }
+    indexed = row_index(records, [file_col], [seq_col], "line_no", totals=totals, **index_kw)
     interval_ms = interval_minutes * 60_000
     start_ms = F.unix_millis(stamp_instant(first_field("first_key", "-")))
     step = F.expr(f"CAST({interval_ms} AS BIGINT) div lines")
-    return (
-        indexed.join(stats, file_col)
-        .withColumn("event_ms", start_ms + (F.col("line_no") - F.lit(1)) * step)
-        .drop("first_key")
-    )
+    return indexed.withColumn("event_ms", start_ms + (F.col("line_no") - F.lit(1)) * step).drop("first_key")
 
 
 def pace_release(
@@ -75,8 +65,9 @@ def pace_release(
     ``r + (j - r(q+1)) div q + 1``, and the release second is
     ``R + 1 - bucket``. Adds ``line_no``, ``lines``, ``release_second``.
     """
-    indexed = row_index(records, [file_col], [seq_col], "line_no", **index_kw)
-    lines = records.groupBy(file_col).agg(F.count(F.lit(1)).alias("lines"))
+    indexed = row_index(
+        records, [file_col], [seq_col], "line_no", totals={"lines": F.count(F.lit(1))}, **index_kw
+    )
     r_sec = int(seconds)
     if r_sec < 1:
         raise ValueError("seconds must be >= 1")
@@ -88,9 +79,7 @@ def pace_release(
                         div greatest(lines div {r_sec}, 1)
                       + 1 END"""
     )
-    return indexed.join(lines, file_col).withColumn(
-        "release_second", (F.lit(r_sec + 1) - bucket).cast("int")
-    )
+    return indexed.withColumn("release_second", (F.lit(r_sec + 1) - bucket).cast("int"))
 
 
 def release_batch(paced: DataFrame, second: int) -> DataFrame:

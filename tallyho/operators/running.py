@@ -94,12 +94,19 @@ def running_sum(
     hot_rows: int = HOT_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
     pieces: int | None = None,
+    totals: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Add ``out`` = running sum of ``value`` per ``keys`` in ``order``.
 
     ``order`` must be a total order within a key (ties make a running sum
     ambiguous); include a unique column last. Runs one small job at build
     time (the hot-key count).
+
+    ``totals`` (name -> aggregate) adds whole-group aggregates of each key
+    on every row. For cold keys they are evaluated in the same window
+    partitioning as the running sum (no second read of the input, no join);
+    for hot keys they come from a per-key aggregate of at most
+    ``max_hot_keys`` rows.
     """
     keys = list(keys)
     order_cols = _cols(order)
@@ -107,16 +114,25 @@ def running_sum(
     spark = df.sparkSession
     n_pieces = int(pieces or spark.conf.get("spark.sql.shuffle.partitions"))
 
+    totals = dict(totals or {})
     whole = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
+    group = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
+
+    def plain(frame: DataFrame) -> DataFrame:
+        cols = {out: F.sum(val).over(whole), **{k: agg.over(group) for k, agg in totals.items()}}
+        return frame.withColumns(cols)
+
     shared_dir(spark)
     hot = hot_keys(df, keys, hot_rows, max_hot_keys).checkpoint(eager=True)
     if hot.isEmpty():
-        return df.withColumn(out, F.sum(val).over(whole))
+        return plain(df)
 
     tagged = df.join(F.broadcast(hot.select(*keys, F.lit(True).alias("_hot"))), keys, "left")
-    cold_out = tagged.where(F.col("_hot").isNull()).drop("_hot").withColumn(out, F.sum(val).over(whole))
+    cold_out = plain(tagged.where(F.col("_hot").isNull()).drop("_hot"))
 
     ordered = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(order_cols)])
     hot_part = tagged.where(F.col("_hot").isNotNull()).drop("_hot").withColumn("_o", ordered)
@@ -146,6 +162,10 @@ def running_sum(
         .withColumn(out, (F.col("_offset") + F.col("_local")).cast(cold_out.schema[out].dataType))
         .drop("_piece", "_local", "_offset")
     )
+    if totals:
+        # one row per hot key
+        per_key = pieced.groupBy(*keys).agg(*[agg.alias(k) for k, agg in totals.items()])
+        hot_out = hot_out.join(F.broadcast(per_key), keys)
     return cold_out.unionByName(hot_out.select(*cold_out.columns))
 
 
