@@ -99,8 +99,9 @@ def running_sum(
     """Add ``out`` = running sum of ``value`` per ``keys`` in ``order``.
 
     ``order`` must be a total order within a key (ties make a running sum
-    ambiguous); include a unique column last. Runs one small job at build
-    time (the hot-key count).
+    ambiguous); include a unique column last. Runs one job at build time:
+    the hot-key count, an aggregate over the input whose result is at most
+    ``max_hot_keys`` rows.
 
     ``totals`` (name -> aggregate) adds whole-group aggregates of each key
     on every row. For cold keys they are evaluated in the same window

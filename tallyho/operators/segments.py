@@ -7,7 +7,7 @@ metadata-sized (35,040 rows per year) whatever the data volume.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import DEFAULT_LAST_KEY, parse_record_key
@@ -59,12 +59,17 @@ def missing_segments(expected: DataFrame, landed: DataFrame) -> DataFrame:
 
 def new_segments(landed: DataFrame, last_mark: str = DEFAULT_MARK) -> DataFrame:
     """(file_name, next_mark): landed names newer than the high-water mark,
-    and the mark after offering them (the newest name seen)."""
+    and the mark after offering them (the newest name seen).
+
+    The mark is a window over the new names only (one row per 15-minute
+    segment, so their number is set by the calendar), computed in the same
+    pass as the names.
+    """
     newer = landed.where(F.col("file_name") > F.lit(last_mark))
-    next_mark = F.coalesce(
-        newer.select(F.max(F.substring("file_name", 1, 14))).scalar(), F.lit(last_mark)
+    everything = Window.partitionBy()
+    return newer.select(
+        "file_name", F.max(F.substring("file_name", 1, 14)).over(everything).alias("next_mark")
     )
-    return newer.select("file_name", next_mark.alias("next_mark"))
 
 
 def record_key_parts(keys: DataFrame, key_col: str = "record_key") -> DataFrame:
