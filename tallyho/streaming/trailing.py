@@ -2,20 +2,25 @@
 decrement, R5 changelog output), with ``transformWithStateInPandas``.
 
 State per name: the (time, event id) of its mentions still inside the
-retention period, as a list state on RocksDB whose elements are chunks (two
-packed int64 arrays, one chunk per batch that brought rows), so a name with
-many pending mentions costs a few state rows, not one per mention. A batch
-that expires nothing only appends its chunk; one that expires something
-rewrites the survivors as a single chunk. For each micro-batch the
-rows of a name are sorted by (time, event id); a mention expires *before* an
-arrival at or after its deadline, so every arrival's count is the exact
-number of that name's mentions in (t - retention, t] - as in the batch form
+retention period, kept in chunks on RocksDB - one chunk per batch that
+brought rows, two packed int64 arrays each (``data``), plus a small index of
+every chunk's oldest time and size (``meta``). A batch reads the index, loads
+only the chunks that can expire before its newest row, rewrites or drops
+just those, and adds its own rows as a new chunk. So the state read and
+written per batch follows the rows that arrive and expire, not the whole
+pending set of a name - which matters for a name holding a large share of
+all mentions.
+
+For each micro-batch the rows of a name are sorted by (time, event id); a
+mention expires *before* an arrival at or after its deadline, so every
+arrival's count is the exact number of that name's mentions in
+(t - retention, t] - as in the batch form
 :func:`tallyho.operators.trailing.trailing_changelog`.
 
 Names that go quiet are counted down by one event-time timer per name, set
 at the oldest pending deadline; it fires when the watermark passes it. A
-name with nothing pending has its state cleared (the count 0 is emitted
-once). Work per batch is vectorised with numpy over the batch's rows.
+name with nothing pending has no state left (the count 0 is emitted once).
+Work per batch is vectorised with numpy over the batch's rows.
 """
 
 from __future__ import annotations
@@ -36,8 +41,11 @@ from pyspark.sql.streaming.stateful_processor import (
 from ..operators.trailing import ARRIVAL, EXPIRY, RETENTION_MINUTES
 
 OUTPUT_SCHEMA = "name string, event_id long, kind string, change_us long, n long"
-PENDING_SCHEMA = "ts_us binary, event_id binary"
+CHUNK_KEY = "chunk long"
+META_SCHEMA = "oldest_us long, rows long"
+DATA_SCHEMA = "ts_us binary, event_id binary"
 _I64 = np.dtype("<i8")
+_EMPTY = np.empty(0, np.int64)
 
 
 class TrailingCounter(StatefulProcessor):
@@ -48,28 +56,63 @@ class TrailingCounter(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", PENDING_SCHEMA)
+        self.meta = handle.getMapState("meta", CHUNK_KEY, META_SCHEMA)
+        self.data = handle.getMapState("data", CHUNK_KEY, DATA_SCHEMA)
 
-    # -- helpers -----------------------------------------------------------
+    # -- state helpers -----------------------------------------------------
 
-    def _load(self) -> tuple[np.ndarray, np.ndarray]:
-        chunks = list(self.pending.get())  # empty when the name has no state
-        if not chunks:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        ts = np.concatenate([np.frombuffer(c[0], dtype=_I64) for c in chunks]).astype(np.int64)
-        eid = np.concatenate([np.frombuffer(c[1], dtype=_I64) for c in chunks]).astype(np.int64)
-        return ts, eid
+    def _index(self) -> dict[int, tuple[int, int]]:
+        """chunk -> (oldest time in us, rows) for every pending chunk."""
+        return {int(k[0]): (int(v[0]), int(v[1])) for k, v in self.meta.iterator()}
 
-    @staticmethod
-    def _chunk(ts: np.ndarray, eid: np.ndarray) -> tuple[bytes, bytes]:
-        return ts.astype(_I64).tobytes(), eid.astype(_I64).tobytes()
+    def _read(self, chunk: int) -> tuple[np.ndarray, np.ndarray]:
+        v = self.data.getValue((chunk,))
+        ts = np.frombuffer(v[0], dtype=_I64).astype(np.int64)
+        eid = np.frombuffer(v[1], dtype=_I64).astype(np.int64)
+        return ts, eid
 
-    def _timer_ms(self, ts: np.ndarray) -> int | None:
+    def _write(self, chunk: int, ts: np.ndarray, eid: np.ndarray) -> None:
+        """Store a chunk, or drop it when it is empty."""
+        key = (chunk,)
+        if len(ts) == 0:
+            self.meta.removeKey(key)
+            self.data.removeKey(key)
+            return
+        self.meta.updateValue(key, (int(ts.min()), int(len(ts))))
+        self.data.updateValue(key, (ts.astype(_I64).tobytes(), eid.astype(_I64).tobytes()))
+
+    def _drain(
+        self, index: dict[int, tuple[int, int]], until_us: int
+    ) -> tuple[np.ndarray, np.ndarray, dict[int, tuple[int, int]]]:
+        """Remove every pending mention whose deadline is at or before
+        ``until_us``; only chunks that hold one are read and rewritten.
+        Returns the expired (time, id) and the index after the drain."""
+        out_ts, out_id = [], []
+        index = dict(index)
+        for chunk, (oldest, _) in list(index.items()):
+            if oldest + self.retention_us > until_us:
+                continue
+            ts, eid = self._read(chunk)
+            gone = ts + self.retention_us <= until_us
+            out_ts.append(ts[gone])
+            out_id.append(eid[gone])
+            keep_ts, keep_id = ts[~gone], eid[~gone]
+            self._write(chunk, keep_ts, keep_id)
+            if len(keep_ts):
+                index[chunk] = (int(keep_ts.min()), int(len(keep_ts)))
+            else:
+                del index[chunk]
+        if not out_ts:
+            return _EMPTY, _EMPTY, index
+        return np.concatenate(out_ts), np.concatenate(out_id), index
+
+    def _timer_ms(self, index: dict[int, tuple[int, int]]) -> int | None:
         """The one timer a name has: at its oldest pending deadline, in ms
         (rounded up), or none when nothing is pending."""
-        if len(ts) == 0:
+        if not index:
             return None
-        return -(-(int(ts.min()) + self.retention_us) // 1000)
+        oldest = min(v[0] for v in index.values())
+        return -(-(oldest + self.retention_us) // 1000)
 
     def _move_timer(self, old: int | None, new: int | None) -> None:
         if old == new:
@@ -79,13 +122,6 @@ class TrailingCounter(StatefulProcessor):
         if new is not None:
             self.handle.registerTimer(new)
 
-    def _store(self, ts: np.ndarray, eid: np.ndarray) -> None:
-        """Replace the pending set by (ts, eid)."""
-        if len(ts) == 0:
-            self.pending.clear()
-        else:
-            self.pending.put([self._chunk(ts, eid)])
-
     @staticmethod
     def _frame(name, eid, kind, change_us, n) -> pd.DataFrame:
         return pd.DataFrame(
@@ -105,50 +141,49 @@ class TrailingCounter(StatefulProcessor):
         batch = pd.concat(list(rows), ignore_index=True)
         new_ts = batch["ts_us"].to_numpy(dtype=np.int64)
         new_id = batch["event_id"].to_numpy(dtype=np.int64)
-        old_ts, old_id = self._load()
-        all_ts = np.concatenate([old_ts, new_ts])
-        all_id = np.concatenate([old_id, new_id])
-        deadline = all_ts + self.retention_us
-        # every arrival drains what expired at or before it
-        expire = deadline <= new_ts.max()
+        index = self._index()
+        pending = sum(v[1] for v in index.values())
+        old_timer = self._timer_ms(index)
+        # every arrival drains what expired at or before it: stored mentions,
+        # and mentions of this very batch that the batch's newest row outlives
+        newest = int(new_ts.max())
+        gone_ts, gone_id, index = self._drain(index, newest)
+        early = new_ts + self.retention_us <= newest
+        gone_ts = np.concatenate([gone_ts, new_ts[early]])
+        gone_id = np.concatenate([gone_id, new_id[early]])
         # steps: expiries (-1) of drained mentions, arrivals (+1) of new ones
-        t = np.concatenate([deadline[expire], new_ts])
-        d = np.concatenate([np.full(expire.sum(), -1), np.ones(len(new_ts), dtype=np.int64)])
-        e = np.concatenate([all_id[expire], new_id])
+        t = np.concatenate([gone_ts + self.retention_us, new_ts])
+        d = np.concatenate([np.full(len(gone_ts), -1, dtype=np.int64), np.ones(len(new_ts), dtype=np.int64)])
+        e = np.concatenate([gone_id, new_id])
         order = np.lexsort((e, d, t))  # by time, then step (-1 first), then id
         t, d, e = t[order], d[order], e[order]
-        n = len(old_ts) + np.cumsum(d)
+        n = pending + np.cumsum(d)
         kind = np.where(d > 0, ARRIVAL, EXPIRY)
-        if expire.any():
-            keep = ~expire
-            self._store(all_ts[keep], all_id[keep])
-            new_timer = self._timer_ms(all_ts[keep])
-        else:
-            self.pending.appendValue(self._chunk(new_ts, new_id))
-            new_timer = self._timer_ms(all_ts)
-        self._move_timer(self._timer_ms(old_ts), new_timer)
+        stay_ts, stay_id = new_ts[~early], new_id[~early]  # never empty: the newest stays
+        chunk = max(index, default=-1) + 1
+        self._write(chunk, stay_ts, stay_id)
+        index[chunk] = (int(stay_ts.min()), int(len(stay_ts)))
+        self._move_timer(old_timer, self._timer_ms(index))
         yield self._frame(name, e, kind, t, n)
 
     def handleExpiredTimer(
         self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo
     ) -> Iterator[pd.DataFrame]:
         name = key[0]
-        ts, eid = self._load()
-        if len(ts) == 0:
+        index = self._index()
+        if not index:
             return
+        pending = sum(v[1] for v in index.values())
         watermark_us = int(timerValues.getCurrentWatermarkInMs()) * 1000
-        deadline = ts + self.retention_us
-        order = np.lexsort((eid, deadline))
-        ts, eid, deadline = ts[order], eid[order], deadline[order]
-        expire = deadline <= watermark_us
-        k = int(expire.sum())
-        self._store(ts[~expire], eid[~expire])
+        gone_ts, gone_id, index = self._drain(index, watermark_us)
         # the timer that fired is gone; the next one is at the new oldest
         # deadline (past the watermark, since the oldest always expires here)
-        self._move_timer(None, self._timer_ms(ts[~expire]))
-        if k:
-            n = len(ts) - np.arange(1, k + 1)
-            yield self._frame(name, eid[expire], EXPIRY, deadline[expire], n)
+        self._move_timer(None, self._timer_ms(index))
+        if len(gone_ts):
+            deadline = gone_ts + self.retention_us
+            order = np.lexsort((gone_id, deadline))
+            n = pending - np.arange(1, len(gone_ts) + 1)
+            yield self._frame(name, gone_id[order], EXPIRY, deadline[order], n)
 
     def close(self) -> None:
         pass

@@ -132,3 +132,29 @@ def test_pipeline_tee_and_board(spark, tmp_dir):
     last = boards.agg(F.max("batch")).first()[0]
     top = [(r["name"], r["n"]) for r in boards.where(F.col("batch") == last).orderBy("rank").collect()]
     assert top == [("Ann", 3), ("Bob", 1)]
+
+
+def test_stream_busy_name_chunks(spark):
+    """One name with a mention every 7 minutes for 9 hours, landed in four
+    runs: stored chunks expire in part and in whole, rows expire inside their
+    own batch, and every arrival count equals the batch changelog."""
+    timed = [(5, T0 + dt.timedelta(minutes=7 * i)) for i in range(78)]
+    timed += [(6, T0 + dt.timedelta(minutes=50 * i, seconds=30)) for i in range(11)]
+    # ids in time order: the runs are cut by id, and the watermark drops
+    # rows that land after later ones
+    rows = [(i, u, t) for i, (u, t) in enumerate(sorted(timed, key=lambda r: r[1]))]
+    events = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp").withColumn(
+        "ts", F.col("ts").cast("timestamp_ntz")
+    )
+    out = runner.replay_runs(
+        spark, events, lambda src: stream_trailing.trailing_stream(fixtures.mentions(src)), tag="busy"
+    )
+    got = runner.read_sink(spark, out).collect()
+    batch = trailing.trailing_changelog(fixtures.mentions(events)).collect()
+    arr = lambda rs: {(r["event_id"], r["n"]) for r in rs if r["kind"] == "arrival"}
+    assert arr(got) == arr(batch) and len(arr(got)) == len(rows)
+    # with a mention every 7 minutes the trailing hour holds 9 of them
+    assert max(r["n"] for r in got if r["name"] == "user_5") == 9
+    last = max(r["change_ts"] for r in got if r["kind"] == "expiry")
+    exp = lambda rs: {(r["event_id"], r["n"]) for r in rs if r["kind"] == "expiry" and r["change_ts"] <= last}
+    assert exp(got) == exp(batch)
