@@ -158,3 +158,30 @@ def test_stream_busy_name_chunks(spark):
     last = max(r["change_ts"] for r in got if r["kind"] == "expiry")
     exp = lambda rs: {(r["event_id"], r["n"]) for r in rs if r["kind"] == "expiry" and r["change_ts"] <= last}
     assert exp(got) == exp(batch)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 300)), min_size=1, max_size=60))
+def test_changelog_property(spark, items):
+    """Random mentions (many at equal times): each arrival counts the
+    mentions in (t - 1 h, t] up to itself, no count is negative, and every
+    name ends at 0 after its last expiry."""
+    rows = [(i, name, T0 + dt.timedelta(minutes=m)) for i, (name, m) in enumerate(items)]
+    log = trailing.trailing_changelog(_mentions(spark, rows)).collect()
+    hour = dt.timedelta(hours=1)
+    for r in log:
+        assert r["n"] >= 0
+        if r["kind"] != "arrival":
+            continue
+        t, me = r["change_ts"], r["event_id"]
+        came = sum(1 for i, n, ts in rows if n == r["name"] and (ts < t or (ts == t and i <= me)))
+        left = sum(1 for i, n, ts in rows if n == r["name"] and ts + hour <= t)
+        assert r["n"] == came - left
+    last = {}
+    for r in sorted(log, key=lambda r: (r["change_ts"], r["kind"] == "arrival", r["event_id"])):
+        last[r["name"]] = r["n"]
+    assert set(last.values()) == {0}
