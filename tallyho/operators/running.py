@@ -11,14 +11,15 @@ third of the data. Here keys are split in two:
   gets a local running sum, plus an offset equal to the total of the earlier
   pieces of the same key.
 
-Two small tables are written once to the shared checkpoint folder and read
-back, so every part of the plan sees the same values however often Spark
-evaluates it: the hot keys with their row counts (at most ``max_hot_keys``
-rows), and the piece bounds per hot key (at most ``pieces - 1`` order values
-each, taken from a sample). A row's piece is then a pure function of the row
-and those bounds, so the local sums and the offsets agree even when a stage
-is recomputed after a lost executor. When there is no hot key the plan is the
-plain window, with no join.
+Two small tables are fixed once, so every part of the plan sees the same
+values however often Spark evaluates it: the hot keys with their row counts
+(at most ``max_hot_keys`` rows, collected and put into the plan as a local
+table), and the piece bounds per hot key (at most ``pieces - 1`` order values
+each, taken from a sample and written to the shared checkpoint folder). A
+row's piece is then a pure function of the row and those bounds, so the local
+sums and the offsets agree even when a stage is recomputed after a lost
+executor. When there is no hot key the plan is the plain window, with no
+join.
 
 The result is exact: ``prefix = offset(piece) + local prefix``. The union of
 both parts gives every input row once.
@@ -85,6 +86,18 @@ def piece_bounds(
     return firsts.groupBy(*keys).agg(F.array_sort(F.collect_list("_o")).alias("_bounds"))
 
 
+def _fixed(small: DataFrame) -> DataFrame:
+    """Compute a small, non-deterministic result once and read it from the
+    shared checkpoint folder from then on. Persisted first, so writing the
+    checkpoint does not compute it a second time."""
+    shared_dir(small.sparkSession)
+    small.persist()
+    try:
+        return small.checkpoint(eager=True)
+    finally:
+        small.unpersist()
+
+
 def running_sum(
     df: DataFrame,
     keys: Sequence[str],
@@ -100,8 +113,8 @@ def running_sum(
 
     ``order`` must be a total order within a key (ties make a running sum
     ambiguous); include a unique column last. Runs one job at build time:
-    the hot-key count, an aggregate over the input whose result is at most
-    ``max_hot_keys`` rows.
+    the hot-key count, an aggregate over the input whose result (at most
+    ``max_hot_keys`` rows) reaches the driver.
 
     ``totals`` (name -> aggregate) adds whole-group aggregates of each key
     on every row. For cold keys they are evaluated in the same window
@@ -127,17 +140,18 @@ def running_sum(
         cols = {out: F.sum(val).over(whole), **{k: agg.over(group) for k, agg in totals.items()}}
         return frame.withColumns(cols)
 
-    shared_dir(spark)
-    hot = hot_keys(df, keys, hot_rows, max_hot_keys).checkpoint(eager=True)
-    if hot.isEmpty():
+    found = hot_keys(df, keys, hot_rows, max_hot_keys)
+    hot_list = found.collect()  # at most max_hot_keys rows
+    if not hot_list:
         return plain(df)
+    hot = spark.createDataFrame(hot_list, found.schema)
 
     tagged = df.join(F.broadcast(hot.select(*keys, F.lit(True).alias("_hot"))), keys, "left")
     cold_out = plain(tagged.where(F.col("_hot").isNull()).drop("_hot"))
 
     ordered = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(order_cols)])
     hot_part = tagged.where(F.col("_hot").isNotNull()).drop("_hot").withColumn("_o", ordered)
-    bounds = piece_bounds(hot_part, hot, keys, n_pieces).checkpoint(eager=True)
+    bounds = _fixed(piece_bounds(hot_part, hot, keys, n_pieces))
     pieced = (
         hot_part.join(F.broadcast(bounds), keys, "left")
         .withColumn(
