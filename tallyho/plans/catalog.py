@@ -232,7 +232,7 @@ def compacted_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events rewritten as a compacted Parquet copy, then counted per type."""
     configure(spark)
     events = fixtures.table(spark, sf_dir, "events")
-    path = sinks.compact(events, scratch_path(spark, "compacted"), files=4)
+    path = sinks.compact(events, scratch_path(spark, "compacted"))
     copy = spark.read.parquet(path)
     return copy.groupBy("event_type").agg(F.count(F.lit(1)).alias("rows"))
 

@@ -11,13 +11,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def compact(df: DataFrame, path: str, files: int, max_records_per_file: int | None = None) -> str:
-    """Rewrite many small inputs as ``files`` larger Parquet files (S17).
+def compact(
+    df: DataFrame,
+    path: str,
+    files: int | None = None,
+    max_records_per_file: int | None = None,
+) -> str:
+    """Rewrite many small inputs as fewer, larger Parquet files (S17).
 
-    ``repartition(files)`` is one shuffle; ``maxRecordsPerFile`` caps a file
-    when a partition is still large. Returns ``path``.
+    Default: the ``rebalance`` hint, so adaptive execution sizes the output
+    partitions to ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` (split
+    where large, merged where small) and the file count follows the data
+    volume. ``files`` asks for an exact count instead (``repartition``).
+    Either way one shuffle; ``maxRecordsPerFile`` also caps a file. Returns
+    ``path``.
     """
-    writer = df.repartition(int(files)).write.mode("errorifexists")
+    shaped = df.repartition(int(files)) if files else df.hint("rebalance")
+    writer = shaped.write.mode("errorifexists")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
     writer.parquet(path)

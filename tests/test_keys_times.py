@@ -156,3 +156,17 @@ def test_replay_conserves_rows_per_file(spark, sizes):
         start = int(dt.datetime.strptime(r["file"][:12], "%Y%m%d%H%M").replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
         assert start <= r["event_ms"] < start + 900_000
     assert len({(r["file"], r["event_ms"]) for r in spread}) == len(rows)
+
+
+def test_compact_rebalances_and_keeps_rows(spark, tmp_dir):
+    import os
+
+    from tallyho.sources import sinks
+
+    df = spark.range(0, 5000).repartition(40)  # many small pieces
+    out = sinks.compact(df, os.path.join(tmp_dir, "c"))
+    back = spark.read.parquet(out)
+    assert back.count() == 5000 and back.agg(F.sum("id")).first()[0] == sum(range(5000))
+    assert len([f for f in os.listdir(out) if f.endswith(".parquet")]) < 40
+    exact = sinks.compact(df, os.path.join(tmp_dir, "e"), files=3)
+    assert len([f for f in os.listdir(exact) if f.endswith(".parquet")]) == 3
