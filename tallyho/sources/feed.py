@@ -2,6 +2,7 @@
 
 * :func:`read_typed` - typed scan with the fixed 27-column schema (S1, S3).
 * :func:`read_lines` - raw-line scan, positional access (S2, S3, S18).
+* :func:`as_feed` - typed view of feed rows from another source (F7).
 * :func:`articles_from_typed` / :func:`articles_from_lines` - the one parse
   step both batch and streaming queries use: (record_id, day, AllNames).
 * :func:`record_mentions` - published records (key, value, timestamp) ->
@@ -64,6 +65,14 @@ def read_lines(
     return _reader(spark, glob_filter, recursive).text(path)
 
 
+def as_feed(rows: DataFrame) -> DataFrame:
+    """Typed view of feed rows from any source (F7): columns matched by name
+    and put in the fixed order (``DataFrame.to``). Types are only widened
+    where that is safe; a missing column, or text where a number is
+    expected, is an error rather than a silent cast."""
+    return rows.to(FEED_SCHEMA)
+
+
 def articles_from_typed(feed: DataFrame) -> DataFrame:
     """Typed feed rows -> (record_id, day, AllNames). Only 3 of 27 columns
     are referenced, so the scan reads only those (column pruning)."""

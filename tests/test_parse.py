@@ -162,3 +162,23 @@ def test_record_mentions_parse_stage(spark, tmp_dir):
     ]
     assert len({r["event_id"] for r in got}) == 4
     assert {r["ts"] for r in got} == {t}
+
+
+def test_as_feed_typed_view(spark):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    from tallyho.schema import FEED_COLUMNS, FEED_SCHEMA
+
+    cols = list(reversed(FEED_COLUMNS))
+    ddl = lambda t: ", ".join(
+        f"`{c}` {t if c == 'SourceCollectionIdentifier' else 'string'}" for c in cols
+    )
+    row = tuple(7 if c == "SourceCollectionIdentifier" else f"v-{c}" for c in cols)
+    typed = feed.as_feed(spark.createDataFrame([row], ddl("smallint")))
+    assert typed.schema == FEED_SCHEMA  # reordered, smallint widened to int
+    r = typed.first()
+    assert r["SourceCollectionIdentifier"] == 7 and r["AllNames"] == "v-AllNames"
+    text = tuple("7" if c == "SourceCollectionIdentifier" else v for c, v in zip(cols, row))
+    with pytest.raises(AnalysisException):
+        feed.as_feed(spark.createDataFrame([text], ddl("string")))
