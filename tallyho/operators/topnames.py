@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import NOISE_NAMES, is_name, name_tokens, strip_offset
-from ..functions.render import ranked_list_text
+from ..functions.render import pair, ranked_list_text
 
 DEFAULT_K = 10
 # days shown by the raw-line job (its take(10) over per-day rows)
@@ -72,6 +72,14 @@ def top_lists(top: DataFrame, by: Sequence[str] = ("day",), k: int = DEFAULT_K)
     return grouped.select(*by, ranked_list_text(F.slice(F.array_sort("_top"), 1, k)).alias("top_names"))
 
 
+def top_pairs(top: DataFrame, by: Sequence[str] = ("day",)) -> DataFrame:
+    """(*by, top): each key's ranked list as ``array<struct<name, n>>`` in
+    rank order - the nested form of the original job's per-day result.
+    Runs after the rank filter, so each group holds at most k rows."""
+    grouped = top.groupBy(*by).agg(F.collect_list(F.struct("rank", pair("name", "n").alias("p"))).alias("_top"))
+    return grouped.select(*by, F.transform(F.array_sort("_top"), lambda e: e["p"]).alias("top"))
+
+
 def first_days(per_day: DataFrame, days: int = FIRST_DAYS) -> DataFrame:
     """Rows of the earliest ``days`` days only (the RDD job's take(10)).
 

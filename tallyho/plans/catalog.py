@@ -198,7 +198,7 @@ def trailing_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = _mentions(spark, sf_dir)
     log = trailing.trailing_changelog(m)
-    as_of = m.select(F.max("ts")).scalar()  # end of data
+    as_of = m.select(F.max("ts")).scalar()  # end of data (a scalar subquery in the plan)
     return board.latest_per_name(log, as_of)
 
 

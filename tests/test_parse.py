@@ -182,3 +182,24 @@ def test_as_feed_typed_view(spark):
     text = tuple("7" if c == "SourceCollectionIdentifier" else v for c, v in zip(cols, row))
     with pytest.raises(AnalysisException):
         feed.as_feed(spark.createDataFrame([text], ddl("string")))
+
+
+def test_top_pairs_nested(spark):
+    top = spark.createDataFrame(
+        [("d1", 2, "Bob", 3), ("d1", 1, "Ann", 5), ("d2", 1, "Cy", 1)],
+        "day string, rank int, name string, n long",
+    )
+    got = {r["day"]: [(p["name"], p["n"]) for p in r["top"]] for r in topnames.top_pairs(top).collect()}
+    assert got == {"d1": [("Ann", 5), ("Bob", 3)], "d2": [("Cy", 1)]}
+
+
+def test_command_line(spark, tmp_dir, capsys):
+    from tallyho.__main__ import main
+
+    path = _write(tmp_dir, [_line("Ann,1;Bob,2", rid="20150218000000-1"), _line("Ann,3", rid="20150218000000-2")])
+    out = os.path.join(tmp_dir, "out")
+    assert main(["top-names", path, "--out", out], spark=spark) == 0
+    rows = [(r["name"], r["n"], r["rank"]) for r in spark.read.parquet(out).orderBy("rank").collect()]
+    assert rows == [("Ann", 2, 1), ("Bob", 1, 2)]
+    assert main(["top-names", path, "--lines", "--k", "1"], spark=spark) == 0
+    assert capsys.readouterr().out.strip() == "2015-02-18 [(Ann, 2)]"
