@@ -25,10 +25,12 @@ Work per batch is vectorised with numpy over the batch's rows.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import (
@@ -40,6 +42,11 @@ from pyspark.sql.streaming.stateful_processor import (
 
 from ..operators.trailing import ARRIVAL, EXPIRY, RETENTION_MINUTES
 
+# The processor runs in Python workers (and in a driver-side runner that
+# reads its state schemas), which need not have this package installed: its
+# class travels by value, constants included.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 OUTPUT_SCHEMA = "name string, event_id long, kind string, change_us long, n long"
 CHUNK_KEY = "chunk long"
 META_SCHEMA = "oldest_us long, rows long"
