@@ -2,10 +2,109 @@
 
 from __future__ import annotations
 
-from . import quality
+from . import decontam, linededup, mixing, quality
 
+ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
+# Operator 1. The same keys, from the same digits of md5; plain windows.
+MIXING = rf"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS size,
+    coalesce(greatest(0.1::DOUBLE, 1 - 9 * (length(text) - length(translate(text, '{mixing.SYMBOLS}', '')))
+      / greatest(length(text), 1)), 0.1::DOUBLE) AS quality,
+    (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5::DOUBLE) / {2**52}::DOUBLE AS u
+  FROM documents
+),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+p AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS place FROM s),
+w AS (
+  SELECT *, [{", ".join(map(str, mixing.WEIGHTS))}][(place - 1) % {len(mixing.WEIGHTS)} + 1] AS weight,
+    {mixing.MAX_EPOCHS} * source_size AS cap FROM p
+),
+r AS (SELECT *, cap / weight AS ratio FROM w),
+t AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER b, 0))::DOUBLE
+    / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0))::DOUBLE AS unit
+  FROM r WINDOW b AS (ORDER BY ratio, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+share AS (SELECT min_by(unit, (ratio, place)) AS share FROM t WHERE unit <= ratio),
+goal AS (SELECT source, source_size, least(cap::DOUBLE, weight * share) AS target FROM t, share),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS epochs FROM goal),
+k AS (
+  SELECT doc_id, d.source, size, coalesce(sum(size) OVER (
+    PARTITION BY d.source ORDER BY -ln(u) / quality, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
+  ), 0) AS before FROM d
+),
+m AS (
+  SELECT doc_id, size, source_size, target, epochs,
+    epochs + (size > 0 AND 2 * before + size < 2 * (target - epochs * source_size))::BIGINT AS repeats
+  FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source
+)
+SELECT *, size * repeats AS taken FROM m
+"""
+
+# Operator 3. Pages are told apart by their text.
+LINES = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, text FROM documents),
+l AS (
+  SELECT rid, source, text, unnest(ls) AS l, generate_subscripts(ls, 1) AS i
+  FROM (SELECT *, string_split(text, chr(10)) AS ls FROM d WHERE text IS NOT NULL)
+),
+n AS (
+  SELECT source, l, count(DISTINCT text) AS n FROM l WHERE regexp_matches(l, '{linededup.HAS_WORD}') GROUP BY ALL
+),
+t AS (SELECT source, count(DISTINCT text) + max((text IS NULL)::INT) AS pages FROM d GROUP BY source),
+bad AS (
+  SELECT n.source, l FROM n JOIN t ON n.source IS NOT DISTINCT FROM t.source
+  WHERE n >= {linededup.MIN_PAGES} AND n > {linededup.MAX_RATIO} * pages
+),
+k AS (
+  SELECT rid, count(*) AS n_lines, count(bad.l) AS n_dropped,
+    coalesce(string_agg(l.l, chr(10) ORDER BY i) FILTER (bad.l IS NULL), '') AS clean_text
+  FROM l LEFT JOIN bad ON l.source IS NOT DISTINCT FROM bad.source AND l.l = bad.l GROUP BY rid
+)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, clean_text
+FROM d LEFT JOIN k USING (rid)
+"""
+
+# Operator 7. Windows and document words are joined by text and position.
+CONTAMINATION = rf"""
+WITH b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{ALNUM_WORD}') AS w
+  FROM benchmark WHERE text IS NOT NULL
+),
+p AS (
+  SELECT DISTINCT item, n, array_to_string(w[i : i + n - 1], ' ') AS p
+  FROM (SELECT *, least(len(w), {decontam.WINDOW}) AS n, unnest(range(1, len(w) - least(len(w), {decontam.WINDOW}) + 2)) AS i
+        FROM b WHERE len(w) > 0)
+),
+sizes AS (SELECT DISTINCT n FROM p),
+d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{ALNUM_WORD}') AS w
+  FROM documents
+),
+x AS (SELECT rid, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM d),
+g AS (
+  SELECT rid, i, n,
+    string_agg(w, ' ') OVER (PARTITION BY rid, n ORDER BY i ROWS BETWEEN CURRENT ROW AND n - 1 FOLLOWING) AS g
+  FROM x, sizes
+),
+h AS (
+  SELECT rid, i, g.n, item FROM g JOIN p ON g.n = p.n AND g = p
+),
+c AS (SELECT rid, count(DISTINCT j) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS j FROM h) GROUP BY rid),
+o AS (
+  SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT rid, item FROM h) GROUP BY rid
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, (coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w)) AS contaminated
+FROM d LEFT JOIN c USING (rid) LEFT JOIN o USING (rid)
+"""
+
 # Operator 8. Words and lines are unnested with their position; the prior is
 # fitted by moments over the host rates.
 QUALITY = rf"""
@@ -53,5 +152,8 @@ FROM j LEFT JOIN bad ON j.source IS NOT DISTINCT FROM bad.source
 """
 
 SQL = {
+    "op1_mixing": MIXING,
+    "op3_line_dedup": LINES,
+    "op7_decontamination": CONTAMINATION,
     "op8_quality_rules": QUALITY,
 }

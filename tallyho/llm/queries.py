@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyho.session import configure
 
-from . import quality
+from . import decontam, linededup, lm, mixing, neardup, quality
 from .oracle import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -23,6 +23,59 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        "source",
+        mixing.n_words(F.col("text")).alias("size"),
+        mixing.symbol_free(F.col("text")).alias("quality"),
+    )
+    return mixing.mix(docs).select(
+        F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "epochs", "repeats", "taken"
+    )
+
+
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", lm.held_out(F.col("doc_id")).alias("held_out"), "text"
+    )
+    model = lm.train(docs.where(~F.col("held_out")).select("text"))
+    return lm.score(docs, model).select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.col("row.held_out").alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.vocabulary.n_tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+        lm.perplexity(F.col("score"), F.col("n_tokens")).alias("perplexity"),
+    )
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return linededup.drop_boilerplate(docs).select(
+        F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", "clean_text"
+    )
+
+
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scanned = decontam.scan_documents(docs, table(spark, sf_dir, "benchmark"))
+    return scanned.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     judged = quality.judge(docs)
@@ -30,5 +83,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
+    "op2_lm_scoring": op2_lm_scoring,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_near_duplicates": op4_near_duplicates,
+    "op7_decontamination": op7_decontamination,
     "op8_quality_rules": op8_quality_rules,
 }

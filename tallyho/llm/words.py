@@ -155,7 +155,10 @@ def map_texts(
         for batch in batches:
             for begin, end, t in slices(pc.struct_field(batch.column(0), text), lower):
                 got = measure(t)
-                arrays = [pa.array(got[k], kind) for k, kind in kinds.items()]
+                arrays = [
+                    got[k].cast(kind) if isinstance(got[k], pa.Array) else pa.array(got[k], kind)
+                    for k, kind in kinds.items()
+                ]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(begin, end - begin), *arrays], names=["row", *kinds]
                 )
