@@ -6,6 +6,7 @@ parameters, and derives the digest columns its contract names.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,8 @@ from pyspark.sql import functions as F
 
 from tallyho.session import configure
 
-from . import decontam, linededup, lm, mixing, neardup, quality
+from . import decontam, linededup, lm, mixing, neardup, pii, quality, tokencounts, urlfilter, warc
+from .store import fresh_path
 from .oracle import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -63,6 +65,28 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all texts, before and after e-mail addresses and long
+    numbers are masked."""
+    trees = tokencounts.build_trees(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    masked = re.compile(r"[0-9]{7,}|[\w.+-]+@[\w-]+\.[\w.-]+")
+    edited = tokencounts.edit_trees(trees, lambda text: tokencounts.masking_edits(text, masked, "<masked>"))
+    return edited.select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.element_at("tree", 2).cast("long").alias("n_tokens"),
+        F.size("leaf_lengths").cast("long").alias("n_leaves"),
+        "n_edits",
+        "n_encoded_chars",
+        F.element_at("new_tree", 2).cast("long").alias("n_tokens_after"),
+    )
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_path(spark, "warc")
+    warc.write_archive(warc.archive_records(table(spark, sf_dir, "pages")), folder)
+    return warc.page_records(spark, folder)
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scanned = decontam.scan_documents(docs, table(spark, sf_dir, "benchmark"))
@@ -82,11 +106,36 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(F.col("row.doc_id").alias("doc_id"), *quality.MEASURES, "base_failed", "kept")
 
 
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return urlfilter.judge(pages, urlfilter.rules_table(spark))
+
+
+#: For the registered query only; a real key is given by the caller.
+DEMO_KEY = "tallyho"
+
+
+def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, DEMO_KEY).select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.size("found").cast("long").alias("n_found"),
+        F.size(F.filter(F.zip_with("found", "replaced", lambda a, b: a != b), lambda x: x))
+        .cast("long")
+        .alias("n_replaced"),
+        "clean_text",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_lm_scoring": op2_lm_scoring,
     "op3_line_dedup": op3_line_dedup,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_token_counts": op5_token_counts,
+    "op6_warc": op6_warc,
     "op7_decontamination": op7_decontamination,
     "op8_quality_rules": op8_quality_rules,
+    "op9_url_filters": op9_url_filters,
+    "op10_pii_pseudonyms": op10_pii_pseudonyms,
 }

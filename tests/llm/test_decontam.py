@@ -1,0 +1,102 @@
+"""Decontamination against a search for every window."""
+
+import hashlib
+import random
+import re
+
+from tallyho.llm import decontam
+from tests.conftest import SF_SMALL
+from tests.llm.common import edge_documents, edge_rows, lower, no_documents, prose, write_tables
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+BENCH = "item_id bigint, text string"
+
+
+def scanned(docs, items):
+    own = {}
+    for i, t in items:
+        w = WORD.findall(lower(t))
+        n = min(13, len(w))
+        for k in range(len(w) - n + 1 if w else 0):
+            own.setdefault(tuple(w[k : k + n]), set()).add(str(i))
+    sizes = {len(p) for p in own}
+    out = []
+    for i, t in docs:
+        w = WORD.findall(lower(t))
+        hit, found = set(), set()
+        for n in sizes:
+            for k in range(len(w) - n + 1):
+                if tuple(w[k : k + n]) in own:
+                    hit |= set(range(k, k + n))
+                    found |= own[tuple(w[k : k + n])]
+        digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        out.append((i, len(w), len(hit), len(found), digest, bool(hit) and 20 * len(hit) >= len(w)))
+    return sorted(out, key=str)
+
+
+ITEMS = [
+    (1, prose(900, 40)), (2, "Short question, with Six words?"), (3, prose(900, 40).upper()), (4, None), (5, "?!"), (6, ""),
+    (7, "same the same the same the same the same the same the same the same the same"), (10, "Ünï-cödé wörds!"), (11, prose(901, 13)),
+    (12, prose(901, 14)), (13, "x " * 12), (14, "x"), (None, "null id item of words"),
+]
+
+
+def documents():
+    r = random.Random(3)
+    out = [(r[0], r[1]) for r in edge_rows()]
+    for k in range(120):
+        parts = [prose(k, r.randrange(0, 300))]
+        for _ in range(r.randrange(3)):
+            w = (r.choice(ITEMS)[1] or "").split()
+            at = r.randrange(len(w) + 1)
+            parts += [", ".join(w[at : at + r.randrange(5, 30)]), prose(k + 7, r.randrange(40))]
+        out.append((1000 + k, "\n".join(parts)))
+    return [*out, (5000, "the same " * 2000), (5001, prose(900, 40) * 50), (5002, "x" * 50_000), (5003, "x " * 30)]
+
+
+def query(spark, tmp_dir, docs, items):
+    from tallyho.llm.queries import op7_decontamination
+
+    folder = write_tables(
+        spark, tmp_dir, spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, BENCH)
+    )
+    return sorted(map(tuple, op7_decontamination(spark, folder).collect()), key=str)
+
+
+def test_against_search(spark, tmp_dir):
+    docs = documents()
+    expected = scanned(docs, ITEMS)
+    assert any(r[-1] for r in expected) and any(r[2] and not r[-1] for r in expected)
+    assert query(spark, tmp_dir, docs, ITEMS) == expected
+
+
+def test_blocks_give_the_same(spark):
+    docs = spark.createDataFrame(documents(), "doc_id bigint, text string")
+    items = spark.createDataFrame(ITEMS, BENCH)
+    one = decontam.scan_documents(docs, items).collect()
+    many = decontam.scan_documents(docs, items, block_bytes=60).collect()
+    assert sorted(map(str, one)) == sorted(map(str, many))
+
+
+def test_spans_are_in_the_original(spark):
+    text = "Intro!\n  ÜNÏ - cödé:\tWörds, then SHORT question; with six words."
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    (r,) = decontam.scan_documents(docs, spark.createDataFrame(ITEMS, BENCH)).collect()
+    assert [text[s.start : s.end] for s in r.spans] == ["ÜNÏ - cödé:\tWörds", "SHORT question; with six words"]
+    assert r["items"] == ["10", "2"] and r.contaminated
+
+
+def test_real_table(spark):
+    from tallyho.llm.queries import op7_decontamination
+
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
+    assert sorted(map(tuple, op7_decontamination(spark, SF_SMALL).collect()), key=str) == scanned(docs, items)
+
+
+def test_empty_tables_and_clashing_columns(spark, tmp_dir):
+    assert query(spark, tmp_dir, documents(), []) == scanned(documents(), [])
+    got = decontam.scan_documents(edge_documents(spark, extra=True), spark.createDataFrame(ITEMS, BENCH))
+    assert got.select("row.*").schema == edge_documents(spark, extra=True).schema
+    assert got.count() == len(edge_rows())
+    assert decontam.scan_documents(no_documents(spark), spark.createDataFrame(ITEMS, BENCH)).collect() == []

@@ -1,0 +1,74 @@
+"""Quality rules against a plain version."""
+
+import re
+from collections import Counter, defaultdict
+from statistics import mean, pvariance
+
+from tallyho.llm import quality
+from tests.conftest import SF_SMALL
+from tests.llm.common import edge_documents, edge_rows, no_documents, prose, words, write_tables
+
+
+def measures(text):
+    text = text or ""
+    w = words(text)
+    lines = [x for x in text.split("\n") if words(x)]
+    grams = Counter(zip(w, w[1:], w[2:]))
+    hit = {j for i, g in enumerate(zip(w, w[1:], w[2:])) if grams[g] > 1 for j in (i, i + 1, i + 2)}
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(hit)
+
+
+def judged(rows):
+    """(doc_id, measures, base_failed, kept) of (doc_id, text, host) rows."""
+    own = [(i, measures(t), h) for i, t, h in rows]
+    failed = [m[0] < 50 or 100 * m[4] > 50 * m[0] for _, m, _ in own]
+    hosts = defaultdict(list)
+    for f, (_, _, h) in zip(failed, own, strict=True):
+        hosts[h].append(f)
+    rates = [sum(x) / len(x) for x in hosts.values()]
+    m, v, total = mean(rates), pvariance(rates), len(rows)
+    w = min(max(0, m * (1 - m) / v - 1), total) if v else total
+    bad = {h for h, x in hosts.items() if (sum(x) + m * w) / (len(x) + w) > quality.MAX_HOST_RATE}
+    return sorted([(i, *ms, f, not f and h not in bad) for f, (i, ms, h) in zip(failed, own, strict=True)], key=str)
+
+
+def query(spark, folder):
+    from tallyho.llm.queries import op8_quality_rules
+
+    return sorted(map(tuple, op8_quality_rules(spark, folder).collect()), key=str)
+
+
+def test_edge_rows(spark, tmp_dir):
+    folder = write_tables(spark, tmp_dir, edge_documents(spark, extra=True))
+    assert query(spark, folder) == judged([(r[0], r[1], r[3]) for r in edge_rows()])
+
+
+def test_bad_host_is_rejected_and_small_hosts_are_shrunk(spark, tmp_dir):
+    rows = [(k, prose(k, 60), "en", "good", 1) for k in range(60)]
+    rows += [(100 + k, "junk " * 5 if k % 10 else prose(k, 70), "en", "bad", 1) for k in range(80)]
+    rows += [(200 + k, prose(k, 80) if k % 10 else "x", "en", f"host{k % 4}", 1) for k in range(80)]
+    rows += [(300, "one bad page", "en", "tiny", 1), (301, prose(7, 90), "en", None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = query(spark, write_tables(spark, tmp_dir, docs))
+    assert got == judged([(r[0], r[1], r[3]) for r in rows])
+    kept = {r[0]: r[-1] for r in got}
+    assert not any(kept[100 + k] for k in range(80)) and all(kept[k] for k in range(60)) and kept[301]
+    rates = {r.host: r.rate for r in quality.host_rates(spark.createDataFrame(
+        [(r[3], measures(r[1])[0] < 50) for r in rows], "host string, failed boolean")).collect()}
+    assert rates["tiny"] < 0.9 < 1.0  # shrunk from 1
+
+
+def test_real_table(spark):
+    rows = [(r.doc_id, r.text, r.source) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    assert query(spark, SF_SMALL) == judged(rows)
+
+
+def test_empty_table(spark, tmp_dir):
+    assert query(spark, write_tables(spark, tmp_dir, no_documents(spark))) == []
+
+
+def test_row_keeps_clashing_columns(spark):
+    docs = edge_documents(spark, extra=True)
+    got = quality.judge(docs).select("row.*")
+    assert got.schema == docs.schema
+    assert sorted(map(str, got.collect())) == sorted(map(str, docs.collect()))
