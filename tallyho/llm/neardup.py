@@ -1,9 +1,11 @@
 """Operator 4, MinHash near-dedup with odd sketches.
 
 1. Each text becomes the set of its word shingles, and from the set a MinHash
-   signature, cut into bands, and an odd sketch: every MinHash sample flips one
-   bit of a small bitmap, so the bits in which two bitmaps differ tell how many
-   samples differ.
+   signature, cut into bands, and an odd sketch: the smallest hash of each of
+   ``BINS`` bins (one-permutation MinHash) flips one bit of a bitmap, so the bits in
+   which two bitmaps differ tell how many samples differ. Sets smaller than
+   the bins are nearly sampled whole, which makes the estimate of their
+   difference almost exact.
 2. Texts with equal sets are one class; only classes go on.
 3. Classes that share a band are candidates. In each bucket all members are
    first paired with the bucket's smallest class (a star, not all pairs).
@@ -17,7 +19,7 @@
 5. The components of all links are the result.
 
 Two sets of the threshold's similarity share no band with a chance of
-(1 - 0.75**4)**32 = 5e-6; the sketch drops such a pair with less than 1e-6.
+(1 - 0.75**4)**32 = 5e-6; the sketch drops such a pair with about 1e-6.
 
 Defined results: a text without words (null, empty) has no shingles, is linked
 with nothing and is its own component. A null id is never linked; its
@@ -28,7 +30,7 @@ not read.
 
 from __future__ import annotations
 
-import math
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -43,25 +45,37 @@ SHINGLE = 5
 THRESHOLD_PCT = 75
 BANDS, BAND_ROWS = 32, 4
 SAMPLES = BANDS * BAND_ROWS
-SKETCH_BITS = 256
+#: Bins of the samples behind the odd sketch, and bits of the sketch.
+BINS = 2048
+SKETCH_BITS = 2048
 #: Standard deviations that the sketch of a pair at the threshold may be off.
-SKETCH_SIGMAS = 5
+SIGMAS = 5
 _BLOCK = 4096  # shingles hashed at a time, so long texts need no more memory
 
 _rng = np.random.default_rng(7041776)
 _FACTORS = _rng.integers(1, 2**63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _OFFSETS = _rng.integers(0, 2**64, SAMPLES, dtype=np.uint64)
-_SALTS = _rng.integers(1, 2**64, (2, max(SAMPLES, SHINGLE + 1)), dtype=np.uint64)
+_SALTS = _rng.integers(1, 2**64, (2, max(BANDS, SHINGLE + 1)), dtype=np.uint64)
 
 
-def sketch_limit() -> int:
-    """Most bits in which the sketches of a pair at the threshold differ."""
-    j, k, bits = THRESHOLD_PCT / 100, SAMPLES, SKETCH_BITS
-    flips = 2 * k * (1 - j)
-    share = (1 - math.exp(-2 * flips / bits)) / 2
-    from_samples = 2 * math.sqrt(k * j * (1 - j)) * math.exp(-2 * flips / bits)
-    from_bits = math.sqrt(bits * share * (1 - share))
-    return math.ceil(bits * share + SKETCH_SIGMAS * math.hypot(from_samples, from_bits))
+def sketch_limit(n_a: Any, n_b: Any, f: Any = F) -> Any:
+    """Most bits in which the sketches of two sets of these sizes differ if their
+    similarity is at the threshold; ``f`` has exp and sqrt (columns or numpy).
+
+    With i common elements of u, a bin's smallest hash is common with chance
+    i/u. So the samples that differ are, over all bins, those of A and of B
+    less twice the common ones. They scatter by bins that hold several
+    elements; the bits scatter by samples that fall together.
+    """
+    j, bins, bits = THRESHOLD_PCT / 100, float(BINS), float(SKETCH_BITS)
+    load = (n_a + n_b) / (1 + j) / bins  # of the union
+    used = bins * (1 - f.exp(-load))
+    differ = bins * (2 - f.exp(-n_a / bins) - f.exp(-n_b / bins)) - 2 * j * used
+    shared = 1 - load * bins * f.exp(-load) / used
+    by_bins = 2 * f.sqrt(j * (1 - j) * used * shared) * f.exp(-2 * differ / bits)
+    x = 4 * differ / bits
+    by_bits = f.sqrt(bits / 4 * (1 - f.exp(-x) * (1 + x)))
+    return bits / 2 * (1 - f.exp(-2 * differ / bits)) + SIGMAS * f.sqrt(by_bins * by_bins + by_bits * by_bits) + 1
 
 
 def shingle_sets(t: W.Texts) -> list[np.ndarray]:
@@ -87,6 +101,15 @@ def minhash(shingles: np.ndarray) -> np.ndarray:
     return low
 
 
+def odd_sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parity bitmap of the bins' smallest hashes, in bytes."""
+    h = np.sort(W.mix(shingles + _SALTS[1, 2]))
+    bin_of = h >> np.uint64(64 - (BINS - 1).bit_length())
+    samples = h[np.concatenate([[True], bin_of[1:] != bin_of[:-1]])]
+    bit = (W.mix(samples + _SALTS[1, 3]) % np.uint64(SKETCH_BITS)).astype(np.int64)
+    return np.packbits(np.bincount(bit, minlength=SKETCH_BITS).astype(np.uint8) & 1)
+
+
 def sketch_keys(sets: list[np.ndarray]) -> pa.Array:
     """128-bit key of each set, null for the empty set."""
     keys = [
@@ -105,10 +128,8 @@ def sketch_texts(t: W.Texts) -> dict:
     bands = np.zeros((len(full), BANDS), np.uint64)
     for r in range(BAND_ROWS):
         bands = W.mix(bands * W.STEP + samples[:, r::BAND_ROWS] + _SALTS[0, :BANDS])
-    bit = (W.mix(samples + _SALTS[1, :SAMPLES]) % np.uint64(SKETCH_BITS)).astype(np.int64)
-    flips = np.zeros((len(full), SKETCH_BITS), np.uint8)
-    np.add.at(flips, (np.arange(len(full))[:, None], bit), 1)
-    odd = np.packbits(flips & 1, axis=1).view(np.int64)
+    odd = np.array([odd_sketch(sets[i]) for i in full], np.uint8).reshape(len(full), SKETCH_BITS // 8).view(np.int64)
+
     def lists(rows: np.ndarray) -> pa.Array:
         width = np.where(sizes > 0, rows.shape[1], 0)
         offsets = np.concatenate([[0], np.cumsum(width)]).astype(np.int32)
@@ -134,19 +155,15 @@ def _set_arrays(t: W.Texts) -> dict:
 
 def sketch_distance(a: str, b: str) -> Column:
     """Bits in which two odd sketches differ."""
-    words = SKETCH_BITS // 64
-    return sum(F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(words))
-
-
-def similarity_estimate(differing: Column) -> Column:
-    """Jaccard similarity that a sketch distance stands for."""
-    return 1 + SKETCH_BITS / (4 * SAMPLES) * F.log(1 - 2 * differing / SKETCH_BITS)
+    differing = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(differing, F.lit(0), lambda total, x: total + x)
 
 
 def plausible() -> Column:
     """Sizes and sketches of a pair (a, b) allow the threshold."""
     sizes = 100 * F.least("n_a", "n_b") >= THRESHOLD_PCT * F.greatest("n_a", "n_b")
-    return sizes & (sketch_distance("odd_a", "odd_b") <= sketch_limit())
+    n_a, n_b = F.col("n_a").cast("double"), F.col("n_b").cast("double")
+    return sizes & (sketch_distance("odd_a", "odd_b") <= sketch_limit(n_a, n_b))
 
 
 def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -227,7 +244,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
         _side(rest, "a").join(_side(rest, "b"), "bucket").where((F.col("c_a") < F.col("c_b")) & plausible())
     ).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
     more = confirm(across, classes, docs)
-    final = components(links.union(more))
+    stars = found.select(F.col("component").alias("a"), F.col("node").alias("b"))
+    final = components(stars.union(more))
 
     labels = classes.join(final, "node", "left").select(
         "set_key", "id", "n_rows", F.coalesce("component", "node").alias("c"), F.col("component").isNotNull().alias("linked")

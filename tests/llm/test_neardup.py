@@ -89,24 +89,23 @@ def test_extra_columns(spark):
     assert got == len(edge_rows())
 
 
-def test_sketch_estimates_similarity():
-    """Odd sketches tell the similarity of sets near the threshold, and pairs
-    at the threshold are within the limit."""
-    rng = np.random.default_rng(5)
-    far = []
-    for _ in range(300):
-        union = rng.integers(0, 2**63, 1000).astype(np.uint64)
-        a, b = np.unique(union[:875]), np.unique(union[125:])
-        bits = []
-        for s in (a, b):
-            low = neardup.minhash(s)
-            bit = neardup.W.mix(low + neardup._SALTS[1, : neardup.SAMPLES]) % np.uint64(neardup.SKETCH_BITS)
-            bits.append(np.bincount(bit.astype(int), minlength=neardup.SKETCH_BITS) & 1)
-        far.append(int((bits[0] ^ bits[1]).sum()))
-    assert max(far) <= neardup.sketch_limit() < neardup.SKETCH_BITS / 2
-    mean = np.mean(far)
-    j = 1 + neardup.SKETCH_BITS / (4 * neardup.SAMPLES) * np.log(1 - 2 * mean / neardup.SKETCH_BITS)
-    assert j == pytest.approx(0.75, abs=0.03)
+@pytest.mark.parametrize("size", [8, 60, 150, 1000, 5000, 40_000])
+def test_sketch_keeps_the_threshold_and_drops_what_is_far(size):
+    """Pairs at the threshold are within the limit at every size; pairs of
+    similarity 0.6 are mostly not, from 60 to 5000 shingles."""
+    rng = np.random.default_rng(size)
+
+    def distance(j):
+        union = rng.integers(0, 2**63, size).astype(np.uint64)
+        common = -(-int(100 * j) * size // 100)
+        cut = common + int(rng.integers(0, size - common + 1))
+        a, b = union[:cut], np.concatenate([union[:common], union[cut:]])
+        far = np.unpackbits(neardup.odd_sketch(a) ^ neardup.odd_sketch(b)).sum()
+        return far, neardup.sketch_limit(float(len(a)), float(len(b)), np)
+
+    assert all(far <= limit for far, limit in (distance(0.75) for _ in range(200)))
+    if 60 <= size <= 5000:
+        assert np.mean([far > limit for far, limit in (distance(0.6) for _ in range(200))]) > 0.9
 
 
 def test_components_of_a_path_a_star_and_a_ring(spark):
