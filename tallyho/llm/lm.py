@@ -41,10 +41,10 @@ from .store import fresh_path, local_path
 #: Order of the registered model; README has the figures that limit it.
 ORDER = 2
 #: Text bytes for each shard of the arrays; a shard is summed in one task.
-SHARD_BYTES = 8_000_000
+SHARD_BYTES = 16_000_000
 MIN_SHARDS = 4
 #: Grams that a counting task holds before it hands on their counts.
-HOLD = 3_000_000
+HOLD = 6_000_000
 SMOOTHING = 0.1
 
 BEGIN, UNKNOWN, FIRST = 0, 1, 2  # numbers; vocabulary words follow
@@ -249,7 +249,7 @@ def build_vocabulary(texts: DataFrame, folder: str, n_shards: int) -> Vocabulary
 _CONTEXT = ("t", "n1", "n2", "n3")
 
 
-def _store_level(folder: str, n_shards: int, order: int, level: int) -> Callable:
+def _store_level(folder: str, n_shards: int, order: int, level: int, id_type: type) -> Callable:
     """Sum and store the grams of ``level`` and make rows for the level below.
 
     Rows of a higher level are counts of counts on their way to the end.
@@ -276,11 +276,11 @@ def _store_level(folder: str, n_shards: int, order: int, level: int) -> Callable
         if not columns:
             return
         names = ["level", *(f"w{i}" for i in range(1, level)), "a", *_CONTEXT]
-        kinds = [pa.int32()] * level + [pa.int64()] * 5
+        kinds = [np.int32, *[id_type] * (level - 1), *[np.int64] * 5]
 
         def batch(arrays: list[np.ndarray]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array(a.astype(k.to_pandas_dtype())) for a, k in zip(arrays, kinds, strict=True)], names=names
+                [pa.array(a.astype(k)) for a, k in zip(arrays, kinds, strict=True)], names=names
             )
 
         if not top:
@@ -336,29 +336,32 @@ def train(texts: DataFrame, order: int = ORDER, shard_bytes: int = SHARD_BYTES)
     n_shards = max(MIN_SHARDS, -(-size // shard_bytes))
     folder = local_path(fresh_path(texts.sparkSession, "lm"))
     vocabulary = build_vocabulary(texts, folder, n_shards)
+    # Numbers travel in the narrower type while the vocabulary allows it.
+    id_type, id_sql = (np.int32, "int") if vocabulary.n_words + FIRST < 2**31 else (np.int64, "bigint")
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrays = Arrays(folder, "words")
 
         def take(t: W.Texts) -> list[np.ndarray]:
             hashes, counts = token_hashes(t)
-            return grams(vocabulary.number(hashes, arrays)[0], counts, order)
+            ids = grams(vocabulary.number(hashes, arrays)[0], counts, order)
+            return [i.astype(id_type) for i in ids]
 
         def emit(ids: list[np.ndarray]) -> pa.RecordBatch:
             _, at, n = np.unique(gram_hash(ids), return_index=True, return_counts=True)
             return pa.RecordBatch.from_arrays(
-                [*(pa.array(i[at].astype(np.int32)) for i in ids), pa.array(n)], names=[*names, "a"]
+                [*(pa.array(i[at]) for i in ids), pa.array(n)], names=[*names, "a"]
             )
 
         yield from _held(batches, take, emit)
 
     names = [f"w{i}" for i in range(1, order + 1)]
-    df = texts.mapInArrow(partial, ", ".join(f"{n} int" for n in names) + ", a bigint")
+    df = texts.mapInArrow(partial, ", ".join(f"{n} {id_sql}" for n in names) + ", a bigint")
     for level in range(order, 0, -1):
         kept = names[: level - 1]
-        shape = ", ".join(["level int", *(f"{n} int" for n in kept), "a bigint", *(f"{c} bigint" for c in _CONTEXT)])
+        shape = ", ".join(["level int", *(f"{n} {id_sql}" for n in kept), "a bigint", *(f"{c} bigint" for c in _CONTEXT)])
         df = df.repartition(n_shards, _shard_column(names[:level], n_shards)).mapInArrow(
-            _store_level(folder, n_shards, order, level), shape
+            _store_level(folder, n_shards, order, level, id_type), shape
         )
     got = {r[0]: r[1:] for r in df.groupBy("level").agg(*(F.sum(c) for c in ("a", *_CONTEXT))).collect()}
     total = got.get(0, (0,) * 5)
