@@ -41,10 +41,10 @@ from .store import fresh_path, local_path
 #: Order of the registered model; README has the figures that limit it.
 ORDER = 2
 #: Text bytes for each shard of the arrays; a shard is summed in one task.
-SHARD_BYTES = 16_000_000
+SHARD_BYTES = 12_000_000
 MIN_SHARDS = 4
 #: Grams that a counting task holds before it hands on their counts.
-HOLD = 6_000_000
+HOLD = 5_000_000
 SMOOTHING = 0.1
 
 BEGIN, UNKNOWN, FIRST = 0, 1, 2  # numbers; vocabulary words follow
@@ -204,16 +204,23 @@ def _columns(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
 def _held(batches: Iterator[pa.RecordBatch], take: Callable, emit: Callable) -> Iterator[pa.RecordBatch]:
     """Gather what ``take`` makes of slices of text; hand it to ``emit`` in
     portions of about ``HOLD`` rows."""
-    held, size = [], 0
+    held: list[list[np.ndarray]] = []
+    size = 0
+
+    def portion() -> list[np.ndarray]:
+        out = [np.concatenate(x) for x in zip(*held, strict=True)]
+        held.clear()
+        return out
+
     for batch in batches:
         for _, _, t in W.slices(batch.column(0)):
             held.append(take(t))
             size += len(held[-1][0])
             if size >= HOLD:
-                yield emit([np.concatenate(x) for x in zip(*held, strict=True)])
-                held, size = [], 0
+                yield emit(portion())
+                size = 0
     if size:
-        yield emit([np.concatenate(x) for x in zip(*held, strict=True)])
+        yield emit(portion())
 
 
 def build_vocabulary(texts: DataFrame, folder: str, n_shards: int) -> Vocabulary:
@@ -256,20 +263,27 @@ def _store_level(folder: str, n_shards: int, order: int, level: int, id_type: ty
     """
     top = level == order
 
+    def by_gram(ids: list[np.ndarray], values: list[np.ndarray]) -> list[np.ndarray]:
+        _, values, at = _summed(gram_hash(ids), values)
+        return [*(i[at] for i in ids), *values]
+
     def lower(ids: list[np.ndarray], count: np.ndarray) -> list[np.ndarray]:
         real = count > 0  # else it only occurs as a context
         ids, count = [i[real] for i in ids], count[real]
+        kinds = [count, *((k(count)).astype(np.int64) for k in (lambda c: c == 1, lambda c: c == 2, lambda c: c >= 3))]
+        if level == 1:
+            return [np.array([int(c.sum())]) for c in (count * 0, *kinds)]
         # A gram that begins with the text's begin has no other left
         # neighbours; it keeps its count.
-        begins = ids[1] == BEGIN if level > 1 else np.zeros(len(count), bool)
-        zero = np.zeros(len(count), np.int64)
-        suffix = [*ids[1:], np.where(begins, count, 1) if level > 1 else zero, zero, zero, zero, zero]
-        context = [*ids[:-1], zero, count, *((count == 1) * 1, (count == 2) * 1, (count >= 3) * 1)]
-        rows = [np.concatenate(x) for x in zip(suffix, context, strict=True)]
-        if level == 1:
-            return [np.array([int(c.sum())]) for c in rows]
-        keys, values, at = _summed(gram_hash(rows[: level - 1]), rows[level - 1 :])
-        return [*(r[at] for r in rows[: level - 1]), *values]
+        suffix = by_gram(ids[1:], [np.where(ids[1] == BEGIN, count, 1)])
+        context = by_gram(ids[:-1], kinds)
+        n_suffix, n_context = len(suffix[0]), len(context[0])
+        none = [np.zeros(n_suffix, np.int64)] * len(_CONTEXT)
+        rows = [
+            np.concatenate(x)
+            for x in zip([*suffix, *none], [*context[: level - 1], np.zeros(n_context, np.int64), *context[level - 1 :]], strict=True)
+        ]
+        return by_gram(rows[: level - 1], rows[level - 1 :])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = _columns(batches)
@@ -289,7 +303,8 @@ def _store_level(folder: str, n_shards: int, order: int, level: int, id_type: ty
                 gone = [c[past] for c in columns]
                 yield batch([gone[0], *gone[1:level], *gone[level + 1 :]])
             columns = [c[~past] for c in columns[1:]]
-        ids, values = [c.astype(np.int64) for c in columns[:level]], columns[level:]
+        ids, values = columns[:level], columns[level:]
+        del columns
         keys, values, at = _summed(gram_hash(ids), values)
         ids = [i[at] for i in ids]
         shards = _gram_shard(ids, n_shards)
