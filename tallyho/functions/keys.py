@@ -25,10 +25,11 @@ def record_key(ts: Column | str, seq: Column | str) -> Column:
 def parse_record_key(key: Column | str) -> Column:
     """``ts-seq`` -> struct(key_ts long, key_seq long); (0, 0) if malformed.
 
-    Exactly two parts, both whole numbers that fit a long; anything else
-    (``x-1``, ``1-2-3``, ``5-``) gives (0, 0).
+    Dashes at the end don't count (``1-2-`` is ``1-2``). Exactly two parts,
+    both whole numbers that fit a long; anything else (``x-1``, ``1-2-3``, ``5-``)
+    gives (0, 0).
     """
-    parts = F.split(_col(key), "-", -1)
+    parts = F.split(F.regexp_replace(_col(key), "-+$", ""), "-", -1)
     a = F.get(parts, 0)
     b = F.get(parts, 1)
     ok = (

@@ -1,6 +1,7 @@
 """Leaderboard of the most mentioned names right now, and its deltas.
 
-* :func:`latest_per_name` (A11/R6): last count per name as of a time.
+* :func:`latest_per_name` (A11/R6): last count per name as of a time; names
+  whose count is 0 are not live and left out.
 * :func:`board` (T4): exact top ``size`` by count desc, name asc.
 * :func:`board_floor` (A9/A10): entries, lowest count and its name.
 * :func:`coalesce_deltas` (R8) and :func:`delta_messages` (S15/S16): one
@@ -33,13 +34,18 @@ def _change_order() -> Column:
     )
 
 
-def latest_per_name(changelog: DataFrame, as_of: Column | None = None) -> DataFrame:
+def last_counts(changelog: DataFrame, as_of: Column | None = None) -> DataFrame:
     """(name, n): each name's count after its last change at or before
-    ``as_of`` (all changes when None)."""
+    ``as_of`` (all changes when None), 0 where nothing is left."""
     rows = changelog if as_of is None else changelog.where(F.col("change_ts") <= as_of)
     return rows.groupBy("name").agg(F.max_by(F.col("n"), _change_order()).alias("n"))
 
 
+def latest_per_name(changelog: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """(name, n): the live names of :func:`last_counts`."""
+    return last_counts(changelog, as_of).where(F.col("n") > 0)
+
+
 def board(latest: DataFrame, size: int = BOARD_SIZE) -> DataFrame:
     """(rank, name, n): exact top ``size`` names by count, ties by name."""
     top = latest.orderBy(F.desc("n"), F.asc("name")).limit(size)
@@ -71,7 +77,7 @@ def coalesce_deltas(changelog: DataFrame, every_seconds: int = 1) -> DataFrame:
     )
 
 
-def delta_messages(deltas: DataFrame, max_entries: int = MESSAGE_ENTRIES, **index_kw) -> DataFrame:
+def delta_messages(deltas: DataFrame, max_entries: int = MESSAGE_ENTRIES) -> DataFrame:
     """(bucket, part, entries, message): the bucket's changes as JSON arrays
     ``[{"name":...,"count":...},...]``, name-sorted and cut into parts of at
     most ``max_entries`` names (part 0 holds the first names, and so on).
@@ -80,7 +86,7 @@ def delta_messages(deltas: DataFrame, max_entries: int = MESSAGE_ENTRIES, **inde
     whole bucket: names are numbered per bucket (hot-bucket safe, see
     :func:`tallyho.operators.running.row_index`) and each part is one group.
     """
-    numbered = row_index(deltas, ["bucket"], ["name"], "_i", **index_kw)
+    numbered = row_index(deltas, ["bucket"], ["name"], "_i")
     parts = numbered.withColumn("part", F.expr(f"(_i - 1) div {int(max_entries)}"))
     return parts.groupBy("bucket", "part").agg(
         F.count(F.lit(1)).alias("entries"),

@@ -2,10 +2,9 @@
 release pacing (W3, T6), with rows per file (A8).
 
 Both need a row's position within its file and the file's totals. Those
-come from :func:`tallyho.operators.running.row_index`, which evaluates the
-totals in the same window partitioning (one read of the input, no join) and
-splits a file holding a large share of all rows over many tasks instead of
-one window partition.
+come from :func:`tallyho.operators.running.row_index`, which splits a file
+holding a large share of all rows over many tasks instead of one window
+partition. Rows of equal sequence number are ordered by their record key.
 """
 
 from __future__ import annotations
@@ -29,9 +28,8 @@ def spread_event_times(
     seq_col: str = "seq",
     key_col: str = "record_key",
     interval_minutes: int = INTERVAL_MINUTES,
-    **index_kw,
 ) -> DataFrame:
-    """Give row i (1-based, by ``seq``) of each file the event time
+    """Give row i (1-based, by ``seq`` and key) of each file the event time
     ``start + (i - 1) * (interval_ms div lines)`` in epoch ms, where
     ``start`` is the first row's key stamp at minute precision (UTC).
 
@@ -39,9 +37,9 @@ def spread_event_times(
     """
     totals = {
         "lines": F.count(F.lit(1)),
-        "first_key": F.min_by(F.col(key_col), F.col(seq_col)),
+        "first_key": F.min_by(F.col(key_col), F.struct(seq_col, key_col)),
     }
-    indexed = row_index(records, [file_col], [seq_col], "line_no", totals=totals, **index_kw)
+    indexed = row_index(records, [file_col], [seq_col, key_col], "line_no", totals=totals)
     interval_ms = interval_minutes * 60_000
     start_ms = F.unix_millis(stamp_instant(first_field("first_key", "-")))
     step = F.expr(f"CAST({interval_ms} AS BIGINT) div lines")
@@ -53,7 +51,7 @@ def pace_release(
     file_col: str = "file",
     seq_col: str = "seq",
     seconds: int = SECONDS_PER_FILE,
-    **index_kw,
+    key_col: str = "record_key",
 ) -> DataFrame:
     """Second (1..seconds) in which each row is released when every second
     sends ``queued div seconds_left`` rows (at least one second left).
@@ -66,7 +64,7 @@ def pace_release(
     ``R + 1 - bucket``. Adds ``line_no``, ``lines``, ``release_second``.
     """
     indexed = row_index(
-        records, [file_col], [seq_col], "line_no", totals={"lines": F.count(F.lit(1))}, **index_kw
+        records, [file_col], [seq_col, key_col], "line_no", totals={"lines": F.count(F.lit(1))}
     )
     r_sec = int(seconds)
     if r_sec < 1:
@@ -92,24 +90,38 @@ def release_counts(paced: DataFrame, file_col: str = "file") -> DataFrame:
     return paced.groupBy(file_col, "release_second").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def feed_records(lines: DataFrame, line_col: str = "value", **index_kw) -> DataFrame:
+def _stamped(lines: DataFrame, line_col: str) -> DataFrame:
+    """(record_key, value, _stamp, _seq) of raw lines; _stamp is null where
+    the record id has no time."""
+    key = first_field(line_col)
+    stamp = first_field("record_key", "-")
+    return lines.select(key.alias("record_key"), F.col(line_col).alias("value")).select(
+        "record_key",
+        "value",
+        F.when(stamp_instant(stamp).isNotNull(), stamp).alias("_segment"),
+        parse_record_key("record_key")["key_seq"].alias("_seq"),
+    )
+
+
+def rejected_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
+    """(record_key, value): the lines :func:`feed_records` can't publish,
+    because their record id has no time."""
+    return _stamped(lines, line_col).where(F.col("_segment").isNull()).select("record_key", "value")
+
+
+def feed_records(lines: DataFrame, line_col: str = "value") -> DataFrame:
     """Raw feed lines -> (key, value, timestamp, event_ms): what the feeder
     publishes. ``key`` is the record id (first field), ``timestamp`` the
-    event time from :func:`spread_event_times`.
+    event time from :func:`spread_event_times`. Lines without a time in their
+    record id are left to :func:`rejected_lines`.
 
     A segment is identified by the stamp part of its record ids (every id
     in a segment file starts with the file's stamp), so the result does not
     depend on how the files were split into tasks; rows are ordered inside a
     segment by the id's sequence number.
     """
-    key = first_field(line_col)
-    records = lines.select(key.alias("record_key"), F.col(line_col).alias("value")).select(
-        "record_key",
-        "value",
-        first_field("record_key", "-").alias("_segment"),
-        parse_record_key("record_key")["key_seq"].alias("_seq"),
-    )
-    spread = spread_event_times(records, "_segment", "_seq", "record_key", **index_kw)
+    records = _stamped(lines, line_col).where(F.col("_segment").isNotNull())
+    spread = spread_event_times(records, "_segment", "_seq", "record_key")
     return spread.select(
         F.col("record_key").alias("key"),
         "value",

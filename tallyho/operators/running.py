@@ -1,101 +1,49 @@
-"""Running sums and row numbers per key that survive a hot key.
+"""Running sums and row numbers per key, for keys of any size.
 
 A plain ``sum(v) OVER (PARTITION BY key ORDER BY ...)`` sends every row of a
-key to one task. If one key holds a third of all rows, that task holds a
-third of the data. Here keys are split in two:
-
-* cold keys (fewer than ``hot_rows`` rows) use the plain window: one hash
-  shuffle by key, each group bounded by ``hot_rows``;
-* hot keys (the top ``max_hot_keys`` keys with at least ``hot_rows`` rows)
-  are cut into at most ``pieces`` contiguous ranges of the order. Each piece
-  gets a local running sum, plus an offset equal to the total of the earlier
-  pieces of the same key.
-
-Two small tables are fixed once, so every part of the plan sees the same
-values however often Spark evaluates it: the hot keys with their row counts
-(at most ``max_hot_keys`` rows, collected and put into the plan as a local
-table), and the piece bounds per hot key (at most ``pieces - 1`` order values
-each, taken from a sample and written to the shared checkpoint folder). A
-row's piece is then a pure function of the row and those bounds, so the local
-sums and the offsets agree even when a stage is recomputed after a lost
-executor. When there is no hot key the plan is the plain window, with no
-join.
-
-The result is exact: ``prefix = offset(piece) + local prefix``. The union of
-both parts gives every input row once.
+key to one task. Here one plan serves all sizes and any number of hot keys:
+
+1. the rows are range-partitioned by (key, order), so a hot key lies in
+   several neighbouring pieces, and written to the shared folder with the
+   number of their piece. From then on a row's piece is data: every part of
+   the plan, and every recomputed task, sees the same pieces;
+2. a running sum within (piece, key), each group being no larger than a piece;
+3. the sum of a key's earlier pieces is added. A piece holds at most one key
+   that began in an earlier piece, so there are fewer such offsets than
+   pieces, whatever the number of keys.
+
+The input is read twice (Spark samples it for the range bounds, then shuffles
+it). Nothing reaches the driver, and no broadcast is asked for: the offsets
+are joined as Spark sees fit.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
-
-# A task comfortably sorts a few million narrow rows; keys above this size
-# are split.
-HOT_ROWS = 2_000_000
-MAX_HOT_KEYS = 1_000
-# sampled rows per piece when choosing the piece bounds of a hot key
-SAMPLES_PER_PIECE = 20
+from ..session import scratch_path
 
 
 def _cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    hot_rows: int = HOT_ROWS,
-    max_hot_keys: int = MAX_HOT_KEYS,
-) -> DataFrame:
-    """(*keys, _rows): keys with at least ``hot_rows`` rows, at most
-    ``max_hot_keys`` of them (largest first). Aggregated map-side, then a
-    bounded top-k."""
-    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return stats.where(F.col("_rows") >= hot_rows).orderBy(F.desc("_rows")).limit(max_hot_keys)
-
-
-def piece_bounds(
-    hot_rows_df: DataFrame,
-    hot: DataFrame,
-    keys: Sequence[str],
-    pieces: int,
-    per_piece: int = SAMPLES_PER_PIECE,
-) -> DataFrame:
-    """(*keys, _bounds): per hot key, the sorted order values (``_o``) that
-    open pieces 1 .. pieces-1, from a sample of about ``pieces * per_piece``
-    rows of that key. Every group holds only the sample of one key."""
-    target = float(pieces * per_piece)
-    sampled = (
-        hot_rows_df.join(F.broadcast(hot), list(keys))
-        .where(F.rand(17) * F.col("_rows") < F.lit(target))
-        .select(*keys, "_o")
-    )
-    by_key = Window.partitionBy(*keys)
-    numbered = sampled.withColumn("_r", F.row_number().over(by_key.orderBy("_o"))).withColumn(
-        "_m", F.count(F.lit(1)).over(by_key)
-    )
-    # sample rank r falls in piece floor((r - 1) * pieces / m); the first
-    # sample of every piece after the first is a bound
-    piece_of = lambda r: F.floor((r - F.lit(1)) * F.lit(pieces) / F.col("_m"))
-    firsts = numbered.where((F.col("_r") > 1) & (piece_of(F.col("_r")) > piece_of(F.col("_r") - 1)))
-    return firsts.groupBy(*keys).agg(F.array_sort(F.collect_list("_o")).alias("_bounds"))
+def _same(pairs: Sequence[tuple[str, str]]) -> Column:
+    """Equality of column pairs, null equal to null."""
+    return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in pairs])
 
 
-def _fixed(small: DataFrame) -> DataFrame:
-    """Compute a small, non-deterministic result once and read it from the
-    shared checkpoint folder from then on. Persisted first, so writing the
-    checkpoint does not compute it a second time."""
-    shared_dir(small.sparkSession)
-    small.persist()
-    try:
-        return small.checkpoint(eager=True)
-    finally:
-        small.unpersist()
+def in_pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` range-partitioned by (keys, order) with the number of each row's
+    piece as ``_piece``, written and read back."""
+    path = scratch_path(df.sparkSession, "pieces")
+    pieced = df.repartitionByRange(*keys, *order).withColumn("_piece", F.spark_partition_id())
+    pieced.write.parquet(path)
+    return df.sparkSession.read.schema(pieced.schema).parquet(path)
 
 
 def running_sum(
@@ -104,84 +52,44 @@ def running_sum(
     order: Sequence[str | Column],
     value: str | Column,
     out: str,
-    hot_rows: int = HOT_ROWS,
-    max_hot_keys: int = MAX_HOT_KEYS,
-    pieces: int | None = None,
     totals: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Add ``out`` = running sum of ``value`` per ``keys`` in ``order``.
 
     ``order`` must be a total order within a key (ties make a running sum
-    ambiguous); include a unique column last. Runs one job at build time:
-    the hot-key count, an aggregate over the input whose result (at most
-    ``max_hot_keys`` rows) reaches the driver.
-
-    ``totals`` (name -> aggregate) adds whole-group aggregates of each key
-    on every row. For cold keys they are evaluated in the same window
-    partitioning as the running sum (no second read of the input, no join);
-    for hot keys they come from a per-key aggregate of at most
-    ``max_hot_keys`` rows.
+    ambiguous); include a unique column last. ``totals`` (name -> aggregate)
+    adds whole-key aggregates to every row. Runs one job at build time, which
+    writes the pieces.
     """
     keys = list(keys)
-    order_cols = _cols(order)
-    val = F.col(value) if isinstance(value, str) else value
-    spark = df.sparkSession
-    n_pieces = int(pieces or spark.conf.get("spark.sql.shuffle.partitions"))
-
-    totals = dict(totals or {})
-    whole = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    order_names = [f"_o{i}" for i in range(len(order))]
+    shaped = df.withColumns(
+        {**dict(zip(order_names, _cols(order), strict=True)), "_v": F.col(value) if isinstance(value, str) else value}
     )
-    group = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-
-    def plain(frame: DataFrame) -> DataFrame:
-        cols = {out: F.sum(val).over(whole), **{k: agg.over(group) for k, agg in totals.items()}}
-        return frame.withColumns(cols)
-
-    found = hot_keys(df, keys, hot_rows, max_hot_keys)
-    hot_list = found.collect()  # at most max_hot_keys rows
-    if not hot_list:
-        return plain(df)
-    hot = spark.createDataFrame(hot_list, found.schema)
-
-    tagged = df.join(F.broadcast(hot.select(*keys, F.lit(True).alias("_hot"))), keys, "left")
-    cold_out = plain(tagged.where(F.col("_hot").isNull()).drop("_hot"))
-
-    ordered = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(order_cols)])
-    hot_part = tagged.where(F.col("_hot").isNotNull()).drop("_hot").withColumn("_o", ordered)
-    bounds = _fixed(piece_bounds(hot_part, hot, keys, n_pieces))
-    pieced = (
-        hot_part.join(F.broadcast(bounds), keys, "left")
-        .withColumn(
-            "_piece",
-            F.coalesce(F.size(F.filter("_bounds", lambda b: b <= F.col("_o"))), F.lit(0)),
-        )
-        .drop("_bounds", "_o")
-    )
-    in_piece = Window.partitionBy(*keys, "_piece").orderBy(*order_cols).rowsBetween(
+    rows = in_pieces(shaped, keys, order_names)
+    within = Window.partitionBy("_piece", *keys).orderBy(*order_names).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    local = pieced.withColumn("_local", F.sum(val).over(in_piece))
-    before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    # at most max_hot_keys * pieces rows
+    earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        pieced.groupBy(*keys, "_piece")
-        .agg(F.sum(val).alias("_piece_sum"))
-        .withColumn("_offset", F.coalesce(F.sum("_piece_sum").over(before), F.lit(0)))
-        .drop("_piece_sum")
+        rows.groupBy("_piece", *keys)
+        .agg(F.sum("_v").alias("_sum"))
+        .withColumn("_offset", F.sum("_sum").over(earlier))
+        .where(F.col("_offset").isNotNull())  # a key's first piece needs none
+        .select(F.col("_piece").alias("_at"), *(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), "_offset")
     )
-    hot_out = (
-        local.join(F.broadcast(offsets), [*keys, "_piece"])
-        .withColumn(out, (F.col("_offset") + F.col("_local")).cast(cold_out.schema[out].dataType))
-        .drop("_piece", "_local", "_offset")
+    pairs = [(k, f"_k{i}") for i, k in enumerate(keys)]
+    summed = (
+        rows.withColumn("_local", F.sum("_v").over(within))
+        .join(offsets, _same([("_piece", "_at"), *pairs]), "left")
+        .withColumn(out, F.col("_local") + F.coalesce("_offset", F.lit(0)))
     )
     if totals:
-        # one row per hot key
-        per_key = pieced.groupBy(*keys).agg(*[agg.alias(k) for k, agg in totals.items()])
-        hot_out = hot_out.join(F.broadcast(per_key), keys)
-    return cold_out.unionByName(hot_out.select(*cold_out.columns))
+        whole = rows.groupBy(*(F.col(k).alias(f"_t{i}") for i, k in enumerate(keys))).agg(
+            *[agg.alias(name) for name, agg in totals.items()]
+        )
+        summed = summed.join(whole, _same([(k, f"_t{i}") for i, k in enumerate(keys)]))
+    return summed.select(*df.columns, out, *(totals or {}))
 
 
 def row_index(
@@ -189,8 +97,8 @@ def row_index(
     keys: Sequence[str],
     order: Sequence[str | Column],
     out: str = "row_index",
-    **kw,
+    totals: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """1-based position of each row within its key in ``order`` (exact,
-    hot-key safe); a running count."""
-    return running_sum(df, keys, order, F.lit(1).cast("bigint"), out, **kw)
+    """1-based position of each row within its key in ``order``; a running
+    count."""
+    return running_sum(df, keys, order, F.lit(1).cast("bigint"), out, totals)

@@ -15,7 +15,7 @@ from ..functions.times import SLOT_MINUTES, segment_name, slot_start
 
 # The newest segment assumed seen before the first run, and
 # the default look-back window of a poll.
-DEFAULT_MARK = "20150218230000"
+DEFAULT_MARK = "20150218230000.gkg.csv"
 WINDOW_MINUTES = 60
 
 
@@ -57,19 +57,18 @@ def missing_segments(expected: DataFrame, landed: DataFrame) -> DataFrame:
     return expected.join(landed, "file_name", "left_anti")
 
 
-def new_segments(landed: DataFrame, last_mark: str = DEFAULT_MARK) -> DataFrame:
+def new_segments(landed: DataFrame, last_mark: str | Column = DEFAULT_MARK) -> DataFrame:
     """(file_name, next_mark): landed names newer than the high-water mark,
-    and the mark after offering them (the newest name seen).
+    and the mark after offering them (the newest whole name seen, so that the
+    next poll doesn't offer that file again).
 
     The mark is a window over the new names only (one row per 15-minute
     segment, so their number is set by the calendar), computed in the same
     pass as the names.
     """
-    newer = landed.where(F.col("file_name") > F.lit(last_mark))
+    newer = landed.where(F.col("file_name") > (F.lit(last_mark) if isinstance(last_mark, str) else last_mark))
     everything = Window.partitionBy()
-    return newer.select(
-        "file_name", F.max(F.substring("file_name", 1, 14)).over(everything).alias("next_mark")
-    )
+    return newer.select("file_name", F.max("file_name").over(everything).alias("next_mark"))
 
 
 def record_key_parts(keys: DataFrame, key_col: str = "record_key") -> DataFrame:

@@ -11,6 +11,7 @@ mentions is combined map-side before the first shuffle.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,12 +32,15 @@ def explode_names(
     names_col: str = "AllNames",
 ) -> DataFrame:
     """One row per mentioned name: (*keep, name). Empty, null and noise
-    names are dropped after the offset is cut."""
-    # explode drops null lists itself; an isNotNull filter here would be
-    # pushed below the projection and evaluate the list expression twice.
-    exploded = articles.select(*keep, F.explode(name_tokens(names_col)).alias("_tok"))
-    named = exploded.select(*keep, strip_offset("_tok", strip).alias("name"))
-    return named.where(is_name("name", noise))
+    names are dropped after the offset is cut, and articles without a key (a
+    date that doesn't parse) are dropped."""
+    # Cut and filtered inside the list: each token is cut once. A filter on
+    # the exploded names would cut them again for the filter.
+    names = F.filter(
+        F.transform(name_tokens(names_col), lambda t: strip_offset(t, strip)), lambda n: is_name(n, noise)
+    )
+    keyed = articles.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keep]))
+    return keyed.select(*keep, F.explode(names).alias("name"))
 
 
 def count_names(mentions: DataFrame, by: Sequence[str] = ("day",)) -> DataFrame:

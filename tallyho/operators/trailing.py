@@ -12,6 +12,8 @@ stream emits in update mode: one row per arrival and per expiry.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,14 +47,30 @@ def steps(mentions: DataFrame, retention_minutes: int = RETENTION_MINUTES) -> Da
 
 
 def trailing_changelog(
-    mentions: DataFrame, retention_minutes: int = RETENTION_MINUTES, **running_kw
+    mentions: DataFrame, retention_minutes: int = RETENTION_MINUTES
 ) -> DataFrame:
     """(name, event_id, kind, change_ts, n) for every arrival and expiry."""
     s = steps(mentions, retention_minutes)
-    out = running_sum(s, ["name"], ["change_ts", "d", "event_id"], F.col("d").cast("bigint"), "n", **running_kw)
+    out = running_sum(s, ["name"], ["change_ts", "d", "event_id"], F.col("d").cast("bigint"), "n")
     return out.select("name", "event_id", "kind", "change_ts", "n")
 
 
+def live_counts(mentions: DataFrame, as_of: dt.datetime, retention_minutes: int = RETENTION_MINUTES) -> DataFrame:
+    """(name, n): mentions in (as_of - retention, as_of], names without one
+    left out. The same as the changelog's last counts at ``as_of``, from the
+    last period alone: the bounds are literals, so the scan skips the rest.
+    """
+    kind = mentions.schema["ts"].dataType
+    lo, hi = (
+        F.lit(t.isoformat(sep=" ")).cast(kind) for t in (as_of - dt.timedelta(minutes=retention_minutes), as_of)
+    )
+    return (
+        mentions.where((F.col("ts") > lo) & (F.col("ts") <= hi))
+        .groupBy("name")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 def arrival_counts(changelog: DataFrame) -> DataFrame:
     """(name, event_id, ts, n): the count each arrival produced."""
     return changelog.where(F.col("kind") == ARRIVAL).select(

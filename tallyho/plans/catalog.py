@@ -8,13 +8,14 @@ SQL twin in :mod:`tallyho.plans.oracle`. Timestamps are returned as
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import is_name, name_tokens, strip_offset
-from ..functions.times import segment_name, slot_end, slot_start, stamp_instant
+from ..functions.times import as_instant, segment_name, slot_end, slot_start, stamp_instant
 from ..functions.keys import first_field
 from ..operators import board, replay, segments, topnames, trailing
 from ..session import configure, scratch_path
@@ -32,7 +33,7 @@ def _ntz(c: str):
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return fixtures.spread(fixtures.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return fixtures.table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def _articles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +42,7 @@ def _articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return fixtures.spread(fixtures.table(spark, sf_dir, "events").select("event_id", "ts", "user_id"))
+    return fixtures.table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
 
 
 def _mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +69,7 @@ def top_names_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_days_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topnames.first_days(top_names_per_day(spark, sf_dir), days=10)
+    return topnames.first_days(top_names_per_day(spark, sf_dir), days=5)
 
 
 def top_names_first_comma(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,17 +122,24 @@ def feed_line_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.line_report(feed.read_lines(spark, path, glob_filter="*.txt", recursive=True))
 
 
+def feed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed lines that the feeder can't publish, for want of a time."""
+    path = _landed_feed(spark, sf_dir)
+    lines = feed.read_lines(spark, path, glob_filter="*.txt", recursive=True)
+    return replay.rejected_lines(lines).select("record_key")
+
+
 # ---- record keys and segments (events) ----------------------------------
 
 
 def record_key_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segments.record_key_parts(_keyed(spark, sf_dir)).select(
+    return segments.record_key_parts(fixtures.edge_keys(_events(spark, sf_dir))).select(
         "event_id", "record_key", "key_ts", "key_seq"
     )
 
 
 def last_record_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segments.last_record_key(_keyed(spark, sf_dir))
+    return segments.last_record_key(fixtures.edge_keys(_events(spark, sf_dir)))
 
 
 def slot_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,6 +166,19 @@ def new_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments.new_segments(segments.landed_segments(_mentions(spark, sf_dir)))
 
 
+def segment_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two polls: the first sees the segments of the first half of the time
+    and offers those after a mark in their middle; the second sees all and goes on from the
+    first's mark."""
+    landed = segments.landed_segments(_mentions(spark, sf_dir))
+    ranked = landed.agg(F.array_sort(F.collect_set("file_name")).alias("a"))  # one name per 15 minutes
+    cut = ranked.select(F.get("a", F.expr("size(a) div 2")), F.get("a", F.expr("size(a) div 4"))).first()
+    first = segments.new_segments(landed.where(F.col("file_name") <= cut[0]), cut[1])
+    mark = first.agg(F.max("next_mark")).first()[0] or cut[1]
+    second = segments.new_segments(landed, mark)
+    return first.select(F.lit(1).alias("poll"), "*").union(second.select(F.lit(2).alias("poll"), "*"))
+
+
 # ---- replay (events as 15-minute files) ---------------------------------
 
 
@@ -196,10 +217,12 @@ def trailing_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = _mentions(spark, sf_dir)
-    log = trailing.trailing_changelog(m)
-    as_of = m.select(F.max("ts")).scalar()  # end of data (a scalar subquery in the plan)
-    return board.latest_per_name(log, as_of)
+    """Live counts at the end of the data, from its last hour: the scan's
+    filter is on the stored column, so it is pushed down."""
+    events = _events(spark, sf_dir)
+    as_of = events.agg(F.max("ts")).first()[0] or dt.datetime(1970, 1, 1)
+    live = trailing.live_counts(events.withColumn("name", F.col("user_id")), as_of)
+    return live.select(fixtures.name_of("name").alias("name"), "n")
 
 
 def latest_per_name(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,6 +277,8 @@ QUERIES: dict[str, Query] = {
     "expected_segments": expected_segments,
     "missing_segments": missing_segments,
     "new_segments": new_segments,
+    "segment_polls": segment_polls,
+    "feed_rejects": feed_rejects,
     "event_time_spread": event_time_spread,
     "replay_pacing": replay_pacing,
     "replay_batches": replay_batches,
@@ -270,21 +295,29 @@ QUERIES: dict[str, Query] = {
 
 # ---- streams (events replayed in 4 landings, availableNow per landing) ----
 
+# Rows land up to 9 minutes late, inside the watermark's 10 minutes.
+LATEST_SECONDS = 540
+
 
 def _stream_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
-    return fixtures.table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    """events with their arrival: late by a fixed rule, so that rows of one
+    name come out of order within and across landings."""
+    late = F.pmod(F.col("event_id") * 7919, F.lit(LATEST_SECONDS)) * 1_000_000
+    events = _events(spark, sf_dir)
+    return events.withColumn("arrival_us", F.unix_micros(as_instant("ts")) + late)
 
 
 def hourly_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = runner.replay_runs(
         spark,
         _stream_table(spark, sf_dir),
-        lambda src: sliding.sliding_counts(fixtures.mentions(src), "1 hour", "5 minutes", "1 hour"),
+        lambda src: sliding.slot_counts(fixtures.mentions(src), "5 minutes", "1 hour"),
+        order_col="arrival_us",
         output_mode="update",
         tag="sliding",
     )
-    final = sliding.final_counts(runner.read_sink(spark, out))
+    slots = sliding.final_counts(runner.read_sink(spark, out))
+    final = sliding.window_counts(slots, 60, 5)
     return final.select(_ntz("window_start"), _ntz("window_end"), "name", "n")
 
 
@@ -293,7 +326,9 @@ def _trailing_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark,
         _stream_table(spark, sf_dir),
         lambda src: stream_trailing.trailing_stream(fixtures.mentions(src)),
+        order_col="arrival_us",
         tag="trailing",
+        heartbeat="ts",
     )
     return runner.read_sink(spark, out)
 
@@ -303,23 +338,39 @@ def stateful_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trailing.arrival_counts(log).select("name", "event_id", _ntz("ts"), "n")
 
 
-def board_evictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stateful_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrivals and expiries of the stream, for rows that land out of order."""
+    return _trailing_log(spark, sf_dir).select("name", "event_id", "kind", _ntz("change_ts"), "n")
+
+
+def _board_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = runner.replay_runs(
         spark,
         _stream_table(spark, sf_dir),
         lambda src: stream_trailing.trailing_stream(fixtures.mentions(src)),
+        order_col="arrival_us",
         sink=stream_board.board_sink(100),
         tag="board",
     )
-    return spark.read.parquet(f"{out}/deltas").select("batch", "name", "count")
+    return stream_board.delta_steps(spark, out)
+
+
+def board_evictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names that entered, changed or left (0) the board at each landing."""
+    return _board_deltas(spark, sf_dir)
+
+
+def stream_board_100(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The board at each landing's watermark, put together from the deltas."""
+    return stream_board.boards_from_deltas(_board_deltas(spark, sf_dir))
 
 
 def feed_stream_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole pipeline on the landed feed: the feeder gives each line an
     event time and publishes (key, value, timestamp) records (written once,
-    like a topic); the stream parses them into mentions (R1), counts names in
-    sliding hours on the assigned event time with a watermark (R4, R9); the
-    top 10 names of every window are ranked from the final counts."""
+    like a topic); the stream parses them into mentions (R1) and counts names
+    per 15 minutes of the assigned event time with a watermark (R4, R9); the
+    top 10 names of every sliding hour are ranked from the final counts."""
     configure(spark)
     lines = feed.read_lines(spark, _landed_feed(spark, sf_dir), glob_filter="*.txt", recursive=True)
     topic = scratch_path(spark, "feed-records")
@@ -327,12 +378,12 @@ def feed_stream_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = runner.replay_runs(
         spark,
         spark.read.parquet(topic),
-        lambda src: sliding.sliding_counts(feed.record_mentions(src), "1 hour", "15 minutes", "1 hour"),
+        lambda src: sliding.slot_counts(feed.record_mentions(src), "15 minutes", "1 hour"),
         order_col="event_ms",
         output_mode="update",
         tag="feed-stream",
     )
-    final = sliding.final_counts(runner.read_sink(spark, out))
+    final = sliding.window_counts(sliding.final_counts(runner.read_sink(spark, out)), 60, 15)
     top = topnames.rank_top(final, 10, by=("window_start", "window_end"))
     return top.select(_ntz("window_start"), _ntz("window_end"), "rank", "name", "n")
 
@@ -342,6 +393,8 @@ QUERIES.update(
         "feed_stream_top": feed_stream_top,
         "hourly_sliding_counts": hourly_sliding_counts,
         "stateful_trailing": stateful_trailing,
+        "stateful_changelog": stateful_changelog,
         "board_evictions": board_evictions,
+        "stream_board": stream_board_100,
     }
 )

@@ -10,14 +10,16 @@ from __future__ import annotations
 # documents -> article feed (same rule as tallyho.sources.fixtures.articles)
 FEED_CTE = r"""
 feed AS (
-  SELECT strftime(CAST(DATE '2015-02-18' + CAST(doc_id % 10 AS INTEGER) AS DATE), '%Y%m%d')
-           || '000000-' || CAST(doc_id AS VARCHAR) AS record_id,
-         CAST(DATE '2015-02-18' + CAST(doc_id % 10 AS INTEGER) AS DATE) AS day,
-         array_to_string(
+  SELECT CASE WHEN doc_id % 13 = 6 THEN 'bad'
+              ELSE strftime(CAST(DATE '2015-02-18' + CAST(doc_id % 10 AS INTEGER) AS DATE), '%Y%m%d') || '000000' END
+           || '-' || CAST(doc_id AS VARCHAR) || CASE WHEN doc_id % 13 = 7 THEN '-' ELSE '' END AS record_id,
+         CASE WHEN doc_id % 11 <> 5 THEN CAST(DATE '2015-02-18' + CAST(doc_id % 10 AS INTEGER) AS DATE) END AS day,
+         CASE WHEN doc_id % 17 <> 8 THEN array_to_string(
            list_transform(
              list_filter(string_split_regex(text, '[ \n]+'), lambda w: w <> ''),
              lambda w, i: w || ',' || CAST(i AS VARCHAR)),
-           ';') AS AllNames
+           ';') || CASE WHEN doc_id % 7 = 3 THEN ';null,1;Type ParentCategory,2;Smith, John,3;Broken,4' ELSE '' END
+         END AS AllNames
   FROM documents
 )"""
 
@@ -36,7 +38,7 @@ def names_cte(strip: str = "last", name: str = "mentions") -> str:
     return f"""
 {name} AS (
   SELECT day, name FROM (SELECT day, {cut} AS name FROM toks)
-  WHERE name IS NOT NULL AND name <> '' AND name NOT IN ('null', 'Type ParentCategory')
+  WHERE day IS NOT NULL AND name IS NOT NULL AND name <> '' AND name NOT IN ('null', 'Type ParentCategory')
 )"""
 
 
@@ -74,7 +76,7 @@ FIRST_DAYS_TOP = (
     + """
 SELECT day, rank, name, n FROM ranked
 WHERE rank <= 10
-  AND day IN (SELECT day FROM (SELECT DISTINCT day FROM ranked) ORDER BY day LIMIT 10)"""
+  AND day IN (SELECT day FROM (SELECT DISTINCT day FROM ranked) ORDER BY day LIMIT 5)"""
 )
 
 TOP_NAMES_FIRST_COMMA = (
@@ -105,12 +107,14 @@ FROM (SELECT day, {_LAST_CUT} AS nm FROM toks) GROUP BY day"""
 FEED_LINE_REPORT = (
     _with(FEED_CTE)
     + """
-SELECT CAST(count(*) AS BIGINT) AS lines, CAST(0 AS BIGINT) AS short_lines,
-       CAST(0 AS BIGINT) AS undated_lines,
-       CAST(count(*) FILTER (WHERE AllNames IS NULL OR AllNames = '') AS BIGINT) AS empty_name_lines
+SELECT CAST(count(*) AS BIGINT) AS lines, CAST(count(*) FILTER (WHERE AllNames IS NULL) AS BIGINT) AS short_lines,
+       CAST(count(*) FILTER (WHERE AllNames IS NOT NULL AND day IS NULL) AS BIGINT) AS undated_lines,
+       CAST(count(*) FILTER (WHERE AllNames = '') AS BIGINT) AS empty_name_lines
 FROM feed"""
 )
 
+FEED_REJECTS = _with(FEED_CTE) + "\nSELECT record_id AS record_key FROM feed WHERE record_id LIKE 'bad-%'"
+
 # ---- events ---------------------------------------------------------------
 
 KEYED_CTE = """
@@ -120,6 +124,16 @@ keyed AS (
   FROM events
 )"""
 
+# malformed keys among the events' (fixtures.edge_keys)
+EDGE_KEYS_CTE = """
+edge AS (
+  SELECT event_id, CASE event_id % 23 WHEN 5 THEN 'x-1' WHEN 6 THEN record_key || '-' WHEN 7 THEN record_key || '-1'
+           WHEN 8 THEN '5-' ELSE record_key END AS record_key,
+         CASE WHEN event_id % 23 IN (5, 7, 8) THEN 0 ELSE key_ts END AS key_ts,
+         CASE WHEN event_id % 23 IN (5, 7, 8) THEN 0 ELSE key_seq END AS key_seq
+  FROM keyed
+)"""
+
 MENTIONS_CTE = """
 m AS (SELECT event_id, 'user_' || CAST(user_id AS VARCHAR) AS name, ts FROM events)"""
 
@@ -137,13 +151,13 @@ expected AS (
                                       INTERVAL 15 MINUTE)) AS g FROM events)
 )"""
 
-RECORD_KEY_PARTS = _with(KEYED_CTE) + "\nSELECT event_id, record_key, key_ts, key_seq FROM keyed"
+RECORD_KEY_PARTS = _with(KEYED_CTE, EDGE_KEYS_CTE) + "\nSELECT event_id, record_key, key_ts, key_seq FROM edge"
 
 LAST_RECORD_KEY = (
-    _with(KEYED_CTE)
+    _with(KEYED_CTE, EDGE_KEYS_CTE)
     + """
 SELECT COALESCE((SELECT CAST(key_ts AS VARCHAR) || '-' || CAST(key_seq AS VARCHAR)
-                 FROM keyed ORDER BY key_ts DESC, key_seq DESC LIMIT 1),
+                 FROM edge ORDER BY key_ts DESC, key_seq DESC LIMIT 1),
                 '20150218230000-0') AS last_key"""
 )
 
@@ -166,9 +180,22 @@ NEW_SEGMENTS = (
     _with(LANDED_CTE)
     + """
 SELECT file_name,
-       COALESCE((SELECT max(substr(file_name, 1, 14)) FROM landed WHERE file_name > '20150218230000'),
-                '20150218230000') AS next_mark
-FROM landed WHERE file_name > '20150218230000'"""
+       (SELECT max(file_name) FROM landed WHERE file_name > '20150218230000.gkg.csv') AS next_mark
+FROM landed WHERE file_name > '20150218230000.gkg.csv'"""
+)
+
+SEGMENT_POLLS = (
+    _with(
+        LANDED_CTE,
+        """
+cut AS (SELECT a[len(a) // 2 + 1] AS seen, a[len(a) // 4 + 1] AS mark FROM (SELECT list_sort(list(file_name)) AS a FROM landed)),
+one AS (SELECT file_name, max(file_name) OVER () AS next_mark FROM landed, cut WHERE file_name <= seen AND file_name > mark),
+two AS (
+  SELECT file_name, max(file_name) OVER () AS next_mark FROM landed
+  WHERE file_name > COALESCE((SELECT max(next_mark) FROM one), (SELECT mark FROM cut))
+)""",
+    )
+    + "\nSELECT 1 AS poll, * FROM one UNION ALL SELECT 2, * FROM two"
 )
 
 EVENT_TIME_SPREAD = """
@@ -227,7 +254,7 @@ latest AS (
   SELECT name, n FROM (
     SELECT name, n, row_number() OVER (PARTITION BY name ORDER BY change_ts DESC, d DESC, event_id DESC) AS rn
     FROM log WHERE change_ts <= (SELECT max(ts) FROM events)
-  ) WHERE rn = 1
+  ) WHERE rn = 1 AND n > 0
 )"""
 
 BOARD_CTE = """
@@ -294,7 +321,7 @@ FEED_STREAM_TOP = (
 lines AS (
   SELECT AllNames, split_part(record_id, '-', 1) AS seg,
          CAST(split_part(record_id, '-', 2) AS BIGINT) AS seq
-  FROM feed
+  FROM feed WHERE record_id NOT LIKE 'bad-%'
 ),
 spread AS (
   SELECT AllNames,
@@ -329,6 +356,44 @@ SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, CAST(rank AS
 FROM ranked WHERE rank <= 10"""
 )
 
+# The board as of each landing's watermark: the newest time landed so far less
+# 10 minutes, in milliseconds. Rows land late by the rule of
+# catalog._stream_table, in 4 slices of the arrival.
+_BOARDS = (
+    MENTIONS_CTE.strip(),
+    CHANGELOG_CTE,
+    """
+late AS (SELECT ts, epoch_us(ts) + (event_id * 7919 % 540) * 1000000 AS arrival FROM events),
+width AS (SELECT min(arrival) AS lo, greatest(1, CAST(ceil((max(arrival) + 1 - min(arrival)) / 4.0) AS BIGINT)) AS w FROM late),
+marks AS (
+  SELECT k, (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM late WHERE arrival < lo + k * w) AS mark
+  FROM width, (SELECT unnest([1, 2, 3, 4]) AS k)
+),
+counted AS (
+  SELECT k, name, n FROM (
+    SELECT k, name, n, row_number() OVER (PARTITION BY k, name ORDER BY change_ts DESC, d DESC, event_id DESC) AS rn
+    FROM marks JOIN log ON change_ts <= mark
+  ) WHERE rn = 1 AND n > 0
+),
+boards AS (
+  SELECT k, CAST(row_number() OVER (PARTITION BY k ORDER BY n DESC, name) AS INTEGER) AS rank, name, n
+  FROM counted QUALIFY rank <= 100
+),
+deltas AS (
+  SELECT COALESCE(b.k, a.k + 1) AS k, COALESCE(b.name, a.name) AS name, COALESCE(b.n, 0) AS count
+  FROM (SELECT * FROM boards WHERE k < 4) a FULL JOIN boards b ON a.k + 1 = b.k AND a.name = b.name
+  WHERE a.n IS DISTINCT FROM b.n
+),
+steps_of AS (SELECT *, CAST(dense_rank() OVER (ORDER BY k) AS INTEGER) AS step FROM deltas)""",
+)
+
+BOARD_EVICTIONS = _with(*_BOARDS) + "\nSELECT step, name, count FROM steps_of"
+
+STREAM_BOARD = (
+    _with(*_BOARDS)
+    + "\nSELECT step, rank, name, n FROM boards JOIN (SELECT DISTINCT k, step FROM steps_of) USING (k)"
+)
+
 SQL: dict[str, str] = {
     "top_names_per_day": TOP_NAMES_PER_DAY,
     "name_counts_per_day": NAME_COUNTS_PER_DAY,
@@ -346,6 +411,8 @@ SQL: dict[str, str] = {
     "expected_segments": EXPECTED_SEGMENTS,
     "missing_segments": MISSING_SEGMENTS,
     "new_segments": NEW_SEGMENTS,
+    "segment_polls": SEGMENT_POLLS,
+    "feed_rejects": FEED_REJECTS,
     "event_time_spread": EVENT_TIME_SPREAD,
     "replay_pacing": REPLAY_PACING,
     "replay_batches": REPLAY_BATCHES,
@@ -360,4 +427,7 @@ SQL: dict[str, str] = {
     "feed_stream_top": FEED_STREAM_TOP,
     "hourly_sliding_counts": HOURLY_SLIDING_COUNTS,
     "stateful_trailing": TRAILING_COUNT,
+    "stateful_changelog": TRAILING_CHANGELOG,
+    "board_evictions": BOARD_EVICTIONS,
+    "stream_board": STREAM_BOARD,
 }

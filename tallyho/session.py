@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -66,7 +67,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
+    elif re.fullmatch(r"local(\[.*\])?", sc.master):  # one machine, one process
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tallyho-ckpt-"))
     else:
         raise RuntimeError(
@@ -78,5 +79,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A fresh, unique path under the shared folder (never reused)."""
-    base = shared_dir(spark)
-    return os.path.join(base, "tallyho", f"{tag}-{uuid.uuid4().hex[:12]}")
+    return os.path.join(_scratch_root(spark), f"{tag}-{uuid.uuid4().hex[:12]}")
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return os.path.join(shared_dir(spark), "tallyho", spark.sparkContext.applicationId)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all scratch folders of this application. Results that weren't
+    written elsewhere can't be read any more."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)

@@ -5,6 +5,9 @@
   dated ``2015-02-18 + doc_id % 10`` days. Whole texts are used.
 * ``events`` -> mentions: ``name = 'user_' || user_id`` at ``ts``.
 
+Edge rows are made from the ids by fixed rules: noise and comma names, dates
+that don't parse, short lines, bad UTF-8 and malformed record ids.
+
 Both are narrow projections (no shuffle); every query built on them grows
 with the tables.
 """
@@ -23,6 +26,14 @@ FIRST_DAY = "2015-02-18"
 DAYS = 10
 WORD_SPLIT = "[ \n]+"
 NAME_PREFIX = "user_"
+EDGE_NAMES = ";null,1;Type ParentCategory,2;Smith, John,3;Broken,4"  # of doc_id % 7 = 3
+BAD_DATE = "abc"  # of doc_id % 11 = 5
+SHORT_FIELDS = 2  # of doc_id % 17 = 8
+UNSTAMPED = "bad"  # record ids of doc_id % 13 = 6; doc_id % 13 = 7 have a dash at the end
+
+
+def _is(modulus: int, rest: int, column: str = "doc_id"):
+    return F.pmod(F.col(column), F.lit(modulus)) == rest
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,36 +53,40 @@ def _name_list(text: str = "text"):
 
 
 def articles(documents: DataFrame) -> DataFrame:
-    """documents -> (record_id, day, AllNames)."""
+    """documents -> (record_id, day, AllNames, short)."""
     day = _day_of_doc()
+    stamp = F.when(_is(13, 6), F.lit(UNSTAMPED)).otherwise(F.date_format(day, "yyyyMMdd000000"))
+    end = F.when(_is(13, 7), F.lit("-")).otherwise(F.lit(""))
+    names = F.concat(_name_list(), F.when(_is(7, 3), F.lit(EDGE_NAMES)).otherwise(F.lit("")))
     return documents.select(
-        F.concat(F.date_format(day, "yyyyMMdd"), F.lit("000000-"), F.col("doc_id").cast("string")).alias(
-            "record_id"
-        ),
-        day.alias("day"),
-        _name_list().alias("AllNames"),
+        F.concat(stamp, F.lit("-"), F.col("doc_id").cast("string"), end).alias("record_id"),
+        F.when(~_is(11, 5), day).alias("day"),
+        F.when(~_is(17, 8), names).alias("AllNames"),
+        _is(17, 8).alias("short"),
     )
 
 
 def feed_rows(documents: DataFrame) -> DataFrame:
-    """documents -> full 27-column feed rows (strings; unused columns null)."""
+    """documents -> full 27-column feed rows (strings; unused columns null)
+    and whether the row is landed short."""
     a = articles(documents)
     cols = {
         "GKGRECORDID": F.col("record_id"),
-        "DATE": F.concat(F.date_format("day", "yyyyMMdd"), F.lit("000000")),
-        "AllNames": F.col("AllNames"),
+        "DATE": F.coalesce(F.concat(F.date_format("day", "yyyyMMdd"), F.lit("000000")), F.lit(BAD_DATE)),
+        # as landed, one name has a byte that isn't UTF-8
+        "AllNames": F.replace("AllNames", F.lit(";Broken,"), F.lit(b";Br\xffoken,").cast("string")),
     }
     return a.select(
-        *[cols.get(c, F.lit(None).cast("string")).alias(c) for c in FEED_COLUMNS]
+        *[cols.get(c, F.lit(None).cast("string")).alias(c) for c in FEED_COLUMNS], "short"
     )
 
 
 def feed_lines(documents: DataFrame) -> DataFrame:
-    """documents -> tab-separated feed lines (``value``), nulls as empty."""
-    rows = feed_rows(documents)
-    return rows.select(
-        F.concat_ws("\t", *[F.coalesce(F.col(c), F.lit("")) for c in FEED_COLUMNS]).alias("value")
-    )
+    """documents -> tab-separated feed lines (``value``), nulls as empty;
+    short lines end after their first fields."""
+    fields = [F.coalesce(F.col(c), F.lit("")) for c in FEED_COLUMNS]
+    whole, cut = F.concat_ws("\t", *fields), F.concat_ws("\t", *fields[:SHORT_FIELDS])
+    return feed_rows(documents).select(F.when(F.col("short"), cut).otherwise(whole).alias("value"))
 
 
 def write_feed_files(documents: DataFrame, path: str) -> str:
@@ -84,11 +99,15 @@ def write_feed_files(documents: DataFrame, path: str) -> str:
     return path
 
 
+def name_of(user_id: str):
+    return F.concat(F.lit(NAME_PREFIX), F.col(user_id).cast("string"))
+
+
 def mentions(events: DataFrame) -> DataFrame:
     """events -> (event_id, name, ts) with ts as a UTC instant."""
     return events.select(
         F.col("event_id"),
-        F.concat(F.lit(NAME_PREFIX), F.col("user_id").cast("string")).alias("name"),
+        name_of("user_id").alias("name"),
         as_instant("ts").alias("ts"),
     )
 
@@ -102,16 +121,15 @@ def keyed_lines(events: DataFrame) -> DataFrame:
     )
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that came back in fewer splits than there are cores.
-
-    The driver's tables are single-row-group files, read by one task; the
-    word expansion after them would then run on one core. The check reads
-    only the planned split count (metadata). A large input already has at
-    least that many splits and is left alone, so no shuffle is added at
-    scale.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
+def edge_keys(events: DataFrame) -> DataFrame:
+    """:func:`keyed_lines` with malformed keys among them: ``x-1`` for event_id %
+    23 = 5, a dash at the end for 6, three parts for 7, no number for 8."""
+    key = F.col("record_key")
+    return keyed_lines(events).withColumn(
+        "record_key",
+        F.when(_is(23, 5, "event_id"), F.lit("x-1"))
+        .when(_is(23, 6, "event_id"), F.concat(key, F.lit("-")))
+        .when(_is(23, 7, "event_id"), F.concat(key, F.lit("-1")))
+        .when(_is(23, 8, "event_id"), F.lit("5-"))
+        .otherwise(key),
+    )

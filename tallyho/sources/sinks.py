@@ -34,14 +34,30 @@ def compact(
     return path
 
 
-def kafka_records(df: DataFrame, key_col: str, value_col: str, topic: str, partition: int | None = None) -> DataFrame:
+EVENT_TIME_HEADER = "event_time_us"
+HEADERS_TYPE = "array<struct<key:string,value:binary>>"
+
+
+def kafka_records(
+    df: DataFrame,
+    key_col: str,
+    value_col: str,
+    topic: str,
+    partition: int | None = None,
+    event_time: str | None = None,
+) -> DataFrame:
     """Shape rows for the Kafka sink: key, value (strings), topic, partition.
-    The sink has no timestamp column, so event time must travel in the value."""
+    The sink has no timestamp column, so the event time travels in a header,
+    as decimal microseconds (:func:`topic_records` reads it back)."""
     cols = [
         F.col(key_col).cast("string").alias("key"),
         F.col(value_col).cast("string").alias("value"),
         F.lit(topic).alias("topic"),
     ]
+    if event_time is not None:
+        us = F.unix_micros(event_time).cast("string").cast("binary")
+        header = F.array(F.struct(F.lit(EVENT_TIME_HEADER).alias("key"), us.alias("value")))
+        cols.append(F.when(us.isNotNull(), header).cast(HEADERS_TYPE).alias("headers"))
     if partition is not None:
         cols.append(F.lit(int(partition)).alias("partition"))
     return df.select(*cols)
@@ -66,10 +82,20 @@ def read_topic(spark, servers: str, topic: str, starting: str = "earliest") -> D
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting)
+        .option("includeHeaders", "true")
         .load()
     )
+    return topic_records(raw)
+
+
+def topic_records(raw: DataFrame) -> DataFrame:
+    """Rows of the Kafka source (with headers) -> (key, value, timestamp): the
+    event time of :func:`kafka_records`, or the broker's time where a record
+    has none."""
+    ours = F.filter("headers", lambda h: h["key"] == EVENT_TIME_HEADER)
+    event_us = F.get(ours, 0)["value"].cast("string").try_cast("bigint")
     return raw.select(
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
-        F.col("timestamp"),
+        F.coalesce(F.timestamp_micros(event_us), F.col("timestamp")).alias("timestamp"),
     )

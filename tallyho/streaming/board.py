@@ -1,18 +1,20 @@
-"""Bounded leaderboard kept across micro-batches (R6 table from changelog,
-R7 bounded board with eviction, R8/S15 deltas as JSON), in ``foreachBatch``.
-
-For batch b: the batch's changelog is reduced to the latest count per name
-(a distributed aggregate); the candidates are the previous board with those
-updates applied plus the batch's own top ``size`` (a name outside the
-batch's top ``size`` cannot enter, ``size`` updated names beat it). So the
-step works on at most ``2 * size`` rows after the aggregate. The new board
-is the top ``size`` of the candidates by count desc, name asc.
-
-Deltas of the batch: every name on the new board that was updated in the
-batch, and every name that left the board, with count 0 - the messages the
-board's subscribers receive. Board, deltas and the JSON message are written
-under ``batch=<id>`` with overwrite; the board of batch b is read back from
-batch b-1, so a replayed batch gives the same result.
+"""Exact leaderboard across micro-batches (R6 table from changelog, R7 bounded
+board with eviction, R8/S15 deltas as JSON), in ``foreachBatch``.
+
+The changelog of :mod:`tallyho.streaming.trailing` brings each change once the
+watermark has passed it. So after a batch the counts, and with them the
+board, are those as of the batch's watermark, whatever the batches were.
+
+For batch b: the batch's last count of each name replaces the name's count in
+the table of live names as of batch b-1 (a distributed join), names at 0 leave
+the table, and the board is its top ``size``. A name off the board keeps its count,
+so it comes back when others fall. Deltas are the difference of two boards:
+names that entered or whose count changed, and names that left, with count 0.
+
+The table and the board are written to one of ``SLOTS`` folders in turn, with
+overwrite, so they don't pile up, and a batch that is repeated reads the table
+of the batch before it and gives the same result. Deltas and messages, the
+output to subscribers, are written under ``batch=<id>`` where there are any.
 """
 
 from __future__ import annotations
@@ -24,79 +26,100 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.render import counts_json
-from ..operators.board import BOARD_SIZE, latest_per_name
+from ..operators.board import BOARD_SIZE, board, last_counts
 
-BOARD_SCHEMA = "rank int, name string, n long"
+COUNT_SCHEMA = "batch long, name string, n long"
+BOARD_SCHEMA = "batch long, rank int, name string, n long"
+DELTA_SCHEMA = "name string, count long"
+SLOTS = 3
 
 
-def previous_board(spark: SparkSession, out: str, batch_id: int) -> DataFrame:
-    """Board after batch ``batch_id - 1`` (the newest earlier one written;
-    empty before the first batch)."""
-    for b in range(batch_id - 1, -1, -1):
+def previous_counts(spark: SparkSession, out: str, batch_id: int) -> DataFrame:
+    """(name, n) of live names after the newest of the last batches (none
+    before the first)."""
+    for before in range(1, SLOTS):
         try:
-            # an explicit schema keeps this a metadata lookup; a missing
-            # folder is reported here, before anything is read
-            return spark.read.schema(BOARD_SCHEMA).parquet(f"{out}/board/batch={b}")
-        except AnalysisException:
+            rows = spark.read.schema(COUNT_SCHEMA).parquet(f"{out}/counts/slot={(batch_id - before) % SLOTS}")
+        except AnalysisException:  # no such slot yet
             continue
-    return spark.createDataFrame([], BOARD_SCHEMA)
-
-
-def step_board(prev: DataFrame, changes: DataFrame, size: int = BOARD_SIZE) -> DataFrame:
-    """New board (rank, name, n) from the previous board and a batch changelog."""
-    latest = latest_per_name(changes)
-    top_batch = latest.orderBy(F.desc("n"), F.asc("name")).limit(size)
-    prev_now = (
-        prev.select("name", F.col("n").alias("n_old"))
-        .join(latest.withColumnRenamed("n", "n_new"), "name", "left")
-        .select("name", F.coalesce("n_new", "n_old").alias("n"))
-    )
-    candidates = prev_now.unionByName(top_batch).groupBy("name").agg(F.max("n").alias("n"))
-    top = candidates.orderBy(F.desc("n"), F.asc("name")).limit(size)
-    # rank over at most `size` rows
-    return top.select(
-        F.row_number().over(Window.orderBy(F.desc("n"), F.asc("name"))).alias("rank"), "name", "n"
+        rows = rows.where(F.col("batch") == batch_id - before)
+        if not rows.isEmpty():  # each batch writes a row without a name
+            return rows.where(F.col("name").isNotNull()).select("name", "n")
+    return spark.createDataFrame([], "name string, n long")
+
+
+def step_counts(prev: DataFrame, changes: DataFrame) -> DataFrame:
+    """(name, n) of live names after a batch's changelog."""
+    now = last_counts(changes).withColumnRenamed("n", "n_new")
+    return (
+        prev.join(now, "name", "full_outer")
+        .select("name", F.coalesce("n_new", "n").alias("n"))
+        .where(F.col("n") > 0)
     )
 
 
-def board_deltas(prev: DataFrame, board: DataFrame, changes: DataFrame) -> DataFrame:
-    """(name, count): board names updated in the batch, and evicted names
-    with count 0."""
-    touched = changes.select("name").distinct()
-    updated = board.join(touched, "name", "left_semi").select("name", F.col("n").alias("count"))
-    evicted = prev.select("name").join(board.select("name"), "name", "left_anti").select(
-        "name", F.lit(0).cast("bigint").alias("count")
+def board_deltas(prev: DataFrame, now: DataFrame) -> DataFrame:
+    """(name, count) from two boards: names that entered or changed, and
+    names that left, with count 0."""
+    both = prev.select("name", F.col("n").alias("n_old")).join(
+        now.select("name", F.col("n").alias("n_new")), "name", "full_outer"
+    )
+    return both.where(~F.col("n_old").eqNullSafe(F.col("n_new"))).select(
+        "name", F.coalesce("n_new", F.lit(0)).alias("count")
     )
-    return updated.unionByName(evicted)
 
 
 def board_sink(size: int = BOARD_SIZE) -> Callable[[str], Callable[[DataFrame, int], None]]:
     """foreachBatch sink factory for :func:`tallyho.streaming.runner.replay_runs`.
 
-    The batch changelog is written once and everything else is computed
-    from that copy, so the stateful micro-batch runs exactly once per batch.
+    The batch is read once, for the table of counts; boards and deltas come
+    from the tables as written.
     """
 
     def make(out: str) -> Callable[[DataFrame, int], None]:
         def write(batch: DataFrame, batch_id: int) -> None:
-            spark = batch.sparkSession
-            log_path = f"{out}/log/batch={batch_id}"
-            batch.write.mode("overwrite").parquet(log_path)
-            changes = spark.read.parquet(log_path)
-            prev = previous_board(spark, out, batch_id)
-            board_path = f"{out}/board/batch={batch_id}"
-            step_board(prev, changes, size).write.mode("overwrite").parquet(board_path)
-            board = spark.read.schema(BOARD_SCHEMA).parquet(board_path)
-            delta_path = f"{out}/deltas/batch={batch_id}"
-            board_deltas(prev, board, changes).write.mode("overwrite").parquet(delta_path)
-            msg = spark.read.parquet(delta_path).agg(
-                F.count(F.lit(1)).alias("entries"),
-                counts_json(F.collect_list(F.struct("name", "count"))).alias("message"),
-            )
-            msg.where(F.col("entries") > 0).write.mode("overwrite").parquet(
-                f"{out}/messages/batch={batch_id}"
-            )
+            spark, slot = batch.sparkSession, batch_id % SLOTS
+            prev = previous_counts(spark, out, batch_id)
+            number = F.lit(batch_id).cast("long").alias("batch")
+            marker = spark.createDataFrame([(batch_id, None, 0)], COUNT_SCHEMA)
+            counts_path = f"{out}/counts/slot={slot}"
+            step_counts(prev, batch).select(number, "name", "n").union(marker).write.mode("overwrite").parquet(counts_path)
+            counts = spark.read.schema(COUNT_SCHEMA).parquet(counts_path).where(F.col("name").isNotNull())
+            board_path = f"{out}/board/slot={slot}"
+            board(counts.select("name", "n"), size).select(number, "rank", "name", "n").write.mode("overwrite").parquet(board_path)
+            now = spark.read.schema(BOARD_SCHEMA).parquet(board_path)
+            deltas = board_deltas(board(prev, size), now).cache()  # at most 2 * size rows
+            try:
+                if not deltas.isEmpty():
+                    deltas.write.mode("overwrite").parquet(f"{out}/deltas/batch={batch_id}")
+                    deltas.agg(
+                        F.count(F.lit(1)).alias("entries"),
+                        counts_json(F.collect_list(F.struct("name", "count"))).alias("message"),
+                    ).write.mode("overwrite").parquet(f"{out}/messages/batch={batch_id}")
+            finally:
+                deltas.unpersist()
 
         return write
 
     return make
+
+
+def delta_steps(spark: SparkSession, out: str) -> DataFrame:
+    """(step, name, count): all deltas, the batches that had some numbered
+    from 1."""
+    deltas = spark.read.schema("batch long, " + DELTA_SCHEMA).parquet(f"{out}/deltas")
+    batches = sorted(r["batch"] for r in deltas.select("batch").distinct().collect())  # one row per flush
+    numbers = spark.createDataFrame([(b, i) for i, b in enumerate(batches, 1)], "batch long, step int")
+    return deltas.join(numbers, "batch").select("step", "name", "count")
+
+
+def boards_from_deltas(deltas: DataFrame) -> DataFrame:
+    """(step, rank, name, n): the board that a subscriber who applies the
+    deltas has after each step."""
+    by_name = Window.partitionBy("name").orderBy("step")
+    last = F.max("step").over(Window.partitionBy())  # deltas of boards: bounded by board size and steps
+    until = F.coalesce(F.lead("step").over(by_name) - 1, last)
+    held = deltas.withColumn("until", until).where(F.col("count") > 0)
+    held = held.select(F.explode(F.sequence("step", "until")).alias("step"), "name", F.col("count").alias("n"))
+    rank = F.row_number().over(Window.partitionBy("step").orderBy(F.desc("n"), F.asc("name")))
+    return held.select("step", rank.alias("rank"), "name", "n")

@@ -1,8 +1,9 @@
 """The streaming application end to end, as it runs in production.
 
 The feeder publishes records (key = record id, value = feed line, timestamp =
-assigned event time), here as Parquet appended to a folder; a Kafka topic read
-with :func:`tallyho.sources.sinks.read_topic` has the same three columns.
+assigned event time), here as Parquet appended to a folder, one sub-folder per
+segment; a Kafka topic written with the event time in a header and read with
+:func:`tallyho.sources.sinks.read_topic` has the same three columns.
 Two streaming queries then share that source:
 
 * ``mentions``: the parsed (event_id, record_key, name, ts) rows, appended
@@ -12,36 +13,47 @@ Two streaming queries then share that source:
 
 Each query has its own checkpoint under ``<root>/checkpoints``, so either one
 can be stopped, restarted or lose executors without affecting the other; the
-file sink and the ``batch=<id>`` overwrite of the board make both outputs
+file sink and the overwrite of a batch's own board make both outputs
 exactly once. ``maxFilesPerTrigger`` bounds a micro-batch, and with it the
 rows of one name that a single task handles in the counter.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.keys import first_field
 from ..operators.board import BOARD_SIZE
 from ..sources.feed import record_mentions
 from .board import board_sink
-from .runner import stream_conf
+from .runner import MAX_FILES, stream_conf
 from .trailing import trailing_stream
 
-RECORD_SCHEMA = "key string, value string, timestamp timestamp"
+RECORD_SCHEMA = "key string, value string, timestamp timestamp, segment string"
 
 
 def publish(records: DataFrame, topic_path: str) -> None:
-    """Append feeder output (key, value, timestamp) to the record folder."""
-    records.select("key", "value", "timestamp").write.mode("append").parquet(topic_path)
-
-
-def records_source(spark: SparkSession, topic_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Append feeder output (key, value, timestamp) to the record folder, a
+    sub-folder per segment (the stamp of its record ids). Segments that are
+    there already are left out, so a poll that is repeated, or offers a file
+    again, publishes nothing twice."""
+    spark = records.sparkSession
+    new = records.select("key", "value", "timestamp", first_field("key", "-").alias("segment"))
+    try:
+        there = spark.read.schema(RECORD_SCHEMA).parquet(topic_path).select("segment").distinct()
+    except AnalysisException:  # nothing published yet
+        pass
+    else:
+        new = new.join(there, "segment", "left_anti").select("key", "value", "timestamp", "segment")
+    new.write.mode("append").partitionBy("segment").parquet(topic_path)
+
+
+def records_source(spark: SparkSession, topic_path: str, max_files_per_trigger: int = MAX_FILES) -> DataFrame:
     """Streaming source over the record folder."""
-    reader = spark.readStream.schema(RECORD_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return reader.parquet(topic_path)
+    reader = spark.readStream.schema(RECORD_SCHEMA).option("maxFilesPerTrigger", int(max_files_per_trigger))
+    return reader.parquet(topic_path).select("key", "value", "timestamp")
 
 
 def start(

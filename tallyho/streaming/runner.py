@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 from ..session import configure, scratch_path
 
+# Files of one micro-batch: bounds what one task of a stateful operator gets.
+MAX_FILES = 1_000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -61,18 +63,38 @@ def replay_runs(
     output_mode: str = "append",
     sink: Callable[[str], Callable[[DataFrame, int], None]] = batch_writer,
     tag: str = "stream",
+    heartbeat: str | None = None,
 ) -> str:
     """Land ``table`` in ``runs`` slices, running the stream ``build`` after
-    each; returns the sink folder (``batch=<id>`` sub-folders)."""
+    each; returns the sink folder (``batch=<id>`` sub-folders). Rows without an
+    ordering value land with the first slice.
+
+    ``heartbeat`` names the event-time column of a last landing: one row that
+    is null but for a time a day after the newest. It moves the watermark past
+    all data, as a feed that has gone quiet does in production.
+    """
     stream_conf(spark)
     landing = scratch_path(spark, f"{tag}-landing")
     checkpoint = scratch_path(spark, f"{tag}-checkpoint")
     out = scratch_path(spark, f"{tag}-out")
     schema = table.schema
-    for lo, hi in slice_bounds(table, order_col, runs):
-        part = table.where((F.col(order_col) >= lo) & (F.col(order_col) < hi))
+    bounds = slice_bounds(table, order_col, runs)
+    order = F.col(order_col)
+    parts = [table.where((order >= lo) & (order < hi) | (F.lit(i == 0) & order.isNull())) for i, (lo, hi) in enumerate(bounds)]
+    if heartbeat:
+        last = table.agg(F.max(heartbeat).alias("t")).where("t is not null")
+        beat = F.col("t") + F.expr("INTERVAL 1 DAY")
+        parts.append(
+            last.select(
+                *(
+                    (beat if f.name == heartbeat else F.lit(None)).cast(f.dataType).alias(f.name)
+                    for f in schema.fields
+                )
+            )
+        )
+    for part in parts:
         part.write.mode("append").parquet(landing)
-        source = spark.readStream.schema(schema).parquet(landing)
+        source = spark.readStream.schema(schema).option("maxFilesPerTrigger", MAX_FILES).parquet(landing)
         query = (
             build(source)
             .writeStream.outputMode(output_mode)

@@ -1,26 +1,26 @@
 """Trailing count per name on a stream (R2 keyed running count, R3 timed
 decrement, R5 changelog output), with ``transformWithStateInPandas``.
 
-State per name: the (time, event id) of its mentions still inside the
-retention period, kept in chunks on RocksDB - one chunk per batch that
-brought rows, two packed int64 arrays each (``data``), plus a small index of
-every chunk's oldest time and size (``meta``). A batch reads the index, loads
-only the chunks that can expire before its newest row, rewrites or drops
-just those, and adds its own rows as a new chunk. So the state read and
-written per batch follows the rows that arrive and expire, not the whole
-pending set of a name - which matters for a name holding a large share of
-all mentions.
-
-For each micro-batch the rows of a name are sorted by (time, event id); a
-mention expires *before* an arrival at or after its deadline, so every
-arrival's count is the exact number of that name's mentions in
-(t - retention, t] - as in the batch form
-:func:`tallyho.operators.trailing.trailing_changelog`.
-
-Names that go quiet are counted down by one event-time timer per name, set
-at the oldest pending deadline; it fires when the watermark passes it. A
-name with nothing pending has no state left (the count 0 is emitted once).
-Work per batch is vectorised with numpy over the batch's rows.
+A mention is held until the watermark has passed it, and so is its expiry.
+Then no earlier row can come any more, and a name's changes are counted in
+the order of (time, expiry before arrival, event id): the output is the batch
+changelog :func:`tallyho.operators.trailing.trailing_changelog`, row by row,
+in whatever order the rows arrived within the watermark's delay. Rows later
+than that are dropped by Spark before they reach the state.
+
+State per name: its mentions in chunks on RocksDB, two packed int64 arrays
+each (``data``), and a small index of every chunk (``meta``): whether the chunk waits
+to arrive or, arrived, to expire, its oldest time and its size. A batch adds
+its rows as one waiting chunk. When the watermark moves, only chunks with
+something due are read and rewritten. So the state read and written follows
+the rows that arrive and expire, not the whole pending set of a name, which
+matters for a name holding a large share of all mentions; how many of its
+rows one batch brings is bounded by the source's ``maxFilesPerTrigger``.
+
+Each name has one event-time timer, at its oldest due time. A name with
+nothing pending has no state left (the count 0 is emitted once). Rows without
+a name only move the watermark (a heartbeat). Work per timer is vectorised
+with numpy.
 """
 
 from __future__ import annotations
@@ -49,7 +49,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 OUTPUT_SCHEMA = "name string, event_id long, kind string, change_us long, n long"
 CHUNK_KEY = "chunk long"
-META_SCHEMA = "oldest_us long, rows long"
+META_SCHEMA = "arrived boolean, oldest_us long, rows long"
 DATA_SCHEMA = "ts_us binary, event_id binary"
 _I64 = np.dtype("<i8")
 _EMPTY = np.empty(0, np.int64)
@@ -68,9 +68,9 @@ class TrailingCounter(StatefulProcessor):
 
     # -- state helpers -----------------------------------------------------
 
-    def _index(self) -> dict[int, tuple[int, int]]:
-        """chunk -> (oldest time in us, rows) for every pending chunk."""
-        return {int(k[0]): (int(v[0]), int(v[1])) for k, v in self.meta.iterator()}
+    def _index(self) -> dict[int, tuple[bool, int, int]]:
+        """chunk -> (arrived, oldest time in us, rows) for every chunk."""
+        return {int(k[0]): (bool(v[0]), int(v[1]), int(v[2])) for k, v in self.meta.iterator()}
 
     def _read(self, chunk: int) -> tuple[np.ndarray, np.ndarray]:
         v = self.data.getValue((chunk,))
@@ -78,48 +78,42 @@ class TrailingCounter(StatefulProcessor):
         eid = np.frombuffer(v[1], dtype=_I64).astype(np.int64)
         return ts, eid
 
-    def _write(self, chunk: int, ts: np.ndarray, eid: np.ndarray) -> None:
-        """Store a chunk, or drop it when it is empty."""
+    def _write(self, index: dict, chunk: int, arrived: bool, ts: np.ndarray, eid: np.ndarray) -> None:
+        """Store a chunk and its index entry, or drop both when it is empty."""
         key = (chunk,)
         if len(ts) == 0:
-            self.meta.removeKey(key)
-            self.data.removeKey(key)
+            if index.pop(chunk, None):
+                self.meta.removeKey(key)
+                self.data.removeKey(key)
             return
-        self.meta.updateValue(key, (int(ts.min()), int(len(ts))))
+        index[chunk] = (arrived, int(ts.min()), len(ts))
+        self.meta.updateValue(key, index[chunk])
         self.data.updateValue(key, (ts.astype(_I64).tobytes(), eid.astype(_I64).tobytes()))
 
-    def _drain(
-        self, index: dict[int, tuple[int, int]], until_us: int
-    ) -> tuple[np.ndarray, np.ndarray, dict[int, tuple[int, int]]]:
-        """Remove every pending mention whose deadline is at or before
-        ``until_us``; only chunks that hold one are read and rewritten.
-        Returns the expired (time, id) and the index after the drain."""
-        out_ts, out_id = [], []
-        index = dict(index)
-        for chunk, (oldest, _) in list(index.items()):
-            if oldest + self.retention_us > until_us:
-                continue
-            ts, eid = self._read(chunk)
-            gone = ts + self.retention_us <= until_us
-            out_ts.append(ts[gone])
-            out_id.append(eid[gone])
-            keep_ts, keep_id = ts[~gone], eid[~gone]
-            self._write(chunk, keep_ts, keep_id)
-            if len(keep_ts):
-                index[chunk] = (int(keep_ts.min()), int(len(keep_ts)))
-            else:
-                del index[chunk]
-        if not out_ts:
-            return _EMPTY, _EMPTY, index
-        return np.concatenate(out_ts), np.concatenate(out_id), index
-
-    def _timer_ms(self, index: dict[int, tuple[int, int]]) -> int | None:
-        """The one timer a name has: at its oldest pending deadline, in ms
-        (rounded up), or none when nothing is pending."""
-        if not index:
-            return None
-        oldest = min(v[0] for v in index.values())
-        return -(-(oldest + self.retention_us) // 1000)
+    def _add(self, index: dict, arrived: bool, ts: np.ndarray, eid: np.ndarray) -> None:
+        self._write(index, max(index, default=-1) + 1, arrived, ts, eid)
+
+    def _due(self, entry: tuple[bool, int, int]) -> int:
+        return entry[1] + (self.retention_us if entry[0] else 0)
+
+    def _take(self, index: dict, arrived: bool, until_us: int) -> tuple[np.ndarray, np.ndarray]:
+        """Remove and return the mentions of one kind that are due at or
+        before ``until_us``; only chunks that hold one are read."""
+        shift = self.retention_us if arrived else 0
+        out_ts, out_id = [_EMPTY], [_EMPTY]
+        for chunk, entry in list(index.items()):
+            if entry[0] == arrived and self._due(entry) <= until_us:
+                ts, eid = self._read(chunk)
+                due = ts + shift <= until_us
+                out_ts.append(ts[due])
+                out_id.append(eid[due])
+                self._write(index, chunk, arrived, ts[~due], eid[~due])
+        return np.concatenate(out_ts), np.concatenate(out_id)
+
+    def _timer_ms(self, index: dict) -> int | None:
+        """The one timer a name has: at its oldest due time, in ms (rounded
+        up), or none when nothing is pending."""
+        return -(-min(map(self._due, index.values())) // 1000) if index else None
 
     def _move_timer(self, old: int | None, new: int | None) -> None:
         if old == new:
@@ -129,68 +123,47 @@ class TrailingCounter(StatefulProcessor):
         if new is not None:
             self.handle.registerTimer(new)
 
-    @staticmethod
-    def _frame(name, eid, kind, change_us, n) -> pd.DataFrame:
-        return pd.DataFrame(
-            {
-                "name": [name] * len(eid),
-                "event_id": np.asarray(eid, dtype=np.int64),
-                "kind": kind,
-                "change_us": np.asarray(change_us, dtype=np.int64),
-                "n": np.asarray(n, dtype=np.int64),
-            }
-        )
-
     # -- handlers ----------------------------------------------------------
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        name = key[0]
-        batch = pd.concat(list(rows), ignore_index=True)
-        new_ts = batch["ts_us"].to_numpy(dtype=np.int64)
-        new_id = batch["event_id"].to_numpy(dtype=np.int64)
-        index = self._index()
-        pending = sum(v[1] for v in index.values())
-        old_timer = self._timer_ms(index)
-        # every arrival drains what expired at or before it: stored mentions,
-        # and mentions of this very batch that the batch's newest row outlives
-        newest = int(new_ts.max())
-        gone_ts, gone_id, index = self._drain(index, newest)
-        early = new_ts + self.retention_us <= newest
-        gone_ts = np.concatenate([gone_ts, new_ts[early]])
-        gone_id = np.concatenate([gone_id, new_id[early]])
-        # steps: expiries (-1) of drained mentions, arrivals (+1) of new ones
-        t = np.concatenate([gone_ts + self.retention_us, new_ts])
-        d = np.concatenate([np.full(len(gone_ts), -1, dtype=np.int64), np.ones(len(new_ts), dtype=np.int64)])
-        e = np.concatenate([gone_id, new_id])
-        order = np.lexsort((e, d, t))  # by time, then step (-1 first), then id
-        t, d, e = t[order], d[order], e[order]
-        n = pending + np.cumsum(d)
-        kind = np.where(d > 0, ARRIVAL, EXPIRY)
-        stay_ts, stay_id = new_ts[~early], new_id[~early]  # never empty: the newest stays
-        chunk = max(index, default=-1) + 1
-        self._write(chunk, stay_ts, stay_id)
-        index[chunk] = (int(stay_ts.min()), int(len(stay_ts)))
-        self._move_timer(old_timer, self._timer_ms(index))
-        yield self._frame(name, e, kind, t, n)
+        batch = [(r["ts_us"].to_numpy(dtype=np.int64), r["event_id"].to_numpy(dtype=np.int64)) for r in rows]
+        if key[0] is not None:
+            index = self._index()
+            old = self._timer_ms(index)
+            self._add(index, False, np.concatenate([b[0] for b in batch]), np.concatenate([b[1] for b in batch]))
+            self._move_timer(old, self._timer_ms(index))
+        return iter(())
 
     def handleExpiredTimer(
         self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo
     ) -> Iterator[pd.DataFrame]:
-        name = key[0]
         index = self._index()
         if not index:
             return
-        pending = sum(v[1] for v in index.values())
-        watermark_us = int(timerValues.getCurrentWatermarkInMs()) * 1000
-        gone_ts, gone_id, index = self._drain(index, watermark_us)
-        # the timer that fired is gone; the next one is at the new oldest
-        # deadline (past the watermark, since the oldest always expires here)
+        until = int(timerValues.getCurrentWatermarkInMs()) * 1000
+        pending = sum(rows for arrived, _, rows in index.values() if arrived)
+        new_ts, new_id = self._take(index, False, until)
+        gone_ts, gone_id = self._take(index, True, until)
+        # mentions that arrive and expire before this watermark
+        early = new_ts + self.retention_us <= until
+        gone_ts, gone_id = np.concatenate([gone_ts, new_ts[early]]), np.concatenate([gone_id, new_id[early]])
+        self._add(index, True, new_ts[~early], new_id[~early])
+        t = np.concatenate([gone_ts + self.retention_us, new_ts])
+        d = np.concatenate([np.full(len(gone_ts), -1, np.int64), np.ones(len(new_ts), np.int64)])
+        e = np.concatenate([gone_id, new_id])
+        order = np.lexsort((e, d, t))  # by time, then step (-1 first), then id
+        t, d, e = t[order], d[order], e[order]
+        # the timer that fired is gone
         self._move_timer(None, self._timer_ms(index))
-        if len(gone_ts):
-            deadline = gone_ts + self.retention_us
-            order = np.lexsort((gone_id, deadline))
-            n = pending - np.arange(1, len(gone_ts) + 1)
-            yield self._frame(name, gone_id[order], EXPIRY, deadline[order], n)
+        yield pd.DataFrame(
+            {
+                "name": [key[0]] * len(e),
+                "event_id": e,
+                "kind": np.where(d > 0, ARRIVAL, EXPIRY),
+                "change_us": t,
+                "n": pending + np.cumsum(d),
+            }
+        )
 
     def close(self) -> None:
         pass
@@ -202,8 +175,8 @@ def trailing_stream(
     watermark: str = "10 minutes",
 ) -> DataFrame:
     """Streaming mentions (event_id, name, ts) -> changelog
-    (name, event_id, kind, change_ts, n). Rows later than the watermark are
-    dropped by Spark before they reach the state."""
+    (name, event_id, kind, change_ts, n), every change once the watermark has
+    passed it."""
     keyed = mentions.withWatermark("ts", watermark).select(
         "name", "event_id", "ts", F.unix_micros("ts").alias("ts_us")
     )

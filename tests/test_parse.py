@@ -2,8 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
-
 from tallyho.operators import topnames
 from tallyho.sources import feed
 
@@ -91,14 +89,29 @@ def test_bad_utf8_removed(spark, tmp_dir):
     assert _names(spark, path)["bad"] == ["Ann"]
 
 
-def test_bad_date_has_no_day(spark, tmp_dir):
-    path = _write(tmp_dir, [_line("Ann,1", date="abc", rid="x")])
-    arts = feed.articles_from_lines(feed.read_lines(spark, path))
-    top = topnames.top_names_per_day(arts)
-    assert top.where(F.col("day").isNotNull()).count() == 0
+def test_bad_date_is_dropped_from_daily_results(spark, tmp_dir):
+    lines = [_line("Ann,1", date="abc", rid="x"), _line("Bob,1", rid="y"), _line("Cy,1", date="20150301000000", rid="z")]
+    path = _write(tmp_dir, lines)
+    for arts in (
+        feed.articles_from_lines(feed.read_lines(spark, path)),
+        feed.articles_from_typed(feed.read_typed(spark, path)),
+    ):
+        top = topnames.top_names_per_day(arts)
+        rows = sorted((str(r["day"]), r["rank"], r["name"], r["n"]) for r in top.collect())
+        assert rows == [("2015-02-18", 1, "Bob", 1), ("2015-03-01", 1, "Cy", 1)]
+        assert [r["name"] for r in topnames.first_days(top, 1).collect()] == ["Bob"]
     assert feed.line_report(feed.read_lines(spark, path)).first()["undated_lines"] == 1
 
 
+def test_names_are_cut_once(spark, tmp_dir):
+    """Fields are found without cutting the line; names are cut once."""
+    path = _write(tmp_dir, [_line("Ann,1;Bob,2")])
+    arts = feed.articles_from_lines(feed.read_lines(spark, path))
+    plan = topnames.explode_names(arts)._jdf.queryExecution().executedPlan().toString()
+    # lines aren't cut at all, and the name list is cut once
+    assert "split(value" not in plan and plan.count(", ;, -1)") == 1
+
+
 def test_tie_at_rank_10(spark, tmp_dir):
     names = ";".join(f"N{c},{i}" for i, c in enumerate("KJIHGFEDCBA"))
     path = _write(tmp_dir, [_line(names)])
@@ -125,9 +138,11 @@ def test_feed_records_spread_per_segment(spark, tmp_dir):
     from tallyho.operators import replay
 
     lines = [_line("Ann,1", rid=f"20150218101500-{i}") for i in (3, 1, 2, 4)]
-    lines += [_line("Bob,1", rid="20150218103000-9")]
+    lines += [_line("Bob,1", rid="20150218103000-9"), _line("Cy,1", rid="nostamp-4")]
     path = _write(tmp_dir, lines)
-    recs = replay.feed_records(feed.read_lines(spark, path)).collect()
+    lines = feed.read_lines(spark, path)
+    recs = replay.feed_records(lines).collect()
+    assert [r["record_key"] for r in replay.rejected_lines(lines).collect()] == ["nostamp-4"]
     got = {r["key"]: r["event_ms"] for r in recs}
     base = 1424254500000  # 2015-02-18 10:15 UTC
     assert got == {

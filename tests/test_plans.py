@@ -6,9 +6,12 @@ import pytest
 from tallyho.plans import QUERIES
 from tests.conftest import SF_SMALL
 
-# every registered batch query (the four stream queries run a stateful
-# Python processor by design)
-STREAMS = {"feed_stream_top", "hourly_sliding_counts", "stateful_trailing", "board_evictions"}
+# every registered batch query (the stream queries run a stateful Python
+# processor by design)
+STREAMS = {
+    "feed_stream_top", "hourly_sliding_counts", "stateful_trailing", "stateful_changelog", "board_evictions",
+    "stream_board",
+}
 BATCH = sorted(set(QUERIES) - STREAMS)
 
 
@@ -33,3 +36,9 @@ def test_scan_reads_two_columns(spark):
     df = QUERIES["top_names_per_day"](spark, SF_SMALL)
     text = _plan(df)
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
+
+
+def test_board_reads_only_the_last_hour(spark):
+    """The time filter reaches the scan, and no window runs over the history."""
+    text = _plan(QUERIES["latest_per_name"](spark, SF_SMALL))
+    assert "GreaterThan(ts," in text and "Window" not in text

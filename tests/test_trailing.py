@@ -56,51 +56,96 @@ def test_delta_messages(spark):
 
 def test_delta_messages_split_into_parts(spark):
     """A bucket with more names than a part holds: every change kept, parts
-    name-contiguous and bounded, including through the hot-bucket path."""
+    name-contiguous and bounded."""
     deltas = spark.createDataFrame(
         [(T0, f"n{i:02d}", i) for i in range(7)], "bucket timestamp, name string, count long"
     )
-    for kw in ({}, {"hot_rows": 1, "pieces": 3}):
-        numbered = board.delta_messages(deltas, max_entries=3, **kw)
-        rows = numbered.orderBy("part").collect()
-        assert [(r["part"], r["entries"]) for r in rows] == [(0, 3), (1, 3), (2, 1)]
-        assert rows[1]["message"].startswith('[{"name":"n03","count":3}')
+    rows = board.delta_messages(deltas, max_entries=3).orderBy("part").collect()
+    assert [(r["part"], r["entries"]) for r in rows] == [(0, 3), (1, 3), (2, 1)]
+    assert rows[1]["message"].startswith('[{"name":"n03","count":3}')
+
+
+def test_zero_counts_are_not_live(spark):
+    m = _mentions(spark, [(0, "gone", T0), (1, "here", T0 + dt.timedelta(minutes=70)), (2, "edge", T0 + dt.timedelta(minutes=10))])
+    as_of = T0 + dt.timedelta(minutes=70)
+    log = trailing.trailing_changelog(m)
+    last = {r["name"]: r["n"] for r in board.last_counts(log, F.lit(as_of)).collect()}
+    assert last == {"gone": 0, "edge": 0, "here": 1}
+    live = {r["name"]: r["n"] for r in board.latest_per_name(log, F.lit(as_of)).collect()}
+    assert live == {"here": 1} == {r["name"]: r["n"] for r in trailing.live_counts(m, as_of).collect()}
+
+
+CHANGES = "name string, event_id long, kind string, change_ts timestamp, n long"
+
+
+def _board_after(spark, out, batches, size):
+    """Feed changelog batches to the sink; (board, deltas) after each."""
+    write = stream_board.board_sink(size)(out)
+    seen = []
+    for b, rows in enumerate(batches):
+        write(spark.createDataFrame([(name, i, "arrival", T0, n) for i, (name, n) in enumerate(rows)], CHANGES), b)
+        now = spark.read.schema(stream_board.BOARD_SCHEMA).parquet(f"{out}/board/slot={b % stream_board.SLOTS}")
+        assert {r["batch"] for r in now.collect()} <= {b}
+        seen.append([(r["name"], r["n"]) for r in now.orderBy("rank").collect()])
+    return seen
+
+
+def test_name_off_the_board_comes_back(spark, tmp_dir):
+    """Size 1: A=5 and B=4, then A expires: B is on the board again, with the
+    count it kept, though it was not in the batch."""
+    boards = _board_after(spark, tmp_dir, [[("A", 5), ("B", 4)], [("A", 0)], [], [("C", 4)], [("B", 0), ("C", 0)]], 1)
+    assert boards == [[("A", 5)], [("B", 4)], [("B", 4)], [("B", 4)], []]
+    deltas = stream_board.delta_steps(spark, tmp_dir)
+    got = sorted((r["step"], r["name"], r["count"]) for r in deltas.collect())
+    assert got == [(1, "A", 5), (2, "A", 0), (2, "B", 4), (3, "B", 0)]
+    again = [(r["step"], r["rank"], r["name"], r["n"]) for r in stream_board.boards_from_deltas(deltas).collect()]
+    assert sorted(again) == [(1, 1, "A", 5), (2, 1, "B", 4)]
+
+
+def test_repeated_batch_gives_the_same_board(spark, tmp_dir):
+    batches = [[("A", 3), ("B", 2)], [("A", 1)], [("C", 9)], [("A", 7)]]
+    boards = _board_after(spark, tmp_dir, batches, 2)
+    assert boards[-1] == [("C", 9), ("A", 7)]
+    write = stream_board.board_sink(2)(tmp_dir)
+    write(spark.createDataFrame([("A", 0, "arrival", T0, 7)], CHANGES), 3)
+    now = spark.read.schema(stream_board.BOARD_SCHEMA).parquet(f"{tmp_dir}/board/slot=0")
+    assert [(r["name"], r["n"]) for r in now.orderBy("rank").collect()] == boards[-1]
+
+
+def _stream_rows(spark, events, order_col="event_id", heartbeat="ts"):
+    out = runner.replay_runs(
+        spark, events, lambda src: stream_trailing.trailing_stream(fixtures.mentions(src)), order_col=order_col,
+        tag="t", heartbeat=heartbeat,
+    )
+    key = lambda r: (r["name"], r["event_id"], r["kind"], r["change_ts"], r["n"])
+    return sorted(map(key, runner.read_sink(spark, out).collect())), key
 
 
-def test_step_board_evicts_with_zero(spark):
-    prev = spark.createDataFrame([(1, "a", 5), (2, "b", 3)], stream_board.BOARD_SCHEMA)
-    changes = spark.createDataFrame(
-        [("c", 9, "arrival", T0, 4), ("b", 8, "expiry", T0, 2)],
-        "name string, event_id long, kind string, change_ts timestamp, n long",
+def _events(spark, rows):
+    return spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp").withColumn(
+        "ts", F.col("ts").cast("timestamp_ntz")
     )
-    new = stream_board.step_board(prev, changes, size=2)
-    assert [(r["name"], r["n"]) for r in new.orderBy("rank").collect()] == [("a", 5), ("c", 4)]
-    deltas = {r["name"]: r["count"] for r in stream_board.board_deltas(prev, new, changes).collect()}
-    assert deltas == {"c": 4, "b": 0}
 
 
-def test_stream_matches_batch(spark):
-    """Same events through the stateful stream (4 landings) and through the
-    batch changelog: equal arrival counts, and equal expiry rows up to the
-    last watermark the stream saw."""
-    events = fixtures.table(spark, "/root/testdata/sf0.001", "events").select("event_id", "ts", "user_id")
-    out = runner.replay_runs(
-        spark, events, lambda src: stream_trailing.trailing_stream(fixtures.mentions(src)), tag="t"
-    )
-    got = runner.read_sink(spark, out)
-    batch = trailing.trailing_changelog(fixtures.mentions(events))
-    key = lambda r: (r["event_id"], r["kind"])
-    s_rows = {key(r): (r["name"], r["change_ts"], r["n"]) for r in got.collect()}
-    b_rows = {key(r): (r["name"], r["change_ts"], r["n"]) for r in batch.collect()}
-    arr_s = {k: v for k, v in s_rows.items() if k[1] == "arrival"}
-    arr_b = {k: v for k, v in b_rows.items() if k[1] == "arrival"}
-    assert arr_s == arr_b and len(arr_s) == 1000
-    exp_s = {k: v for k, v in s_rows.items() if k[1] == "expiry"}
-    assert exp_s, "timers never fired"
-    last = max(v[1] for v in exp_s.values())
-    exp_b = {k: v for k, v in b_rows.items() if k[1] == "expiry" and v[1] <= last}
-    assert exp_s == exp_b
-    assert min(v[2] for v in s_rows.values()) >= 0
+def test_late_rows_count_as_in_the_batch(spark):
+    """Arrivals 0:00, 1:05, 0:59, 1:06 of one name, landed in that order in
+    four runs: counts 1, 1, 2, 3 by time, as in the batch changelog."""
+    rows = [(i, 1, T0 + dt.timedelta(minutes=m)) for i, m in enumerate((0, 65, 59, 66))]
+    got, key = _stream_rows(spark, _events(spark, rows))
+    want = sorted(map(key, trailing.trailing_changelog(fixtures.mentions(_events(spark, rows))).collect()))
+    assert got == want
+    by_id = {(r[1], r[2]): r[4] for r in got}
+    assert [by_id[i, "arrival"] for i in range(4)] == [1, 2, 2, 3]
+
+
+def test_stream_holds_back_what_may_still_change(spark):
+    """Without a heartbeat the log ends at the watermark: the newest time
+    less 10 minutes."""
+    rows = [(i, i % 2, T0 + dt.timedelta(minutes=7 * i)) for i in range(20)]
+    got, key = _stream_rows(spark, _events(spark, rows), heartbeat=None)
+    mark = T0 + dt.timedelta(minutes=7 * 19 - 10)
+    log = trailing.trailing_changelog(fixtures.mentions(_events(spark, rows))).collect()
+    assert got == sorted(key(r) for r in log if r["change_ts"] <= mark)
 
 
 def test_pipeline_tee_and_board(spark, tmp_dir):
@@ -120,44 +165,50 @@ def test_pipeline_tee_and_board(spark, tmp_dir):
             cols[0], cols[1], cols[23] = f"20150218100000-{i}", "20150218100000", names
             fh.write("\t".join(cols) + "\n")
     topic = os.path.join(tmp_dir, "topic")
-    pipeline.publish(replay.feed_records(feed.read_lines(spark, src)), topic)
+    for _ in range(2):  # a segment that is offered again is published once
+        pipeline.publish(replay.feed_records(feed.read_lines(spark, src)), topic)
+    assert spark.read.parquet(topic).count() == 3
+    # a heartbeat: a record without names moves the watermark past the others
+    beat = spark.createDataFrame(
+        [("20150220100000-1", "x", dt.datetime(2015, 2, 18, 10, 40))], "key string, value string, timestamp timestamp"
+    )
+    cols[0], cols[1], cols[23] = "20150218103000-1", "20150218103000", "Dee,1"
+    beat = beat.withColumn("value", F.lit("\t".join(cols)))
+    pipeline.publish(beat, topic)
     root = os.path.join(tmp_dir, "app")
     qs = pipeline.start(spark, pipeline.records_source(spark, topic), root, board_size=2, available_now=True)
     for q in qs.values():
         q.awaitTermination()
         assert q.exception() is None
     names = sorted(r["name"] for r in spark.read.parquet(f"{root}/mentions").collect())
-    assert names == ["Ann", "Ann", "Ann", "Bob", "Cy"]
-    boards = spark.read.parquet(f"{root}/board/board")
+    assert names == ["Ann", "Ann", "Ann", "Bob", "Cy", "Dee"]
+    boards = spark.read.schema(stream_board.BOARD_SCHEMA).parquet(f"{root}/board/board")
     last = boards.agg(F.max("batch")).first()[0]
     top = [(r["name"], r["n"]) for r in boards.where(F.col("batch") == last).orderBy("rank").collect()]
     assert top == [("Ann", 3), ("Bob", 1)]
 
 
 def test_stream_busy_name_chunks(spark):
-    """One name with a mention every 7 minutes for 9 hours, landed in four
-    runs: stored chunks expire in part and in whole, rows expire inside their
-    own batch, and every arrival count equals the batch changelog."""
+    """One name with a mention every 7 minutes for 9 hours, another every 50,
+    up to 9 minutes late within and across four landings: stored chunks arrive
+    and expire in part and in whole, and the log equals the batch changelog."""
     timed = [(5, T0 + dt.timedelta(minutes=7 * i)) for i in range(78)]
     timed += [(6, T0 + dt.timedelta(minutes=50 * i, seconds=30)) for i in range(11)]
-    # ids in time order: the runs are cut by id, and the watermark drops
-    # rows that land after later ones
     rows = [(i, u, t) for i, (u, t) in enumerate(sorted(timed, key=lambda r: r[1]))]
-    events = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp").withColumn(
-        "ts", F.col("ts").cast("timestamp_ntz")
-    )
-    out = runner.replay_runs(
-        spark, events, lambda src: stream_trailing.trailing_stream(fixtures.mentions(src)), tag="busy"
-    )
-    got = runner.read_sink(spark, out).collect()
-    batch = trailing.trailing_changelog(fixtures.mentions(events)).collect()
-    arr = lambda rs: {(r["event_id"], r["n"]) for r in rs if r["kind"] == "arrival"}
-    assert arr(got) == arr(batch) and len(arr(got)) == len(rows)
+    late = F.pmod(F.col("event_id") * 7919, F.lit(540)) * 1_000_000
+    events = _events(spark, rows).withColumn("arrival_us", F.unix_micros(F.col("ts").cast("timestamp")) + late)
+    got, key = _stream_rows(spark, events, order_col="arrival_us")
+    want = sorted(map(key, trailing.trailing_changelog(fixtures.mentions(events)).collect()))
+    assert got == want
     # with a mention every 7 minutes the trailing hour holds 9 of them
-    assert max(r["n"] for r in got if r["name"] == "user_5") == 9
-    last = max(r["change_ts"] for r in got if r["kind"] == "expiry")
-    exp = lambda rs: {(r["event_id"], r["n"]) for r in rs if r["kind"] == "expiry" and r["change_ts"] <= last}
-    assert exp(got) == exp(batch)
+    assert max(r[4] for r in got if r[0] == "user_5") == 9
+
+
+def test_rows_without_order_value_are_landed(spark):
+    rows = [(i if i % 4 else None, 1, T0 + dt.timedelta(minutes=i)) for i in range(12)]
+    events = _events(spark, rows)
+    out = runner.replay_runs(spark, events, lambda src: src.select("user_id", "ts"), tag="nulls")
+    assert runner.read_sink(spark, out).count() == 12
 
 
 from hypothesis import HealthCheck, given, settings  # noqa: E402
