@@ -8,15 +8,20 @@
    difference almost exact.
 2. Texts with equal sets are one class; only classes go on.
 3. Classes that share a band are candidates. In each bucket all members are
-   first paired with the bucket's smallest class (a star, not all pairs).
-   Pairs whose sizes or odd sketches rule out the threshold are dropped, the
-   others are confirmed on the full sets.
-4. After the components of these links are known, buckets that still hold
-   several components give the pairs across components; they are confirmed the
-   same way. So every pair that shares a bucket is either tested or already
-   in one component, and a bucket of thousands of mutual copies costs thousands
-   of tests and not their square.
-5. The components of all links are the result.
+   first paired with one class (a star, not all pairs). Pairs whose sizes or
+   odd sketches rule out the threshold are dropped, the others are confirmed
+   on the full sets, and the components of these links are taken.
+4. Buckets that still hold several components go on. Shingles that only one of
+   their classes has can't be common to any pair, which gives an exact upper
+   bound of what a class can share. Of what that bound leaves, each bucket's
+   class with the fewest such shingles, the middle of a group of copies, is
+   paired with the members of other components, and components are taken again.
+5. In buckets that still hold several components, the pairs across components
+   that bound, sizes and sketches leave are confirmed. So every pair that
+   shares a bucket is tested, ruled out, or already in one component, and a
+   bucket of thousands of mutual copies costs thousands of tests, not their
+   square.
+6. The components of all links are the result.
 
 Two sets of the threshold's similarity share no band with a chance of
 (1 - 0.75**4)**32 = 5e-6; the sketch drops such a pair with about 1e-6.
@@ -166,34 +171,110 @@ def plausible() -> Column:
     return sizes & (sketch_distance("odd_a", "odd_b") <= sketch_limit(n_a, n_b))
 
 
-def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets reach the threshold.
+def shareable() -> Column:
+    """The shingles that a and b may have in common, at most ``n - own``, allow
+    the threshold: i of a union of n_a + n_b - i."""
+    most = F.least(F.col("n_a") - F.col("own_a"), F.col("n_b") - F.col("own_b"))
+    return (100 + THRESHOLD_PCT) * most >= THRESHOLD_PCT * (F.col("n_a") + F.col("n_b"))
 
-    Sets are made anew from the texts of one document of each class that
-    occurs, and travel only for the pairs left.
-    """
-    pairs = written(pairs.distinct(), "candidates")
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = nodes.join(classes, "node").select("node", "id", "set_key")
+
+def shingle_table(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, shingles) of the classes in ``nodes``, made anew from the text of
+    one document of each."""
+    wanted = written(nodes.distinct().join(classes.select("node", "id", "set_key"), "node"), "wanted")
     texts = docs.join(wanted.select("id").distinct(), "id", "left_semi")
     sets = (
         W.map_texts(texts, "text", _set_arrays, {"set_key": "binary", "shingles": "array<bigint>"})
         .select(F.col("row.id").alias("id"), "set_key", "shingles")
         .join(wanted, ["id", "set_key"])
         .select("node", "shingles")
+        .dropDuplicates(["node"])  # the document may have repeated rows
     )
-    sets = written(sets, "sets")
+    return written(sets, "sets")
+
+
+def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets reach the threshold."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("s_a"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("s_b"))
     common = F.size(F.array_intersect("s_a", "s_b"))
     union = F.size("s_a") + F.size("s_b") - common
-    return pairs.join(left, "a").join(right, "b").where(100 * common >= THRESHOLD_PCT * union).select("a", "b")
+    links = pairs.join(left, "a").join(right, "b").where(100 * common >= THRESHOLD_PCT * union).select("a", "b")
+    return written(links, "links")
+
+
+def own_shingles(sets: DataFrame) -> DataFrame:
+    """(node, own): how many shingles no other class of ``sets`` has."""
+    return (
+        sets.select("node", F.explode("shingles").alias("shingle"))
+        .groupBy("shingle")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("node").alias("node"))
+        .where("n = 1")
+        .groupBy("node")
+        .agg(F.count(F.lit(1)).alias("own"))
+    )
 
 
 def _side(rows: DataFrame, name: str) -> DataFrame:
     return rows.select("bucket", *(F.col(c).alias(f"{c}_{name}") for c in rows.columns if c != "bucket"))
 
 
+def _with_facts(pairs: DataFrame, facts: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the facts of both."""
+    for side in ("a", "b"):
+        pairs = pairs.join(facts.select(F.col("node").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in facts.columns if c != "node")), side)
+    return pairs
+
+
+def _stars(found: DataFrame) -> DataFrame:
+    return found.select(F.col("component").alias("a"), F.col("node").alias("b"))
+
+
+def _mixed(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """(bucket, node) rows with their component ``c``, of the buckets that hold
+    several."""
+    labelled = rows.join(found, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("c"))
+    several = labelled.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
+    return labelled.join(several.select("bucket"), "bucket")
+
+
+def link_components(shared: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, component) of the classes with a link, from the (bucket, node)
+    rows of buckets with several classes; steps 3 to 6."""
+    facts = classes.select("node", F.col("n_shingles").alias("n"), "odd")
+    spokes = shared.where("node <> star").select(F.col("star").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = written(_with_facts(spokes, facts).where(plausible()).select("a", "b"), "candidates")
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
+    found = components(confirm(pairs, shingle_table(ends, classes, docs)))
+
+    rest = written(_mixed(shared, found), "mixed")
+    if rest.isEmpty():
+        return found
+    sets = shingle_table(rest.select("node"), classes, docs)
+    own = own_shingles(sets)
+    facts = facts.join(sets.select("node"), "node").join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    # A class with too many shingles of its own can't link to any other.
+    facts = written(facts.where(100 * (F.col("n") - F.col("own")) >= THRESHOLD_PCT * F.col("n")), "facts")
+    rest = written(rest.join(facts.select("node", (F.col("own") / F.col("n")).alias("share")), "node"), "able")
+
+    middle = rest.groupBy("bucket").agg(F.min(F.struct("share", "node", "c")).alias("m"))
+    spokes = (
+        rest.join(middle, "bucket")
+        .where("c <> m.c")
+        .select(F.least("node", "m.node").alias("a"), F.greatest("node", "m.node").alias("b"))
+        .distinct()
+    )
+    pairs = written(_with_facts(spokes, facts).where(shareable() & plausible()).select("a", "b"), "candidates")
+    found = components(_stars(found).union(confirm(pairs, sets)))
+
+    rest = written(_mixed(rest.select("bucket", "node"), found).join(facts, "node"), "mixed")
+    across = _side(rest, "a").join(_side(rest, "b"), "bucket").where(
+        (F.col("c_a") < F.col("c_b")) & shareable() & plausible()
+    )
+    pairs = across.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+    return components(_stars(found).union(confirm(written(pairs, "candidates"), sets)))
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """(id_column, n_shingles, component_id, kept) for each row of ``docs``."""
     docs = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
@@ -222,31 +303,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     stars = stars.where("star < last").select("bucket", "star")
     shared = written(buckets.join(stars, "bucket"), "buckets")
 
-    facts = classes.select("node", F.col("n_shingles").alias("n"), "odd")
-    spokes = shared.where("node <> star").select(F.col("star").alias("a"), F.col("node").alias("b")).distinct()
-    spokes = (
-        spokes.join(facts.toDF("a", "n_a", "odd_a"), "a")
-        .join(facts.toDF("b", "n_b", "odd_b"), "b")
-        .where(plausible())
-        .select("a", "b")
-    )
-    links = written(confirm(spokes, classes, docs), "links")
-    found = components(links)
-
-    # What is left: pairs across components in one bucket, neither the star.
-    labelled = shared.join(found, "node", "left").select(
-        "bucket", "node", "star", F.coalesce("component", "node").alias("c")
-    )
-    mixed = labelled.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
-    rest = labelled.where("node <> star").join(mixed.select("bucket"), "bucket").join(facts, "node")
-    rest = written(rest.select("bucket", "node", "c", "n", "odd"), "mixed")
-    across = (
-        _side(rest, "a").join(_side(rest, "b"), "bucket").where((F.col("c_a") < F.col("c_b")) & plausible())
-    ).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
-    more = confirm(across, classes, docs)
-    stars = found.select(F.col("component").alias("a"), F.col("node").alias("b"))
-    final = components(stars.union(more))
-
+    final = link_components(shared, classes, docs)
     labels = classes.join(final, "node", "left").select(
         "set_key", "id", "n_rows", F.coalesce("component", "node").alias("c"), F.col("component").isNotNull().alias("linked")
     )
