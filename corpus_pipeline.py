@@ -66,7 +66,13 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with their size, their source's size
-    and target, and how often they are taken."""
+    and target, and how often they are taken: ``mix_size``, ``mix_source_size``,
+    ``mix_target``, ``mix_repeats`` (with ``_`` added where documents have such a
+    column)."""
+
+    def free(name: str) -> str:
+        return free(name + "_") if name in docs.columns else name
+
     facts = docs.select(
         "doc_id",
         "source",
@@ -85,7 +91,8 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
         & F.col("row.source").eqNullSafe(F.col("of"))
         & (F.xxhash64("row.text") == F.col("hash")),
     )
-    return joined.select("row.*", "mix_size", "mix_source_size", "mix_target", "mix_repeats")
+    added = ("mix_size", "mix_source_size", "mix_target", "mix_repeats")
+    return joined.select("row.*", *(F.col(c).alias(free(c)) for c in added))
 
 
 STAGES = [

@@ -57,9 +57,11 @@ def test_stages_keep_columns_and_edge_rows(spark, tmp_dir):
         now = source
         for name, stage in corpus_pipeline.STAGES[:-1]:
             now = corpus_pipeline.written(stage(spark, now, folder), name)
-            assert now.schema == source.schema, name
+            assert now.dtypes == source.dtypes, name
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, source, folder).write.format("noop").mode("overwrite").save()
+    last = corpus_pipeline.mixing_sources(spark, docs.withColumnRenamed("host", "mix_size"), folder)
+    assert last.columns[-4:] == ["mix_size_", "mix_source_size", "mix_target", "mix_repeats"]
     near = corpus_pipeline.near_dedup(spark, docs, folder).collect()
     ids = [r.doc_id for r in near]
     assert ids.count(None) == 2 and sorted(i for i in ids if i is not None) == sorted(
