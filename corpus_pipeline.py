@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyho.llm import decontam, linededup, mixing, neardup, quality
+from tallyho.llm.oracle import PIPELINE
 from tallyho.llm.store import written
 from tallyho.llm.words import with_row
 from tallyho.session import configure
@@ -103,9 +104,7 @@ STAGES = [
     ("mixing", mixing_sources),
 ]
 
-# Components of near duplicates are beyond plain SQL: the pipeline is tested
-# against a plain version instead.
-ORACLE_SQL = None
+ORACLE_SQL = PIPELINE
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

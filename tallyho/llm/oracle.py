@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, linededup, mixing, quality
+from . import decontam, linededup, mixing, neardup, quality, urlfilter, warc
 
 ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -151,9 +151,120 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM j LEFT JOIN bad ON j.source IS NOT DISTINCT FROM bad.source
 """
 
+# Operator 4. All pairs that share a shingle, then everything reachable.
+NEAR = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{urlfilter.UPPER}', '{urlfilter.LOWER}'), '{WORD}') AS w
+  FROM documents
+),
+x AS (SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i, len(w) AS n FROM d),
+g AS (
+  SELECT doc_id, i, n, string_agg(w, ' ') OVER (PARTITION BY doc_id ORDER BY i
+    ROWS BETWEEN CURRENT ROW AND {neardup.SHINGLE - 1} FOLLOWING) AS s FROM x
+),
+sh AS (SELECT DISTINCT doc_id, s FROM g WHERE i = 1 OR i + {neardup.SHINGLE - 1} <= n),
+z AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM c JOIN z x ON x.doc_id = a JOIN z y ON y.doc_id = b
+  WHERE 100 * c >= {neardup.THRESHOLD_PCT} * (x.n + y.n - c)
+),
+e AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM reach r JOIN e ON r.b = e.a),
+low AS (SELECT a, min(b) AS low FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id,
+  doc_id = least(doc_id, coalesce(low, doc_id)) AS kept
+FROM d LEFT JOIN z USING (doc_id) LEFT JOIN low ON a = doc_id
+"""
+
+# Operator 6. What the archives hold follows from the pages alone.
+WARC = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+f AS (SELECT *, CASE WHEN n >= {warc.MIN_REVISIT_BYTES} THEN max(page_id) OVER (PARTITION BY h) END AS first FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, sha1(h) AS payload_digest,
+  CASE WHEN first IS DISTINCT FROM page_id AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to
+FROM f
+"""
+
+_RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in urlfilter.RULES)
+
+# Operator 9. Steps along the links are a recursion over (kind, host) scores.
+URLS = rf"""
+WITH RECURSIVE rules(rule_host, rule_path, v) AS (VALUES {_RULES}),
+rest AS (
+  SELECT page_id, html, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages
+),
+u AS (
+  SELECT row_number() OVER () AS rid, page_id, html,
+    translate(regexp_extract(coalesce(r, ''), '^[^/?#]*'), '{urlfilter.UPPER}', '{urlfilter.LOWER}') AS host,
+    regexp_extract(coalesce(r, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM rest
+),
+m AS (
+  SELECT rid, max({{'n': length(rule_host || rule_path), 'rule': rule_host || rule_path, 'v': v}}) AS best
+  FROM u JOIN rules ON host <> '' AND (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY rid
+),
+j AS (SELECT u.*, best.rule AS rule, best.v AS v FROM u LEFT JOIN m USING (rid)),
+hrefs AS (SELECT rid, host, unnest(regexp_extract_all(html, '{urlfilter._HREF.replace("'", "''")}', 1)) AS x FROM u),
+targets AS (
+  SELECT DISTINCT rid, host, translate(regexp_extract(regexp_replace(x, '^([A-Za-z][A-Za-z0-9+.-]*:)?//', ''), '^[^/?#]*'),
+    '{urlfilter.UPPER}', '{urlfilter.LOWER}') AS t
+  FROM hrefs WHERE regexp_matches(x, '^([A-Za-z][A-Za-z0-9+.-]*:)?//')
+),
+edges AS (SELECT host AS a, t AS b, count(*) AS n FROM targets WHERE host <> '' AND t <> '' AND host <> t GROUP BY ALL),
+flows AS (
+  SELECT 'trust' AS kind, a, b, n / sum(n) OVER (PARTITION BY a) AS w FROM edges
+  UNION ALL SELECT 'distrust', b, a, n / sum(n) OVER (PARTITION BY b) FROM edges
+),
+seeds AS (
+  SELECT host, avg((v IS NOT DISTINCT FROM 'allow')::INT) AS trust, avg((v IS NOT DISTINCT FROM 'block')::INT) AS distrust
+  FROM j WHERE host <> '' GROUP BY host
+),
+step AS (
+  SELECT 0 AS i, kind, host, x * {1 - urlfilter.DAMPING} AS x
+  FROM (SELECT 'trust' AS kind, host, trust AS x FROM seeds UNION ALL SELECT 'distrust', host, distrust FROM seeds) WHERE x > 0
+  UNION ALL
+  SELECT i + 1, f.kind, f.b, {urlfilter.DAMPING} * sum(x * w) FROM step JOIN flows f ON f.kind = step.kind AND f.a = host
+  WHERE i < 40 GROUP BY i, f.kind, f.b
+),
+scores AS (
+  SELECT host, coalesce(sum(x) FILTER (kind = 'trust'), 0) AS trust, coalesce(sum(x) FILTER (kind = 'distrust'), 0) AS distrust
+  FROM step GROUP BY host
+)
+SELECT page_id, j.host, path, rule,
+  coalesce(v, CASE WHEN distrust > {urlfilter.LIMIT} * trust THEN 'block' ELSE 'allow' END) AS verdict
+FROM j LEFT JOIN scores ON j.host = scores.host
+"""
+
+
+def over(sql: str, documents: str) -> str:
+    """A query over another table of documents."""
+    return "(" + sql.replace("FROM documents", f"FROM {documents}") + ")"
+
+
+# The pipeline: each operator's SQL over what the stage before kept.
+PIPELINE = f"""
+WITH s1 AS MATERIALIZED (
+  SELECT d.* FROM documents d JOIN {over(QUALITY, "documents")} q USING (doc_id) WHERE kept
+),
+s2 AS MATERIALIZED (
+  SELECT doc_id, clean_text AS text, lang, source, CASE WHEN n_dropped > 0 THEN length(clean_text) ELSE n_chars END AS n_chars
+  FROM s1 JOIN {over(LINES, "s1")} l USING (doc_id)
+),
+s3 AS MATERIALIZED (SELECT d.* FROM s2 d JOIN {over(NEAR, "s2")} n USING (doc_id) WHERE kept),
+s4 AS MATERIALIZED (SELECT d.* FROM s3 d JOIN {over(CONTAMINATION, "s3")} c USING (doc_id) WHERE NOT contaminated)
+SELECT d.*, m.size AS mix_size, m.source_size AS mix_source_size, m.target AS mix_target, m.repeats AS mix_repeats
+FROM s4 d JOIN {over(MIXING, "s4")} m USING (doc_id) WHERE repeats > 0
+"""
+
 SQL = {
     "op1_mixing": MIXING,
     "op3_line_dedup": LINES,
+    "op4_near_duplicates": NEAR,
+    "op6_warc": WARC,
     "op7_decontamination": CONTAMINATION,
     "op8_quality_rules": QUALITY,
+    "op9_url_filters": URLS,
 }
