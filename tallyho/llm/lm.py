@@ -67,21 +67,44 @@ def _file(folder: str, table: str, shard: int) -> str:
     return f"{folder}/{table}-{shard:06d}"
 
 
+_ESCAPE = 255
+
+
+def _packed(values: np.ndarray) -> list[np.ndarray]:
+    """A column as (numbers, places, large): in its narrowest type, or in
+    bytes with the few values of 255 and more apart."""
+    narrow = values.astype(np.min_scalar_type(int(values.max()) if len(values) else 0))
+    large = np.flatnonzero(values >= _ESCAPE)
+    if narrow.nbytes <= len(values) + 16 * len(large):
+        return [narrow, large[:0], values[:0].astype(np.int64)]
+    return [np.minimum(values, _ESCAPE).astype(np.uint8), large, values[large].astype(np.int64)]
+
+
 def _save(folder: str, table: str, shard: int, keys: np.ndarray, values: list[np.ndarray]) -> None:
-    """Keys, then each value column in its narrowest type. The file appears
-    whole or not at all, so a repeated task just replaces it by the same."""
+    """Keys, then each value column. The file appears whole or not at all, so
+    a repeated task just replaces it by the same."""
     os.makedirs(folder, exist_ok=True)
-    columns = [keys, *(v.astype(np.min_scalar_type(int(v.max()) if len(v) else 0)) for v in values)]
-    head = np.array([len(keys), *(c.dtype.itemsize for c in columns)], np.int64)
+    parts = [keys, *(x for v in values for x in _packed(v))]
+    head = np.array([x for c in parts for x in (len(c), c.dtype.itemsize)], np.int64)
     path = _file(folder, table, shard)
     part = f"{path}.{uuid.uuid4().hex}"
     with open(part, "wb") as f:
-        for c in (np.array([len(head)], np.int64), head, *columns):
+        for c in (np.array([len(head)], np.int64), head, *parts):
             f.write(c.tobytes())
             f.write(b"\0" * (-c.nbytes % 8))
     os.replace(part, path)
 
 
+def _unpacked(column: list[np.ndarray], at: np.ndarray) -> np.ndarray:
+    """Values of a mapped column at some places."""
+    numbers, places, large = column
+    out = numbers[at].astype(np.int64)
+    if len(places):
+        escaped = np.flatnonzero(out == _ESCAPE)
+        out[escaped] = large[np.searchsorted(places, at[escaped].astype(places.dtype))]
+    return out
+
+
 @dataclass
 class Arrays:
     """A table of sorted hash arrays, mapped shard by shard when first used."""
@@ -90,20 +113,19 @@ class Arrays:
     table: str
     mapped: dict = field(default_factory=dict)
 
-    def shard(self, shard: int) -> tuple[np.ndarray, ...] | None:
+    def shard(self, shard: int) -> tuple[np.ndarray, list[list[np.ndarray]]] | None:
         if shard not in self.mapped:
             path = _file(self.folder, self.table, shard)
             self.mapped[shard] = None
             if os.path.exists(path):
                 raw = np.memmap(path, np.uint8, "r")
                 n_head = int(raw[:8].view(np.int64)[0])
-                n, *widths = raw[8 : 8 + 8 * n_head].view(np.int64).tolist()
-                at, columns = 8 + 8 * n_head, []
-                for k, width in enumerate(widths):
-                    kind = np.dtype(f"u{width}")
-                    columns.append(raw[at : at + n * width].view(kind))
+                head = raw[8 : 8 + 8 * n_head].view(np.int64).reshape(-1, 2).tolist()
+                at, parts = 8 + 8 * n_head, []
+                for n, width in head:
+                    parts.append(raw[at : at + n * width].view(np.dtype(f"u{width}")))
                     at += n * width + -n * width % 8
-                self.mapped[shard] = tuple(columns)
+                self.mapped[shard] = parts[0], [parts[k : k + 3] for k in range(1, len(parts), 3)]
         return self.mapped[shard]
 
     def find(self, keys: np.ndarray, shards: np.ndarray, n_values: int) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -114,15 +136,16 @@ class Arrays:
         values = [np.zeros(len(keys), np.int64) for _ in range(n_values)]
         cuts = np.flatnonzero(np.concatenate([[True], shards[1:] != shards[:-1], [True]])) if len(keys) else [0]
         for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
-            columns = self.shard(int(shards[begin]))
-            if columns is None:
+            mapped = self.shard(int(shards[begin]))
+            if mapped is None:
                 continue
-            at = np.searchsorted(columns[0], keys[begin:end])
-            at[at == len(columns[0])] = 0
-            hit = columns[0][at] == keys[begin:end]
+            own, columns = mapped
+            at = np.searchsorted(own, keys[begin:end])
+            at[at == len(own)] = 0
+            hit = own[at] == keys[begin:end]
             place[begin:end][hit] = at[hit]
-            for v, c in zip(values, columns[1:], strict=True):
-                v[begin:end][hit] = c[at[hit]]
+            for v, c in zip(values, columns, strict=True):
+                v[begin:end][hit] = _unpacked(c, at[hit])
         back = np.empty(len(order), np.int64)
         back[order] = np.arange(len(order))
         return place[back], [v[back] for v in values]

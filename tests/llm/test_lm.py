@@ -147,3 +147,17 @@ def test_arrays_round_trip(tmp_path):
     )
     assert place.tolist() == [1, -1, 2, -1]
     assert [v.tolist() for v in values] == [[300, 0, 2, 0], [0, 0, 2**40, 0]]
+
+
+@pytest.mark.parametrize("share", [0, 0.01, 0.5])
+def test_few_large_values_are_kept_apart(tmp_path, share):
+    rng = np.random.default_rng(1)
+    n = 5000
+    values = rng.integers(0, 256, n)
+    large = rng.random(n) < share
+    values[large] = rng.integers(255, 10**9, large.sum())
+    keys = np.sort(rng.integers(0, 2**63, n).astype(np.uint64))
+    lm._save(str(tmp_path), "x", 3, keys, [values, values * 0 + 255])
+    order = rng.permutation(n)
+    place, got = lm.Arrays(str(tmp_path), "x").find(keys[order], np.full(n, 3), 2)
+    assert (place == order).all() and (got[0] == values[order]).all() and (got[1] == 255).all()
