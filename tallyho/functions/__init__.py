@@ -13,9 +13,7 @@ from .times import (
     SLOT_MINUTES,
     as_instant,
     day_of_stamp,
-    epoch_millis,
     segment_name,
-    segment_slot,
     slot_end,
     slot_start,
     stamp_instant,
@@ -24,8 +22,8 @@ from .times import (
 
 __all__ = [
     "DEFAULT_LAST_KEY", "NOISE_NAMES", "SLOT_MINUTES", "as_instant",
-    "counts_json", "day_of_stamp", "drop_malformed", "epoch_millis",
+    "counts_json", "day_of_stamp", "drop_malformed",
     "first_field", "is_name", "name_tokens", "pair", "parse_record_key",
-    "ranked_list_text", "record_key", "segment_name", "segment_slot",
+    "ranked_list_text", "record_key", "segment_name",
     "slot_end", "slot_start", "stamp_instant", "stamp_of", "strip_offset",
 ]

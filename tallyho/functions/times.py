@@ -66,14 +66,5 @@ def segment_name(slot: Column | str) -> Column:
     return F.concat(F.date_format(_col(slot), SEGMENT_STAMP_FORMAT), F.lit(SEGMENT_EXTENSION))
 
 
-def segment_slot(name: Column | str) -> Column:
-    """Segment file name -> slot start (null for other names)."""
-    return F.try_to_timestamp(F.substring(_col(name), 1, 12), F.lit("yyyyMMddHHmm"))
-
-
-def epoch_millis(ts: Column | str) -> Column:
-    return F.unix_millis(_col(ts))
-
-
 def millis_instant(ms: Column | str) -> Column:
     return F.timestamp_millis(_col(ms))

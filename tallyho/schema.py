@@ -37,21 +37,3 @@ FEED_SCHEMA = T.StructType(
         for name in FEED_COLUMNS
     ]
 )
-
-# The parsed form every query starts from: one row per article.
-ARTICLE_SCHEMA = T.StructType(
-    [
-        T.StructField("record_id", T.StringType(), True),
-        T.StructField("day", T.DateType(), True),
-        T.StructField("AllNames", T.StringType(), True),
-    ]
-)
-
-# One row per mention in the streaming/trailing part.
-MENTION_SCHEMA = T.StructType(
-    [
-        T.StructField("event_id", T.LongType(), True),
-        T.StructField("name", T.StringType(), True),
-        T.StructField("ts", T.TimestampType(), True),
-    ]
-)
