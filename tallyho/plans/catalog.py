@@ -110,6 +110,16 @@ def feed_file_top_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topnames.top_names_per_day(feed.articles_from_typed(rows), k=10)
 
 
+def feed_view_top_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed view of feed rows from another source (columns in another
+    order, a narrower number type) -> top names per day."""
+    rows = fixtures.feed_rows(_documents(spark, sf_dir)).drop("short")
+    other = rows.select(
+        *(F.col(c).cast("smallint") if c == "SourceCollectionIdentifier" else F.col(c) for c in reversed(rows.columns))
+    )
+    return topnames.top_names_per_day(feed.articles_from_typed(feed.as_feed(other)), k=10)
+
+
 def feed_line_top_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw-line scan of landed feed files -> top names per day."""
     path = _landed_feed(spark, sf_dir)
@@ -242,12 +252,21 @@ def board_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return board.snapshot_message(board.board(_latest(spark, sf_dir), 100))
 
 
-def board_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _delta_messages(spark: SparkSession, sf_dir: str, every_seconds: int) -> DataFrame:
     log = trailing.trailing_changelog(_mentions(spark, sf_dir))
-    msgs = board.delta_messages(board.coalesce_deltas(log, every_seconds=3600))
+    msgs = board.delta_messages(board.coalesce_deltas(log, every_seconds))
     return msgs.select(_ntz("bucket"), "part", "entries", "message")
 
 
+def board_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _delta_messages(spark, sf_dir, 3600)
+
+
+def flush_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a flush every second sends."""
+    return _delta_messages(spark, sf_dir, 1)
+
+
 # ---- sinks ---------------------------------------------------------------
 
 
@@ -269,6 +288,7 @@ QUERIES: dict[str, Query] = {
     "strip_first_vs_last": strip_first_vs_last,
     "noise_filtered": noise_filtered,
     "feed_file_top_names": feed_file_top_names,
+    "feed_view_top_names": feed_view_top_names,
     "feed_line_top_names": feed_line_top_names,
     "feed_line_report": feed_line_report,
     "record_key_parts": record_key_parts,
@@ -289,6 +309,7 @@ QUERIES: dict[str, Query] = {
     "board_floor": board_floor,
     "board_snapshot": board_snapshot,
     "board_deltas": board_deltas,
+    "flush_deltas": flush_deltas,
     "compacted_counts": compacted_counts,
 }
 

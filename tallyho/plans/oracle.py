@@ -403,6 +403,7 @@ SQL: dict[str, str] = {
     "strip_first_vs_last": STRIP_FIRST_VS_LAST,
     "noise_filtered": NOISE_FILTERED,
     "feed_file_top_names": TOP_NAMES_PER_DAY,
+    "feed_view_top_names": TOP_NAMES_PER_DAY,
     "feed_line_top_names": TOP_NAMES_PER_DAY,
     "feed_line_report": FEED_LINE_REPORT,
     "record_key_parts": RECORD_KEY_PARTS,
@@ -423,6 +424,7 @@ SQL: dict[str, str] = {
     "board_floor": BOARD_FLOOR,
     "board_snapshot": BOARD_SNAPSHOT,
     "board_deltas": BOARD_DELTAS,
+    "flush_deltas": BOARD_DELTAS.replace("INTERVAL 1 HOUR", "INTERVAL 1 SECOND"),
     "compacted_counts": COMPACTED_COUNTS,
     "feed_stream_top": FEED_STREAM_TOP,
     "hourly_sliding_counts": HOURLY_SLIDING_COUNTS,
