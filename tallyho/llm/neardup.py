@@ -215,6 +215,15 @@ def own_shingles(sets: DataFrame) -> DataFrame:
     )
 
 
+def first_common_band() -> Column:
+    """No band before this one is common to a and b: a pair that shares
+    several buckets is made in one of them."""
+    before = F.zip_with(
+        F.slice("bands_a", 1, F.col("band_a")), F.slice("bands_b", 1, F.col("band_b")), lambda x, y: x != y
+    )
+    return F.forall(before, lambda differ: differ)
+
+
 def _side(rows: DataFrame, name: str) -> DataFrame:
     return rows.select("bucket", *(F.col(c).alias(f"{c}_{name}") for c in rows.columns if c != "bucket"))
 
@@ -231,16 +240,18 @@ def _stars(found: DataFrame) -> DataFrame:
 
 
 def _mixed(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """(bucket, node) rows with their component ``c``, of the buckets that hold
-    several."""
-    labelled = rows.join(found, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("c"))
+    """(bucket, band, node) rows with their component ``c``, of the buckets that
+    hold several."""
+    labelled = rows.join(found, "node", "left").select(
+        "bucket", "band", "node", F.coalesce("component", "node").alias("c")
+    )
     several = labelled.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
     return labelled.join(several.select("bucket"), "bucket")
 
 
 def link_components(shared: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, component) of the classes with a link, from the (bucket, node)
-    rows of buckets with several classes; steps 3 to 6."""
+    """(node, component) of the classes with a link, from the (bucket, band,
+    node) rows of buckets with several classes; steps 3 to 6."""
     facts = classes.select("node", F.col("n_shingles").alias("n"), "odd")
     spokes = shared.where("node <> star").select(F.col("star").alias("a"), F.col("node").alias("b")).distinct()
     pairs = written(_with_facts(spokes, facts).where(plausible()).select("a", "b"), "candidates")
@@ -267,11 +278,12 @@ def link_components(shared: DataFrame, classes: DataFrame, docs: DataFrame) -> D
     pairs = written(_with_facts(spokes, facts).where(shareable() & plausible()).select("a", "b"), "candidates")
     found = components(_stars(found).union(confirm(pairs, sets)))
 
-    rest = written(_mixed(rest.select("bucket", "node"), found).join(facts, "node"), "mixed")
+    facts = facts.join(classes.select("node", "bands"), "node")
+    rest = written(_mixed(rest.select("bucket", "band", "node"), found).join(facts, "node"), "mixed")
     across = _side(rest, "a").join(_side(rest, "b"), "bucket").where(
-        (F.col("c_a") < F.col("c_b")) & shareable() & plausible()
+        (F.col("c_a") < F.col("c_b")) & shareable() & first_common_band() & plausible()
     )
-    pairs = across.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+    pairs = across.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
     return components(_stars(found).union(confirm(written(pairs, "candidates"), sets)))
 
 
@@ -296,7 +308,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     )
     classes = written(classes, "classes")
     buckets = classes.select("node", F.posexplode("bands").alias("band", "band_hash")).select(
-        F.xxhash64("band", "band_hash").alias("bucket"), "node"
+        F.xxhash64("band", "band_hash").alias("bucket"), "band", "node"
     )
     # Smallest class and whether there are more: combined before the shuffle.
     stars = buckets.groupBy("bucket").agg(F.min("node").alias("star"), F.max("node").alias("last"))
