@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyho.session import configure
+
 from .words import with_row
 
 WINDOW = 13
@@ -123,6 +125,7 @@ def char_spans(text: str, marked: np.ndarray) -> list[dict[str, int]]:
 
 def _scan_block(df: DataFrame, text: str, block: list[tuple[str, bytes]]) -> DataFrame:
     """Add a block's matches to the marks and items that ``df`` has."""
+    configure(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast({"items": block})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

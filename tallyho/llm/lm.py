@@ -45,6 +45,8 @@ SHARD_BYTES = 12_000_000
 MIN_SHARDS = 4
 #: Grams that a counting task holds before it hands on their counts.
 HOLD = 5_000_000
+#: Text bytes looked up at a time; each lookup goes through all shards.
+SLICE_BYTES = 3_000_000
 SMOOTHING = 0.1
 
 BEGIN, UNKNOWN, FIRST = 0, 1, 2  # numbers; vocabulary words follow
@@ -236,7 +238,7 @@ def _held(batches: Iterator[pa.RecordBatch], take: Callable, emit: Callable) ->
         return out
 
     for batch in batches:
-        for _, _, t in W.slices(batch.column(0)):
+        for _, _, t in W.slices(batch.column(0), size=SLICE_BYTES):
             held.append(take(t))
             size += len(held[-1][0])
             if size >= HOLD:
@@ -471,7 +473,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         }
 
     fields = {"n_tokens": "bigint", "n_known": "bigint", "base_score": "double", "score": "double"}
-    return W.map_texts(docs, text, measure, fields)
+    return W.map_texts(docs, text, measure, fields, size=SLICE_BYTES)
 
 
 def perplexity(score_column: Column, n_tokens: Column) -> Column:

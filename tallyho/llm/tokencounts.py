@@ -32,6 +32,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tallyho.session import configure
+
 from .words import with_row
 
 LEAF = 1000
@@ -145,6 +147,7 @@ _TREE = "leaf_lengths array<int>, tree array<int>"
 
 
 def _counter(spark: SparkSession, vocabulary: str, pattern: str) -> Callable[[], Count]:
+    configure(spark)
     with open(vocabulary, "rb") as f:
         shared = spark.sparkContext.broadcast({"data": f.read()})
 

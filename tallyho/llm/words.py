@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-# Working memory per slice is about 40 bytes for each text byte.
-SLICE_BYTES = 3_000_000
+from tallyho.session import configure
+
+# Working memory per slice is about 60 bytes for each text byte.
+SLICE_BYTES = 1_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -120,13 +122,13 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(texts: pa.Array, lower: bool = True) -> Iterator[tuple[int, int, Texts]]:
+def slices(texts: pa.Array, lower: bool = True, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, Texts]]:
     """Cut a column of texts into row ranges (begin, end, Texts) of about
-    ``SLICE_BYTES``. A longer text is a slice of its own; it is never cut."""
+    ``size`` bytes. A longer text is a slice of its own; it is never cut."""
     data, at = text_buffer(texts)
     row = 0
     while row < len(texts):
-        end = int(np.searchsorted(at, at[row] + SLICE_BYTES, side="right")) - 1
+        end = int(np.searchsorted(at, at[row] + size, side="right")) - 1
         end = min(max(end, row + 1), len(texts))
         yield row, end, Texts(data[at[row] : at[end]], at[row : end + 1] - at[row], lower)
         row = end
@@ -144,16 +146,18 @@ def map_texts(
     measure: Callable[[Texts], dict[str, Any]],
     fields: dict[str, str],
     lower: bool = True,
+    size: int = SLICE_BYTES,
 ) -> DataFrame:
     """``docs`` as ``row``, with columns ``fields`` (name: type) that
     ``measure`` makes from each slice of whole texts. No shuffle."""
+    configure(docs.sparkSession)
     rows = with_row(docs)
     added = T.StructType([T.StructField(k, T._parse_datatype_string(v)) for k, v in fields.items()])
     kinds = {f.name: to_arrow_type(f.dataType) for f in added}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin, end, t in slices(pc.struct_field(batch.column(0), text), lower):
+            for begin, end, t in slices(pc.struct_field(batch.column(0), text), lower, size):
                 got = measure(t)
                 arrays = [
                     got[k].cast(kind) if isinstance(got[k], pa.Array) else pa.array(got[k], kind)
