@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rows of whole texts are wide: smaller batches bound a Python worker's memory.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
