@@ -100,7 +100,7 @@ def test_many_partitions_cost_little(spark):
                 make().write.format("noop").mode("overwrite").save()
                 best = min(best, time.time() - start)
             seconds.append(best)
-        assert seconds[1] < 3 * seconds[0] + 1, seconds
+        assert seconds[1] < 3 * seconds[0] + 5, seconds  # 5 s for its extra jobs
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
 
