@@ -9,9 +9,12 @@ blocked.
 
 A host's seeds are the shares of its URLs that rules allow and block. Scores
 are sums of what arrives after 0, 1, 2, ... steps; every step passes on
-``DAMPING`` of the one before, so steps end when what still flows is below
-``TOLERANCE`` of the seeds. Each step is one join on the host and one sum, written to
-the shared folder.
+``DAMPING`` of the one before. Steps end when the last one added at most
+``TOLERANCE`` of what it has to any host's score; a host reached for the first
+time has all its score from that step. So a host gets the same score whatever
+hosts without a path to it the table holds. If a step adds no more than that
+share anywhere, no later one does, as it passes on the same shares of less.
+Each step is one join on the host and one sum, written to the shared folder.
 
 Rules are joined by domain and path prefix, so their number doesn't matter;
 pages and links are summed by host before anything is shuffled.
@@ -39,7 +42,7 @@ RULES = [
     ("com", "/de/", "block"),
 ]
 DAMPING = 0.85
-TOLERANCE = 0.01
+TOLERANCE = 1e-6
 LIMIT = 2.0
 _HREF = r"""(?i)href\s*=\s*["']?([^"'\s>]+)"""
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -112,20 +115,25 @@ def propagate(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     back = edges.join(into, "target").select(F.lit("distrust").alias("kind"), F.col("target").alias("a"), F.col("source").alias("b"), share.alias("w"))
     flows = written(ahead.union(back), "link-flows")
     kinds = seeds.select("host", F.explode(F.create_map(F.lit("trust"), "trust", F.lit("distrust"), "distrust")).alias("kind", "x"))
-    step = written(kinds.where("x > 0").withColumn("x", F.col("x") * (1 - DAMPING)), "link-step")
-    total = step
-    first = now = step.agg(F.sum("x")).first()[0] or 0.0
-    while now > TOLERANCE * first:
-        step = written(
-            step.join(flows, (F.col("host") == F.col("a")) & (step["kind"] == flows["kind"]))
-            .groupBy(F.col("b").alias("host"), flows["kind"].alias("kind"))
-            .agg((DAMPING * F.sum(F.col("x") * F.col("w"))).alias("x")),
+    seeded = kinds.where("x > 0").withColumn("x", F.col("x") * (1 - DAMPING))
+    scores = written(seeded.withColumn("total", F.col("x")), "link-step")
+    change = F.max(F.col("x") / F.col("total"))  # x: what the last step added
+    while (scores.agg(change).first()[0] or 0.0) > TOLERANCE:
+        moved = (
+            scores.where("x > 0")
+            .join(flows, (F.col("host") == F.col("a")) & (scores["kind"] == flows["kind"]))
+            .select(F.col("b").alias("host"), flows["kind"].alias("kind"), (DAMPING * F.col("x") * F.col("w")).alias("x"))
+        )
+        before = scores.select("host", "kind", F.lit(0.0).alias("x"), "total")
+        scores = written(
+            moved.withColumn("total", F.col("x"))
+            .unionByName(before)
+            .groupBy("host", "kind")
+            .agg(F.sum("x").alias("x"), F.sum("total").alias("total")),
             "link-step",
         )
-        now = step.agg(F.sum("x")).first()[0] or 0.0
-        total = total.unionByName(step)
-    return total.groupBy("host").agg(
-        *(F.sum(F.when(F.col("kind") == k, F.col("x")).otherwise(0.0)).alias(k) for k in ("trust", "distrust"))
+    return scores.groupBy("host").agg(
+        *(F.sum(F.when(F.col("kind") == k, F.col("total")).otherwise(0.0)).alias(k) for k in ("trust", "distrust"))
     )
 
 

@@ -97,6 +97,16 @@ def test_small_web(spark):
     assert run(spark, pages) == expected
 
 
+def test_linkless_hosts_do_not_end_propagation(spark):
+    """Hosts two and three links from a seed, among many seeds without links."""
+    pages = [(k, f"http://lone{k}.{('org', 'com')[k % 2]}/de/{k}", None) for k in range(1500)]
+    pages += [(2000, "http://bad.com/de/1", "")]
+    pages += [(2000 + k, f"http://c{k}.io/", f'<a href="http://{"bad.com" if k == 1 else f"c{k - 1}.io"}/">') for k in (1, 2, 3)]
+    expected = judged(pages, uf.RULES)
+    assert [r[4] for r in expected if r[1].endswith(".io")] == ["block"] * 3
+    assert run(spark, pages) == expected
+
+
 def test_rules_and_odd_urls(spark):
     urls = [
         None, "", "no scheme.org/es/", "http://", "http:///es/1", "HTTP://Example.ORG/es/1", "http://ÄB.example.org/en/12",
