@@ -13,18 +13,27 @@ permutation of all pairs for any ``a`` and ``b``. So every format is permuted on
 exactly its valid values:
 
 * card: the digits before the check digit, cut in halves; the check digit is
-  computed anew. 13 to 19 digits, alone or with single spaces or dashes;
+  computed anew. 13 to 19 digits, alone or with single spaces or dashes, also
+  among other digit groups;
 * phone: ten digits, cut in halves (area code and number, country code kept);
 * social security number: area and group, serial; only assignable ones;
 * IPv4: the two upper and the two lower octets;
-* date: the days from 1900 to 2099, as 17 times 4297.
+* date: the days from 1900 to 2099, as 17 times 4297. Day first, or month first
+  where only that is a calendar day; those are permuted among themselves (days
+  13 to 31), so that they are read alike again. An ISO date may begin a time.
 
 All is per-text work in the JVM; nothing is shuffled. The key is an argument;
 keep the real one out of the code.
 
 Defined results: a null text stays null and has no matches; texts without matches are
 unchanged. A match is the longest run that a format fits, from left to right;
-digits that touch letters, digits or points of a longer token are no match.
+digits that touch letters, digits or points of a longer token are no match. In
+a run of digit groups the cards are the sub-runs of whole groups that pass the
+Luhn check and don't overlap: first those grouped as cards are, then the longer,
+then the earlier. If new digits would change that choice, the permutation is
+applied again until they don't, so the same sub-runs are turned back. Runs with
+over ``WALK_CARDS`` such sub-runs are tables of numbers rather: they take one turn,
+and may not be turned back. Runs of over 200 numbers are read in parts of 200.
 Repeated rows get equal results. The input's columns come back in one struct,
 ``row``.
 """
@@ -46,9 +55,24 @@ ISO_DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}"
 DAY_DATE = r"[0-9]{2}[/.][0-9]{2}[/.][0-9]{4}"
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 PHONE = r"(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
-CARD = r"[0-9](?:[ -]?[0-9]){12,18}"
+END = r"(?![\w@]|[.-]\w)"
+ISO_START = rf"{ISO_DATE}(?:{END}|(?=T[0-9]))"
+_OTHERS = rf"(?:{ISO_START}|(?:{IP}|{DAY_DATE}|{SSN}|{PHONE}){END})"
+_BREAK = rf"(?:-| (?!{_OTHERS}))"  # within a run; another format's value ends it
+_RUN = rf"[0-9](?:{_BREAK}?[0-9]){{12,18}}"
+_LONG = rf"(?![0-9]{{13}})[0-9](?:(?:{_BREAK}(?![0-9]{{13}}))?[0-9]){{12,60}}{END}"
+_NUMBER = rf"[0-9]{{1,12}}+(?:-[0-9]{{1,12}}+)*+{END}"
+#: Up to 19 digits that no more follow; else numbers in groups of up to 12
+#: digits, 13 digits at least; else up to 19 digits. (Java's matcher recurses in
+#: repeated groups that aren't possessive.)
+CARD = rf"(?:{_RUN}(?![ -]?[0-9])|(?={_LONG}){_NUMBER}(?: (?!{_OTHERS}){_NUMBER}){{0,199}}+|{_RUN})"
 FORMATS = {"ip": IP, "iso_date": ISO_DATE, "day_date": DAY_DATE, "ssn": SSN, "phone": PHONE, "card": CARD}
-ANY = r"(?<![\w.@+-])(?:" + "|".join(FORMATS.values()) + r")(?![\w@]|[.-]\w)"
+ANY = rf"(?<![\w.@+-])(?:{ISO_START}|(?:{IP}|{DAY_DATE}|{SSN}|{PHONE}|{CARD}){END})"
+#: Turns of a permutation until its value is read as the first was.
+WALK = 200
+WALK_CARDS = 4
+#: Lengths of the groups that cards are written in, besides one group.
+GROUPINGS = ("4-4-4-4", "4-6-5", "4-4-4-4-3")
 
 _FIRST_DAY, _LAST_DAY = "1900-01-01", "2099-12-31"
 _DAYS_A, _DAYS_B = 17, 4297  # 73,049 days
@@ -112,6 +136,32 @@ def luhn_sum(digits: Column, even_first: Column) -> Column:
     return F.aggregate(F.transform(F.sequence(F.lit(1), n), value), F.lit(0), lambda s, d: s + d)
 
 
+def _cards(digits: Column, borders: Column) -> Column:
+    """(at, n) of the sub-runs between borders that are cards, by place."""
+    last = F.size(borders) - 1
+
+    def passing(i: Column) -> Column:
+        at = F.get(borders, i)
+        ends = F.transform(F.sequence(i + 1, F.least(last, i + 19)), lambda j: F.struct(j.alias("j"), (F.get(borders, j) - at).alias("n")))
+        luhn = lambda n: luhn_sum(F.substring(digits, at + 1, n), F.lit(False)) % 10 == 0
+        fits = F.filter(ends, lambda e: F.when((e["n"] >= 13) & (e["n"] <= 19), luhn(e["n"])).otherwise(False))
+
+        def ranked(e: Column) -> Column:
+            lengths = F.transform(F.sequence(i, e["j"] - 1), lambda k: F.get(borders, k + 1) - F.get(borders, k))
+            usual = (e["j"] == i + 1) | F.array_join(lengths.cast("array<string>"), "-").isin(*GROUPINGS)
+            return F.struct((~usual).alias("odd"), (-e["n"]).alias("less"), at.alias("at"), e["n"].alias("n"))
+
+        return F.transform(fits, ranked)
+
+    def take(cards: Column, c: Column) -> Column:
+        apart = F.forall(cards, lambda o: (o["at"] >= c["at"] + c["n"]) | (c["at"] >= o["at"] + o["n"]))
+        return F.when(apart, F.concat(cards, F.array(F.struct(c["at"].alias("at"), c["n"].alias("n"))))).otherwise(cards)
+
+    found = F.flatten(F.transform(F.sequence(F.lit(0), last - 1), passing))
+    none = F.array().cast("array<struct<at:int,n:int>>")
+    return F.array_sort(F.aggregate(F.array_sort(found), none, take))
+
+
 def _card(m: Column, key: str, back: bool) -> Column:
     def swap(d: Column) -> Column:
         width = F.length(d) - 1
@@ -120,10 +170,40 @@ def _card(m: Column, key: str, back: bool) -> Column:
         left, right = F.substring(d, F.lit(1), half), F.substring(d, half + 1, width - half)
         moved = feistel(left.cast("long"), right.cast("long"), a, b, key, "card", back)
         body = _let(moved, lambda s: F.concat(_padded(s["l"], half), _padded(s["r"], width - half)))
-        whole = _let(body, lambda x: F.concat(x, ((10 - luhn_sum(x, F.lit(True)) % 10) % 10).cast("string")))
-        return F.when(luhn_sum(d, F.lit(False)) % 10 == 0, _refilled(m, whole))
+        return _let(body, lambda x: F.concat(x, ((10 - luhn_sum(x, F.lit(True)) % 10) % 10).cast("string")))
+
+    def swap_all(digits: Column, cards: Column) -> Column:
+        def put(all_: Column, c: Column) -> Column:
+            past = c["at"] + c["n"]
+            new = _let(F.substring(all_, c["at"] + 1, c["n"]), swap)
+            return F.concat(F.substring(all_, F.lit(1), c["at"]), new, F.substring(all_, past + 1, F.length(all_) - past))
+
+        return F.aggregate(cards, digits, put)
+
+    def walked(digits: Column, cards: Column, borders: Column) -> Column:
+        def turn(s: Column, i: Column) -> Column:
+            moved = lambda x: F.struct(
+                x.alias("now"), F.coalesce(s["first"], x).alias("first"), (_cards(x, borders) == cards).alias("done")
+            )
+            return F.when(s["done"], s).otherwise(_let(swap_all(s["now"], cards), moved))
+
+        turns = F.when(F.size(cards) <= WALK_CARDS, F.lit(WALK)).otherwise(F.lit(1))
+        start = F.struct(digits.alias("now"), F.lit(None).cast("string").alias("first"), F.lit(False).alias("done"))
+        return F.aggregate(
+            F.sequence(F.lit(1), turns), start, turn, lambda s: F.when(s["done"], s["now"]).otherwise(s["first"])
+        )
 
-    return _let(_digits(m), swap)
+    def run(x: Column) -> Column:
+        digits, borders = x["digits"], x["borders"]
+        new = lambda cards: F.when(F.size(cards) > 0, _refilled(m, walked(digits, cards, borders)))
+        return _let(_cards(digits, borders), new)
+
+    groups = F.split(m, "[ -]")
+    borders = _let(
+        groups,
+        lambda g: F.transform(F.sequence(F.lit(0), F.size(g)), lambda i: F.length(F.array_join(F.slice(g, F.lit(1), i), ""))),
+    )
+    return _let(F.struct(_digits(m).alias("digits"), borders.alias("borders")), run)
 
 
 def _phone(m: Column, key: str, back: bool) -> Column:
@@ -165,17 +245,35 @@ def _ip(m: Column, key: str, back: bool) -> Column:
 
 
 def _date(m: Column, key: str, back: bool, iso: bool) -> Column:
-    def swap(d: Column) -> Column:
-        in_range = (d >= F.lit(_FIRST_DAY).cast("date")) & (d <= F.lit(_LAST_DAY).cast("date"))
-        day = F.datediff(d, F.lit(_FIRST_DAY).cast("date"))
-        moved = feistel(F.floor(day / _DAYS_B), day % _DAYS_B, F.lit(_DAYS_A), F.lit(_DAYS_B), key, "date", back)
-        new = _let(moved, lambda s: F.date_add(F.lit(_FIRST_DAY).cast("date"), (s["l"] * _DAYS_B + s["r"]).cast("int")))
-        return F.when(in_range, _refilled(m, F.date_format(new, "yyyyMMdd" if iso else "ddMMyyyy")))
+    first, last = F.lit(_FIRST_DAY).cast("date"), F.lit(_LAST_DAY).cast("date")
+
+    def moved(day: Column) -> Column:
+        new = feistel(F.floor(day / _DAYS_B), day % _DAYS_B, F.lit(_DAYS_A), F.lit(_DAYS_B), key, "date", back)
+        return _let(new, lambda s: (s["l"] * _DAYS_B + s["r"]).cast("int"))
+
+    def late(day: Column) -> Column:
+        """Moved until it is a day after the 12th again."""
+
+        def turn(s: Column, i: Column) -> Column:
+            next_ = lambda x: F.struct(x.alias("day"), (F.dayofmonth(F.date_add(first, x)) > 12).alias("done"))
+            return F.when(s["done"], s).otherwise(_let(moved(s["day"]), next_))
+
+        start = F.struct(day.alias("day"), F.lit(False).alias("done"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), start, turn, lambda s: s["day"])
+
+    def swap(d: Column, move: Callable[[Column], Column], shape: str) -> Column:
+        new = _let(F.datediff(d, first), lambda day: F.date_add(first, move(day)))
+        return F.when((d >= first) & (d <= last), _refilled(m, F.date_format(new, shape)))
 
     if iso:
-        return _let(m.try_cast("date"), swap)
-    turned = F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, 4, 2), F.substring(m, 1, 2))
-    return _let(turned.try_cast("date"), swap)
+        return _let(m.try_cast("date"), lambda d: swap(d, moved, "yyyyMMdd"))
+    read = lambda day, month: F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, month, 2), F.substring(m, day, 2)).try_cast("date")
+    return _let(
+        read(1, 4),
+        lambda d: F.when(d.isNotNull(), swap(d, moved, "ddMMyyyy")).otherwise(
+            _let(read(4, 1), lambda e: swap(e, late, "MMddyyyy"))
+        ),
+    )
 
 
 def pseudonym(m: Column, key: str, back: bool = False) -> Column:

@@ -113,6 +113,44 @@ def test_round_trip_and_links(spark):
     assert "4539148803436468" in there[0] and there[6] == TEXTS[6]
 
 
+CARD = "4111 1111 1111 1111"
+AMONG = [
+    "card {} 12/25", "{} 12/25", "{} 123", "no 12 {}", "1234 {}", "no 1234 {} 567 89", "{} 743-555-3824", "{} 12/25/2020",
+    "{}, 2024-01-02T10:00:00Z", "12 {} 4242 4242 4242 4242 99", "7 " * 3 + "{}",
+]
+
+
+def test_cards_among_other_digits(spark):
+    texts = [x.format(c) for x in AMONG for c in (CARD, "4539 1488 0343 6467", "3782 822463 10005")]
+    got = [r.clean_text for r in run(spark, texts)]
+    for old, new in zip(texts, got, strict=True):
+        assert re.sub("[0-9]", "0", old) == re.sub("[0-9]", "0", new)
+        assert not any(c in new for c in (CARD, "4539 1488 0343 6467", "3782 822463 10005", "743-555", "12/25/2020", "2024-01-02")), (old, new)
+        assert "4242 4242 4242" not in new
+    assert [r.clean_text for r in run(spark, got, back=True)] == texts
+    (alone,) = run(spark, [CARD])
+    assert got[0] == f"card {alone.clean_text} 12/25"
+
+
+def test_long_runs_of_numbers(spark):
+    texts = [" ".join(["1200"] * 4 + [CARD] + ["1200"] * 30_000), "12 " * 20_000, "7" * 50_000, "1-" * 3_000 + "1"]
+    got = [r.clean_text for r in run(spark, texts)]
+    assert CARD not in got[0] and [len(x) for x in got] == [len(x) for x in texts]
+
+
+def test_month_first_dates_and_times(spark):
+    days = [dt.date(1999, 1, 1) + dt.timedelta(k) for k in range(0, 800, 3)]
+    texts = [f"{d:%m/%d/%Y}" for d in days if d.day > 12]
+    got = [r.clean_text for r in run(spark, texts)]
+    assert len(set(got)) == len(texts) and not set(got) & set(texts)
+    assert all(dt.datetime.strptime(x, "%m/%d/%Y").day > 12 for x in got)
+    assert [r.clean_text for r in run(spark, got, back=True)] == texts
+    odd = ["31/31/2020 02/30/2020 12/25/1850", "2024-01-02Tuesday x2024-01-02T10", "2024-13-02T10"]
+    assert [r.clean_text for r in run(spark, odd)] == odd
+    time, day = run(spark, ["at 2024-01-02T10:00:00Z", "at 2024-01-02"])
+    assert time.clean_text == day.clean_text + "T10:00:00Z" != "at 2024-01-02T10:00:00Z"
+
+
 def test_permutation_has_no_collisions(spark):
     days = [(dt.date(1900, 1, 1) + dt.timedelta(k)).isoformat() for k in range(0, 73049, 7)]
     got = [r.clean_text for r in run(spark, days)]
