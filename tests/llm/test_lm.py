@@ -103,6 +103,15 @@ def test_held_out_text_is_better_than_shuffled(spark):
     assert sum(ahead.values()) > sum(back.values())
 
 
+def test_registered_model_tells_two_word_contexts_apart(spark):
+    """Words that follow one word equally often, but not the two before."""
+    texts = spark.createDataFrame([("a b c",), ("x b d",)] * 20, "text string")
+    model = lm.train(texts)
+    docs = spark.createDataFrame([("a b c",), ("a b d",), ("x b d",), ("x b c",)], "text string")
+    got = {r.row.text: r.score for r in lm.score(docs, model).collect()}
+    assert got["a b c"] > got["a b d"] + 0.5 and got["x b d"] > got["x b c"] + 0.5
+
+
 def test_query_and_edge_cases(spark, tmp_dir):
     from tallyho.llm.queries import op2_lm_scoring
 
