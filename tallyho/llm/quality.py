@@ -90,9 +90,13 @@ def host_rates(failures: DataFrame) -> DataFrame:
     """(host, n, fails, rate) for each host of (host, failed) rows; the rate is
     shrunk by the prior.
 
-    The beta prior has the mean m and variance v of the hosts' own rates, so
-    it weighs m(1 - m)/v - 1 documents, at least none and at most as many as
-    all hosts have (which also holds where hosts don't differ at all).
+    The beta prior has the mean m of the hosts' own rates, and their variance v
+    less what drawing n documents of a host adds to it, (m(1 - m) - s) / n
+    for a prior of variance s (beta-binomial moments): s is
+    (v - m(1 - m)a) / (1 - a), with a the mean of 1 / n. The prior weighs
+    m(1 - m)/s - 1 documents, at least none and at most as many as all hosts
+    have. That many also where s isn't above 0, so where hosts differ no more
+    than by chance, or all have one document.
     """
     # Summed before the shuffle: a hot host sends one row per task.
     hosts = written(
@@ -102,10 +106,12 @@ def host_rates(failures: DataFrame) -> DataFrame:
         "host-failures",
     )
     own = F.col("fails") / F.col("n")
-    m, v, total = hosts.agg(
-        F.coalesce(F.avg(own), F.lit(0.0)), F.coalesce(F.var_pop(own), F.lit(0.0)), F.coalesce(F.sum("n"), F.lit(0))
-    ).first()  # three numbers
-    weight = min(max(0.0, m * (1 - m) / v - 1), float(total)) if v > 0 else float(total)
+    m, v, a, total = hosts.agg(
+        *(F.coalesce(x, F.lit(0.0)) for x in (F.avg(own), F.var_pop(own), F.avg(1 / F.col("n")))),
+        F.coalesce(F.sum("n"), F.lit(0)),
+    ).first()  # four numbers
+    spread = (v - m * (1 - m) * a) / (1 - a) if a < 1 else 0.0
+    weight = min(max(0.0, m * (1 - m) / spread - 1), float(total)) if spread > 0 else float(total)
     return hosts.withColumn("rate", (F.col("fails") + m * weight) / (F.col("n") + weight))
 
 

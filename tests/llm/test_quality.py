@@ -58,6 +58,22 @@ def test_bad_host_is_rejected_and_small_hosts_are_shrunk(spark, tmp_dir):
     assert rates["tiny"] < 0.9 < 1.0  # shrunk from 1
 
 
+def test_hosts_of_few_pages_with_equal_rates(spark):
+    """Hosts of one to three pages that all fail with rate 0.2, in just the
+    shares that chance gives: none is a bad host."""
+    shares = {1: (8000, 2000), 2: (640, 320, 40), 3: (512, 384, 96, 8)}
+    hosts = [(n, fails) for n, counts in shares.items() for fails, k in enumerate(counts) for _ in range(k)]
+    rows = [(f"h{h}", p < fails) for h, (n, fails) in enumerate(hosts) for p in range(n)]
+    rates = [r.rate for r in quality.host_rates(spark.createDataFrame(rows, "host string, failed boolean")).collect()]
+    assert len(rates) == 12_000 and all(abs(x - 0.2) < 0.01 for x in rates)
+    ones = quality.host_rates(spark.createDataFrame([(f"h{k}", k % 5 == 0) for k in range(500)], "host string, failed boolean"))
+    assert max(r.rate for r in ones.collect()) < 0.21
+    # Hosts that do differ are told apart.
+    far = [(f"h{h}", p < (9 if h % 4 == 0 else 1)) for h in range(40) for p in range(10)]
+    found = {r.host: r.rate for r in quality.host_rates(spark.createDataFrame(far, "host string, failed boolean")).collect()}
+    assert found["h0"] > 0.8 and found["h1"] < 0.2
+
+
 def test_real_table(spark):
     rows = [(r.doc_id, r.text, r.source) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
     assert query(spark, SF_SMALL) == judged(rows)
