@@ -7,10 +7,9 @@ documents with the smallest keys are a weighted sample without replacement.
 Sizes are prefix-summed in that order, and a document is taken while that
 brings the sum nearer to the budget.
 
-The order is cut at fixed places of the key's logarithm, so no source is sorted
-in one task: sums of the cuts are made before the shuffle, and a source of any
-size has at most a few thousand cuts, of which none holds more than a
-thousandth or so of its documents.
+The prefix sums go through ``operators.running``: rows are cut into pieces of
+the whole order of key, id, size and a row number, so no source is sorted in one
+task, and neither are rows of one id or without an id.
 
 Defined results: null and empty texts have size 0; they add nothing and are
 taken 0 words, and they go with their source's whole passes. A null source is
@@ -24,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.running import running_sum
 from .store import written
 from .words import with_row
 
@@ -31,8 +31,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
-#: Cuts of the order for each doubling of the key.
-CUTS = 256
 
 
 def n_words(text: Column) -> Column:
@@ -109,30 +107,20 @@ def mix(
         F.col(f"row.{size}").alias("size"),
         (-F.log(uniform(F.col(f"row.{id_column}"))) / F.col(f"row.{quality}")).alias("key"),
     )
-    facts = written(facts.withColumn("cut", F.floor(F.log2("key") * CUTS)), "mix-facts")
-    cuts = written(facts.groupBy("source", "cut").agg(F.sum("size").alias("cut_size")), "mix-cuts")
+    # Written with the row number, which orders rows alike in all else.
+    facts = written(facts.withColumn("place", F.monotonically_increasing_id()), "mix-facts")
     shares = targets(
-        cuts.groupBy("source").agg(F.sum("cut_size").alias("source_size")), weights, max_epochs
+        facts.groupBy("source").agg(F.sum("size").alias("source_size")), weights, max_epochs
     ).withColumn(
         "epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    )
-    up_to = Window.partitionBy("source").orderBy("cut").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = cuts.select(
-        F.col("source").alias("s"), F.col("cut").alias("k"), F.coalesce(F.sum("cut_size").over(up_to), F.lit(0)).alias("offset")
-    ).withColumnRenamed("s", "source")
-    placed = offsets.alias("o").join(shares.alias("t"), F.col("o.source").eqNullSafe(F.col("t.source"))).select(
-        F.col("o.source").alias("s"), "k", "offset", "source_size", "target", "epochs"
-    )
-    in_cut = (
-        Window.partitionBy("source", "cut").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    ).withColumnRenamed("source", "s")
     rest = F.col("target") - F.col("epochs") * F.col("source_size")
-    before = F.col("offset") + F.coalesce(F.col("before"), F.lit(0))
+    before = F.col("up_to") - F.col("size")
     # Nearer to the budget with the document than without it.
     more = (F.col("size") > 0) & (2 * before + F.col("size") < 2 * rest)
     return (
-        facts.withColumn("before", F.sum("size").over(in_cut))
-        .join(placed, F.col("source").eqNullSafe(F.col("s")) & (F.col("cut") == F.col("k")))
+        running_sum(facts, ["source"], ["key", "id", "size", "place"], "size", "up_to")
+        .join(shares, F.col("source").eqNullSafe(F.col("s")))
         .withColumn("repeats", (F.col("epochs") + more.cast("long")).cast("long"))
         .select(
             "row", "size", "source_size", "target", "epochs", "repeats", (F.col("size") * F.col("repeats")).alias("taken")

@@ -105,6 +105,27 @@ def test_better_documents_are_taken_more_often(spark):
     assert n[True] == pytest.approx(10_000 * (1 - math.exp(-x)), rel=0.03)
 
 
+def test_rows_of_one_id_are_not_sorted_in_one_task(spark, tmp_dir):
+    """Rows without an id: mixed as defined, and spread over tasks."""
+    rows = [(None if k % 2 else k, "w " * (1 + k % 37), "ab"[k % 3 == 0]) for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    assert query(spark, write_tables(spark, tmp_dir, docs)) == mixed(rows)
+    conf = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        alike = spark.range(8000).select(
+            F.lit(None).cast("long").alias("doc_id"), F.lit("s").alias("source"), F.lit(5).cast("long").alias("size"),
+            F.lit(1.0).alias("quality"),
+        )
+        tasks = mixing.mix(alike).groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in tasks) < 4000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_empty_table_and_clashing_columns(spark, tmp_dir):
     assert query(spark, write_tables(spark, tmp_dir, no_documents(spark))) == []
     docs = edge_documents(spark, extra=True).drop("size", "quality")
