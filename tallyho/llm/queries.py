@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyho.session import configure
 
-from . import decontam, linededup, lm, mixing, neardup, pii, quality, tokencounts, urlfilter, warc
+from . import decontam, linededup, lm, mixing, neardup, pii, quality, sentencepieces, tokencounts, urlfilter, warc
 from .store import fresh_path
 from .oracle import SQL
 
@@ -127,6 +127,16 @@ def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = sentencepieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return encoded.select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_lm_scoring": op2_lm_scoring,
@@ -138,4 +148,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filters": op9_url_filters,
     "op10_pii_pseudonyms": op10_pii_pseudonyms,
+    "op13_sentencepiece": op13_sentencepiece,
 }
