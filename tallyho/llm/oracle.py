@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, linededup, mixing, neardup, quality, urlfilter, warc
+from . import decontam, linededup, manifest, mixing, neardup, quality, urlfilter, warc
 
 ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -239,6 +239,78 @@ FROM j LEFT JOIN scores ON j.host = scores.host
 """
 
 
+
+
+def crc32(text: str) -> str:
+    """Unsigned CRC-32 of ASCII text, byte by byte and bit by bit (fixed value:
+    the polynomial 0xEDB88320)."""
+    bytes_ = f"list_transform(range(1, length({text}) + 1), lambda k: ascii(substr({text}, k, 1))::BIGINT)"
+    eight = "list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295, {bytes_}), lambda c, b: {eight}))"
+
+
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}::VARCHAR))::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+
+def _tree(name: str, nodes: str) -> str:
+    """CTEs ``name`` (g, lv, i, h, n: all levels above rows (g, i, h)) and ``name``_runs (the
+    digests left and right of each node that has a parent)."""
+    return f"""
+{name} AS (
+  SELECT g, 0 AS lv, i, h, count(*) OVER (PARTITION BY g) AS n FROM {nodes}
+  UNION ALL
+  SELECT g, lv + 1, i // {manifest.FAN}, sha256(string_agg(h, '' ORDER BY i)), (max(n) + {manifest.FAN - 1}) // {manifest.FAN}
+  FROM {name} WHERE n > 1 GROUP BY g, lv, i // {manifest.FAN}
+),
+{name}_runs AS (
+  SELECT g, lv, i,
+    coalesce(string_agg(h, '') OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(h, '') OVER (r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name} WHERE n > 1 WINDOW r AS (PARTITION BY g, lv, i // {manifest.FAN} ORDER BY i)
+)"""
+
+
+def _fold(name: str, start: str, runs: str) -> str:
+    """CTEs ``name`` (rows (rid, g, lv, i, h, proof) on their way up) and ``name``_end (where it
+    ends)."""
+    return f"""
+{name} AS (
+  SELECT rid, g, 0 AS lv, i, h, proof FROM {start}
+  UNION ALL
+  SELECT rid, f.g, f.lv + 1, f.i // {manifest.FAN}, sha256(l || h || r), proof || l || r
+  FROM {name} f JOIN {runs} s ON s.g = f.g AND s.lv = f.lv AND s.i = f.i
+),
+{name}_end AS (SELECT rid, arg_max(g, lv) AS g, arg_max(h, lv) AS h, arg_max(proof, lv) AS proof FROM {name} GROUP BY rid)"""
+
+
+_LEAF = "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+_LOWERED = f"translate(text, '{urlfilter.UPPER}', '{urlfilter.LOWER}')"
+
+# Operator 12. Trees and ways are recursions by level.
+MANIFEST = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce('+' || lang, '') AS g, {_LEAF.format(text="text")} AS leaf,
+    CASE WHEN {crc32("doc_id::VARCHAR")} % 3 = 0 THEN {_LEAF.format(text=_LOWERED)} END AS other
+  FROM documents
+),
+l AS (
+  SELECT *, coalesce(other, leaf) AS repl,
+    row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf, coalesce(other, leaf)) - 1 AS i FROM d
+),
+nodes AS (SELECT g, i, leaf AS h FROM l),
+{_tree("t", "nodes")},
+sub AS (SELECT g AS own, '' AS g, row_number() OVER (ORDER BY g) - 1 AS i, h FROM t WHERE n = 1),
+{_tree("u", "sub")},
+start AS (SELECT rid, g, i, repl AS h, '' AS proof FROM l),
+{_fold("f", "start", "t_runs")},
+higher AS (SELECT rid, '' AS g, i, f_end.h, proof FROM f_end JOIN sub ON own = f_end.g),
+{_fold("e", "higher", "u_runs")}
+SELECT doc_id, leaf, sub.h AS subroot, u.h AS root, sha256(proof) AS proof_sha256, e_end.h AS folded_root, e_end.h = u.h AS verified
+FROM l JOIN sub ON own = l.g JOIN e_end USING (rid), u WHERE u.n = 1
+"""
+
+
 def over(sql: str, documents: str) -> str:
     """A query over another table of documents."""
     return "(" + sql.replace("FROM documents", f"FROM {documents}") + ")"
@@ -267,4 +339,5 @@ SQL = {
     "op7_decontamination": CONTAMINATION,
     "op8_quality_rules": QUALITY,
     "op9_url_filters": URLS,
+    "op12_merkle_manifest": MANIFEST,
 }

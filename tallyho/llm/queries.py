@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyho.session import configure
 
-from . import decontam, linededup, lm, mixing, neardup, pii, quality, sentencepieces, tokencounts, urlfilter, warc
+from . import decontam, linededup, lm, manifest, mixing, neardup, pii, quality, sentencepieces, tokencounts, urlfilter, warc
 from .store import fresh_path
 from .oracle import SQL
 
@@ -127,6 +127,28 @@ def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the rows is tampered with: their text is lower-cased."""
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    made = manifest.manifest(
+        table(spark, sf_dir, "documents"),
+        ["doc_id", "source", "lang", "n_chars", "text"],
+        "doc_id",
+        "lang",
+        tampered,
+        {"text": F.translate("text", urlfilter.UPPER, urlfilter.LOWER)},
+    )
+    return manifest.verified(made).select(
+        F.col("row.doc_id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.col("proof").alias("proof_sha256"),
+        "folded_root",
+        "verified",
+    )
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = sentencepieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return encoded.select(
@@ -148,5 +170,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filters": op9_url_filters,
     "op10_pii_pseudonyms": op10_pii_pseudonyms,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "op13_sentencepiece": op13_sentencepiece,
 }
