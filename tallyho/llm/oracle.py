@@ -311,6 +311,42 @@ FROM l JOIN sub ON own = l.g JOIN e_end USING (rid), u WHERE u.n = 1
 """
 
 
+# Operator 11. Prefixes as joined turn ids; sums over all ancestors of each node.
+TRIE = f"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, length(coalesce(text, '')) AS size, turn,
+    md5(octet_length(encode(coalesce(role, '')))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS tid
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+o AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, tid) AS pos FROM t),
+cs AS (SELECT c, c - c % 100 AS base, {crc32("c::VARCHAR")} % 6 AS h FROM (SELECT DISTINCT c FROM t)),
+r AS (
+  SELECT cs.c, 1 AS part, pos, tid, size FROM cs JOIN o ON o.c = base AND pos <= h
+  UNION ALL SELECT cs.c, 2, pos, tid, size FROM cs JOIN o ON o.c = cs.c AND pos > h
+),
+k AS (
+  SELECT cs.c, coalesce(list(tid ORDER BY part, pos) FILTER (tid IS NOT NULL), []) AS ids,
+    coalesce(list(size ORDER BY part, pos) FILTER (tid IS NOT NULL), []) AS sizes
+  FROM cs LEFT JOIN r ON r.c = cs.c GROUP BY cs.c
+),
+p AS (SELECT c, unnest(range(0, len(ids) + 1)) AS d, ids, sizes FROM k),
+m AS (SELECT c, d, array_to_string(ids[1:d], '') AS id, CASE WHEN d > 0 THEN sizes[d] ELSE 0 END AS size, d = len(ids) AS ends FROM p),
+n AS (
+  SELECT id, max(d) AS depth, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(size) AS saved,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM m GROUP BY id
+),
+ch AS (SELECT left(id, length(id) - 32) AS id, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+v AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN ch USING (id)),
+a AS (SELECT unnest(range(0, depth + 1)) AS up, id, n_children, saved FROM v),
+s AS (
+  SELECT left(id, up * 32) AS id, sum((n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM a GROUP BY ALL
+)
+SELECT v.conv_id, v.depth, x.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves, saved_tokens, v.ends_sha256
+FROM v JOIN s USING (id) LEFT JOIN v x ON v.depth > 0 AND x.id = left(v.id, length(v.id) - 32)
+"""
+
+
 def over(sql: str, documents: str) -> str:
     """A query over another table of documents."""
     return "(" + sql.replace("FROM documents", f"FROM {documents}") + ")"
@@ -339,5 +375,6 @@ SQL = {
     "op7_decontamination": CONTAMINATION,
     "op8_quality_rules": QUALITY,
     "op9_url_filters": URLS,
+    "op11_prefix_trie": TRIE,
     "op12_merkle_manifest": MANIFEST,
 }

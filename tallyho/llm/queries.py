@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyho.session import configure
 
-from . import decontam, linededup, lm, manifest, mixing, neardup, pii, quality, sentencepieces, tokencounts, urlfilter, warc
+from . import decontam, linededup, lm, manifest, mixing, neardup, pii, prefixtrie, quality, sentencepieces, tokencounts, urlfilter, warc
 from .store import fresh_path
 from .oracle import SQL
 
@@ -127,6 +127,14 @@ def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of conversations that begin with turns of the first of their hundred."""
+    own = prefixtrie.turns(table(spark, sf_dir, "conversations"))
+    head = F.crc32(F.col("conv").cast("string")) % 6
+    rebuilt = prefixtrie.with_heads(own, head, F.col("conv") - F.col("conv") % 100)
+    return prefixtrie.prefix_trie(rebuilt, own.where("pos = 1"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A third of the rows is tampered with: their text is lower-cased."""
     tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
@@ -170,6 +178,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filters": op9_url_filters,
     "op10_pii_pseudonyms": op10_pii_pseudonyms,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_sentencepiece": op13_sentencepiece,
 }

@@ -1,0 +1,147 @@
+"""Operator 11 against a plain trie, and its trees."""
+
+import hashlib
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyho.llm import prefixtrie, queries
+
+SCHEMA = "conv_id bigint, turn bigint, role string, text string"
+
+
+def plain(rows):
+    """The contract's nodes of (conv_id, turn, role, text)."""
+    own = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            tid = hashlib.md5(f"{len(role.encode())}:{role}{text}".encode()).digest()
+            own.setdefault(c, []).append(((turn is not None, turn or 0, role, tid), (role, text)))
+    own = {c: [x for _, x in sorted(t, key=lambda x: x[0])] for c, t in own.items()}
+    convs = {}
+    for c, t in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        convs[c] = tuple(own.get(c - (c % 100 if c >= 0 else -(-c % 100)), [])[:h] + t[h:])
+    members, ends = {}, {}
+    for c, t in convs.items():
+        ends.setdefault(t, []).append(c)
+        for d in range(len(t) + 1):
+            members.setdefault(t[:d], []).append(c)
+    children = {}
+    for node in members:
+        if node:
+            children.setdefault(node[:-1], []).append(node)
+
+    leaves, saved = {}, {}
+    for node in sorted(members, key=len, reverse=True):
+        below = children.get(node, [])
+        leaves[node] = sum(leaves[x] for x in below) or 1
+        own_saved = (len(members[node]) - 1) * len(node[-1][1]) if node else 0
+        saved[node] = own_saved + sum(saved[x] for x in below)
+    return sorted(
+        (
+            min(m), len(node), min(members[node[:-1]]) if node else -1, len(m), len(children.get(node, [])), leaves[node],
+            saved[node], hashlib.sha256(",".join(map(str, sorted(ends.get(node, [])))).encode()).hexdigest(),
+        )
+        for node, m in members.items()
+    )
+
+
+def run(spark, rows, folder):
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit(1) for c in ("conv", "pos", "id", "key", "a", "part")})
+    df.write.mode("overwrite").parquet(f"{folder}/conversations.parquet")
+    got = queries.op11_prefix_trie(spark, folder).select(
+        "conv_id", "depth", F.coalesce("parent_conv_id", F.lit(-1)), "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    )
+    return sorted(tuple(r) for r in got.collect())
+
+
+def conversations(seed, n, turns=6, words=3):
+    r = random.Random(seed)
+    return [
+        (c, k, r.choice(["user", "assistant"]), "".join(r.choice("ab") for _ in range(r.randrange(words))))
+        for c in r.sample(range(1000), n)
+        for k in range(r.randrange(1, turns))
+    ]
+
+
+EDGES = [
+    (1, None, "user", "first"), (1, 0, None, None), (1, 0, "", ""), (1, 5, "user", "x"), (1, 5, "user", "x"),
+    (100, 0, "user", "héllo \U0001f600"), (101, 0, "user", "héllo \U0001f600"), (102, 0, "a", "b"), (202, 0, "a", "b"),
+    (None, 0, "user", "nobody's"), (None, None, None, None), (7, 3, "us", "er"), (8, 3, "u", "ser"), (305, 1, "x", "long " * 30000),
+    (-5, 0, "user", "x"), (-105, 0, "user", "x"), (0, 0, "user", "x"),
+]
+
+
+def test_edge_rows(spark, tmp_dir):
+    assert run(spark, EDGES, tmp_dir) == plain(EDGES)
+
+
+def test_no_rows(spark, tmp_dir):
+    assert run(spark, [], tmp_dir) == []
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random(spark, tmp_dir, seed):
+    rows = conversations(seed, 300)
+    assert run(spark, rows, tmp_dir) == plain(rows)
+
+
+def test_segments_and_full_trees(spark, tmp_dir, monkeypatch):
+    """Keys of many segments, trees that are handed on after a few keys, lists of
+    members in pieces, a conversation with most turns and one copied often."""
+    monkeypatch.setattr(prefixtrie, "SEGMENT", 2)
+    monkeypatch.setattr(prefixtrie, "HELD_BYTES", 700)
+    monkeypatch.setattr(prefixtrie, "END_CHUNK", 3)
+    rows = conversations(3, 120, turns=9, words=2)
+    rows += [(c, k, "user", f"copied {k}") for c in range(2000, 2060) for k in range(4)]
+    rows += [(c, k, "user", f"t{k}") for c, n in ((5000, 300), (5101, 301), (5202, 299), (5303, 4), (5404, 2)) for k in range(n)]
+    assert run(spark, rows, tmp_dir) == plain(rows)
+
+
+def tree_of(keys):
+    tree = prefixtrie.Tree()
+    for k, key in enumerate(keys):
+        tree.insert(key, None, 1, len(key), k)
+    return tree
+
+
+def test_layouts_grow():
+    for n, kind in ((1, 4), (4, 4), (5, 16), (16, 16), (17, 48), (48, 48), (49, 256), (256, 256)):
+        tree = tree_of([bytes([7, b, 1]) for b in range(n)])
+        top = tree.root.children.get(7)
+        branch = top if n > 1 else tree.root
+        assert branch.children.places == kind
+        assert sum(1 for _ in branch.children.items()) == n
+        if n > 1:
+            assert sorted(b for b, _ in top.children.items()) == list(range(n))
+
+
+def test_paths_are_compressed():
+    tree = tree_of([b"\x00" * 64, b"\x00" * 63 + b"\x01"])
+    (node,) = (n for _, n in tree.root.children.items())
+    assert (node.begin, node.end) == (0, 63)
+    assert sum(1 for _ in tree.nodes()) == 4
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_sums_of_prefixes(seed):
+    r = random.Random(seed)
+    width = prefixtrie.WIDTH
+    ids = [bytes(r.randrange(2) for _ in range(width)) for _ in range(5)]
+    keys = [b"".join(r.choice(ids) for _ in range(r.randrange(5))) for _ in range(200)]
+    place = prefixtrie.Place(0, "0")
+    got = {x[0]: x[1:3] + x[4:] for x in prefixtrie.trie_nodes(tree_of(keys), place)}
+    want = {}
+    for k, key in enumerate(keys):
+        for d in range(len(key) // width + 1):
+            want.setdefault(key[: d * width], []).append(k)
+    assert len(got) == len(want)
+    for prefix, members in want.items():
+        d = len(prefix) // width
+        id_ = place.ids(prefix, d, d)[0]
+        parent = place.ids(prefix, d - 1, d - 1)[0] if d else None
+        assert got[id_] == (parent, d, len(members), sum(len(keys[k]) for k in members), min(members))
