@@ -37,12 +37,13 @@ def _same(pairs: Sequence[tuple[str, str]]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in pairs])
 
 
-def in_pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def in_pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str], path: str | None = None) -> DataFrame:
     """``df`` range-partitioned by (keys, order) with the number of each row's
-    piece as ``_piece``, written and read back."""
-    path = scratch_path(df.sparkSession, "pieces")
+    piece as ``_piece``, written (over what is in ``path``, if that is given) and
+    read back."""
+    path = path or scratch_path(df.sparkSession, "pieces")
     pieced = df.repartitionByRange(*keys, *order).withColumn("_piece", F.spark_partition_id())
-    pieced.write.parquet(path)
+    pieced.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(pieced.schema).parquet(path)
 
 
@@ -53,20 +54,21 @@ def running_sum(
     value: str | Column,
     out: str,
     totals: dict[str, Column] | None = None,
+    path: str | None = None,
 ) -> DataFrame:
     """Add ``out`` = running sum of ``value`` per ``keys`` in ``order``.
 
     ``order`` must be a total order within a key (ties make a running sum
     ambiguous); include a unique column last. ``totals`` (name -> aggregate)
     adds whole-key aggregates to every row. Runs one job at build time, which
-    writes the pieces.
+    writes the pieces (to a new folder, or over ``path``).
     """
     keys = list(keys)
     order_names = [f"_o{i}" for i in range(len(order))]
     shaped = df.withColumns(
         {**dict(zip(order_names, _cols(order), strict=True)), "_v": F.col(value) if isinstance(value, str) else value}
     )
-    rows = in_pieces(shaped, keys, order_names)
+    rows = in_pieces(shaped, keys, order_names, path)
     within = Window.partitionBy("_piece", *keys).orderBy(*order_names).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )

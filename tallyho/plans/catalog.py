@@ -21,7 +21,7 @@ from ..operators import board, replay, segments, topnames, trailing
 from ..session import configure, scratch_path
 from ..sources import feed, fixtures, sinks
 from ..streaming import board as stream_board
-from ..streaming import runner, sliding
+from ..streaming import runner, sliding, stored
 from ..streaming import trailing as stream_trailing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -348,6 +348,7 @@ def _trailing_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         _stream_table(spark, sf_dir),
         lambda src: stream_trailing.trailing_stream(fixtures.mentions(src)),
         order_col="arrival_us",
+        sink=stream_trailing.changelog_sink,
         tag="trailing",
         heartbeat="ts",
     )
@@ -364,11 +365,29 @@ def stateful_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _trailing_log(spark, sf_dir).select("name", "event_id", "kind", _ntz("change_ts"), "n")
 
 
+def stored_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live counts in the state of a stream that was started anew for each
+    landing, read from its checkpoint: those at the last watermark."""
+    configure(spark)
+    checkpoint = scratch_path(spark, "stored-checkpoint")
+    runner.replay_runs(
+        spark,
+        _stream_table(spark, sf_dir),
+        lambda src: stream_trailing.trailing_stream(fixtures.mentions(src)),
+        order_col="arrival_us",
+        sink=stream_trailing.changelog_sink,
+        tag="stored",
+        restarts=True,
+        checkpoint=checkpoint,
+    )
+    return stored.stored_counts(spark, checkpoint)
+
+
 def _board_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = runner.replay_runs(
         spark,
         _stream_table(spark, sf_dir),
-        lambda src: stream_trailing.trailing_stream(fixtures.mentions(src)),
+        lambda src: stream_trailing.board_stream(fixtures.mentions(src), 100),
         order_col="arrival_us",
         sink=stream_board.board_sink(100),
         tag="board",
@@ -415,6 +434,7 @@ QUERIES.update(
         "hourly_sliding_counts": hourly_sliding_counts,
         "stateful_trailing": stateful_trailing,
         "stateful_changelog": stateful_changelog,
+        "stored_counts": stored_counts,
         "board_evictions": board_evictions,
         "stream_board": stream_board_100,
     }

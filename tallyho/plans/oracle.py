@@ -389,6 +389,8 @@ steps_of AS (SELECT *, CAST(dense_rank() OVER (ORDER BY k) AS INTEGER) AS step F
 
 BOARD_EVICTIONS = _with(*_BOARDS) + "\nSELECT step, name, count FROM steps_of"
 
+STORED_COUNTS = _with(*_BOARDS) + "\nSELECT name, n FROM counted WHERE k = 4"
+
 STREAM_BOARD = (
     _with(*_BOARDS)
     + "\nSELECT step, rank, name, n FROM boards JOIN (SELECT DISTINCT k, step FROM steps_of) USING (k)"
@@ -430,6 +432,7 @@ SQL: dict[str, str] = {
     "hourly_sliding_counts": HOURLY_SLIDING_COUNTS,
     "stateful_trailing": TRAILING_COUNT,
     "stateful_changelog": TRAILING_CHANGELOG,
+    "stored_counts": STORED_COUNTS,
     "board_evictions": BOARD_EVICTIONS,
     "stream_board": STREAM_BOARD,
 }

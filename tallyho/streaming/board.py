@@ -1,15 +1,17 @@
 """Exact leaderboard across micro-batches (R6 table from changelog, R7 bounded
 board with eviction, R8/S15 deltas as JSON), in ``foreachBatch``.
 
-The changelog of :mod:`tallyho.streaming.trailing` brings each change once the
-watermark has passed it. So after a batch the counts, and with them the
-board, are those as of the batch's watermark, whatever the batches were.
-
-For batch b: the batch's last count of each name replaces the name's count in
-the table of live names as of batch b-1 (a distributed join), names at 0 leave
-the table, and the board is its top ``size``. A name off the board keeps its count,
-so it comes back when others fall. Deltas are the difference of two boards:
-names that entered or whose count changed, and names that left, with count 0.
+The counts of all live names are keyed state of the stream
+(:func:`tallyho.streaming.trailing.board_stream`), spread over buckets of names, and
+a batch brings the highest counts of the buckets where those changed. So what is
+written per batch follows the names that changed; here at most ``size`` rows of each
+bucket are held, whatever the number of names.
+
+For batch b: the buckets' rows replace those of the same buckets in the table of
+tops as of batch b-1, and the board is the top ``size`` of the table. A name off the
+board keeps its count in the state, so it comes back when others fall. Deltas are
+the difference of two boards: names that entered or whose count changed, and names
+that left, with count 0.
 
 The table and the board are written to one of ``SLOTS`` folders in turn, with
 overwrite, so they don't pile up, and a batch that is repeated reads the table
@@ -26,35 +28,33 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.render import counts_json
-from ..operators.board import BOARD_SIZE, board, last_counts
+from ..operators.board import BOARD_SIZE, board
 
-COUNT_SCHEMA = "batch long, name string, n long"
+TOP_SCHEMA = "batch long, bucket int, name string, n long"
 BOARD_SCHEMA = "batch long, rank int, name string, n long"
 DELTA_SCHEMA = "name string, count long"
 SLOTS = 3
 
 
-def previous_counts(spark: SparkSession, out: str, batch_id: int) -> DataFrame:
-    """(name, n) of live names after the newest of the last batches (none
-    before the first)."""
+def previous_tops(spark: SparkSession, out: str, batch_id: int) -> DataFrame:
+    """(bucket, name, n): the highest counts of all buckets after the newest of the last
+    batches (none before the first)."""
     for before in range(1, SLOTS):
         try:
-            rows = spark.read.schema(COUNT_SCHEMA).parquet(f"{out}/counts/slot={(batch_id - before) % SLOTS}")
+            rows = spark.read.schema(TOP_SCHEMA).parquet(f"{out}/tops/slot={(batch_id - before) % SLOTS}")
         except AnalysisException:  # no such slot yet
             continue
         rows = rows.where(F.col("batch") == batch_id - before)
-        if not rows.isEmpty():  # each batch writes a row without a name
-            return rows.where(F.col("name").isNotNull()).select("name", "n")
-    return spark.createDataFrame([], "name string, n long")
-
-
-def step_counts(prev: DataFrame, changes: DataFrame) -> DataFrame:
-    """(name, n) of live names after a batch's changelog."""
-    now = last_counts(changes).withColumnRenamed("n", "n_new")
-    return (
-        prev.join(now, "name", "full_outer")
-        .select("name", F.coalesce("n_new", "n").alias("n"))
-        .where(F.col("n") > 0)
+        if not rows.isEmpty():  # each batch writes a row without a bucket
+            return rows.where(F.col("bucket").isNotNull()).select("bucket", "name", "n")
+    return spark.createDataFrame([], "bucket int, name string, n long")
+
+
+def step_tops(prev: DataFrame, changed: DataFrame) -> DataFrame:
+    """(bucket, name, n) after a batch: the changed buckets' rows, and the other
+    buckets' as they were."""
+    return prev.join(changed.select("bucket").distinct(), "bucket", "left_anti").select("bucket", "name", "n").union(
+        changed.select("bucket", "name", "n")
     )
 
 
@@ -72,23 +72,29 @@ def board_deltas(prev: DataFrame, now: DataFrame) -> DataFrame:
 def board_sink(size: int = BOARD_SIZE) -> Callable[[str], Callable[[DataFrame, int], None]]:
     """foreachBatch sink factory for :func:`tallyho.streaming.runner.replay_runs`.
 
-    The batch is read once, for the table of counts; boards and deltas come
-    from the tables as written.
+    The batch is read once, and held in a folder beside the tables; boards and
+    deltas come from the tables as written.
     """
 
     def make(out: str) -> Callable[[DataFrame, int], None]:
         def write(batch: DataFrame, batch_id: int) -> None:
             spark, slot = batch.sparkSession, batch_id % SLOTS
-            prev = previous_counts(spark, out, batch_id)
+            held = f"{out}/changed/slot={slot}"
+            batch.select("bucket", "name", "n").write.mode("overwrite").parquet(held)
+            changed = spark.read.schema("bucket int, name string, n long").parquet(held)
+            prev = previous_tops(spark, out, batch_id)
             number = F.lit(batch_id).cast("long").alias("batch")
-            marker = spark.createDataFrame([(batch_id, None, 0)], COUNT_SCHEMA)
-            counts_path = f"{out}/counts/slot={slot}"
-            step_counts(prev, batch).select(number, "name", "n").union(marker).write.mode("overwrite").parquet(counts_path)
-            counts = spark.read.schema(COUNT_SCHEMA).parquet(counts_path).where(F.col("name").isNotNull())
+            marker = spark.createDataFrame([(batch_id, None, None, 0)], TOP_SCHEMA)
+            tops_path = f"{out}/tops/slot={slot}"
+            step_tops(prev, changed).select(number, "bucket", "name", "n").union(marker).write.mode("overwrite").parquet(tops_path)
+            tops = spark.read.schema(TOP_SCHEMA).parquet(tops_path).where(F.col("name").isNotNull())
             board_path = f"{out}/board/slot={slot}"
-            board(counts.select("name", "n"), size).select(number, "rank", "name", "n").write.mode("overwrite").parquet(board_path)
+            board(tops.select("name", "n"), size).select(number, "rank", "name", "n").write.mode("overwrite").parquet(board_path)
             now = spark.read.schema(BOARD_SCHEMA).parquet(board_path)
-            deltas = board_deltas(board(prev, size), now).cache()  # at most 2 * size rows
+            prev = prev.where(F.col("name").isNotNull())
+            if changed.isEmpty():
+                return
+            deltas = board_deltas(board(prev.select("name", "n"), size), now).cache()  # at most 2 * size rows
             try:
                 if not deltas.isEmpty():
                     deltas.write.mode("overwrite").parquet(f"{out}/deltas/batch={batch_id}")

@@ -8,14 +8,13 @@ Two streaming queries then share that source:
 
 * ``mentions``: the parsed (event_id, record_key, name, ts) rows, appended
   to ``<root>/mentions`` (the intermediate topic of the original, S12);
-* ``counter``: the trailing-hour changelog per name (R2, R3, R5) fed to the
-  bounded leaderboard (R6, R7, R8, S15) under ``<root>/board``.
+* ``counter``: the trailing-hour counts of all names in keyed state (R2, R3), and
+  their bounded leaderboard (R6, R7, R8, S15) under ``<root>/board``.
 
 Each query has its own checkpoint under ``<root>/checkpoints``, so either one
 can be stopped, restarted or lose executors without affecting the other; the
 file sink and the overwrite of a batch's own board make both outputs
-exactly once. ``maxFilesPerTrigger`` bounds a micro-batch, and with it the
-rows of one name that a single task handles in the counter.
+exactly once. ``maxFilesPerTrigger`` bounds a micro-batch.
 """
 
 from __future__ import annotations
@@ -29,7 +28,7 @@ from ..operators.board import BOARD_SIZE
 from ..sources.feed import record_mentions
 from .board import board_sink
 from .runner import MAX_FILES, stream_conf
-from .trailing import trailing_stream
+from .trailing import board_stream
 
 RECORD_SCHEMA = "key string, value string, timestamp timestamp, segment string"
 
@@ -89,7 +88,7 @@ def start(
         .queryName("mentions")
     )
     counter = trigger(
-        trailing_stream(mentions.select("event_id", "name", "ts"))
+        board_stream(mentions.select("event_id", "name", "ts"), board_size)
         .writeStream.foreachBatch(board_sink(board_size)(f"{root}/board"))
         .option("checkpointLocation", f"{root}/checkpoints/counter")
         .queryName("counter")

@@ -1,12 +1,13 @@
 """Run a streaming query over a table replayed as a sequence of landings.
 
 A table is cut into ``runs`` slices by ranges of an ordering column; each
-slice is appended to a landing folder and the query is started with
-``trigger(availableNow=True)`` - the way a scheduled job picks up the files
-that arrived since its last run. State, watermark and the set of files
-already read live in the checkpoint, so each run is one or more
-micro-batches continuing where the last one stopped, and a lost executor or
-a restarted run replays from the checkpoint.
+slice is appended to a landing folder that a running query reads, and the next one
+follows when all of it has been worked through. Or (``restarts``) the query is
+started anew for each slice with ``trigger(availableNow=True)`` - the way a
+scheduled job picks up the files that arrived since its last run. State,
+watermark and the set of files already read live in the checkpoint, so each
+run is one or more micro-batches continuing where the last one stopped, and a
+lost executor or a restarted run replays from the checkpoint.
 
 Sink rows are written by ``foreachBatch`` under ``batch=<id>`` with
 overwrite, so a replayed batch replaces its own output (exactly once).
@@ -19,6 +20,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..session import configure, scratch_path
 
@@ -64,10 +66,13 @@ def replay_runs(
     sink: Callable[[str], Callable[[DataFrame, int], None]] = batch_writer,
     tag: str = "stream",
     heartbeat: str | None = None,
+    restarts: bool = False,
+    checkpoint: str | None = None,
 ) -> str:
-    """Land ``table`` in ``runs`` slices, running the stream ``build`` after
-    each; returns the sink folder (``batch=<id>`` sub-folders). Rows without an
-    ordering value land with the first slice.
+    """Land ``table`` in ``runs`` slices for the stream ``build``, one when the
+    last one is done; returns the sink folder (``batch=<id>`` sub-folders). Rows
+    without an ordering value land with the first slice. ``restarts`` ends the query
+    after each slice and goes on from its ``checkpoint``.
 
     ``heartbeat`` names the event-time column of a last landing: one row that
     is null but for a time a day after the newest. It moves the watermark past
@@ -75,7 +80,7 @@ def replay_runs(
     """
     stream_conf(spark)
     landing = scratch_path(spark, f"{tag}-landing")
-    checkpoint = scratch_path(spark, f"{tag}-checkpoint")
+    checkpoint = checkpoint or scratch_path(spark, f"{tag}-checkpoint")
     out = scratch_path(spark, f"{tag}-out")
     schema = table.schema
     bounds = slice_bounds(table, order_col, runs)
@@ -92,20 +97,23 @@ def replay_runs(
                 )
             )
         )
-    for part in parts:
-        part.write.mode("append").parquet(landing)
+    def start(trigger: dict) -> StreamingQuery:
         source = spark.readStream.schema(schema).option("maxFilesPerTrigger", MAX_FILES).parquet(landing)
-        query = (
-            build(source)
-            .writeStream.outputMode(output_mode)
-            .foreachBatch(sink(out))
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
-        if query.exception() is not None:
-            raise RuntimeError(f"stream run failed: {query.exception()}")
+        writer = build(source).writeStream.outputMode(output_mode).foreachBatch(sink(out))
+        return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+    query = None
+    try:
+        for part in parts:
+            part.write.mode("append").parquet(landing)
+            if restarts:
+                start({"availableNow": True}).awaitTermination()
+            else:
+                query = query or start({"processingTime": "0 seconds"})
+                query.processAllAvailable()
+    finally:
+        if query:
+            query.stop()
     return out
 
 

@@ -1,35 +1,46 @@
 """Trailing count per name on a stream (R2 keyed running count, R3 timed
-decrement, R5 changelog output), with ``transformWithStateInPandas``.
-
-A mention is held until the watermark has passed it, and so is its expiry.
-Then no earlier row can come any more, and a name's changes are counted in
-the order of (time, expiry before arrival, event id): the output is the batch
-changelog :func:`tallyho.operators.trailing.trailing_changelog`, row by row,
-in whatever order the rows arrived within the watermark's delay. Rows later
-than that are dropped by Spark before they reach the state.
-
-State per name: its mentions in chunks on RocksDB, two packed int64 arrays
-each (``data``), and a small index of every chunk (``meta``): whether the chunk waits
-to arrive or, arrived, to expire, its oldest time and its size. A batch adds
-its rows as one waiting chunk. When the watermark moves, only chunks with
-something due are read and rewritten. So the state read and written follows
-the rows that arrive and expire, not the whole pending set of a name, which
-matters for a name holding a large share of all mentions; how many of its
-rows one batch brings is bounded by the source's ``maxFilesPerTrigger``.
-
-Each name has one event-time timer, at its oldest due time. A name with
-nothing pending has no state left (the count 0 is emitted once). Rows without
-a name only move the watermark (a heartbeat). Work per timer is vectorised
-with numpy.
+decrement, R5 changelog output), in two chained stateful operators
+(``transformWithStateInPandas``) whose work is spread whatever the names are.
+
+1. :class:`HeldMentions` is keyed by a hash of the row, not by the name. It holds a
+   mention until the watermark has passed it, and then until its expiry, and
+   hands on both steps (+1, -1) when they are due, with each name's sum. Rows of
+   a hot name lie in all buckets.
+2. :class:`NameCounts` is keyed by a hash of the name and gets the sums alone, one
+   for each name and bucket: it keeps the count of every live name. It hands on the
+   count before the steps of this batch, or the bucket's highest counts (the board).
+   The steps themselves pass it by, keyed by the bucket that they come from.
+
+The changelog is put together in ``foreachBatch`` (:func:`changelog_sink`): a
+running sum of a batch's steps per name, cut into pieces, so a hot name is split
+there too, from the name's count before the batch.
+
+No row can come any more once the watermark has passed it, and steps are counted in the
+order of (time, expiry before arrival, event id): the output is the batch changelog
+:func:`tallyho.operators.trailing.trailing_changelog`, row by row, in whatever
+order the rows arrived within the watermark's delay. Rows later than that are
+dropped by Spark before they reach the state.
+
+State. A bucket's mentions are stored on RocksDB in chunks (``data``), with an index of
+the chunks (``meta``). A batch adds its rows as chunks of ``CHUNK_ROWS`` at most, each
+a range of due times, and when the watermark moves only chunks with something due are
+read. A bucket has one
+event-time timer, at its oldest due time. Counts are a map by name (``counts``); a name
+whose count is 0 has no entry. Rows without a name only move the watermark (a
+heartbeat). The numbers of buckets are fixed for the life of a checkpoint: take some
+for each core of the cluster.
 """
 
 from __future__ import annotations
 
+import heapq
+import json
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,152 +51,307 @@ from pyspark.sql.streaming.stateful_processor import (
     TimerValues,
 )
 
+from ..operators.running import running_sum
 from ..operators.trailing import ARRIVAL, EXPIRY, RETENTION_MINUTES
 
-# The processor runs in Python workers (and in a driver-side runner that
-# reads its state schemas), which need not have this package installed: its
-# class travels by value, constants included.
+# The processors run in Python workers (and in a driver-side runner that
+# reads their state schemas), which need not have this package installed: the
+# classes travel by value, constants included.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-OUTPUT_SCHEMA = "name string, event_id long, kind string, change_us long, n long"
-CHUNK_KEY = "chunk long"
-META_SCHEMA = "arrived boolean, oldest_us long, rows long"
-DATA_SCHEMA = "ts_us binary, event_id binary"
-_I64 = np.dtype("<i8")
-_EMPTY = np.empty(0, np.int64)
+ROW_BUCKETS = 32
+NAME_BUCKETS = 32
+#: Mentions in one stored chunk.
+CHUNK_ROWS = 4096
+SUM, BASE, TOP = "sum", "base", "top"
+STEP_SCHEMA = "bucket int, kind string, name string, event_id long, change_us long, n long"
+META_SCHEMA = "arrived boolean, oldest_us long"
+CHANGELOG_SCHEMA = "name string, event_id long, kind string, change_ts timestamp, n long"
+_MINUTE_US = 60_000_000
+_SLOTS = 3
 
 
-class TrailingCounter(StatefulProcessor):
-    """Changelog of trailing counts per name (one row per arrival/expiry)."""
+class HeldMentions(StatefulProcessor):
+    """The steps of mentions once they are due, from any number of names."""
 
-    def __init__(self, retention_minutes: int = RETENTION_MINUTES):
-        self.retention_us = int(retention_minutes) * 60_000_000
+    def __init__(self, retention_minutes: int, with_steps: bool):
+        self.retention_us = int(retention_minutes) * _MINUTE_US
+        self.with_steps = with_steps
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.meta = handle.getMapState("meta", CHUNK_KEY, META_SCHEMA)
-        self.data = handle.getMapState("data", CHUNK_KEY, DATA_SCHEMA)
+        self.meta = handle.getMapState("meta", "chunk long", META_SCHEMA)
+        self.data = handle.getMapState("data", "chunk long", "rows binary")
 
     # -- state helpers -----------------------------------------------------
 
-    def _index(self) -> dict[int, tuple[bool, int, int]]:
-        """chunk -> (arrived, oldest time in us, rows) for every chunk."""
-        return {int(k[0]): (bool(v[0]), int(v[1]), int(v[2])) for k, v in self.meta.iterator()}
+    def _index(self) -> dict[int, tuple[bool, int]]:
+        """chunk -> (arrived, oldest due time in us)."""
+        return {int(k[0]): (bool(v[0]), int(v[1])) for k, v in self.meta.iterator()}
 
-    def _read(self, chunk: int) -> tuple[np.ndarray, np.ndarray]:
-        v = self.data.getValue((chunk,))
-        ts = np.frombuffer(v[0], dtype=_I64).astype(np.int64)
-        eid = np.frombuffer(v[1], dtype=_I64).astype(np.int64)
-        return ts, eid
+    def _read(self, chunk: int) -> pd.DataFrame:
+        with pa.ipc.open_stream(self.data.getValue((chunk,))[0]) as rows:
+            return rows.read_pandas()
 
-    def _write(self, index: dict, chunk: int, arrived: bool, ts: np.ndarray, eid: np.ndarray) -> None:
+    def _write(self, index: dict, chunk: int, arrived: bool, rows: pd.DataFrame) -> None:
         """Store a chunk and its index entry, or drop both when it is empty."""
-        key = (chunk,)
-        if len(ts) == 0:
+        if rows.empty:
             if index.pop(chunk, None):
-                self.meta.removeKey(key)
-                self.data.removeKey(key)
+                self.meta.removeKey((chunk,))
+                self.data.removeKey((chunk,))
             return
-        index[chunk] = (arrived, int(ts.min()), len(ts))
-        self.meta.updateValue(key, index[chunk])
-        self.data.updateValue(key, (ts.astype(_I64).tobytes(), eid.astype(_I64).tobytes()))
+        table = pa.Table.from_pandas(rows, preserve_index=False)
+        out = pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, table.schema) as writer:
+            writer.write_table(table)
+        index[chunk] = (arrived, int(rows["ts_us"].min()) + (self.retention_us if arrived else 0))
+        self.meta.updateValue((chunk,), index[chunk])
+        self.data.updateValue((chunk,), (out.getvalue().to_pybytes(),))
 
-    def _add(self, index: dict, arrived: bool, ts: np.ndarray, eid: np.ndarray) -> None:
-        self._write(index, max(index, default=-1) + 1, arrived, ts, eid)
+    def _add(self, index: dict, arrived: bool, rows: pd.DataFrame) -> None:
+        rows = rows.sort_values("ts_us", ignore_index=True)
+        for at in range(0, len(rows), CHUNK_ROWS):
+            self._write(index, max(index, default=-1) + 1, arrived, rows[at : at + CHUNK_ROWS])
 
-    def _due(self, entry: tuple[bool, int, int]) -> int:
-        return entry[1] + (self.retention_us if entry[0] else 0)
-
-    def _take(self, index: dict, arrived: bool, until_us: int) -> tuple[np.ndarray, np.ndarray]:
+    def _take(self, index: dict, arrived: bool, until_us: int) -> pd.DataFrame:
         """Remove and return the mentions of one kind that are due at or
-        before ``until_us``; only chunks that hold one are read."""
+        before ``until_us``."""
         shift = self.retention_us if arrived else 0
-        out_ts, out_id = [_EMPTY], [_EMPTY]
+        out = [pd.DataFrame({"name": pd.Series(dtype=object), "event_id": np.empty(0, np.int64), "ts_us": np.empty(0, np.int64)})]
         for chunk, entry in list(index.items()):
-            if entry[0] == arrived and self._due(entry) <= until_us:
-                ts, eid = self._read(chunk)
-                due = ts + shift <= until_us
-                out_ts.append(ts[due])
-                out_id.append(eid[due])
-                self._write(index, chunk, arrived, ts[~due], eid[~due])
-        return np.concatenate(out_ts), np.concatenate(out_id)
-
-    def _timer_ms(self, index: dict) -> int | None:
-        """The one timer a name has: at its oldest due time, in ms (rounded
-        up), or none when nothing is pending."""
-        return -(-min(map(self._due, index.values())) // 1000) if index else None
-
-    def _move_timer(self, old: int | None, new: int | None) -> None:
-        if old == new:
-            return
-        if old is not None:
-            self.handle.deleteTimer(old)
-        if new is not None:
-            self.handle.registerTimer(new)
+            if entry[0] == arrived and entry[1] <= until_us:
+                rows = self._read(chunk)
+                due = rows["ts_us"] + shift <= until_us
+                out.append(rows[due])
+                self._write(index, chunk, arrived, rows[~due])
+        return pd.concat(out[1:] or out, ignore_index=True)
+
+    def _move_timer(self, old: int | None, index: dict) -> None:
+        """The one timer of a bucket: at its oldest due time, in ms (rounded up)."""
+        new = -(-min(due for _, due in index.values()) // 1000) if index else None
+        if old != new:
+            if old is not None:
+                self.handle.deleteTimer(old)
+            if new is not None:
+                self.handle.registerTimer(new)
 
     # -- handlers ----------------------------------------------------------
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        batch = [(r["ts_us"].to_numpy(dtype=np.int64), r["event_id"].to_numpy(dtype=np.int64)) for r in rows]
-        if key[0] is not None:
+        new = pd.concat([r[["name", "event_id", "ts_us"]] for r in rows], ignore_index=True)
+        new = new[new["name"].notna()]
+        if len(new):
             index = self._index()
-            old = self._timer_ms(index)
-            self._add(index, False, np.concatenate([b[0] for b in batch]), np.concatenate([b[1] for b in batch]))
-            self._move_timer(old, self._timer_ms(index))
+            old = -(-min(due for _, due in index.values()) // 1000) if index else None
+            self._add(index, False, new)
+            self._move_timer(old, index)
         return iter(())
 
     def handleExpiredTimer(
         self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo
     ) -> Iterator[pd.DataFrame]:
         index = self._index()
-        if not index:
-            return
         until = int(timerValues.getCurrentWatermarkInMs()) * 1000
-        pending = sum(rows for arrived, _, rows in index.values() if arrived)
-        new_ts, new_id = self._take(index, False, until)
-        gone_ts, gone_id = self._take(index, True, until)
+        new, gone = self._take(index, False, until), self._take(index, True, until)
         # mentions that arrive and expire before this watermark
-        early = new_ts + self.retention_us <= until
-        gone_ts, gone_id = np.concatenate([gone_ts, new_ts[early]]), np.concatenate([gone_id, new_id[early]])
-        self._add(index, True, new_ts[~early], new_id[~early])
-        t = np.concatenate([gone_ts + self.retention_us, new_ts])
-        d = np.concatenate([np.full(len(gone_ts), -1, np.int64), np.ones(len(new_ts), np.int64)])
-        e = np.concatenate([gone_id, new_id])
-        order = np.lexsort((e, d, t))  # by time, then step (-1 first), then id
-        t, d, e = t[order], d[order], e[order]
-        # the timer that fired is gone
-        self._move_timer(None, self._timer_ms(index))
-        yield pd.DataFrame(
-            {
-                "name": [key[0]] * len(e),
-                "event_id": e,
-                "kind": np.where(d > 0, ARRIVAL, EXPIRY),
-                "change_us": t,
-                "n": pending + np.cumsum(d),
-            }
+        early = new["ts_us"] + self.retention_us <= until
+        gone = pd.concat([gone, new[early]], ignore_index=True)
+        self._add(index, True, new[~early])
+        self._move_timer(None, index)  # the timer that fired is gone
+        steps = pd.concat(
+            [
+                new.assign(kind=ARRIVAL, change_us=new["ts_us"], n=1),
+                gone.assign(kind=EXPIRY, change_us=gone["ts_us"] + self.retention_us, n=-1),
+            ],
+            ignore_index=True,
         )
+        if len(steps):
+            sums = steps.groupby("name", as_index=False)["n"].sum()
+            yield self._rows(key, sums.assign(kind=SUM, event_id=0, change_us=0))
+            if self.with_steps:
+                yield self._rows(key, steps)
+
+    def _rows(self, key, rows: pd.DataFrame) -> pd.DataFrame:
+        return rows.assign(bucket=key[0])[["bucket", "kind", "name", "event_id", "change_us", "n"]]
 
     def close(self) -> None:
         pass
 
 
-def trailing_stream(
-    mentions: DataFrame,
-    retention_minutes: int = RETENTION_MINUTES,
-    watermark: str = "10 minutes",
+class Reserve:
+    """The highest counts of a bucket, ordered by count and name, and some more.
+
+    Every name up to ``bound`` in that order is held, so the first ``size`` are right
+    as long as so many are held. Names that fall behind the bound leave; when
+    fewer than ``size`` are left, the reserve is filled anew from all names of the
+    bucket, which takes at least ``size`` such falls.
+    """
+
+    def __init__(self, size: int, stored: str | None):
+        self.size = size
+        held, bound = json.loads(stored) if stored else ([], None)
+        self.held: dict[str, int] = dict(held)
+        self.bound: tuple | None = tuple(bound) if bound else None  # None: all names are held
+
+    def stored(self) -> str:
+        return json.dumps([list(self.held.items()), self.bound])
+
+    def put(self, name: str, n: int) -> None:
+        if n > 0 and (self.bound is None or (-n, name) <= self.bound):
+            self.held[name] = n
+        else:
+            self.held.pop(name, None)
+
+    def settle(self, all_names: Callable[[], Iterator[tuple[str, int]]]) -> None:
+        """Keep between ``size`` and four times as many names."""
+        if len(self.held) > 4 * self.size:
+            self._fill(self.held.items(), self.bound)
+        elif len(self.held) < self.size and self.bound is not None:
+            self._fill(all_names(), None)
+
+    def _fill(self, names, bound: tuple | None) -> None:
+        best = heapq.nsmallest(2 * self.size + 1, ((-n, name) for name, n in names))
+        if len(best) > 2 * self.size:
+            best = best[:-1]
+            bound = best[-1]
+        self.held, self.bound = {name: -n for n, name in best}, bound
+
+    def top(self) -> list[tuple[str, int]]:
+        return [(name, -n) for n, name in heapq.nsmallest(self.size, ((-n, name) for name, n in self.held.items()))]
+
+
+class NameCounts(StatefulProcessor):
+    """Counts of the names of a bucket. Hands on each changed name's count
+    before the batch (``board_size`` None), or the bucket's ``board_size`` highest
+    counts if they changed. Steps (buckets below 0) pass."""
+
+    def __init__(self, board_size: int | None):
+        self.board_size = board_size
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.counts = handle.getMapState("counts", "name string", "n long")
+        if self.board_size is not None:
+            self.reserve = handle.getValueState("reserve", "stored string")
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        if key[0] < 0:
+            for r in rows:
+                yield r[["bucket", "kind", "name", "event_id", "change_us", "n"]]
+            return
+        changes = pd.concat([r[["name", "n"]] for r in rows]).groupby("name")["n"].sum()
+        names, before, after = list(changes.index), [], []
+        for name, change in changes.items():
+            held = self.counts.getValue((name,))
+            before.append(int(held[0]) if held else 0)
+            after.append(before[-1] + int(change))
+            if after[-1]:
+                self.counts.updateValue((name,), (after[-1],))
+            elif held:
+                self.counts.removeKey((name,))
+        if self.board_size is None:
+            yield self._rows(key, BASE, names, before)
+        else:
+            yield from self._board(key, names, after)
+
+    def _board(self, key, names: list[str], after: list[int]) -> Iterator[pd.DataFrame]:
+        stored = self.reserve.get()
+        reserve = Reserve(self.board_size, stored[0] if stored else None)
+        before = reserve.top()
+        for name, n in zip(names, after, strict=True):
+            reserve.put(name, n)
+        reserve.settle(lambda: ((k[0], int(v[0])) for k, v in self.counts.iterator()))
+        self.reserve.update((reserve.stored(),))
+        top = reserve.top()
+        if top != before:
+            # A bucket without names says so in a row without a name.
+            yield self._rows(key, TOP, *map(list, zip(*(top or [(None, 0)]), strict=True)))
+
+    def _rows(self, key, kind: str, names: list, n: list) -> pd.DataFrame:
+        return pd.DataFrame({"bucket": key[0], "kind": kind, "name": names, "event_id": 0, "change_us": 0, "n": n})
+
+    def close(self) -> None:
+        pass
+
+
+def _counted(
+    mentions: DataFrame, retention_minutes: int, watermark: str, board_size: int | None, row_buckets: int, name_buckets: int
 ) -> DataFrame:
-    """Streaming mentions (event_id, name, ts) -> changelog
-    (name, event_id, kind, change_ts, n), every change once the watermark has
-    passed it."""
+    row = F.pmod(F.xxhash64("event_id", "name", "ts"), F.lit(row_buckets)).cast("int")
     keyed = mentions.withWatermark("ts", watermark).select(
-        "name", "event_id", "ts", F.unix_micros("ts").alias("ts_us")
+        row.alias("bucket"), "name", "event_id", "ts", F.unix_micros("ts").alias("ts_us")
     )
-    log = keyed.groupBy("name").transformWithStateInPandas(
-        statefulProcessor=TrailingCounter(retention_minutes),
-        outputStructType=OUTPUT_SCHEMA,
+    steps = keyed.groupBy("bucket").transformWithStateInPandas(
+        statefulProcessor=HeldMentions(retention_minutes, with_steps=board_size is None),
+        outputStructType=STEP_SCHEMA,
         outputMode="Append",
         timeMode="EventTime",
     )
-    return log.select(
-        "name", "event_id", "kind", F.timestamp_micros("change_us").alias("change_ts"), "n"
+    name = F.pmod(F.xxhash64("name"), F.lit(name_buckets)).cast("int")
+    to = F.when(F.col("kind") == SUM, name).otherwise(-1 - F.col("bucket"))
+    return (
+        steps.withColumn("bucket", to)
+        .groupBy("bucket")
+        .transformWithStateInPandas(
+            statefulProcessor=NameCounts(board_size),
+            outputStructType=STEP_SCHEMA,
+            outputMode="Append",
+            timeMode="None",
+        )
+    )
+
+
+def trailing_stream(
+    mentions: DataFrame,
+    retention_minutes: int = RETENTION_MINUTES,
+    watermark: str = "10 minutes",
+    row_buckets: int = ROW_BUCKETS,
+    name_buckets: int = NAME_BUCKETS,
+) -> DataFrame:
+    """Streaming mentions (event_id, name, ts) -> each step once the watermark has passed
+    it, and each changed name's count before the batch: what
+    :func:`changelog_sink` makes the changelog of."""
+    return _counted(mentions, retention_minutes, watermark, None, row_buckets, name_buckets)
+
+
+def board_stream(
+    mentions: DataFrame,
+    board_size: int,
+    retention_minutes: int = RETENTION_MINUTES,
+    watermark: str = "10 minutes",
+    row_buckets: int = ROW_BUCKETS,
+    name_buckets: int = NAME_BUCKETS,
+) -> DataFrame:
+    """Streaming mentions (event_id, name, ts) -> (bucket, name, n): the ``board_size``
+    highest counts at the watermark, of each bucket of names where they changed
+    (one row without a name where none is left)."""
+    return _counted(mentions, retention_minutes, watermark, board_size, row_buckets, name_buckets).select("bucket", "name", "n")
+
+
+def changelog(batch: DataFrame, pieces: str) -> DataFrame:
+    """(name, event_id, kind, change_ts, n) of one batch of :func:`trailing_stream`; the
+    batch is read more than once, and ``pieces`` is a folder for its cut."""
+    steps = batch.where(F.col("kind").isin(ARRIVAL, EXPIRY)).withColumnRenamed("n", "d")
+    base = batch.where(F.col("kind") == BASE).select(F.col("name").alias("of"), F.col("n").alias("base"))
+    summed = running_sum(
+        steps.select("name", "event_id", "kind", "change_us", "d"), ["name"], ["change_us", "d", "event_id"], "d", "sum", path=pieces
+    )
+    return summed.join(base, F.col("name") == F.col("of")).select(
+        "name", "event_id", "kind", F.timestamp_micros("change_us").alias("change_ts"), (F.col("base") + F.col("sum")).alias("n")
     )
+
+
+def changelog_sink(out: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch sink that writes the changelog of a batch of :func:`trailing_stream` under
+    ``batch=<id>``. The batch is computed once and held in one of a few folders in
+    turn, beside ``out``, which a repeated batch overwrites."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        held = f"{out}-steps/slot={batch_id % _SLOTS}"
+        batch.write.mode("overwrite").parquet(held)
+        rows = batch.sparkSession.read.schema(batch.schema).parquet(held)
+        done = rows.sparkSession.createDataFrame([], CHANGELOG_SCHEMA)
+        if not rows.isEmpty():
+            done = changelog(rows, f"{out}-pieces/slot={batch_id % _SLOTS}")
+        done.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return write

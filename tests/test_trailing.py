@@ -75,15 +75,15 @@ def test_zero_counts_are_not_live(spark):
     assert live == {"here": 1} == {r["name"]: r["n"] for r in trailing.live_counts(m, as_of).collect()}
 
 
-CHANGES = "name string, event_id long, kind string, change_ts timestamp, n long"
+TOPS = "bucket int, name string, n long"
 
 
 def _board_after(spark, out, batches, size):
-    """Feed changelog batches to the sink; (board, deltas) after each."""
+    """Feed buckets' highest counts to the sink; the board after each."""
     write = stream_board.board_sink(size)(out)
     seen = []
     for b, rows in enumerate(batches):
-        write(spark.createDataFrame([(name, i, "arrival", T0, n) for i, (name, n) in enumerate(rows)], CHANGES), b)
+        write(spark.createDataFrame(rows, TOPS), b)
         now = spark.read.schema(stream_board.BOARD_SCHEMA).parquet(f"{out}/board/slot={b % stream_board.SLOTS}")
         assert {r["batch"] for r in now.collect()} <= {b}
         seen.append([(r["name"], r["n"]) for r in now.orderBy("rank").collect()])
@@ -91,9 +91,12 @@ def _board_after(spark, out, batches, size):
 
 
 def test_name_off_the_board_comes_back(spark, tmp_dir):
-    """Size 1: A=5 and B=4, then A expires: B is on the board again, with the
-    count it kept, though it was not in the batch."""
-    boards = _board_after(spark, tmp_dir, [[("A", 5), ("B", 4)], [("A", 0)], [], [("C", 4)], [("B", 0), ("C", 0)]], 1)
+    """Size 1: A=5 and B=4 in another bucket, then A expires: B is on the board
+    again, though its bucket was not in the batch."""
+    none = (0, None, 0)
+    boards = _board_after(
+        spark, tmp_dir, [[(0, "A", 5), (1, "B", 4)], [none], [], [(0, "C", 4)], [none, (1, None, 0)]], 1
+    )
     assert boards == [[("A", 5)], [("B", 4)], [("B", 4)], [("B", 4)], []]
     deltas = stream_board.delta_steps(spark, tmp_dir)
     got = sorted((r["step"], r["name"], r["count"]) for r in deltas.collect())
@@ -103,19 +106,49 @@ def test_name_off_the_board_comes_back(spark, tmp_dir):
 
 
 def test_repeated_batch_gives_the_same_board(spark, tmp_dir):
-    batches = [[("A", 3), ("B", 2)], [("A", 1)], [("C", 9)], [("A", 7)]]
+    batches = [[(0, "A", 3), (1, "B", 2)], [(0, "A", 1)], [(2, "C", 9)], [(0, "A", 7)]]
     boards = _board_after(spark, tmp_dir, batches, 2)
     assert boards[-1] == [("C", 9), ("A", 7)]
-    write = stream_board.board_sink(2)(tmp_dir)
-    write(spark.createDataFrame([("A", 0, "arrival", T0, 7)], CHANGES), 3)
+    stream_board.board_sink(2)(tmp_dir)(spark.createDataFrame([(0, "A", 7)], TOPS), 3)
     now = spark.read.schema(stream_board.BOARD_SCHEMA).parquet(f"{tmp_dir}/board/slot=0")
     assert [(r["name"], r["n"]) for r in now.orderBy("rank").collect()] == boards[-1]
 
 
-def _stream_rows(spark, events, order_col="event_id", heartbeat="ts"):
+def test_reserve_holds_the_highest():
+    """Random changes of 300 names against sorting all of them; all names are
+    read again only after many have fallen."""
+    import random
+
+    r = random.Random(5)
+    size, counts, refills, stored = 10, {}, 0, None
+    for k in range(400):
+        reserve = stream_trailing.Reserve(size, stored)
+        if k % 10 == 9:  # most of the highest fall at once
+            for name, _ in reserve.top()[: size - 1]:
+                counts[name] = 1
+                reserve.put(name, 1)
+        for _ in range(r.randrange(1, 20)):
+            name, n = f"n{r.randrange(300)}", r.choice([0, 0, 1, 2, 3, r.randrange(40)])
+            counts[name] = n
+            reserve.put(name, n)
+
+        def all_names():
+            nonlocal refills
+            refills += 1
+            return iter([(k, v) for k, v in counts.items() if v])
+
+        reserve.settle(all_names)
+        want = sorted(((-n, name) for name, n in counts.items() if n))[:size]
+        assert reserve.top() == [(name, -n) for n, name in want]
+        assert len(reserve.held) <= 4 * size
+        stored = reserve.stored()
+    assert 0 < refills < 200
+
+
+def _stream_rows(spark, events, order_col="event_id", heartbeat="ts", restarts=False):
     out = runner.replay_runs(
-        spark, events, lambda src: stream_trailing.trailing_stream(fixtures.mentions(src)), order_col=order_col,
-        tag="t", heartbeat=heartbeat,
+        spark, events, lambda src: stream_trailing.trailing_stream(fixtures.mentions(src), row_buckets=8, name_buckets=4),
+        order_col=order_col, sink=stream_trailing.changelog_sink, tag="t", heartbeat=heartbeat, restarts=restarts,
     )
     key = lambda r: (r["name"], r["event_id"], r["kind"], r["change_ts"], r["n"])
     return sorted(map(key, runner.read_sink(spark, out).collect())), key
@@ -204,6 +237,51 @@ def test_stream_busy_name_chunks(spark):
     assert max(r[4] for r in got if r[0] == "user_5") == 9
 
 
+def test_hot_name_is_split(spark, tmp_dir, monkeypatch):
+    """One name with two thirds of the rows, many at one time: its mentions lie in
+    every bucket, in chunks of a few rows, its running sum is cut into pieces, and
+    the log equals the batch changelog."""
+    monkeypatch.setattr(stream_trailing, "CHUNK_ROWS", 7)
+    rows = [(i, 1 if i % 3 else i, T0 + dt.timedelta(minutes=(i * 7) // 40 * 3)) for i in range(600)]
+    kept = {}
+    real = stream_trailing.changelog
+
+    def seen(batch, pieces):
+        for r in batch.where("kind = 'arrival' and name = 'user_1'").select("bucket").distinct().collect():
+            kept.setdefault("buckets", set()).add(r["bucket"])
+        out = real(batch, pieces)
+        hot = spark.read.parquet(pieces).where("name = 'user_1'").select("_piece").distinct().count()
+        kept["pieces"] = max(kept.get("pieces", 0), hot)
+        return out
+
+    monkeypatch.setattr(stream_trailing, "changelog", seen)
+    got, key = _stream_rows(spark, _events(spark, rows), restarts=True)
+    want = sorted(map(key, trailing.trailing_changelog(fixtures.mentions(_events(spark, rows))).collect()))
+    assert got == want
+    assert len(kept["buckets"]) == 8 and kept["pieces"] > 2
+
+
+def test_stored_counts_are_those_at_the_watermark(spark, tmp_dir):
+    """The state as a table, after a run and after one that goes on from it."""
+    import os
+
+    from tallyho.streaming import stored
+
+    rows = [(i, i % 5, T0 + dt.timedelta(minutes=4 * i)) for i in range(60)]
+    checkpoint = os.path.join(tmp_dir, "checkpoint")
+    runner.replay_runs(
+        spark, _events(spark, rows), lambda src: stream_trailing.trailing_stream(fixtures.mentions(src), row_buckets=4, name_buckets=4),
+        sink=stream_trailing.changelog_sink, runs=2, tag="st", restarts=True, checkpoint=checkpoint,
+    )
+    assert {"counts", "data", "meta"} <= set(stored.state_variables(spark, checkpoint))
+    mark = T0 + dt.timedelta(minutes=4 * 59 - 10)
+    want = {}
+    for _, u, t in rows:
+        if mark - dt.timedelta(hours=1) < t <= mark:
+            want[f"user_{u}"] = want.get(f"user_{u}", 0) + 1
+    assert {r["name"]: r["n"] for r in stored.stored_counts(spark, checkpoint).collect()} == want
+
+
 def test_rows_without_order_value_are_landed(spark):
     rows = [(i if i % 4 else None, 1, T0 + dt.timedelta(minutes=i)) for i in range(12)]
     events = _events(spark, rows)
