@@ -3,9 +3,10 @@
 Card numbers, phone numbers, social security numbers, IPv4 addresses and dates
 are found in whole texts, validated (Luhn check, ranges, calendar), and each
 is replaced by another valid value of the same format: a keyed permutation of
-all values of the format. Equal values get equal pseudonyms in every document,
-however they are punctuated, different values get different ones, and who has
-the key can turn them back. Numbers that don't validate stay.
+all values of the format. The pseudonym depends on the value and the key alone:
+equal values get equal ones in every document, whatever stands beside them and
+however they are punctuated (or, dates, in which order they are written), and
+different values get different ones. Numbers that don't validate stay.
 
 A value is a pair (left, right) with ``left < a`` and ``right < b``. Feistel rounds in
 turn add a keyed SHA-256 of one half to the other, modulo ``a`` or ``b``, which is a
@@ -19,8 +20,12 @@ exactly its valid values:
 * social security number: area and group, serial; only assignable ones;
 * IPv4: the two upper and the two lower octets;
 * date: the days from 1900 to 2099, as 17 times 4297. Day first, or month first
-  where only that is a calendar day; those are permuted among themselves (days
-  13 to 31), so that they are read alike again. An ISO date may begin a time.
+  where only that is a calendar day; a month-first date whose pseudonym would be
+  read day first is written day first. An ISO date may begin a time.
+
+Who has the key can turn the values back (:func:`restore`), from the kinds and places that
+``marks`` notes; the text alone may be read otherwise, since the new digits beside others
+may look like another card.
 
 All is per-text work in the JVM; nothing is shuffled. The key is an argument;
 keep the real one out of the code.
@@ -29,11 +34,10 @@ Defined results: a null text stays null and has no matches; texts without matche
 unchanged. A match is the longest run that a format fits, from left to right;
 digits that touch letters, digits or points of a longer token are no match. In
 a run of digit groups the cards are the sub-runs of whole groups that pass the
-Luhn check and don't overlap: first those grouped as cards are, then the longer,
-then the earlier. If new digits would change that choice, the permutation is
-applied again until they don't, so the same sub-runs are turned back. Runs with
-over ``WALK_CARDS`` such sub-runs are tables of numbers rather: they take one turn,
-and may not be turned back. Runs of over 200 numbers are read in parts of 200.
+Luhn check and don't overlap: first those grouped as cards are, of those the
+shorter (a card's three-digit code may follow it), then the other ones, of those the
+longer, then the earlier. Runs of over 200 numbers are read in parts of 200. Texts of any
+length are read whole; one text, its matches and its new copy must fit in a task.
 Repeated rows get equal results. The input's columns come back in one struct,
 ``row``.
 """
@@ -68,9 +72,6 @@ _NUMBER = rf"[0-9]{{1,12}}+(?:-[0-9]{{1,12}}+)*+{END}"
 CARD = rf"(?:{_RUN}(?![ -]?[0-9])|(?={_LONG}){_NUMBER}(?: (?!{_OTHERS}){_NUMBER}){{0,199}}+|{_RUN})"
 FORMATS = {"ip": IP, "iso_date": ISO_DATE, "day_date": DAY_DATE, "ssn": SSN, "phone": PHONE, "card": CARD}
 ANY = rf"(?<![\w.@+-])(?:{ISO_START}|(?:{IP}|{DAY_DATE}|{SSN}|{PHONE}|{CARD}){END})"
-#: Turns of a permutation until its value is read as the first was.
-WALK = 200
-WALK_CARDS = 4
 #: Lengths of the groups that cards are written in, besides one group.
 GROUPINGS = ("4-4-4-4", "4-6-5", "4-4-4-4-3")
 
@@ -149,7 +150,8 @@ def _cards(digits: Column, borders: Column) -> Column:
         def ranked(e: Column) -> Column:
             lengths = F.transform(F.sequence(i, e["j"] - 1), lambda k: F.get(borders, k + 1) - F.get(borders, k))
             usual = (e["j"] == i + 1) | F.array_join(lengths.cast("array<string>"), "-").isin(*GROUPINGS)
-            return F.struct((~usual).alias("odd"), (-e["n"]).alias("less"), at.alias("at"), e["n"].alias("n"))
+            length = F.when(usual, e["n"]).otherwise(-e["n"])
+            return F.struct((~usual).alias("odd"), length.alias("length"), at.alias("at"), e["n"].alias("n"))
 
         return F.transform(fits, ranked)
 
@@ -162,7 +164,19 @@ def _cards(digits: Column, borders: Column) -> Column:
     return F.array_sort(F.aggregate(F.array_sort(found), none, take))
 
 
-def _card(m: Column, key: str, back: bool) -> Column:
+_NO_CARDS = "array<struct<at:int,n:int>>"
+
+
+def _found_cards(m: Column) -> Column:
+    """(at, n) of the cards among a run's digits."""
+    groups = F.split(m, "[ -]")
+    ends = lambda g: F.transform(F.sequence(F.lit(0), F.size(g)), lambda i: F.length(F.array_join(F.slice(g, F.lit(1), i), "")))
+    return _let(F.struct(_digits(m).alias("digits"), _let(groups, ends).alias("borders")), lambda x: _cards(x["digits"], x["borders"]))
+
+
+def _card(m: Column, cards: Column, key: str, back: bool) -> Column:
+    """A run with each of its cards replaced."""
+
     def swap(d: Column) -> Column:
         width = F.length(d) - 1
         half = F.floor(width / 2).cast("int")
@@ -172,38 +186,12 @@ def _card(m: Column, key: str, back: bool) -> Column:
         body = _let(moved, lambda s: F.concat(_padded(s["l"], half), _padded(s["r"], width - half)))
         return _let(body, lambda x: F.concat(x, ((10 - luhn_sum(x, F.lit(True)) % 10) % 10).cast("string")))
 
-    def swap_all(digits: Column, cards: Column) -> Column:
-        def put(all_: Column, c: Column) -> Column:
-            past = c["at"] + c["n"]
-            new = _let(F.substring(all_, c["at"] + 1, c["n"]), swap)
-            return F.concat(F.substring(all_, F.lit(1), c["at"]), new, F.substring(all_, past + 1, F.length(all_) - past))
-
-        return F.aggregate(cards, digits, put)
-
-    def walked(digits: Column, cards: Column, borders: Column) -> Column:
-        def turn(s: Column, i: Column) -> Column:
-            moved = lambda x: F.struct(
-                x.alias("now"), F.coalesce(s["first"], x).alias("first"), (_cards(x, borders) == cards).alias("done")
-            )
-            return F.when(s["done"], s).otherwise(_let(swap_all(s["now"], cards), moved))
-
-        turns = F.when(F.size(cards) <= WALK_CARDS, F.lit(WALK)).otherwise(F.lit(1))
-        start = F.struct(digits.alias("now"), F.lit(None).cast("string").alias("first"), F.lit(False).alias("done"))
-        return F.aggregate(
-            F.sequence(F.lit(1), turns), start, turn, lambda s: F.when(s["done"], s["now"]).otherwise(s["first"])
-        )
+    def put(all_: Column, c: Column) -> Column:
+        past = c["at"] + c["n"]
+        new = _let(F.substring(all_, c["at"] + 1, c["n"]), swap)
+        return F.concat(F.substring(all_, F.lit(1), c["at"]), new, F.substring(all_, past + 1, F.length(all_) - past))
 
-    def run(x: Column) -> Column:
-        digits, borders = x["digits"], x["borders"]
-        new = lambda cards: F.when(F.size(cards) > 0, _refilled(m, walked(digits, cards, borders)))
-        return _let(_cards(digits, borders), new)
-
-    groups = F.split(m, "[ -]")
-    borders = _let(
-        groups,
-        lambda g: F.transform(F.sequence(F.lit(0), F.size(g)), lambda i: F.length(F.array_join(F.slice(g, F.lit(1), i), ""))),
-    )
-    return _let(F.struct(_digits(m).alias("digits"), borders.alias("borders")), run)
+    return _refilled(m, F.aggregate(cards, _digits(m), put))
 
 
 def _phone(m: Column, key: str, back: bool) -> Column:
@@ -218,10 +206,18 @@ def _phone(m: Column, key: str, back: bool) -> Column:
     return _let(_digits(m), swap)
 
 
+def _ssn_parts(m: Column) -> tuple[Column, Column, Column]:
+    return tuple(F.substring(m, at, n).cast("int") for at, n in ((1, 3), (5, 2), (8, 4)))
+
+
+def _ssn_valid(m: Column) -> Column:
+    area, group, serial = _ssn_parts(m)
+    return (area > 0) & (area != 666) & (area < 900) & (group > 0) & (serial > 0)
+
+
 def _ssn(m: Column, key: str, back: bool) -> Column:
     """Areas 001 to 899 without 666, groups 01 to 99, serials 0001 to 9999."""
-    area, group, serial = (F.substring(m, at, n).cast("int") for at, n in ((1, 3), (5, 2), (8, 4)))
-    valid = (area > 0) & (area != 666) & (area < 900) & (group > 0) & (serial > 0)
+    area, group, serial = _ssn_parts(m)
     place = F.when(area > 666, area - 2).otherwise(area - 1)
     moved = feistel(place * 99 + group - 1, serial - 1, F.lit(898 * 99), F.lit(9999), key, "ssn", back)
 
@@ -232,79 +228,126 @@ def _ssn(m: Column, key: str, back: bool) -> Column:
             "-", _padded(new_area, F.lit(3)), _padded(s["l"] % 99 + 1, F.lit(2)), _padded(s["r"] + 1, F.lit(4))
         )
 
-    return F.when(valid, _let(moved, text))
+    return _let(moved, text)
 
 
 def _ip(m: Column, key: str, back: bool) -> Column:
     def swap(o: Column) -> Column:
         moved = feistel(o[0] * 256 + o[1], o[2] * 256 + o[3], F.lit(65536), F.lit(65536), key, "ip", back)
         octets = lambda x: (F.floor(x / 256).cast("string"), (x % 256).cast("string"))
-        return F.when(F.array_max(o) < 256, _let(moved, lambda s: F.concat_ws(".", *octets(s["l"]), *octets(s["r"]))))
+        return _let(moved, lambda s: F.concat_ws(".", *octets(s["l"]), *octets(s["r"])))
 
     return _let(F.split(m, r"\.").cast("array<int>"), swap)
 
 
-def _date(m: Column, key: str, back: bool, iso: bool) -> Column:
-    first, last = F.lit(_FIRST_DAY).cast("date"), F.lit(_LAST_DAY).cast("date")
+def _day(m: Column, day: int, month: int) -> Column:
+    return F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, month, 2), F.substring(m, day, 2)).try_cast("date")
+
+
+_IN_ORDER: dict[str, Callable[[Column], Column]] = {
+    "iso_date": lambda m: m.try_cast("date"),
+    "day_date": lambda m: _day(m, 1, 4),
+    # Written month first only where that alone is a day.
+    "month_date": lambda m: F.coalesce(_day(m, 1, 4), _day(m, 4, 1)),
+}
+
+
+def _date_valid(d: Column) -> Column:
+    return d.between(F.lit(_FIRST_DAY).cast("date"), F.lit(_LAST_DAY).cast("date"))
+
+
+def _date(m: Column, kind: str, key: str, back: bool) -> Column:
+    first = F.lit(_FIRST_DAY).cast("date")
 
     def moved(day: Column) -> Column:
         new = feistel(F.floor(day / _DAYS_B), day % _DAYS_B, F.lit(_DAYS_A), F.lit(_DAYS_B), key, "date", back)
-        return _let(new, lambda s: (s["l"] * _DAYS_B + s["r"]).cast("int"))
-
-    def late(day: Column) -> Column:
-        """Moved until it is a day after the 12th again."""
-
-        def turn(s: Column, i: Column) -> Column:
-            next_ = lambda x: F.struct(x.alias("day"), (F.dayofmonth(F.date_add(first, x)) > 12).alias("done"))
-            return F.when(s["done"], s).otherwise(_let(moved(s["day"]), next_))
-
-        start = F.struct(day.alias("day"), F.lit(False).alias("done"))
-        return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), start, turn, lambda s: s["day"])
-
-    def swap(d: Column, move: Callable[[Column], Column], shape: str) -> Column:
-        new = _let(F.datediff(d, first), lambda day: F.date_add(first, move(day)))
-        return F.when((d >= first) & (d <= last), _refilled(m, F.date_format(new, shape)))
-
-    if iso:
-        return _let(m.try_cast("date"), lambda d: swap(d, moved, "yyyyMMdd"))
-    read = lambda day, month: F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, month, 2), F.substring(m, day, 2)).try_cast("date")
-    return _let(
-        read(1, 4),
-        lambda d: F.when(d.isNotNull(), swap(d, moved, "ddMMyyyy")).otherwise(
-            _let(read(4, 1), lambda e: swap(e, late, "MMddyyyy"))
-        ),
-    )
+        return _let(new, lambda s: F.date_add(first, (s["l"] * _DAYS_B + s["r"]).cast("int")))
+
+    def written(d: Column) -> Column:
+        if kind == "iso_date":
+            return F.date_format(d, "yyyyMMdd")
+        month_first = F.lit(kind == "month_date") & (F.lit(back) | (F.dayofmonth(d) > 12))
+        return F.when(month_first, F.date_format(d, "MMddyyyy")).otherwise(F.date_format(d, "ddMMyyyy"))
+
+    day = F.datediff(_IN_ORDER[kind](m), first)
+    return _let(_let(day, moved), lambda d: _refilled(m, written(d)))
+
+
+def reading(m: Column) -> Column:
+    """struct(kind, cards): the format that a match is valid in (null: none) and, in a run
+    of digit groups, the cards' places among its digits."""
+    fits = lambda name: m.rlike(f"^(?:{FORMATS[name]})$")
+    octets = F.split(m, r"\.").cast("array<int>")
+    none = F.array().cast(_NO_CARDS)
+    cards = F.when(
+        ~(fits("ip") | fits("iso_date") | fits("day_date") | fits("ssn") | fits("phone")), _found_cards(m)
+    ).otherwise(none)
+
+    def kind(found: Column) -> Column:
+        dated = F.when(_date_valid(_day(m, 1, 4)), "day_date").when(
+            _day(m, 1, 4).isNull() & _date_valid(_day(m, 4, 1)), "month_date"
+        )
+        return (
+            F.when(fits("ip"), F.when(F.array_max(octets) < 256, "ip"))
+            .when(fits("iso_date"), F.when(_date_valid(m.try_cast("date")), "iso_date"))
+            .when(fits("day_date"), dated)
+            .when(fits("ssn"), F.when(_ssn_valid(m), "ssn"))
+            .when(fits("phone"), "phone")
+            .when(F.size(found) > 0, "card")
+        )
+
+    return _let(cards, lambda c: F.struct(kind(c).alias("kind"), c.alias("cards")))
 
 
-def pseudonym(m: Column, key: str, back: bool = False) -> Column:
-    """The pseudonym of a match, or the match if it isn't valid."""
-    makers: dict[str, Callable[[], Column]] = {
-        "ip": lambda: _ip(m, key, back),
-        "iso_date": lambda: _date(m, key, back, True),
-        "day_date": lambda: _date(m, key, back, False),
-        "ssn": lambda: _ssn(m, key, back),
-        "phone": lambda: _phone(m, key, back),
-        "card": lambda: _card(m, key, back),
-    }
-    out: Column | None = None
-    for name, pattern in FORMATS.items():
-        fits = m.rlike(f"^(?:{pattern})$")
-        out = F.when(fits, makers[name]()) if out is None else out.when(fits, makers[name]())
-    return F.coalesce(out, m)
-
-
-def pseudonymise(docs: DataFrame, key: str, text: str = "text", back: bool = False) -> DataFrame:
-    """``docs`` as struct ``row`` with (found, replaced, clean_text): the matches,
-    what stands for each, and the whole text with those in place."""
+def moved(m: Column, read: Column, key: str, back: bool = False) -> Column:
+    """What stands for a match that was read as ``read``; ``back``: the match that a
+    pseudonym stands for."""
+    kind = read["kind"]
+    out = F.when(kind == "ip", _ip(m, key, back)).when(kind == "ssn", _ssn(m, key, back)).when(kind == "phone", _phone(m, key, back))
+    for date in _IN_ORDER:
+        out = out.when(kind == date, _date(m, date, key, back))
+    return out.when(kind == "card", _card(m, read["cards"], key, back)).otherwise(m)
+
+
+def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """``docs`` as struct ``row`` with (found, replaced, marks, clean_text): the matches, what
+    stands for each, what :func:`restore` needs of each (the characters before it since
+    the last one, its kind and its cards), and the whole text with the pseudonyms in
+    place."""
     whole = F.col(f"row.{text}")
     found = with_row(docs).withColumn("found", F.coalesce(F.regexp_extract_all(whole, F.lit(ANY), F.lit(0)), F.array()))
-    swapped = found.withColumn("replaced", F.transform("found", lambda m: pseudonym(m, key, back)))
-    pieces = F.zip_with(
-        F.split(whole, ANY, -1), F.col("replaced"), lambda p, r: F.concat(p, F.coalesce(r, F.lit("")))
+    read = found.withColumn("read", F.transform("found", reading))
+    swapped = read.withColumn("replaced", F.zip_with("found", "read", lambda m, r: moved(m, r, key)))
+    between = F.split(whole, ANY, -1)
+    pieces = F.zip_with(between, F.col("replaced"), lambda p, r: F.concat(p, F.coalesce(r, F.lit(""))))
+    marks = F.zip_with(
+        F.slice(between, F.lit(1), F.size("found")),
+        F.col("read"),
+        lambda p, r: F.struct(F.length(p).alias("gap"), r["kind"].alias("kind"), r["cards"].alias("cards")),
     )
     return swapped.select(
         "row",
         "found",
         "replaced",
+        F.coalesce(marks, F.array().cast(_MARKS)).alias("marks"),
         F.when(F.size("found") > 0, F.array_join(pieces, "")).otherwise(whole).alias("clean_text"),
     )
+
+
+_MARKS = f"array<struct<gap:int,kind:string,cards:{_NO_CARDS}>>"
+
+
+def restore(docs: DataFrame, key: str, text: str = "clean_text", marks: str = "marks", replaced: str = "replaced") -> DataFrame:
+    """``docs`` as struct ``row`` with ``restored``: the text with the values that its pseudonyms
+    stand for, from the columns of :func:`pseudonymise`. Its work grows with the square of a
+    text's matches."""
+    whole, new = F.col(f"row.{text}"), F.col(f"row.{replaced}")
+    both = F.zip_with(F.col(f"row.{marks}"), new, lambda k, r: F.struct(k["gap"].alias("gap"), F.length(r).alias("n"), moved(r, k, key, True).alias("old")))
+
+    def step(s: Column, x: Column) -> Column:
+        piece = F.concat(F.substring(whole, s["at"], x["gap"]), x["old"])
+        return F.struct((s["at"] + x["gap"] + x["n"]).alias("at"), F.concat(s["out"], F.array(piece)).alias("out"))
+
+    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("out"))
+    built = F.aggregate(both, start, step, lambda s: F.concat(F.array_join(s["out"], ""), F.substring(whole, s["at"], F.length(whole))))
+    return with_row(docs).withColumn("restored", F.when(whole.isNotNull(), built))

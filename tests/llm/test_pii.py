@@ -88,10 +88,17 @@ TEXTS = [
 ]
 
 
-def run(spark, texts, back=False):
+def run(spark, texts):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
-    got = pii.pseudonymise(df, KEY, back=back).collect()
-    return [r for r in sorted(got, key=lambda r: r.row.doc_id)]
+    return sorted(pii.pseudonymise(df, KEY).collect(), key=lambda r: r.row.doc_id)
+
+
+def there_and_back(spark, texts):
+    """(new texts, the texts that they are turned back to)."""
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    there = pii.pseudonymise(df, KEY).select("row.doc_id", "replaced", "marks", "clean_text")
+    rows = sorted(pii.restore(there, KEY).collect(), key=lambda r: r.row.doc_id)
+    return [r.row.clean_text for r in rows], [r.restored for r in rows]
 
 
 def expected(text):
@@ -105,8 +112,8 @@ def test_equals_plain_version(spark):
 
 
 def test_round_trip_and_links(spark):
-    there = [r.clean_text for r in run(spark, TEXTS)]
-    assert [r.clean_text for r in run(spark, there, back=True)] == TEXTS
+    there, back = there_and_back(spark, TEXTS + [None, "", "none"])
+    assert back == TEXTS + [None, "", "none"]
     first = re.findall(r"\d[\d ]{14,}\d", there[0])
     assert re.sub(" ", "", first[0]) == first[1] != "4539148803436467"
     assert re.sub("-", "", there[1].split()[0]) == first[1] and luhn(first[1])
@@ -122,16 +129,43 @@ AMONG = [
 
 def test_cards_among_other_digits(spark):
     texts = [x.format(c) for x in AMONG for c in (CARD, "4539 1488 0343 6467", "3782 822463 10005")]
-    got = [r.clean_text for r in run(spark, texts)]
+    got, back = there_and_back(spark, texts)
+    assert back == texts
     for old, new in zip(texts, got, strict=True):
         assert re.sub("[0-9]", "0", old) == re.sub("[0-9]", "0", new)
         assert not any(c in new for c in (CARD, "4539 1488 0343 6467", "3782 822463 10005", "743-555", "12/25/2020", "2024-01-02")), (old, new)
         assert "4242 4242 4242" not in new
-    assert [r.clean_text for r in run(spark, got, back=True)] == texts
     (alone,) = run(spark, [CARD])
     assert got[0] == f"card {alone.clean_text} 12/25"
 
 
+def test_one_pseudonym_whatever_stands_beside(spark):
+    """All three-digit followers, other neighbours, and all groupings of a card."""
+    (alone,) = run(spark, [CARD])
+    new = re.sub(" ", "", alone.clean_text)
+    after = [f"card {CARD} {k:03d}" for k in range(1000)]
+    assert [r.clean_text for r in run(spark, after)] == [f"card {alone.clean_text} {k:03d}" for k in range(1000)]
+    spelled = [CARD.replace(" ", "-"), CARD.replace(" ", ""), f"({CARD})", f"{CARD}, 7 12", f"no 5: {CARD}"]
+    for r in run(spark, spelled):
+        assert new in re.sub("[^0-9]", "", r.clean_text)
+    # Many cards in one run: each is what it is alone.
+    cards = [CARD, "4539 1488 0343 6467", "5500 0000 0000 0004", "6011 0000 0000 0004", "4242 4242 4242 4242", "4012 8888 8888 1881"]
+    one_by_one = [r.clean_text for r in run(spark, cards)]
+    (together,) = run(spark, ["; ".join(cards)])
+    assert together.clean_text == "; ".join(one_by_one)
+
+
+def test_one_pseudonym_however_a_date_is_written(spark):
+    days = [dt.date(2020, 12, 1) + dt.timedelta(k) for k in range(31)]
+    got = run(spark, [f"{d:%Y-%m-%d} {d:%d/%m/%Y} {d:%d.%m.%Y} {d:%m/%d/%Y}" for d in days])
+    for day, r in zip(days, got, strict=True):
+        iso, slash, point, month = r.clean_text.split()
+        new = dt.date.fromisoformat(iso)
+        assert new != day and slash == f"{new:%d/%m/%Y}" and point == f"{new:%d.%m.%Y}"
+        if day.day > 12:  # else it is read day first
+            assert month == (f"{new:%m/%d/%Y}" if new.day > 12 else f"{new:%d/%m/%Y}")
+
+
 def test_long_runs_of_numbers(spark):
     texts = [" ".join(["1200"] * 4 + [CARD] + ["1200"] * 30_000), "12 " * 20_000, "7" * 50_000, "1-" * 3_000 + "1"]
     got = [r.clean_text for r in run(spark, texts)]
@@ -141,10 +175,8 @@ def test_long_runs_of_numbers(spark):
 def test_month_first_dates_and_times(spark):
     days = [dt.date(1999, 1, 1) + dt.timedelta(k) for k in range(0, 800, 3)]
     texts = [f"{d:%m/%d/%Y}" for d in days if d.day > 12]
-    got = [r.clean_text for r in run(spark, texts)]
-    assert len(set(got)) == len(texts) and not set(got) & set(texts)
-    assert all(dt.datetime.strptime(x, "%m/%d/%Y").day > 12 for x in got)
-    assert [r.clean_text for r in run(spark, got, back=True)] == texts
+    got, back = there_and_back(spark, texts)
+    assert back == texts and len(set(got)) == len(texts) and not set(got) & set(texts)
     odd = ["31/31/2020 02/30/2020 12/25/1850", "2024-01-02Tuesday x2024-01-02T10", "2024-13-02T10"]
     assert [r.clean_text for r in run(spark, odd)] == odd
     time, day = run(spark, ["at 2024-01-02T10:00:00Z", "at 2024-01-02"])
