@@ -8,4 +8,5 @@ import sys
 
 from pyspark import cloudpickle
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+# The whole library: operators use helpers of its other parts.
+cloudpickle.register_pickle_by_value(sys.modules["tallyho"])

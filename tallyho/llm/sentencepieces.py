@@ -265,12 +265,13 @@ def _shared(spark: SparkSession, model_path: str) -> Callable[[], Encoder]:
     configure(spark)
     with open(model_path, "rb") as f:
         model = f.read()
-    shared = spark.sparkContext.broadcast({"model": model, "pieces": load_pieces(model)})
+    # Plain values: what is broadcast is pickled with its classes' names.
+    shared = spark.sparkContext.broadcast({"model": model, "pieces": vars(load_pieces(model))})
 
     def get() -> Encoder:
         held = shared.value
         if "encoder" not in held:
-            held["encoder"] = Encoder(held["model"], held["pieces"])
+            held["encoder"] = Encoder(held["model"], Pieces(**held["pieces"]))
         return held["encoder"]
 
     return get

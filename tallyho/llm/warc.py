@@ -11,7 +11,20 @@ are parsed first, and where they fail the filters, or where the option
 payload. Plain files are skipped by the content length. Gzip files have one
 member per record; their writer notes each member's length in the ``sl`` extra
 field that the WARC standard describes, so members are skipped unread too
-(a member without it must be unpacked to find its end).
+(a member without it must be unpacked to find its end). Lines may end in CRLF or LF.
+
+Damage. A record is damaged if its file ends in it, its gzip member doesn't unpack
+or fails its checksum, its content is shorter or longer than its ``Content-Length``, that is
+missing or no number, or no record begins where one should. The option ``mode`` says
+what happens: ``fail`` (default) raises an error that names file and place; ``report``
+gives a row for it with what could be read and the column ``damage``, and goes on with
+the next record that can be found. Payloads that are passed over aren't unpacked, so
+of their damage only a file's end is noticed.
+
+HTTP. With the option ``http`` = ``true`` the payload of a record of type
+``application/http`` is taken apart: ``http_status``, ``http_headers`` (names in lower case,
+repeated ones joined by commas), and the body, still encoded as it was sent, as
+``payload``. Without a status line these are null and the payload is left whole.
 
 Writing. Each task writes files of its own, one gzip member per record, under
 a name that no other attempt has; the driver's commit renames the files of the
@@ -80,7 +93,12 @@ HEADERS = {
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HEADER_SCHEMA = ", ".join(f"{column} string" for column in HEADERS) + ", headers map<string,string>"
 SCHEMA = HEADER_SCHEMA + ", payload binary"
+DAMAGE_SCHEMA = ", damage string"
+HTTP_SCHEMA = ", http_status int, http_headers map<string,string>"
 _READ = 64 * 1024
+_SL_LIMIT = 1 << 32
+#: Bytes in which a record's headers must end.
+_MAX_HEAD = 4_000_000
 _BATCH = 4_000_000
 
 
@@ -104,8 +122,11 @@ def gzip_member(data: bytes) -> bytes:
     packer = zlib.compressobj(6, zlib.DEFLATED, -15)
     body = packer.compress(data) + packer.flush()
     total = 12 + 12 + len(body) + 8
-    extra = b"sl" + struct.pack("<HII", 8, total & 0xFFFFFFFF, len(data) & 0xFFFFFFFF)
-    head = b"\x1f\x8b\x08\x04\0\0\0\0\0\xff" + struct.pack("<H", len(extra))
+    if max(total, len(data)) >= _SL_LIMIT:
+        head, extra = b"\x1f\x8b\x08\0\0\0\0\0\0\xff", b""
+    else:
+        extra = b"sl" + struct.pack("<HII", 8, total, len(data))
+        head = b"\x1f\x8b\x08\x04\0\0\0\0\0\xff" + struct.pack("<H", len(extra))
     return head + extra + body + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
 
 
@@ -135,18 +156,26 @@ class Unpacked:
         self.have += self.unpacker.decompress(data, 8 * _READ)
         return True
 
-    def head(self) -> bytes | None:
-        """Up to the empty line; None at the end of the file. The line ends
-        that close the record before are left out."""
+    def head(self) -> list[str] | None:
+        """The lines up to the empty one; None at the end of the file. The line
+        ends that close the record before are left out."""
         while True:
             self.have = self.have.lstrip(b"\r\n")
-            end = self.have.find(b"\r\n\r\n")
-            if end >= 0:
-                out, self.have = self.have[:end], self.have[end + 4 :]
-                return out
+            found = _HEAD_END.search(self.have)
+            if found:
+                out, self.have = self.have[: found.start()], self.have[found.end() :]
+                return re.split("\r?\n", out.decode("utf-8", "replace"))
+            if len(self.have) > _MAX_HEAD or self.have and not self.have.startswith(b"WARC/"[: len(self.have)]):
+                raise Damage("no record")
             if not self.more():
+                if self.have or self.cut():
+                    raise Damage("truncated")
                 return None
 
+    def cut(self) -> bool:
+        """Whether the file ends within the gzip member."""
+        return self.unpacker is not None and not self.unpacker.eof
+
     def take(self, n: int) -> bytes:
         parts, size = [self.have], len(self.have)
         self.have = b""
@@ -181,45 +210,124 @@ class Unpacked:
             self.file.seek(self.file.tell() - len(self.unpacker.unused_data))
 
 
-def read_records(path: str, wanted, with_payload: bool, stats: dict[str, int] | None = None) -> Iterator[dict]:
+class Damage(ValueError):
+    """What is wrong with a record."""
+
+
+def _next_record(file: BinaryIO, at: int, size: int) -> int:
+    """The next place from ``at`` on where a record begins, or the file's size."""
+    while at < size:
+        file.seek(at)
+        window = file.read(_READ + 16)
+        for found in _BEGIN.finditer(window):
+            place = at + found.start() + (1 if found[0].startswith(b"\n") else 0)
+            if found[0].startswith(b"\n"):
+                return place
+            file.seek(place)
+            try:
+                if zlib.decompressobj(31).decompress(file.read(_READ), 16).lstrip(b"\r\n").startswith(b"WARC/"):
+                    return place
+            except zlib.error:
+                pass
+        at += _READ
+    return size
+
+
+_HEAD_END = re.compile(rb"\r?\n\r?\n")
+_BEGIN = re.compile(rb"\nWARC/|\x1f\x8b\x08")
+
+
+def read_records(
+    path: str, wanted, with_payload: bool, stats: dict[str, int] | None = None, mode: str = "fail"
+) -> Iterator[dict]:
     """Records of a file whose headers satisfy ``wanted``. Payloads of others are
     passed over unread."""
-    by_header = {v.lower(): k for k, v in HEADERS.items()}
     with open(path, "rb") as file:
         size = os.fstat(file.fileno()).st_size
         while file.tell() < size:
             at = file.tell()
-            magic = file.read(2)
+            if file.read(1) in b"\r\n":  # the end of the record before
+                continue
             file.seek(at)
-            packed = magic == b"\x1f\x8b"
-            source = Unpacked(file, packed)
-            head = source.head()
-            if head is None:
-                return
-            version, *lines = head.decode("utf-8", "replace").split("\r\n")
-            if not version.startswith("WARC/"):
-                raise ValueError(f"{path}: no WARC record at {at}")
-            record: dict[str, Any] = dict.fromkeys(HEADERS) | {"headers": {}, "payload": None}
-            length = 0
-            for line in lines:
-                name, _, value = line.partition(":")
-                value = value.strip()
-                if name.lower() == "content-length":
-                    length = int(value)
-                elif name.lower() in by_header:
-                    record[by_header[name.lower()]] = value
-                else:
-                    record["headers"][name] = value
-            if wanted(record) and with_payload:
-                record["payload"] = source.take(length)
-                source.end()
-                if stats is not None:
-                    stats["payloads"] = stats.get("payloads", 0) + 1
+            record: dict[str, Any] = dict.fromkeys(HEADERS) | {"headers": {}, "payload": None, "damage": None}
+            try:
+                if not _read_record(file, size, record, wanted, with_payload, stats):
+                    return
+            except (Damage, zlib.error) as e:
+                record["damage"] = str(e) if isinstance(e, Damage) else "bad gzip"
+                if mode == "fail":
+                    raise ValueError(f"{path}: {record['damage']} at {at}") from e
+                file.seek(_next_record(file, at + 1, size))
+            if wanted(record):
                 yield record
-            else:
-                source.skip(length)
-                if wanted(record):
-                    yield record
+
+
+_BY_HEADER = {v.lower(): k for k, v in HEADERS.items()}
+
+
+def _read_record(file: BinaryIO, size: int, record: dict, wanted, with_payload: bool, stats: dict[str, int] | None) -> bool:
+    """Fill ``record`` from a file's place and go behind it; False at the file's end."""
+    at = file.tell()
+    packed = file.read(2) == b"\x1f\x8b"
+    file.seek(at)
+    source = Unpacked(file, packed)
+    lines = source.head()
+    if lines is None:
+        file.seek(size)
+        return False
+    if not lines[0].startswith("WARC/"):
+        raise Damage("no record")
+    length = None
+    for line in lines[1:]:
+        name, _, value = line.partition(":")
+        value = value.strip()
+        if name.lower() == "content-length":
+            length = value
+        elif name.lower() in _BY_HEADER:
+            record[_BY_HEADER[name.lower()]] = value
+        else:
+            record["headers"][name] = value
+    if length is None or not re.fullmatch("[0-9]{1,18}", length):
+        raise Damage("bad length")
+    length = int(length)
+    if wanted(record) and with_payload:
+        record["payload"] = source.take(length)
+        if stats is not None:
+            stats["payloads"] = stats.get("payloads", 0) + 1
+        if len(record["payload"]) < length:
+            raise Damage("truncated")
+        if packed:
+            rest = source.take(5)
+            while len(rest) == 5 and source.more():  # to the checksum
+                source.have = b""
+            if source.cut():
+                raise Damage("truncated")
+            if rest.strip(b"\r\n"):
+                raise Damage("bad length")
+        source.end()
+    else:
+        source.skip(length)
+        if source.cut() and source.length is None:
+            raise Damage("truncated")
+    if file.tell() > size:
+        raise Damage("truncated")
+    return True
+
+
+def http_parts(payload: bytes) -> tuple[int | None, list[tuple[str, str]] | None, bytes]:
+    """(status, headers, body) of an HTTP response; (None, None, payload) if it isn't one."""
+    found = _HEAD_END.search(payload)
+    head = payload[: found.start()] if found else payload
+    status, *lines = re.split("\r?\n", head.decode("latin-1"))
+    code = re.match(r"HTTP/[0-9.]+ ([0-9]{3})(?: |$)", status)
+    if not code:
+        return None, None, payload
+    headers: dict[str, str] = {}
+    for line in lines:
+        name, _, value = line.partition(":")
+        name = name.strip().lower()
+        headers[name] = f"{headers[name]}, {value.strip()}" if name in headers else value.strip()
+    return int(code[1]), list(headers.items()), payload[found.end() :] if found else b""
 
 
 # --- the data source --------------------------------------------------------
@@ -260,11 +368,20 @@ def _test(f: Filter, value: str | None) -> bool:
 _TESTED = (EqualTo, EqualNullSafe, In, IsNull, IsNotNull, StringStartsWith, StringEndsWith, StringContains)
 
 
+def read_mode(options: dict[str, str]) -> str:
+    mode = options.get("mode", "fail").lower()
+    if mode not in ("fail", "report"):
+        raise ValueError("mode must be fail or report")
+    return mode
+
+
 class WarcReader(DataSourceReader):
     def __init__(self, options: dict[str, str], with_payload: bool):
         self.folder = local_path(options["path"])
         self.partition_bytes = int(options.get("partitionbytes", 64_000_000))
         self.with_payload = with_payload
+        self.mode = read_mode(options)
+        self.http = with_payload and options.get("http", "false") == "true"
         self.filters: list[tuple[str, Filter]] = []
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
@@ -291,13 +408,18 @@ class WarcReader(DataSourceReader):
         return out or [Files([])]
 
     def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
-        names = [*HEADERS, "headers", *(["payload"] if self.with_payload else [])]
-        kinds = [pa.string()] * len(HEADERS) + [pa.map_(pa.string(), pa.string()), pa.binary()]
+        kinds = dict.fromkeys(HEADERS, pa.string()) | {"headers": pa.map_(pa.string(), pa.string())}
+        if self.with_payload:
+            kinds["payload"] = pa.binary()
+        if self.mode == "report":
+            kinds["damage"] = pa.string()
+        if self.http:
+            kinds |= {"http_status": pa.int32(), "http_headers": kinds["headers"]}
 
         def batch(rows: list[dict]) -> pa.RecordBatch:
-            columns = [[list(r[n].items()) if n == "headers" else r[n] for r in rows] for n in names]
+            columns = [[list(r[n].items()) if n == "headers" else r[n] for r in rows] for n in kinds]
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=False)], names=names
+                [pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], names=list(kinds)
             )
 
         def wanted(record: dict) -> bool:
@@ -305,7 +427,11 @@ class WarcReader(DataSourceReader):
 
         rows, size = [], 0
         for path in partition.paths:
-            for record in read_records(path, wanted, self.with_payload):
+            for record in read_records(path, wanted, self.with_payload, mode=self.mode):
+                if self.http:
+                    record |= {"http_status": None, "http_headers": None}
+                    if (record["content_type"] or "").lower().startswith("application/http") and record["payload"]:
+                        record["http_status"], record["http_headers"], record["payload"] = http_parts(record["payload"])
                 rows.append(record)
                 size += 500 + len(record["payload"] or b"")
                 if size >= _BATCH:
@@ -342,6 +468,10 @@ class WarcWriter(DataSourceWriter):
                 head, payload = record_bytes(row.asDict(True))
                 data = b"".join((head, payload, b"\r\n\r\n"))
                 file.write(gzip_member(data) if self.packed else data)
+        except BaseException:
+            for name in names:
+                os.remove(os.path.join(self.folder, f"{name}.part"))
+            raise
         finally:
             if file:
                 file.close()
@@ -365,7 +495,10 @@ class WarcSource(DataSource):
         return "warc"
 
     def schema(self) -> str:
-        return SCHEMA if self._payload() else HEADER_SCHEMA
+        schema = SCHEMA if self._payload() else HEADER_SCHEMA
+        if read_mode(dict(self.options)) == "report":
+            schema += DAMAGE_SCHEMA
+        return schema + (HTTP_SCHEMA if self._payload() and self.options.get("http", "false") == "true" else "")
 
     def _payload(self) -> bool:
         return self.options.get("payload", "true") != "false"
