@@ -19,7 +19,7 @@ from ..functions.times import as_instant, segment_name, slot_end, slot_start, st
 from ..functions.keys import first_field
 from ..operators import board, replay, segments, topnames, trailing
 from ..session import configure, scratch_path
-from ..sources import feed, fixtures, sinks
+from ..sources import arrivals, feed, fixtures, sinks
 from ..streaming import board as stream_board
 from ..streaming import runner, sliding, stored
 from ..streaming import trailing as stream_trailing
@@ -383,6 +383,31 @@ def stored_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.stored_counts(spark, checkpoint)
 
 
+def segment_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``segment_polls`` on a stream: the mentions land in a file for each segment, up to
+    the middle of the time first; one run of the query offers those after the mark, and a
+    second one, from the first's checkpoint, what has landed since."""
+    rows = _mentions(spark, sf_dir).withColumn("file_name", segment_name(slot_start("ts")))
+    names = rows.agg(F.array_sort(F.collect_set("file_name")).alias("a"))  # one name per 15 minutes
+    cut = names.select(F.get("a", F.expr("size(a) div 2")), F.get("a", F.expr("size(a) div 4"))).first()
+    landing, checkpoint, out = (scratch_path(spark, f"segments-{x}") for x in ("landing", "checkpoint", "out"))
+    seen = F.col("file_name") <= cut[0]
+    for poll, part in enumerate((rows.where(seen), rows.where(~seen)), 1):
+        sinks.land_segments(part.withColumn("line", F.concat_ws("\t", "event_id", "name")), landing)
+        query = (
+            arrivals.arriving_segments(spark, landing, cut[1])
+            .withColumn("poll", F.lit(poll))
+            .writeStream.foreachBatch(runner.batch_writer(f"{out}/poll={poll}"))
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    offered = spark.read.schema("poll int, batch long, file_name string, late boolean").parquet(out)
+    marks = offered.groupBy(F.col("poll").alias("of")).agg(F.max("file_name").alias("next_mark"))
+    return offered.where("not late").join(marks, F.col("poll") == F.col("of")).select("poll", "file_name", "next_mark")
+
+
 def _board_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = runner.replay_runs(
         spark,
@@ -435,6 +460,7 @@ QUERIES.update(
         "stateful_trailing": stateful_trailing,
         "stateful_changelog": stateful_changelog,
         "stored_counts": stored_counts,
+        "segment_stream": segment_stream,
         "board_evictions": board_evictions,
         "stream_board": stream_board_100,
     }

@@ -432,6 +432,7 @@ SQL: dict[str, str] = {
     "hourly_sliding_counts": HOURLY_SLIDING_COUNTS,
     "stateful_trailing": TRAILING_COUNT,
     "stateful_changelog": TRAILING_CHANGELOG,
+    "segment_stream": SEGMENT_POLLS,
     "stored_counts": STORED_COUNTS,
     "board_evictions": BOARD_EVICTIONS,
     "stream_board": STREAM_BOARD,

@@ -7,9 +7,16 @@ writer and are untested here.
 
 from __future__ import annotations
 
+import os
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrivals import local_folder
+
 
 def compact(
     df: DataFrame,
@@ -99,3 +106,34 @@ def topic_records(raw: DataFrame) -> DataFrame:
         F.col("value").cast("string").alias("value"),
         F.coalesce(F.timestamp_micros(event_us), F.col("timestamp")).alias("timestamp"),
     )
+
+
+def land_segments(lines: DataFrame, folder: str, file_col: str = "file_name", line_col: str = "line") -> int:
+    """Write each segment's lines to a text file of its name, and return the number
+    of files. A file is written under another name by one task, line by line, and
+    then renamed, so it appears whole, and a repeated task puts the same in its
+    place. The folder must be on a path mounted on all machines."""
+    folder = local_folder(folder)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, file, done = None, None, 0
+
+        def close() -> None:
+            if file:
+                file.close()
+                os.replace(file.name, os.path.join(folder, name))
+
+        for batch in batches:
+            for own, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if own != name:
+                    close()
+                    os.makedirs(folder, exist_ok=True)
+                    name, done = own, done + 1
+                    file = open(os.path.join(folder, f".{own}.{uuid.uuid4().hex}"), "w", encoding="utf-8", newline="\n")  # noqa: SIM115
+                file.write(f"{line}\n")
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array([done], pa.int64())], names=["files"])
+
+    rows = lines.where(F.col(file_col).isNotNull()).select(file_col, F.coalesce(F.col(line_col).cast("string"), F.lit("")).alias(line_col))
+    sorted_ = rows.repartition(file_col).sortWithinPartitions(file_col, line_col)
+    return sorted_.mapInArrow(run, "files bigint").agg(F.sum("files")).first()[0] or 0
