@@ -106,7 +106,7 @@ FROM d LEFT JOIN c USING (rid) LEFT JOIN o USING (rid)
 """
 
 # Operator 8. Words and lines are unnested with their position; the prior is
-# fitted by moments over the host rates.
+# fitted by moments over the host rates, less what drawing documents adds to them.
 QUALITY = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents
@@ -143,8 +143,9 @@ j AS (
     AS base_failed FROM m
 ),
 h AS (SELECT source, count(*) AS n, sum(base_failed::INT) AS fails FROM j GROUP BY source),
-s AS (SELECT avg(fails / n) AS m, var_pop(fails / n) AS v, sum(n)::DOUBLE AS total FROM h),
-p AS (SELECT m, CASE WHEN v > 0 THEN least(greatest(0, m * (1 - m) / v - 1), total) ELSE total END AS w FROM s),
+s AS (SELECT avg(fails / n) AS m, var_pop(fails / n) AS v, avg(1 / n) AS a, sum(n)::DOUBLE AS total FROM h),
+e AS (SELECT *, CASE WHEN a < 1 THEN (v - m * (1 - m) * a) / (1 - a) ELSE 0 END AS spread FROM s),
+p AS (SELECT m, CASE WHEN spread > 0 THEN least(greatest(0, m * (1 - m) / spread - 1), total) ELSE total END AS w FROM e),
 bad AS (SELECT source, true AS bad FROM h, p WHERE (fails + m * w) / (n + w) > {quality.MAX_HOST_RATE})
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   (NOT base_failed AND bad IS NULL) AS kept
@@ -190,7 +191,8 @@ FROM f
 
 _RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in urlfilter.RULES)
 
-# Operator 9. Steps along the links are a recursion over (kind, host) scores.
+# Operator 9. Steps along the links are a recursion over (kind, host) scores, until one
+# adds at most a small share of what it has to any score.
 URLS = rf"""
 WITH RECURSIVE rules(rule_host, rule_path, v) AS (VALUES {_RULES}),
 rest AS (
@@ -223,15 +225,18 @@ seeds AS (
   FROM j WHERE host <> '' GROUP BY host
 ),
 step AS (
-  SELECT 0 AS i, kind, host, x * {1 - urlfilter.DAMPING} AS x
+  SELECT 0 AS i, kind, host, x * {1 - urlfilter.DAMPING} AS x, x * {1 - urlfilter.DAMPING} AS total
   FROM (SELECT 'trust' AS kind, host, trust AS x FROM seeds UNION ALL SELECT 'distrust', host, distrust FROM seeds) WHERE x > 0
   UNION ALL
-  SELECT i + 1, f.kind, f.b, {urlfilter.DAMPING} * sum(x * w) FROM step JOIN flows f ON f.kind = step.kind AND f.a = host
-  WHERE i < 40 GROUP BY i, f.kind, f.b
+  SELECT i + 1, kind, host, sum(x), sum(total) FROM (
+    SELECT i, f.kind, f.b AS host, {urlfilter.DAMPING} * x * w AS x, {urlfilter.DAMPING} * x * w AS total
+    FROM step JOIN flows f ON f.kind = step.kind AND f.a = host WHERE x > 0
+    UNION ALL SELECT i, kind, host, 0, total FROM step
+  ) WHERE (SELECT max(x / total) FROM step) > {urlfilter.TOLERANCE} GROUP BY i, kind, host
 ),
 scores AS (
-  SELECT host, coalesce(sum(x) FILTER (kind = 'trust'), 0) AS trust, coalesce(sum(x) FILTER (kind = 'distrust'), 0) AS distrust
-  FROM step GROUP BY host
+  SELECT host, coalesce(sum(total) FILTER (kind = 'trust'), 0) AS trust, coalesce(sum(total) FILTER (kind = 'distrust'), 0) AS distrust
+  FROM step WHERE i = (SELECT max(i) FROM step) GROUP BY host
 )
 SELECT page_id, j.host, path, rule,
   coalesce(v, CASE WHEN distrust > {urlfilter.LIMIT} * trust THEN 'block' ELSE 'allow' END) AS verdict

@@ -27,7 +27,9 @@ def judged(rows):
         hosts[h].append(f)
     rates = [sum(x) / len(x) for x in hosts.values()]
     m, v, total = mean(rates), pvariance(rates), len(rows)
-    w = min(max(0, m * (1 - m) / v - 1), total) if v else total
+    a = mean(1 / len(x) for x in hosts.values())
+    spread = (v - m * (1 - m) * a) / (1 - a) if a < 1 else 0
+    w = min(max(0, m * (1 - m) / spread - 1), total) if spread > 0 else total
     bad = {h for h, x in hosts.items() if (sum(x) + m * w) / (len(x) + w) > quality.MAX_HOST_RATE}
     return sorted([(i, *ms, f, not f and h not in bad) for f, (i, ms, h) in zip(failed, own, strict=True)], key=str)
 
@@ -43,11 +45,16 @@ def test_edge_rows(spark, tmp_dir):
     assert query(spark, folder) == judged([(r[0], r[1], r[3]) for r in edge_rows()])
 
 
-def test_bad_host_is_rejected_and_small_hosts_are_shrunk(spark, tmp_dir):
+def hosts_of_all_kinds():
     rows = [(k, prose(k, 60), "en", "good", 1) for k in range(60)]
     rows += [(100 + k, "junk " * 5 if k % 10 else prose(k, 70), "en", "bad", 1) for k in range(80)]
     rows += [(200 + k, prose(k, 80) if k % 10 else "x", "en", f"host{k % 4}", 1) for k in range(80)]
     rows += [(300, "one bad page", "en", "tiny", 1), (301, prose(7, 90), "en", None, 1)]
+    return rows
+
+
+def test_bad_host_is_rejected_and_small_hosts_are_shrunk(spark, tmp_dir):
+    rows = hosts_of_all_kinds()
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
     got = query(spark, write_tables(spark, tmp_dir, docs))
     assert got == judged([(r[0], r[1], r[3]) for r in rows])
