@@ -7,7 +7,11 @@ up exactly to the text's. The counts are the leaves of a binary tree of sums.
 
 An edit replaces a range of characters. The boundaries that it leaves alone on
 both sides stay valid, so only the leaves in between are cut and encoded anew,
-and only the sums above them are updated.
+and only the sums above them are updated. A region that has grown beyond two leaves'
+size is cut into more, one that has become small is joined with the leaf behind it,
+and an empty one leaves; then the sums are made anew from the counts, without
+encoding. So leaves stay below twice ``LEAF`` (and the rest of a word), and an edit
+encodes the leaves that it touches and one more at most.
 
 Trees are columns (leaf lengths, tree), so they can be stored beside the text
 and edited later. Everything is per-document work without a shuffle. The
@@ -99,6 +103,7 @@ def edit(
     """(new text, new lengths, new tree, characters encoded) after ``edits``,
     given by places in the old text."""
     lengths, tree = list(lengths), list(tree)
+    counts = tree[len(tree) // 2 :][: len(lengths)]
     edits = [(max(0, s), min(len(text), max(s, e)), r) for s, e, r in edits]
     starts, at = [], 0
     for n in lengths:
@@ -119,26 +124,36 @@ def edit(
         else:
             groups.append((leaf_at, last, [e]))
     parts, done, encoded = [], 0, 0
-    for first, last, own in groups:
+    new_lengths, new_counts, kept = [], [], 0  # leaves up to kept are done
+    changed, as_many = [], True  # (leaf, count); whether each region has as many leaves as before
+    for g, (first, last, own) in enumerate(groups):
         begin, end = starts[first], starts[last] + lengths[last]
         region, at = [], begin
         for s, e, r in own:
             region += [text[at:s], r]
             at = e
         new = "".join([*region, text[at:end]])
-        slots = last - first + 1
-        leaves = cut(new, leaf)
-        # As many leaves as before; what is over stays in the last.
-        if len(leaves) > slots:
-            leaves = [*leaves[: slots - 1], "".join(leaves[slots - 1 :])]
-        leaves += [""] * (slots - len(leaves))
-        for k, x in enumerate(leaves):
-            lengths[first + k] = len(x)
-            set_leaf(tree, first + k, count(x))
+        behind = groups[g + 1][0] if g + 1 < len(groups) else len(lengths)
+        if len(new) < leaf // 4 and last + 1 < behind:
+            last += 1
+            new, end = new + text[end : end + lengths[last]], end + lengths[last]
+        leaves = cut(new, leaf) if len(new) > 2 * leaf else [new] if new else []
+        made = [count(x) for x in leaves]
+        as_many = as_many and len(leaves) == last - first + 1
+        changed += zip(range(first, last + 1), made, strict=False)
+        new_lengths += [*lengths[kept:first], *map(len, leaves)]
+        new_counts += [*counts[kept:first], *made]
+        kept = last + 1
         encoded += len(new)
         parts += [text[done:begin], new]
         done = end
-    return "".join([*parts, text[done:]]), lengths, tree, encoded
+    new_lengths, new_counts = new_lengths + lengths[kept:] or [0], new_counts + counts[kept:] or [0]
+    if as_many:
+        for k, c in changed:
+            set_leaf(tree, k, c)
+    else:
+        tree = tree_of(new_counts)
+    return "".join([*parts, text[done:]]), new_lengths, tree, encoded
 
 
 # --- on DataFrames ----------------------------------------------------------

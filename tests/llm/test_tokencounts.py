@@ -36,7 +36,7 @@ def test_tree_counts_equal_whole_encoding(count, text, cuts, new):
     expected += text[done:]
     assert got == expected
     assert new_tree[1] == count(expected)
-    assert sum(new_lengths) == len(expected) and len(new_lengths) == len(lengths)
+    assert sum(new_lengths) == len(expected)
     # The leaves still tell their own counts, and a second edit can follow.
     leaf_at = 0
     for n, c in zip(new_lengths, new_tree[len(new_tree) // 2 :], strict=False):
@@ -56,6 +56,55 @@ def test_edit_encodes_only_what_it_touches(count):
     assert got[2][1] == count(got[0])
 
 
+def prose(r, n):
+    return " ".join("".join(r.choices("abcdefgh", k=5)) for _ in range(n))
+
+
+def checked_edit(count, state, edits):
+    text, lengths, tree = state
+    expected, done = "", 0
+    for s, e, new in edits:
+        expected, done = expected + text[done:s] + new, e
+    got = tc.edit(text, lengths, tree, edits, count)
+    assert got[0] == expected + text[done:] and sum(got[1]) == len(got[0]) and got[2][1] == count(got[0])
+    return got
+
+
+def test_tree_grows_and_shrinks(count):
+    """A page of one leaf grows to a million characters, is edited, and shrinks."""
+    r = random.Random(3)
+    state = ("a few words", *tc.build("a few words", count))
+    long = prose(r, 160_000)
+    *state, encoded = checked_edit(count, state, [(5, 6, long)])
+    assert len(state[1]) > 900 and max(state[1]) <= 2 * tc.LEAF
+    *state, encoded = checked_edit(count, state, [(500_000, 500_003, "x")])
+    assert encoded <= 6 * tc.LEAF
+    *state, encoded = checked_edit(count, state, [(1000, len(state[0]) - 1000, "")])
+    assert len(state[1]) <= 4 and encoded <= 6 * tc.LEAF
+    *state, encoded = checked_edit(count, state, [(0, len(state[0]), "")])
+    assert state == ["", [0], [0, 0]] and encoded == 0
+    *state, encoded = checked_edit(count, state, [(0, 0, "new words")])
+    assert state[1] == [9]
+
+
+def test_leaves_stay_bounded_after_many_edits(count):
+    r = random.Random(4)
+    text = prose(r, 3000)
+    state = (text, *tc.build(text, count))
+    for _ in range(120):
+        at = sorted(r.sample(range(len(state[0]) + 1), 4))
+        edits = [(at[0], min(at[1], at[0] + r.choice([0, 3, 2000])), prose(r, r.choice([0, 1, 400]))), (at[2], at[2], "y ")]
+        edits = [e for e in edits if e[1] <= at[2] or e[0] >= at[2]]
+        *state, _ = checked_edit(count, tuple(state), edits)
+        assert max(state[1]) <= 2 * tc.LEAF + 10
+        # Small leaves beside each other don't pile up.
+        assert len(state[1]) <= 4 * len(state[0]) / tc.LEAF + 4 + 120
+    for _ in range(20):
+        at = r.randrange(len(state[0]))
+        *state, encoded = checked_edit(count, tuple(state), [(at, at + 2, "ab")])
+        assert encoded <= 3 * 2 * tc.LEAF + 100
+
+
 def test_query(spark, tmp_dir, count):
     from tallyho.llm.queries import op5_token_counts
 
