@@ -366,8 +366,8 @@ def stateful_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The live counts in the state of a stream that was started anew for each
-    landing, read from its checkpoint: those at the last watermark."""
+    """The live counts in the state of a stream that was started anew for the
+    second landing, read from its checkpoint: those at the last watermark."""
     configure(spark)
     checkpoint = scratch_path(spark, "stored-checkpoint")
     runner.replay_runs(
@@ -376,6 +376,7 @@ def stored_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         lambda src: stream_trailing.trailing_stream(fixtures.mentions(src)),
         order_col="arrival_us",
         sink=stream_trailing.changelog_sink,
+        runs=2,
         tag="stored",
         restarts=True,
         checkpoint=checkpoint,
