@@ -19,7 +19,7 @@ from ..functions.times import as_instant, segment_name, slot_end, slot_start, st
 from ..functions.keys import first_field
 from ..operators import board, replay, segments, topnames, trailing
 from ..session import configure, scratch_path
-from ..sources import arrivals, feed, fixtures, sinks
+from ..sources import arrivals, feed, fixtures, rejects, sinks
 from ..streaming import board as stream_board
 from ..streaming import runner, sliding, stored
 from ..streaming import trailing as stream_trailing
@@ -139,6 +139,26 @@ def feed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay.rejected_lines(lines).select("record_key")
 
 
+def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines by reason, as counted while they were split, and as the channels hold them."""
+    configure(spark)
+    lines = feed.read_lines(spark, _landed_feed(spark, sf_dir), glob_filter="*.txt", recursive=True)
+    out = scratch_path(spark, "channels")
+    counted = rejects.split_lines(lines, out)
+    seen = spark.createDataFrame(list(counted.items()), "reason string, seen long")  # one row for each reason
+    held = [
+        read.select(F.explode(F.concat(F.array(F.lit(rejects.LINES), *extra), F.col("reasons"))).alias("of"))
+        for read, extra in (
+            (rejects.read_channel(spark, out, rejects.LINES), ()),
+            (rejects.read_channel(spark, out, rejects.REJECTS), (F.lit(rejects.REJECTS),)),
+        )
+    ]
+    written = held[0].union(held[1]).groupBy("of").agg(F.count(F.lit(1)).alias("n"))
+    return seen.join(written, F.col("reason") == F.col("of"), "left").select(
+        "reason", "seen", F.coalesce("n", F.lit(0).cast("long")).alias("held")
+    )
+
+
 # ---- record keys and segments (events) ----------------------------------
 
 
@@ -299,6 +319,7 @@ QUERIES: dict[str, Query] = {
     "new_segments": new_segments,
     "segment_polls": segment_polls,
     "feed_rejects": feed_rejects,
+    "reject_reasons": reject_reasons,
     "event_time_spread": event_time_spread,
     "replay_pacing": replay_pacing,
     "replay_batches": replay_batches,

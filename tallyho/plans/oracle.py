@@ -115,6 +115,26 @@ FROM feed"""
 
 FEED_REJECTS = _with(FEED_CTE) + "\nSELECT record_id AS record_key FROM feed WHERE record_id LIKE 'bad-%'"
 
+REJECT_REASONS = (
+    _with(
+        FEED_CTE,
+        """
+l AS (
+  SELECT AllNames IS NULL AS short, record_id LIKE 'bad-%' AS no_stamp, AllNames IS NOT NULL AND day IS NULL AS undated,
+         COALESCE(AllNames LIKE '%;Broken,4%', false) AS bad_bytes
+  FROM feed
+),
+r AS (
+  SELECT unnest(['lines', 'rejects', 'short', 'no_stamp', 'undated', 'bad_bytes']) AS reason,
+         unnest([true, short OR no_stamp OR undated, short, no_stamp, undated, bad_bytes]) AS hit
+  FROM l
+)""",
+    )
+    + """
+SELECT reason, CAST(count(*) FILTER (hit) AS BIGINT) AS seen, CAST(count(*) FILTER (hit) AS BIGINT) AS held
+FROM r GROUP BY reason"""
+)
+
 # ---- events ---------------------------------------------------------------
 
 KEYED_CTE = """
@@ -416,6 +436,7 @@ SQL: dict[str, str] = {
     "new_segments": NEW_SEGMENTS,
     "segment_polls": SEGMENT_POLLS,
     "feed_rejects": FEED_REJECTS,
+    "reject_reasons": REJECT_REASONS,
     "event_time_spread": EVENT_TIME_SPREAD,
     "replay_pacing": REPLAY_PACING,
     "replay_batches": REPLAY_BATCHES,
