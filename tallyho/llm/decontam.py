@@ -14,7 +14,8 @@ automaton once and keeps it beside the broadcast items.
 Defined results: null and empty texts have no words and no hits; items without
 words have no windows. Equal windows of several items count for all of them.
 Repeated rows are judged each. An empty benchmark contaminates nothing. The
-input's columns come back in one struct, ``row``.
+input's columns come back in one struct, ``row``. Texts of any length are scanned
+whole; one text and its words' places must fit in a worker.
 """
 
 from __future__ import annotations

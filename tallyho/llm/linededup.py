@@ -12,11 +12,12 @@ host has fewer boilerplate lines than its mean lines per page over the ratio,
 so they are held as one short array per host and joined to the documents;
 Spark broadcasts that table while it is small and else splits hot hosts.
 
-Defined results: lines without a word are never counted or dropped. A null
-text stays null; an empty one stays empty. A page whose lines all go keeps its
-row with an empty text. A null host is a host of its own. Repeated rows are
-one page. An empty table gives an empty result. The input's columns come back
-in one struct, ``row``.
+Defined results: lines without a word are never counted or dropped. A null text
+stays null; an empty one stays empty. A page whose lines all go keeps its row with
+an empty text. A null host is a host of its own. Repeated rows are one page. An
+empty table gives an empty result. The input's columns come back in one struct,
+``row``. Texts of any length are cut into all their lines; one text and its lines
+must fit in a task.
 """
 
 from __future__ import annotations

@@ -11,11 +11,12 @@ The prefix sums go through ``operators.running``: rows are cut into pieces of
 the whole order of key, id, size and a row number, so no source is sorted in one
 task, and neither are rows of one id or without an id.
 
-Defined results: null and empty texts have size 0; they add nothing and are
-taken 0 words, and they go with their source's whole passes. A null source is
-a source of its own, ranked last. Rows with one id have equal keys and are
-ordered by size; rows alike in that too are interchangeable. An empty table
-gives an empty mix. The input's columns come back in one struct, ``row``.
+Defined results: null and empty texts have size 0; they add nothing and are taken
+0 words, and they go with their source's whole passes. A null source is a source
+of its own, ranked last. Rows with one id have equal keys and are ordered by size;
+rows alike in that too are interchangeable. An empty table gives an empty mix. The
+input's columns come back in one struct, ``row``. Texts don't pass through the
+operator: the caller gives sizes, taken over whole texts.
 """
 
 from __future__ import annotations

@@ -5,10 +5,11 @@ each host's failure rate is shrunk towards the corpus by a beta prior fitted to
 the hosts (empirical Bayes, by moments), and hosts whose shrunk rate exceeds a
 limit are rejected with all their documents.
 
-Defined results: a null or empty text has no words, so it fails. A null host
-is a host of its own. Repeated rows are judged each. An empty table gives an
-empty result. The input's columns come back in one struct, ``row``, so they
-may have any name.
+Defined results: a null or empty text has no words, so it fails. A null host is a
+host of its own. Repeated rows are judged each. An empty table gives an empty
+result. The input's columns come back in one struct, ``row``, so they may have any
+name. Texts are read whole, and one text takes about 60 bytes of a worker for each
+of its bytes.
 """
 
 from __future__ import annotations

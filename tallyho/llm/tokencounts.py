@@ -18,11 +18,11 @@ and edited later. Everything is per-document work without a shuffle. The
 vocabulary file's bytes are broadcast; their size is the vocabulary's, whatever
 the data. A Python worker builds the encoder once.
 
-Defined results: null and empty texts have one leaf of 0 tokens; a null text
-stays null and its edits are ignored. A text without a place to cut is one
-leaf. Edits must be in order and not overlap; they are clipped to the text.
-Equal rows give equal results. The input's columns come back in one struct,
-``row``.
+Defined results: null and empty texts have one leaf of 0 tokens; a null text stays
+null and its edits are ignored. A text without a place to cut is one leaf. Edits
+must be in order and not overlap; they are clipped to the text. Equal rows give
+equal results. The input's columns come back in one struct, ``row``. Texts of any
+length are cut into leaves as a whole; one text and its tree must fit in a worker.
 """
 
 from __future__ import annotations

@@ -20,10 +20,11 @@ Rules are joined by domain and path prefix, so their number doesn't matter;
 pages and links are summed by host before anything is shuffled.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path,
-fits no rule and is allowed. Links within a host don't count; relative links
-are such. Null html has no links. Repeated pages count as often as they are
-there. Of rules with equal text the last verdict by code point wins. An empty
-table gives an empty result.
+fits no rule and is allowed. Links within a host don't count; relative links are
+such. Null html has no links. Repeated pages count as often as they are there. Of
+rules with equal text the last verdict by code point wins. An empty table gives an
+empty result. URLs and html of any length are read whole; one page must fit in a
+task.
 """
 
 from __future__ import annotations
