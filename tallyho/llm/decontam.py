@@ -1,15 +1,23 @@
 """Operator 7, benchmark decontamination by one Aho-Corasick automaton.
 
-Every benchmark item is normalised to words; each run of 13 of them (or the
-whole item, if it has fewer) is a pattern of one automaton. A document is
-normalised the same way and scanned once; every match marks its words as hit.
-Word numbers map back to character offsets of the original text.
-
-The items are broadcast, after a check of their size: a benchmark of more than
-``BLOCK_BYTES`` of text is cut into blocks, and the documents pass through the blocks'
-automata one after another in the same tasks. So a task's memory stays bounded
-at any benchmark size, and nothing is shuffled. A Python worker builds an
-automaton once and keeps it beside the broadcast items.
+Every benchmark item is normalised to words, and the words to numbers; each run of
+13 of them (or the whole item, if it has fewer) is a window. A document is
+normalised the same way and scanned once by an automaton over word numbers; every
+window found marks its words as hit. Word numbers map back to character offsets of the
+original text.
+
+The automaton holds each item in blocks of 7 words, end to end, and short items as a
+whole. Any 13 consecutive words of an item hold one of its blocks whole, so a match
+leaves at most 7 places where a window can begin; what begins there is looked up
+among all windows by word numbers, exactly. So the automaton has three nodes for a word of
+an item (a number is three digits, so that nodes have few children), not 13 for each of its
+letters, and a block or window that many items share costs one look-up.
+
+The items are broadcast, after a check of their size: ``BLOCK_BYTES`` of text make one
+automaton, of about 200 MB. What is over goes to further ones, each in a job of its own
+over the table that the one before has written, so a task holds one
+automaton at a time. Nothing is shuffled. A Python worker builds an automaton once and
+keeps it beside the broadcast items.
 
 Defined results: null and empty texts have no words and no hits; items without
 words have no windows. Equal windows of several items count for all of them.
@@ -20,6 +28,7 @@ whole; one text and its words' places must fit in a worker.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -33,14 +42,22 @@ from pyspark.sql import types as T
 
 from tallyho.session import configure
 
+from .store import written
 from .words import with_row
 
 WINDOW = 13
 #: Contaminated from this share of hit words.
 SHARE = 20
-#: Item text of one automaton. A byte is in 13 patterns, and each byte of a
-#: pattern takes about 70 bytes of a worker's memory.
-BLOCK_BYTES = 200_000
+#: Words of a block: any window of an item holds one of its blocks whole.
+BLOCK = (WINDOW + 1) // 2
+#: Digits of a word's number.
+DIGITS = 3
+#: Item text of one automaton.
+BLOCK_BYTES = 5_000_000
+#: A run of so many words is told by two runs of the size before it, at its ends.
+_SIZES = (1, 2, 4, 8, WINDOW)
+#: Places looked up at a time.
+_PLACES = 100_000
 
 # Letters A-Z, lower-cased, a-z, digits and all bytes of non-ASCII characters
 # make words; all else separates.
@@ -55,24 +72,6 @@ def normal_words(text: bytes) -> list[bytes]:
     return text.translate(_TABLE).split()
 
 
-def patterns(items: Iterator[tuple[str, bytes]]) -> dict[str, list[str]]:
-    """Pattern text to the ids of the items that have it."""
-    found: dict[str, list[str]] = {}
-    for item, text in items:
-        words = normal_words(text)
-        size = min(WINDOW, len(words))
-        for k in range(len(words) - size + 1 if words else 0):
-            own = found.setdefault(_joined(words[k : k + size]), [])
-            if item not in own:
-                own.append(item)
-    return found
-
-
-def _joined(words: list[bytes]) -> str:
-    # One character per byte, so that positions are byte offsets.
-    return (b" " + b" ".join(words) + b" ").decode("latin-1")
-
-
 def blocks(items: Iterator[tuple[str, bytes]], limit: int) -> Iterator[list[tuple[str, bytes]]]:
     """The items in lists of about ``limit`` bytes of text."""
     block: list[tuple[str, bytes]] = []
@@ -87,30 +86,109 @@ def blocks(items: Iterator[tuple[str, bytes]], limit: int) -> Iterator[list[tupl
         yield block
 
 
-def automaton(items: list[tuple[str, bytes]]) -> ahocorasick.Automaton | None:
-    found = patterns(iter(items))
-    if not found:
-        return None
-    tree = ahocorasick.Automaton()
-    for pattern, owners in found.items():
-        tree.add_word(pattern, (pattern.count(" ") - 1, owners))
-    tree.make_automaton()
-    return tree
-
-
-def scan(tree: ahocorasick.Automaton, words: list[bytes]) -> tuple[np.ndarray, list[str]]:
-    """(mark of each word, items) of a document's normalised words."""
-    text = _joined(words)
-    hits = list(tree.iter(text))
-    if not hits:
-        return np.zeros(0, bool), []
-    spaces = np.flatnonzero(np.frombuffer(text.encode("latin-1"), np.uint8) == 0x20)
-    ends = np.searchsorted(spaces, np.fromiter((h[0] for h in hits), np.int64, len(hits)))
-    sizes = np.fromiter((h[1][0] for h in hits), np.int64, len(hits))
-    edges = np.zeros(len(words) + 1, np.int64)
-    np.add.at(edges, ends - sizes, 1)
-    np.add.at(edges, ends, -1)
-    return np.cumsum(edges[:-1]) > 0, sorted({i for h in hits for i in h[1][1]})
+def _pairs(ranks: np.ndarray, shift: int) -> np.ndarray:
+    """A number for each pair of ranks that lie ``shift`` apart; 0 if one of them is."""
+    n = max(ranks.shape[-1] - shift, 0)
+    left, right = ranks[..., :n], ranks[..., shift : shift + n]
+    return np.where((left > 0) & (right > 0), (left << 31) | right, 0)
+
+
+def _rank(table: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """Place of each pair in the sorted table, from 1; 0 if it isn't there."""
+    at = np.searchsorted(table, pairs)
+    if not len(table):
+        return at
+    return np.where((pairs > 0) & (table[np.minimum(at, len(table) - 1)] == pairs), at + 1, 0)
+
+
+class Windows:
+    """The automaton of some items, and their windows by the numbers of their words.
+
+    ``tables`` has, for each size of runs, the sorted pairs of shorter runs: a run's
+    rank is its place there, so equal ranks mean equal words. Runs with a word
+    that no item has, and runs across the border of two items, have rank 0.
+    """
+
+    def __init__(self, items: list[tuple[str, bytes]]):
+        self.numbers: dict[bytes, int] = {}
+        self.names = sorted({item for item, _ in items})
+        name = {item: k for k, item in enumerate(self.names)}
+        found: dict[tuple[int, ...], tuple[bool, int, list[int]]] = {}
+        runs, lengths, owners = [np.zeros(0, np.int64)], [], []
+        for item, text in items:
+            words = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in normal_words(text)]
+            if len(words) >= WINDOW:
+                for k in range(0, len(words) - BLOCK + 1, BLOCK):
+                    key = tuple(words[k : k + BLOCK])
+                    found[key] = (True, *found.get(key, (False, 0, []))[1:])
+                runs.append(np.array([*words, 0], np.int64))
+                lengths.append(len(words) + 1)
+                owners.append(name[item])
+            elif words:
+                key = tuple(words)
+                block, _, own = found.get(key, (False, 0, []))
+                found[key] = (block, len(words), sorted({*own, name[item]}))
+        # Each digit has signs of its own, so matches begin and end with words.
+        self.base = max(64, math.ceil((len(self.numbers) + 1) ** (1 / 3)) + 1)
+        self.tree = ahocorasick.Automaton()
+        for key, value in found.items():
+            self.tree.add_word(self._digits(np.array(key, np.int64)), value)
+        if found:
+            self.tree.make_automaton()
+        self.any = bool(found)
+        ranks, self.tables = np.concatenate(runs), []
+        for size, longer in zip(_SIZES, _SIZES[1:], strict=False):
+            pairs = _pairs(ranks, longer - size)
+            self.tables.append(np.unique(pairs[pairs > 0]))
+            ranks = _rank(self.tables[-1], pairs)
+        owner = np.repeat(np.array(owners, np.int64), lengths)[: len(ranks)]
+        held = np.unique(np.stack([ranks[ranks > 0], owner[ranks > 0]], axis=1), axis=0)
+        #: items of the window of rank r: owners[first[r - 1] : first[r]]
+        self.first = np.searchsorted(held[:, 0], np.arange(1, len(self.tables[-1]) + 2))
+        self.owners = held[:, 1].astype(np.int32)
+
+    def _digits(self, numbers: np.ndarray) -> str:
+        digits = np.empty((len(numbers), DIGITS), "<u4")
+        for k in range(DIGITS):
+            digits[:, k] = numbers // self.base**k % self.base + k * self.base
+        return digits.tobytes().decode("utf-32-le")
+
+    def at(self, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Rank of the window that begins at each place of a document."""
+        ranks = words[starts[:, None] + np.arange(WINDOW)]
+        for table, size, longer in zip(self.tables, _SIZES, _SIZES[1:], strict=False):
+            ranks = _rank(table, _pairs(ranks, longer - size))
+        return ranks[:, 0]
+
+    def scan(self, words: list[bytes]) -> tuple[np.ndarray, list[str]]:
+        """(mark of each word, items) of a document's normalised words."""
+        get = self.numbers.get
+        n = len(words)
+        numbers = np.array([get(w, 0) for w in words], np.int64)
+        edges, near = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64)
+        own: set[int] = set()
+        for end, (block, size, items) in self.tree.iter(self._digits(numbers)):
+            end //= DIGITS
+            if size:
+                edges[end + 1 - size] += 1
+                edges[end + 1] -= 1
+                own.update(items)
+            if block:  # a window around it begins up to WINDOW - BLOCK words before
+                near[max(end + 1 - WINDOW, 0)] += 1
+                near[end + 2 - BLOCK] -= 1
+        if near.any():
+            starts = np.flatnonzero(np.cumsum(near)[: max(n - WINDOW + 1, 0)])
+            for k in range(0, len(starts), _PLACES):
+                part = starts[k : k + _PLACES]
+                ranks = self.at(numbers, part)
+                part, ranks = part[ranks > 0], np.unique(ranks[ranks > 0])
+                edges[part] += 1
+                np.subtract.at(edges, part + WINDOW, 1)
+                for r in ranks:
+                    own.update(self.owners[self.first[r - 1] : self.first[r]].tolist())
+        if not own:
+            return np.zeros(0, bool), []
+        return np.cumsum(edges[:-1]) > 0, sorted(self.names[k] for k in own)
 
 
 def char_spans(text: str, marked: np.ndarray) -> list[dict[str, int]]:
@@ -131,16 +209,16 @@ def _scan_block(df: DataFrame, text: str, block: list[tuple[str, bytes]]) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
-        if "tree" not in held:
-            held["tree"] = automaton(held["items"])
-        tree = held["tree"]
+        if "windows" not in held:
+            held["windows"] = Windows(held["items"])
+        found = held["windows"]
         for batch in batches:
             rows, _, marks, items = batch.columns
             counts, all_marks, all_items = [], [], []
             texts = pc.struct_field(rows, text).cast(pa.binary())
             for value, mark, item in zip(texts, marks, items, strict=True):
                 words = normal_words(value.as_py() or b"")
-                hit, own = scan(tree, words) if tree and words else (np.zeros(0, bool), [])
+                hit, own = found.scan(words) if found.any and words else (np.zeros(0, bool), [])
                 old = mark.as_py()
                 if own and old is not None:
                     hit = hit | np.unpackbits(np.frombuffer(old, np.uint8), count=len(words)).astype(bool)
@@ -170,8 +248,10 @@ def scan_documents(
         "row", F.lit(0).cast("long").alias("n_words"), F.lit(None).cast("binary").alias("marks"), F.array().cast("array<string>").alias("items")
     )
     items = ((str(i), t.encode()) for i, t in rows.toLocalIterator())
-    for block in list(blocks(items, block_bytes)) or [[]]:
-        df = _scan_block(df, text, block)
+    rest = blocks(items, block_bytes)
+    df = _scan_block(df, text, next(rest, []))
+    for block in rest:
+        df = _scan_block(written(df, "decontamination"), text, block)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

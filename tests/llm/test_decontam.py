@@ -100,3 +100,35 @@ def test_empty_tables_and_clashing_columns(spark, tmp_dir):
     assert got.select("row.*").schema == edge_documents(spark, extra=True).schema
     assert got.count() == len(edge_rows())
     assert decontam.scan_documents(no_documents(spark), spark.createDataFrame(ITEMS, BENCH)).collect() == []
+
+
+def test_few_words_many_matches():
+    """Windows that overlap, repeat and share their blocks, at every place of an item."""
+    r = random.Random(11)
+
+    def text(n, words):
+        return " ".join(r.choice(words) for _ in range(n))
+
+    for words in ("a", "ab", "abcdef", [f"w{k}" for k in range(5000)]):
+        items = [(k, text(r.randrange(45), words)) for k in range(60)]
+        frame = text(11, words)  # shared by many items, shorter than a window
+        items += [(100 + k, f"{frame} {text(6, words)} {frame}") for k in range(60)]
+        docs = []
+        for k in range(60):
+            own = r.choice(items)[1].split()
+            at = r.randrange(len(own) + 1)
+            docs.append((k, " ".join([text(r.randrange(30), words), *own[at : at + r.randrange(10, 30)], text(r.randrange(30), words)])))
+        found = decontam.Windows([(str(i), t.encode()) for i, t in items])
+        got = []
+        for i, t in docs:
+            split = decontam.normal_words(t.encode())
+            marks, own = found.scan(split)
+            got.append((i, len(split), int(marks.sum()), len(own), hashlib.sha256(",".join(own).encode()).hexdigest()))
+        assert sorted(got, key=str) == [r[:-1] for r in scanned(docs, items)]
+        assert any(r[2] for r in got)
+
+
+def test_an_item_takes_three_nodes_a_word():
+    words = [f"w{k}" for k in range(7000)]
+    stats = decontam.Windows([("1", " ".join(words).encode())]).tree.get_stats()
+    assert stats["nodes_count"] <= 3 * len(words) + 1
