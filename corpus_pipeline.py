@@ -11,7 +11,7 @@ stage that their text passes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyho.llm import decontam, linededup, mixing, neardup, quality
@@ -41,10 +41,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that with the smallest
-    id, and of repeated rows of that id one.
+    id, and of repeated rows of that id the one with the least text.
 
     Only the ids of what goes are joined, so texts aren't shuffled while those
-    are few enough to broadcast; documents with a repeated id are ranked.
+    are few enough to broadcast. Of rows with a repeated id each task hands on one.
     """
     groups = written(neardup.near_duplicates(docs.select("doc_id", "text")), "near-duplicates")
     gone = written(groups.where("not kept").select(F.col("doc_id").alias("gone")).distinct(), "near-gone")
@@ -54,9 +54,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
     kept = with_row(docs).join(gone, F.col("row.doc_id") == F.col("gone"), "left_anti")
     single = kept.join(twice, F.col("row.doc_id") == F.col("twice"), "left_anti")
-    one = Window.partitionBy("row.doc_id").orderBy(F.col("row.text").asc_nulls_last(), F.to_json("row"))
-    ranked = kept.join(twice, F.col("row.doc_id") == F.col("twice"), "left_semi").withColumn("rank", F.row_number().over(one))
-    return single.select("row.*").union(ranked.where("rank = 1").select("row.*"))
+    repeated = kept.join(twice, F.col("row.doc_id") == F.col("twice"), "left_semi")
+    order = F.struct(F.col("row.text").isNull(), F.col("row.text"), F.to_json("row"))
+    one = repeated.groupBy("row.doc_id").agg(F.min_by("row", order).alias("row"))
+    return single.select("row.*").union(one.select("row.*"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
