@@ -386,6 +386,20 @@ def stateful_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _trailing_log(spark, sf_dir).select("name", "event_id", "kind", _ntz("change_ts"), "n")
 
 
+def stream_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a flush every second sends, from the stream's state."""
+    out = runner.replay_runs(
+        spark,
+        _stream_table(spark, sf_dir),
+        lambda src: stream_trailing.flush_stream(fixtures.mentions(src)),
+        order_col="arrival_us",
+        sink=stream_board.flush_sink,
+        tag="flush",
+        heartbeat="ts",
+    )
+    return runner.read_sink(spark, out).select(_ntz("bucket"), "part", "entries", "message")
+
+
 def stored_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The live counts in the state of a stream that was started anew for the
     second landing, read from its checkpoint: those at the last watermark."""
@@ -481,6 +495,7 @@ QUERIES.update(
         "hourly_sliding_counts": hourly_sliding_counts,
         "stateful_trailing": stateful_trailing,
         "stateful_changelog": stateful_changelog,
+        "stream_flush": stream_flush,
         "stored_counts": stored_counts,
         "segment_stream": segment_stream,
         "board_evictions": board_evictions,

@@ -453,6 +453,7 @@ SQL: dict[str, str] = {
     "hourly_sliding_counts": HOURLY_SLIDING_COUNTS,
     "stateful_trailing": TRAILING_COUNT,
     "stateful_changelog": TRAILING_CHANGELOG,
+    "stream_flush": BOARD_DELTAS.replace("INTERVAL 1 HOUR", "INTERVAL 1 SECOND"),
     "segment_stream": SEGMENT_POLLS,
     "stored_counts": STORED_COUNTS,
     "board_evictions": BOARD_EVICTIONS,

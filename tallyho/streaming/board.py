@@ -28,11 +28,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.render import counts_json
-from ..operators.board import BOARD_SIZE, board
+from ..operators.board import BOARD_SIZE, board, delta_messages
 
 TOP_SCHEMA = "batch long, bucket int, name string, n long"
 BOARD_SCHEMA = "batch long, rank int, name string, n long"
 DELTA_SCHEMA = "name string, count long"
+MESSAGE_SCHEMA = "bucket timestamp, part long, entries long, message string"
 SLOTS = 3
 
 
@@ -110,6 +111,24 @@ def board_sink(size: int = BOARD_SIZE) -> Callable[[str], Callable[[DataFrame, i
     return make
 
 
+def flush_sink(out: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch sink of :func:`tallyho.streaming.trailing.flush_stream`: the JSON messages
+    (bucket, part, entries, message) of the batch's times under ``batch=<id>``. A time's
+    rows all come in one batch, so a repeated batch sends the same messages. The
+    batch is computed once and held in one of a few folders in turn, beside ``out``."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        held = f"{out}-flush/slot={batch_id % SLOTS}"
+        batch.write.mode("overwrite").parquet(held)
+        rows = batch.sparkSession.read.schema(batch.schema).parquet(held)
+        done = rows.sparkSession.createDataFrame([], MESSAGE_SCHEMA)
+        if not rows.isEmpty():
+            done = delta_messages(rows).select("bucket", F.col("part").cast("long"), "entries", "message")
+        done.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return write
+
+
 def delta_steps(spark: SparkSession, out: str) -> DataFrame:
     """(step, name, count): all deltas, the batches that had some numbered
     from 1."""

@@ -11,6 +11,11 @@ decrement, R5 changelog output), in two chained stateful operators
    count before the steps of this batch, or the bucket's highest counts (the board).
    The steps themselves pass it by, keyed by the bucket that they come from.
 
+For a flush every second (:func:`flush_stream`) the first operator holds steps until the
+watermark has passed their second, and hands on one sum for each name and second; the second
+one gives each name's count at the end of each second in which it changed. So a second is in
+one batch, and a name costs rows for its seconds, not its mentions.
+
 The changelog is put together in ``foreachBatch`` (:func:`changelog_sink`): a
 running sum of a batch's steps per name, cut into pieces, so a hot name is split
 there too, from the name's count before the batch.
@@ -63,7 +68,7 @@ ROW_BUCKETS = 32
 NAME_BUCKETS = 32
 #: Mentions in one stored chunk.
 CHUNK_ROWS = 4096
-SUM, BASE, TOP = "sum", "base", "top"
+SUM, BASE, TOP, FLUSH = "sum", "base", "top", "flush"
 STEP_SCHEMA = "bucket int, kind string, name string, event_id long, change_us long, n long"
 META_SCHEMA = "arrived boolean, oldest_us long"
 CHANGELOG_SCHEMA = "name string, event_id long, kind string, change_ts timestamp, n long"
@@ -74,9 +79,10 @@ _SLOTS = 3
 class HeldMentions(StatefulProcessor):
     """The steps of mentions once they are due, from any number of names."""
 
-    def __init__(self, retention_minutes: int, with_steps: bool):
+    def __init__(self, retention_minutes: int, with_steps: bool, every_us: int | None = None):
         self.retention_us = int(retention_minutes) * _MINUTE_US
         self.with_steps = with_steps
+        self.every_us = every_us  # steps are due when so long a time is over as a whole
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -126,9 +132,18 @@ class HeldMentions(StatefulProcessor):
                 self._write(index, chunk, arrived, rows[~due])
         return pd.concat(out[1:] or out, ignore_index=True)
 
+    def _fires(self, index: dict) -> int | None:
+        """When something is due next, in ms (rounded up)."""
+        if not index:
+            return None
+        due = min(due for _, due in index.values())
+        if self.every_us:
+            due = (due // self.every_us + 1) * self.every_us
+        return -(-due // 1000)
+
     def _move_timer(self, old: int | None, index: dict) -> None:
-        """The one timer of a bucket: at its oldest due time, in ms (rounded up)."""
-        new = -(-min(due for _, due in index.values()) // 1000) if index else None
+        """The one timer of a bucket: at its oldest due time."""
+        new = self._fires(index)
         if old != new:
             if old is not None:
                 self.handle.deleteTimer(old)
@@ -142,7 +157,7 @@ class HeldMentions(StatefulProcessor):
         new = new[new["name"].notna()]
         if len(new):
             index = self._index()
-            old = -(-min(due for _, due in index.values()) // 1000) if index else None
+            old = self._fires(index)
             self._add(index, False, new)
             self._move_timer(old, index)
         return iter(())
@@ -152,6 +167,8 @@ class HeldMentions(StatefulProcessor):
     ) -> Iterator[pd.DataFrame]:
         index = self._index()
         until = int(timerValues.getCurrentWatermarkInMs()) * 1000
+        if self.every_us:
+            until = until // self.every_us * self.every_us - 1
         new, gone = self._take(index, False, until), self._take(index, True, until)
         # mentions that arrive and expire before this watermark
         early = new["ts_us"] + self.retention_us <= until
@@ -166,8 +183,9 @@ class HeldMentions(StatefulProcessor):
             ignore_index=True,
         )
         if len(steps):
-            sums = steps.groupby("name", as_index=False)["n"].sum()
-            yield self._rows(key, sums.assign(kind=SUM, event_id=0, change_us=0))
+            steps_of = steps.assign(change_us=steps["change_us"] // self.every_us * self.every_us if self.every_us else 0)
+            sums = steps_of.groupby(["name", "change_us"], as_index=False)["n"].sum()
+            yield self._rows(key, sums.assign(kind=SUM, event_id=0))
             if self.with_steps:
                 yield self._rows(key, steps)
 
@@ -223,10 +241,12 @@ class Reserve:
 class NameCounts(StatefulProcessor):
     """Counts of the names of a bucket. Hands on each changed name's count
     before the batch (``board_size`` None), or the bucket's ``board_size`` highest
-    counts if they changed. Steps (buckets below 0) pass."""
+    counts if they changed, or (``flush``) its count after each time that it changed in.
+    Steps (buckets below 0) pass."""
 
-    def __init__(self, board_size: int | None):
+    def __init__(self, board_size: int | None, flush: bool = False):
         self.board_size = board_size
+        self.flush = flush
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.counts = handle.getMapState("counts", "name string", "n long")
@@ -238,7 +258,8 @@ class NameCounts(StatefulProcessor):
             for r in rows:
                 yield r[["bucket", "kind", "name", "event_id", "change_us", "n"]]
             return
-        changes = pd.concat([r[["name", "n"]] for r in rows]).groupby("name")["n"].sum()
+        sums = pd.concat([r[["name", "change_us", "n"]] for r in rows], ignore_index=True)
+        changes = sums.groupby("name")["n"].sum()
         names, before, after = list(changes.index), [], []
         for name, change in changes.items():
             held = self.counts.getValue((name,))
@@ -248,7 +269,11 @@ class NameCounts(StatefulProcessor):
                 self.counts.updateValue((name,), (after[-1],))
             elif held:
                 self.counts.removeKey((name,))
-        if self.board_size is None:
+        if self.flush:
+            at = sums.groupby(["name", "change_us"], as_index=False)["n"].sum().sort_values(["name", "change_us"], ignore_index=True)
+            counts = at["name"].map(dict(zip(names, before, strict=True))) + at.groupby("name")["n"].cumsum()
+            yield self._rows(key, FLUSH, list(at["name"]), list(counts), list(at["change_us"]))
+        elif self.board_size is None:
             yield self._rows(key, BASE, names, before)
         else:
             yield from self._board(key, names, after)
@@ -266,22 +291,28 @@ class NameCounts(StatefulProcessor):
             # A bucket without names says so in a row without a name.
             yield self._rows(key, TOP, *map(list, zip(*(top or [(None, 0)]), strict=True)))
 
-    def _rows(self, key, kind: str, names: list, n: list) -> pd.DataFrame:
-        return pd.DataFrame({"bucket": key[0], "kind": kind, "name": names, "event_id": 0, "change_us": 0, "n": n})
+    def _rows(self, key, kind: str, names: list, n: list, change_us: list | int = 0) -> pd.DataFrame:
+        return pd.DataFrame({"bucket": key[0], "kind": kind, "name": names, "event_id": 0, "change_us": change_us, "n": n})
 
     def close(self) -> None:
         pass
 
 
 def _counted(
-    mentions: DataFrame, retention_minutes: int, watermark: str, board_size: int | None, row_buckets: int, name_buckets: int
+    mentions: DataFrame,
+    retention_minutes: int,
+    watermark: str,
+    board_size: int | None,
+    row_buckets: int,
+    name_buckets: int,
+    every_us: int | None = None,
 ) -> DataFrame:
     row = F.pmod(F.xxhash64("event_id", "name", "ts"), F.lit(row_buckets)).cast("int")
     keyed = mentions.withWatermark("ts", watermark).select(
         row.alias("bucket"), "name", "event_id", "ts", F.unix_micros("ts").alias("ts_us")
     )
     steps = keyed.groupBy("bucket").transformWithStateInPandas(
-        statefulProcessor=HeldMentions(retention_minutes, with_steps=board_size is None),
+        statefulProcessor=HeldMentions(retention_minutes, board_size is None and every_us is None, every_us),
         outputStructType=STEP_SCHEMA,
         outputMode="Append",
         timeMode="EventTime",
@@ -292,7 +323,7 @@ def _counted(
         steps.withColumn("bucket", to)
         .groupBy("bucket")
         .transformWithStateInPandas(
-            statefulProcessor=NameCounts(board_size),
+            statefulProcessor=NameCounts(board_size, every_us is not None),
             outputStructType=STEP_SCHEMA,
             outputMode="Append",
             timeMode="None",
@@ -327,6 +358,23 @@ def board_stream(
     return _counted(mentions, retention_minutes, watermark, board_size, row_buckets, name_buckets).select("bucket", "name", "n")
 
 
+def flush_stream(
+    mentions: DataFrame,
+    every_seconds: int = 1,
+    retention_minutes: int = RETENTION_MINUTES,
+    watermark: str = "10 minutes",
+    row_buckets: int = ROW_BUCKETS,
+    name_buckets: int = NAME_BUCKETS,
+) -> DataFrame:
+    """Streaming mentions (event_id, name, ts) -> (bucket, name, count): each name's last
+    count in each time of ``every_seconds`` in which it changed, once the watermark has
+    passed that time; all rows of one ``bucket`` come in one batch. What
+    :func:`tallyho.operators.board.coalesce_deltas` gives for the batch changelog."""
+    every_us = int(every_seconds) * 1_000_000
+    rows = _counted(mentions, retention_minutes, watermark, None, row_buckets, name_buckets, every_us)
+    return rows.select(F.timestamp_micros("change_us").alias("bucket"), "name", F.col("n").alias("count"))
+
+
 def changelog(batch: DataFrame, pieces: str) -> DataFrame:
     """(name, event_id, kind, change_ts, n) of one batch of :func:`trailing_stream`; the
     batch is read more than once, and ``pieces`` is a folder for its cut."""

@@ -282,6 +282,40 @@ def test_stored_counts_are_those_at_the_watermark(spark, tmp_dir):
     assert {r["name"]: r["n"] for r in stored.stored_counts(spark, checkpoint).collect()} == want
 
 
+def test_flush_on_the_stream(spark):
+    """Rows out of order at fractions of seconds, watermarks in the middle of a second:
+    each time's changes come in one batch, and equal those of the batch changelog."""
+    rows = [
+        (i, i % 3, T0 + dt.timedelta(milliseconds=137 * i - 900 * (i % 4), microseconds=i)) for i in range(400)
+    ]
+    rows += [(1000 + i, i % 3, T0 + dt.timedelta(minutes=60, milliseconds=91 * i)) for i in range(300)]
+    events = _events(spark, rows)
+    want = board.coalesce_deltas(trailing.trailing_changelog(fixtures.mentions(events)), 2)
+    for restarts in (False, True):
+        out = runner.replay_runs(
+            spark,
+            events,
+            lambda src: stream_trailing.flush_stream(fixtures.mentions(src), 2, watermark="4 seconds", row_buckets=4, name_buckets=2),
+            runs=5,
+            tag="flush-test",
+            heartbeat="ts",
+            restarts=restarts,
+        )
+        got = runner.read_sink(spark, out)
+        assert sorted(map(tuple, got.select("bucket", "name", "count").collect())) == sorted(map(tuple, want.collect()))
+        assert got.select("batch").distinct().count() > 2
+        assert got.groupBy("bucket").agg(F.countDistinct("batch").alias("n")).where("n > 1").isEmpty()
+
+
+def test_repeated_flush_sends_the_same(spark, tmp_dir):
+    sink = stream_board.flush_sink(tmp_dir)
+    rows = spark.createDataFrame([(T0, "b", 1), (T0, "a", 0)], "bucket timestamp, name string, count long")
+    for number, batch in ((1, rows), (1, rows), (2, rows.limit(0))):
+        sink(batch, number)
+    (message,) = runner.read_sink(spark, tmp_dir).collect()
+    assert message["message"] == '[{"name":"a","count":0},{"name":"b","count":1}]' and message["entries"] == 2
+
+
 def test_rows_without_order_value_are_landed(spark):
     rows = [(i if i % 4 else None, 1, T0 + dt.timedelta(minutes=i)) for i in range(12)]
     events = _events(spark, rows)
