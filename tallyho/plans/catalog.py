@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from ..functions.names import is_name, name_tokens, strip_offset
 from ..functions.times import as_instant, segment_name, slot_end, slot_start, stamp_instant
 from ..functions.keys import first_field
-from ..operators import board, replay, segments, topnames, trailing
+from ..operators import board, increments, replay, segments, topnames, trailing
 from ..session import configure, scratch_path
-from ..sources import arrivals, feed, fixtures, rejects, sinks
+from ..sources import arrivals, feed, fixtures, packing, rejects, sinks, upserts
 from ..streaming import board as stream_board
 from ..streaming import runner, sliding, stored
 from ..streaming import trailing as stream_trailing
@@ -299,6 +299,65 @@ def compacted_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copy.groupBy("event_type").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def packed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that land in small files in two turns, packed after each, then counted per
+    type. The size of a file is a quarter of what has landed first."""
+    configure(spark)
+    events = fixtures.table(spark, sf_dir, "events")
+    folder = scratch_path(spark, "packed")
+    target = None
+    for half in (0, 1):
+        part = events.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == half)
+        # as a feed lands: a file for each of many short times
+        part.repartition(16, F.xxhash64("event_id")).write.mode("append").parquet(folder)
+        target = target or max(1, (packing.live_files(spark, folder).agg(F.sum("bytes")).first()[0] or 0) // 4)
+        packing.pack(spark, folder, events.schema, target)
+    return packing.read_packed(spark, folder, events.schema).groupBy("event_type").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# ---- tables that follow what lands ---------------------------------------
+
+
+def incremental_top_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The top names per day, kept up as segments land: an article's segment is one of 96 of its
+    day. A first run gets those of the first half of the days, every fourth with rows
+    that are missing and rows that are there twice; a second one gets the others, and those
+    again as they should be."""
+    documents = _documents(spark, sf_dir)
+    slot = F.pmod(F.col("doc_id").cast("long") * 31, F.lit(96))
+    parts = documents.select("doc_id", "text", slot.alias("slot"))
+    stale = F.pmod("slot", F.lit(4)) == 0
+    twice = F.when(stale & (F.pmod("doc_id", F.lit(3)) == 0), F.array().cast("array<int>"))
+    twice = twice.when(stale & (F.pmod("doc_id", F.lit(3)) == 1), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    first = parts.where("slot < 48").withColumn("copy", F.explode(twice)).drop("copy")
+    second = parts.where((F.col("slot") >= 48) | stale)
+    counts = increments.DailyCounts(spark, scratch_path(spark, "daily"))
+    for number, offered in enumerate((first, second), 1):
+        # The segment of an article whose date doesn't parse has none of its mentions.
+        rows = fixtures.articles(offered, "slot").withColumn("segment", F.format_string("%s-%02d", F.col("day").cast("string"), "slot"))
+        counts.offer(number, rows.select("segment"), topnames.explode_names(rows, keep=("segment", "day")))
+    return counts.top().select("day", "rank", "name", "n")
+
+
+def upserted_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live counts at the end of the data: the changelog's last counts of each of four times
+    are upserted one after the other; the table is compacted to the second's after the
+    third, as a compaction that ran meanwhile."""
+    log = trailing.trailing_changelog(_mentions(spark, sf_dir))
+    bounds = _events(spark, sf_dir).agg(F.unix_micros(as_instant(F.min("ts"))), F.unix_micros(as_instant(F.max("ts")))).first()
+    lo, hi = bounds[0] or 0, bounds[1] or 0
+    held = scratch_path(spark, "upserts-log")
+    log.withColumn("at", F.unix_micros("change_ts")).where(F.col("at") <= hi).write.parquet(held)
+    log = spark.read.parquet(held)
+    table = upserts.LatestCounts(spark, scratch_path(spark, "upserts"))
+    edges = [lo + (hi + 1 - lo) * k // 4 for k in range(5)]
+    for number, (a, b) in enumerate(zip(edges, edges[1:], strict=False), 1):
+        table.upsert(number if number < 4 else 5, board.last_counts(log.where((F.col("at") >= a) & (F.col("at") < b))))
+        if number == 3:
+            table.compact(4, upto=2)
+    return table.read()
+
+
 QUERIES: dict[str, Query] = {
     "top_names_per_day": top_names_per_day,
     "name_counts_per_day": name_counts_per_day,
@@ -332,6 +391,9 @@ QUERIES: dict[str, Query] = {
     "board_deltas": board_deltas,
     "flush_deltas": flush_deltas,
     "compacted_counts": compacted_counts,
+    "packed_counts": packed_counts,
+    "incremental_top_names": incremental_top_names,
+    "upserted_counts": upserted_counts,
 }
 
 

@@ -449,6 +449,9 @@ SQL: dict[str, str] = {
     "board_deltas": BOARD_DELTAS,
     "flush_deltas": BOARD_DELTAS.replace("INTERVAL 1 HOUR", "INTERVAL 1 SECOND"),
     "compacted_counts": COMPACTED_COUNTS,
+    "packed_counts": COMPACTED_COUNTS,
+    "incremental_top_names": TOP_NAMES_PER_DAY,
+    "upserted_counts": LATEST_PER_NAME,
     "feed_stream_top": FEED_STREAM_TOP,
     "hourly_sliding_counts": HOURLY_SLIDING_COUNTS,
     "stateful_trailing": TRAILING_COUNT,

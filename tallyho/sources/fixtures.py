@@ -52,8 +52,8 @@ def _name_list(text: str = "text"):
     return F.array_join(tokens, ";")
 
 
-def articles(documents: DataFrame) -> DataFrame:
-    """documents -> (record_id, day, AllNames, short)."""
+def articles(documents: DataFrame, *keep: str) -> DataFrame:
+    """documents -> (record_id, day, AllNames, short), and the columns to ``keep``."""
     day = _day_of_doc()
     stamp = F.when(_is(13, 6), F.lit(UNSTAMPED)).otherwise(F.date_format(day, "yyyyMMdd000000"))
     end = F.when(_is(13, 7), F.lit("-")).otherwise(F.lit(""))
@@ -63,6 +63,7 @@ def articles(documents: DataFrame) -> DataFrame:
         F.when(~_is(11, 5), day).alias("day"),
         F.when(~_is(17, 8), names).alias("AllNames"),
         _is(17, 8).alias("short"),
+        *keep,
     )
 
 
