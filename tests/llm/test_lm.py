@@ -81,6 +81,63 @@ def test_scores_equal_plain_model(spark, order):
         assert r.score == pytest.approx(plain.score(r.row.text), rel=1e-9)
 
 
+def test_buckets_and_shards_do_not_change_scores(spark, monkeypatch):
+    """Many buckets in a shard, portions of a few texts, texts of other alphabets."""
+    rows = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").limit(80).collect()
+    docs = spark.createDataFrame(rows).repartition(3)
+    monkeypatch.setattr(lm, "MIN_SHARDS", 2)
+    monkeypatch.setattr(lm, "HOLD", 500)
+    model = lm.train(docs.select("text"), 3, shard_bytes=10**6, bucket_bytes=2_000)
+    assert lm.Ranges.of(200_000, 10**6, 2_000).inner_bits > 4
+    plain = Plain([r.text for r in rows], 3)
+    for r in lm.score(docs, model).collect():
+        assert r.score == pytest.approx(plain.score(r.row.text), rel=1e-9)
+
+
+@pytest.mark.parametrize("id_bits", [3, 20, 22, 31, 40])
+def test_blocks_round_trip(id_bits):
+    rng = np.random.default_rng(id_bits)
+    kind = np.int32 if id_bits < 32 else np.int64
+    ids = [rng.integers(0, 2**id_bits, 3000).astype(kind) for _ in range(3)]
+    ids[0][:1000] = ids[0][0]
+    ids[1][:500] = ids[1][0]
+    ids = [np.concatenate([i, i[:700]]) for i in ids]
+    n = rng.integers(1, 5, 3700)
+    n[5] = 2**40
+    expected = Counter()
+    for *g, c in zip(*ids, n, strict=True):
+        expected[tuple(int(x) for x in g)] += int(c)
+    found, values = lm._distinct(ids, [n], id_bits)
+    back, (count,) = lm._decode(lm._encode(found, values), 3)
+    got = list(zip(*(i.tolist() for i in back), strict=True))
+    assert got == sorted(expected) and count.tolist() == [expected[g] for g in got]
+
+
+def test_large_shards_are_written_in_ranges(tmp_path):
+    """A shard of a key range in eight parts, with index, cut keys, values apart."""
+    rng = np.random.default_rng(5)
+    low, bits = 3 << 60, 60
+    keys = np.unique(low + rng.integers(0, 2**bits, 200_000)).astype(np.uint64)
+    values = [np.minimum(rng.zipf(1.5, len(keys)), 10**9), rng.integers(0, 2, len(keys))]
+    raw = rng.integers(0, 10**7, len(keys))
+    writer = lm.Writer(str(tmp_path), "x", 3, low, bits, 8)
+    part = (keys - np.uint64(low)) >> np.uint64(bits - 3)
+    for k in range(8):
+        own = part == k
+        writer.add(keys[own], [v[own] for v in values], [raw[own]])
+    writer.finish()
+    arrays = lm.Arrays(str(tmp_path), "x")
+    assert arrays.shard(3).dropped > 0
+    asked = np.concatenate([rng.permutation(keys), keys[:50], rng.integers(0, 2**64, 50_000, np.uint64)])
+    place, got = arrays.look(asked, 4, 3)
+    at = np.searchsorted(keys, asked)
+    at[at == len(keys)] = 0
+    there = keys[at] == asked
+    assert (place == np.where(there, at, -1)).all()
+    for v, g in zip([*values, raw], got, strict=True):
+        assert (g == np.where(there, v[at], 0)).all()
+
+
 def test_distribution_sums_to_one():
     texts = ["a b a c b a", "b c", "a a a b", "c a b c d"]
     for order in (2, 3):
