@@ -94,7 +94,7 @@ def _mixed(values: list[np.ndarray]) -> np.ndarray:
 
 
 #: Keys in a cell of the index, about; keys in a block of cells with a base of their own.
-_CELL, _BLOCK = 4, 256
+_CELL, _BLOCK = 4, 24
 #: Bits of a key kept besides its cell; tables of fewer keys than ``_FULL`` keep all.
 _KEPT, _FULL = 40, 65_536
 
@@ -153,8 +153,8 @@ class Writer:
                 rest.astype(np.uint32),
                 _narrow(rest >> np.uint64(32)),
                 codes.astype(np.min_scalar_type(self.escape)),
-                apart + self.n,
-                *(v[apart].astype(np.int64) for v in values),
+                _narrow(apart + self.n),
+                *(_narrow(v[apart]) for v in values),
                 *map(_narrow, raw or []),
             ]
         )
@@ -193,7 +193,7 @@ class Shard:
     """A mapped file of :class:`Writer`."""
 
     def __init__(self, path: str):
-        raw = np.memmap(path, np.uint8, "r")
+        raw = np.asarray(np.memmap(path, np.uint8, "r"))
         n_head = int(raw[:8].view(np.int64)[0])
         head = raw[8 : 8 + 8 * n_head].view(np.int64).reshape(-1, 2).tolist()
         at, parts = 8 + 8 * n_head, []
@@ -212,26 +212,25 @@ class Shard:
         return self.coarse[cell // _BLOCK].astype(np.int64) + self.fine[cell]
 
     def places_of(self, keys: np.ndarray) -> np.ndarray:
-        """The place of each key, or -1."""
+        """The place of each of the sorted keys, or -1."""
         out = np.full(len(keys), -1, np.int64)
-        inside = np.flatnonzero(keys >= np.uint64(self.low))
-        own = keys[inside] - np.uint64(self.low)
+        begin = int(np.searchsorted(keys, np.uint64(self.low)))
+        own = keys[begin:] - np.uint64(self.low)
         cell = (own >> self.shift).astype(np.int64)
-        near = cell < len(self.fine) - 1
-        inside, own, cell = inside[near], own[near], cell[near]
-        rest = (own & ((np.uint64(1) << self.shift) - np.uint64(1))) >> self.dropped
-        below, above = rest.astype(np.uint32), rest >> np.uint64(32)
-        at, end = self._start(cell), self._start(cell + 1)
-        left = np.flatnonzero(at < end)
+        cell = cell[: np.searchsorted(cell, len(self.fine) - 1)]
+        rest = (own[: len(cell)] & ((np.uint64(1) << self.shift) - np.uint64(1))) >> self.dropped
+        here, end = self._start(cell), self._start(cell + 1)
+        left = np.flatnonzero(here < end)
+        here, end, below = here[left], end[left], rest[left].astype(np.uint32)
         while len(left):
-            here = at[left]
-            same = self.rest[here] == below[left]
-            hit = left[same]
-            hit = hit[self.above[at[hit]] == above[hit]]
-            out[inside[hit]] = at[hit]
-            end[hit] = 0
-            at[left] += 1
-            left = left[at[left] < end[left]]
+            same = self.rest[here] == below
+            hit = np.flatnonzero(same)
+            exact = self.above[here[hit]] == rest[left[hit]] >> np.uint64(32)
+            out[begin + left[hit[exact]]] = here[hit[exact]]
+            same[hit[~exact]] = False
+            here += 1
+            on = ~same & (here < end)
+            left, here, end, below = left[on], here[on], end[on], below[on]
         return out
 
     def values(self, places: np.ndarray) -> list[np.ndarray]:
@@ -239,7 +238,7 @@ class Shard:
         apart = np.flatnonzero(codes == self.escape)
         codes = codes.astype(np.int64)
         codes[apart] = 0
-        of = np.searchsorted(self.places, places[apart].astype(np.uint64))
+        of = np.searchsorted(self.places, places[apart].astype(self.places.dtype))
         out = []
         for own, others in zip(self.tuples, self.apart, strict=True):
             v = own[codes].astype(np.int64)
