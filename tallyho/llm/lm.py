@@ -71,7 +71,7 @@ MAX_ORDER = 5
 
 def _summed(keys: np.ndarray, values: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
     """Sorted distinct keys, the values summed by key, and a row of each key."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
     return keys[new], [np.add.reduceat(v[order], new) if len(new) else v[:0] for v in values], order[new]
@@ -122,7 +122,7 @@ class Writer:
         self.shift = min(max(self.bits - cells, 0), 63)
         self.dropped = max(0, self.shift - _KEPT) if n * self.parts >= _FULL else 0
         self.sizes = np.zeros((1 << (self.bits - self.shift)) if self.bits > self.shift else 1, np.uint32)
-        mixed, at, count = np.unique(_mixed(values), return_index=True, return_counts=True)
+        mixed, (count,), at = _summed(_mixed(values), [np.ones(n, np.int64)])
         often = np.argsort(-count, kind="stable")
         apart = 8 + 8 * len(values)
         costs = {k: n * k + apart * int(count[often[256**k - 1 :]].sum()) for k in (1, 2)}
