@@ -57,7 +57,9 @@ MIN_SHARDS = 16
 BUCKET_BYTES = 8_000_000
 #: Tokens that a counting task holds before it hands on their counts.
 HOLD = 4_000_000
-#: Text bytes hashed, or scored, at a time.
+#: Tokens whose numbers are looked up at a time.
+NUMBERED = 1_000_000
+#: Text bytes scored at a time.
 SLICE_BYTES = 3_000_000
 SMOOTHING = 0.1
 
@@ -332,12 +334,13 @@ class Vocabulary:
 def grams(ids: np.ndarray, counts: np.ndarray, order: int) -> list[np.ndarray]:
     """The numbers of the ``order`` words up to each token; texts begin with
     as many begin marks as are needed."""
-    place = np.arange(len(ids)) - np.repeat(np.cumsum(counts) - counts, counts)
+    first = np.cumsum(counts) - counts
     out = []
     for back in range(order - 1, -1, -1):
         moved = np.zeros(len(ids), ids.dtype)
         moved[back:] = ids[: len(ids) - back]
-        moved[place < back] = BEGIN
+        for k in range(back):  # the first tokens of texts, where they have as many
+            moved[first[counts > k] + k] = BEGIN
         out.append(moved)
     return out
 
@@ -450,6 +453,26 @@ def _distinct(ids: list[np.ndarray], values: list[np.ndarray], id_bits: int) ->
     return [i[order[at]] for i in ids], [np.add.reduceat(v[order], at) if len(at) else v[:0] for v in values]
 
 
+def _counted(ids: list[np.ndarray], id_bits: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Distinct grams in the order of their numbers, and how often each is there."""
+    if id_bits * len(ids) > 64:
+        return _distinct(ids, [np.ones(len(ids[0]), np.int64)], id_bits)
+    kind = ids[0].dtype
+    packed = ids.pop(0).astype(np.uint64)
+    width, n_more = np.uint64(id_bits), len(ids)
+    while ids:
+        packed <<= width
+        packed |= ids.pop(0).astype(np.uint64)
+    packed.sort()
+    new = np.ones(len(packed), bool)
+    new[1:] = packed[1:] != packed[:-1]
+    at = np.flatnonzero(new)
+    n = np.diff(at, append=len(packed))
+    packed = packed[at]
+    low = np.uint64((1 << id_bits) - 1)
+    return [(packed >> np.uint64(id_bits * k) & low).astype(kind) for k in range(n_more, -1, -1)], [n]
+
+
 def _blocks(
     ids: list[np.ndarray], values: list[np.ndarray], hashes: np.ndarray, ranges: Ranges, kind: int
 ) -> Iterator[pa.RecordBatch]:
@@ -494,22 +517,28 @@ def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tu
         yield bucket, held
 
 
+def _drained(held: list[np.ndarray]) -> np.ndarray:
+    out = np.concatenate(held)
+    held.clear()
+    return out
+
+
 def _held(column: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Token hashes and numbers of tokens, in portions of about ``HOLD`` tokens."""
     hashes: list[np.ndarray] = []
     counts: list[np.ndarray] = []
     size = 0
     for batch in column:
-        for _, _, t in W.slices(batch.column(0), size=SLICE_BYTES):
+        for _, _, t in W.slices(batch.column(0)):
             h, c = token_hashes(t)
             hashes.append(h)
             counts.append(c)
             size += len(h)
             if size >= HOLD:
-                yield np.concatenate(hashes), np.concatenate(counts)
-                hashes, counts, size = [], [], 0
+                yield _drained(hashes), _drained(counts)
+                size = 0
     if size:
-        yield np.concatenate(hashes), np.concatenate(counts)
+        yield _drained(hashes), _drained(counts)
 
 
 def build_vocabulary(texts: DataFrame, folder: str, ranges: Ranges) -> Vocabulary:
@@ -645,8 +674,11 @@ def train(
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrays = Arrays(folder, "words")
         for hashes, counts in _held(batches):
-            ids = grams(vocabulary.number(hashes, arrays)[0].astype(id_type), counts, order)
-            ids, n = _distinct(ids, [np.ones(len(ids[0]), np.int64)], id_bits)
+            ids = np.empty(len(hashes), id_type)
+            for at in range(0, len(ids), NUMBERED):
+                ids[at : at + NUMBERED] = vocabulary.number(hashes[at : at + NUMBERED], arrays)[0]
+            del hashes
+            ids, n = _counted(grams(ids, counts, order), id_bits)
             yield from _blocks(ids, n, gram_hash(ids), ranges, GRAMS)
 
     df = texts.mapInArrow(partial, BLOCK)

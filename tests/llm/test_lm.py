@@ -107,6 +107,10 @@ def test_blocks_round_trip(id_bits):
     expected = Counter()
     for *g, c in zip(*ids, n, strict=True):
         expected[tuple(int(x) for x in g)] += int(c)
+    numbers, (times,) = lm._counted(list(ids), id_bits)
+    assert Counter(zip(*(i.tolist() for i in ids), strict=True)) == {
+        tuple(g): c for *g, c in zip(*(i.tolist() for i in numbers), times.tolist(), strict=True)
+    }
     found, values = lm._distinct(ids, [n], id_bits)
     back, (count,) = lm._decode(lm._encode(found, values), 3)
     got = list(zip(*(i.tolist() for i in back), strict=True))
