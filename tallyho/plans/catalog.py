@@ -21,7 +21,7 @@ from ..operators import board, increments, replay, segments, topnames, trailing
 from ..session import configure, scratch_path
 from ..sources import arrivals, feed, fixtures, packing, rejects, sinks, upserts
 from ..streaming import board as stream_board
-from ..streaming import runner, sliding, stored
+from ..streaming import pipeline, runner, sliding, stored
 from ..streaming import trailing as stream_trailing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -551,9 +551,38 @@ def feed_stream_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select(_ntz("window_start"), _ntz("window_end"), "rank", "name", "n")
 
 
+def stream_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both outputs of the application after two runs, the second from the first's
+    checkpoints, and one with nothing new: the top 10 names of each sliding hour from
+    the mentions topic (S12), and the counter's board at its watermark (``window_start``
+    null)."""
+    configure(spark)
+    lines = feed.read_lines(spark, _landed_feed(spark, sf_dir), glob_filter="*.txt", recursive=True)
+    landed = scratch_path(spark, "outputs-records")
+    replay.feed_records(lines).write.mode("errorifexists").parquet(landed)
+    records = spark.read.parquet(landed)
+    topic, root = scratch_path(spark, "outputs-topic"), scratch_path(spark, "outputs-app")
+    segment_ms = F.col("event_ms") - F.col("event_ms") % 900_000
+    for lo, hi in [*runner.slice_bounds(records, "event_ms", 2), (0, 0)]:
+        pipeline.publish(records.where((segment_ms >= lo - lo % 900_000) & (segment_ms < hi)), topic)
+        queries = pipeline.start(spark, pipeline.records_source(spark, topic), root, available_now=True)
+        queries["counter"].awaitTermination()
+    slots = (
+        pipeline.read_mentions(spark, root)
+        .groupBy(F.window("ts", "15 minutes").alias("w"), "name")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.col("w.start").alias("slot_start"), "name", "n")
+    )
+    top = topnames.rank_top(sliding.window_counts(slots, 60, 15), 10, by=("window_start", "window_end"))
+    board_rows = pipeline.newest_board(spark, root).withColumn("window_start", F.lit(None).cast("timestamp"))
+    columns = [_ntz("window_start"), "rank", "name", "n"]
+    return top.select(*columns).union(board_rows.select(*columns))
+
+
 QUERIES.update(
     {
         "feed_stream_top": feed_stream_top,
+        "stream_outputs": stream_outputs,
         "hourly_sliding_counts": hourly_sliding_counts,
         "stateful_trailing": stateful_trailing,
         "stateful_changelog": stateful_changelog,

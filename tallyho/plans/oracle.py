@@ -376,6 +376,22 @@ SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, CAST(rank AS
 FROM ranked WHERE rank <= 10"""
 )
 
+# Besides those windows, the board: names by their mentions of the last hour at the
+# newest time less 10 minutes.
+STREAM_OUTPUTS = (
+    FEED_STREAM_TOP[: FEED_STREAM_TOP.rindex("\nSELECT window_start")]
+    + """,
+mark AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE AS mark FROM named),
+live AS (
+  SELECT name, count(*) AS n FROM named, mark
+  WHERE ts <= mark AND ts + INTERVAL 1 HOUR > mark GROUP BY name
+)
+SELECT window_start, CAST(rank AS INTEGER) AS rank, name, CAST(n AS BIGINT) AS n FROM ranked WHERE rank <= 10
+UNION ALL
+SELECT NULL, CAST(row_number() OVER (ORDER BY n DESC, name) AS INTEGER) AS rank, name, n
+FROM live QUALIFY rank <= 100"""
+)
+
 # The board as of each landing's watermark: the newest time landed so far less
 # 10 minutes, in milliseconds. Rows land late by the rule of
 # catalog._stream_table, in 4 slices of the arrival.
@@ -453,6 +469,7 @@ SQL: dict[str, str] = {
     "incremental_top_names": TOP_NAMES_PER_DAY,
     "upserted_counts": LATEST_PER_NAME,
     "feed_stream_top": FEED_STREAM_TOP,
+    "stream_outputs": STREAM_OUTPUTS,
     "hourly_sliding_counts": HOURLY_SLIDING_COUNTS,
     "stateful_trailing": TRAILING_COUNT,
     "stateful_changelog": TRAILING_CHANGELOG,

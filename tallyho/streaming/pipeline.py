@@ -4,16 +4,19 @@ The feeder publishes records (key = record id, value = feed line, timestamp =
 assigned event time), here as Parquet appended to a folder, one sub-folder per
 segment; a Kafka topic written with the event time in a header and read with
 :func:`tallyho.sources.sinks.read_topic` has the same three columns.
-Two streaming queries then share that source:
+Two streaming queries follow, one on the output of the other:
 
 * ``mentions``: the parsed (event_id, record_key, name, ts) rows, appended
   to ``<root>/mentions`` (the intermediate topic of the original, S12);
-* ``counter``: the trailing-hour counts of all names in keyed state (R2, R3), and
+* ``counter``: reads the mentions that are committed there, so records are parsed
+  once: the trailing-hour counts of all names in keyed state (R2, R3), and
   their bounded leaderboard (R6, R7, R8, S15) under ``<root>/board``.
 
-Each query has its own checkpoint under ``<root>/checkpoints``, so either one
-can be stopped, restarted or lose executors without affecting the other; the
-file sink and the overwrite of a batch's own board make both outputs
+The mentions folder keeps a log of the files of each batch: a batch that is run
+again commits nothing twice, and readers see only committed files. Each
+query has its own checkpoint under ``<root>/checkpoints``, so either one
+can be stopped, restarted or lose executors without affecting the other; with
+the log and the overwrite of a batch's own board both outputs are
 exactly once. ``maxFilesPerTrigger`` bounds a micro-batch.
 """
 
@@ -21,12 +24,13 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.keys import first_field
 from ..operators.board import BOARD_SIZE
 from ..sources.feed import record_mentions
-from .board import board_sink
+from .board import BOARD_SCHEMA, board_sink
 from .runner import MAX_FILES, stream_conf
 from .trailing import board_stream
 
@@ -55,6 +59,9 @@ def records_source(spark: SparkSession, topic_path: str, max_files_per_trigger:
     return reader.parquet(topic_path).select("key", "value", "timestamp")
 
 
+MENTIONS_SCHEMA = "event_id long, record_key string, name string, ts timestamp"
+
+
 def start(
     spark: SparkSession,
     records: DataFrame,
@@ -64,14 +71,13 @@ def start(
     available_now: bool = False,
     processing_time: str | None = None,
 ) -> dict[str, StreamingQuery]:
-    """Start the mentions tee and the counter/board query on ``records``.
+    """Start the mentions tee on ``records`` and the counter/board query on its output.
 
-    ``available_now`` processes what is there and stops (a scheduled run);
-    otherwise the queries run on ``processing_time`` (default: as fast as
-    data arrives).
+    ``available_now`` processes what is there and stops (a scheduled run; the counter
+    starts when the tee is done); otherwise the queries run on
+    ``processing_time`` (default: as fast as data arrives).
     """
     stream_conf(spark)
-    mentions = record_mentions(records, strip)
 
     def trigger(writer):
         if available_now:
@@ -81,16 +87,33 @@ def start(
         return writer
 
     tee = trigger(
-        mentions.writeStream.format("parquet")
+        record_mentions(records, strip)
+        .writeStream.format("parquet")
         .option("path", f"{root}/mentions")
         .option("checkpointLocation", f"{root}/checkpoints/mentions")
         .outputMode("append")
         .queryName("mentions")
-    )
+    ).start()
+    if available_now:
+        tee.awaitTermination()
+    source = spark.readStream.schema(MENTIONS_SCHEMA).option("maxFilesPerTrigger", MAX_FILES)
+    mentions = source.parquet(f"{root}/mentions")
     counter = trigger(
         board_stream(mentions.select("event_id", "name", "ts"), board_size)
         .writeStream.foreachBatch(board_sink(board_size)(f"{root}/board"))
         .option("checkpointLocation", f"{root}/checkpoints/counter")
         .queryName("counter")
-    )
-    return {"mentions": tee.start(), "counter": counter.start()}
+    ).start()
+    return {"mentions": tee, "counter": counter}
+
+
+def read_mentions(spark: SparkSession, root: str) -> DataFrame:
+    """The mentions that are committed."""
+    return spark.read.schema(MENTIONS_SCHEMA).parquet(f"{root}/mentions")
+
+
+def newest_board(spark: SparkSession, root: str) -> DataFrame:
+    """(rank, name, n) after the last batch of the counter."""
+    boards = spark.read.schema(BOARD_SCHEMA).parquet(f"{root}/board/board")
+    last = boards.agg(F.max("batch").alias("batch"))
+    return boards.join(F.broadcast(last), "batch").select("rank", "name", "n")  # one row

@@ -219,6 +219,12 @@ def test_pipeline_tee_and_board(spark, tmp_dir):
     last = boards.agg(F.max("batch")).first()[0]
     top = [(r["name"], r["n"]) for r in boards.where(F.col("batch") == last).orderBy("rank").collect()]
     assert top == [("Ann", 3), ("Bob", 1)]
+    # The counter reads what the tee has committed; a run with nothing new changes nothing.
+    assert "/mentions" in qs["counter"].lastProgress["sources"][0]["description"]
+    again = pipeline.start(spark, pipeline.records_source(spark, topic), root, board_size=2, available_now=True)
+    again["counter"].awaitTermination()
+    assert pipeline.read_mentions(spark, root).count() == 6
+    assert [(r["name"], r["n"]) for r in pipeline.newest_board(spark, root).orderBy("rank").collect()] == top
 
 
 def test_stream_busy_name_chunks(spark):
