@@ -558,9 +558,7 @@ def stream_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     null)."""
     configure(spark)
     lines = feed.read_lines(spark, _landed_feed(spark, sf_dir), glob_filter="*.txt", recursive=True)
-    landed = scratch_path(spark, "outputs-records")
-    replay.feed_records(lines).write.mode("errorifexists").parquet(landed)
-    records = spark.read.parquet(landed)
+    records = replay.feed_records(lines)
     topic, root = scratch_path(spark, "outputs-topic"), scratch_path(spark, "outputs-app")
     segment_ms = F.col("event_ms") - F.col("event_ms") % 900_000
     for lo, hi in [*runner.slice_bounds(records, "event_ms", 2), (0, 0)]:
