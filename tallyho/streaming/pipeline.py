@@ -31,7 +31,7 @@ from ..functions.keys import first_field
 from ..operators.board import BOARD_SIZE
 from ..sources.feed import record_mentions
 from .board import BOARD_SCHEMA, board_sink
-from .runner import MAX_FILES, stream_conf
+from .runner import MAX_FILES, state_partitions, stream_conf
 from .trailing import board_stream
 
 RECORD_SCHEMA = "key string, value string, timestamp timestamp, segment string"
@@ -98,12 +98,13 @@ def start(
         tee.awaitTermination()
     source = spark.readStream.schema(MENTIONS_SCHEMA).option("maxFilesPerTrigger", MAX_FILES)
     mentions = source.parquet(f"{root}/mentions")
-    counter = trigger(
-        board_stream(mentions.select("event_id", "name", "ts"), board_size)
-        .writeStream.foreachBatch(board_sink(board_size)(f"{root}/board"))
-        .option("checkpointLocation", f"{root}/checkpoints/counter")
-        .queryName("counter")
-    ).start()
+    with state_partitions(spark):
+        counter = trigger(
+            board_stream(mentions.select("event_id", "name", "ts"), board_size)
+            .writeStream.foreachBatch(board_sink(board_size)(f"{root}/board"))
+            .option("checkpointLocation", f"{root}/checkpoints/counter")
+            .queryName("counter")
+        ).start()
     return {"mentions": tee, "counter": counter}
 
 

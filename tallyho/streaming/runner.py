@@ -16,7 +16,8 @@ Everything is written below the shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,9 @@ from ..session import configure, scratch_path
 
 # Files of one micro-batch: bounds what one task of a stateful operator gets.
 MAX_FILES = 1_000
+# Each partition of a stateful operator opens, commits and uploads a store of its own in every
+# batch, with rows or without: their number follows the cores, not the size of the input.
+STATE_PARTITIONS = 32
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -38,6 +42,21 @@ def stream_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
+@contextmanager
+def state_partitions(spark: SparkSession) -> Iterator[int]:
+    """Queries that are started within get as many state partitions as there are cores,
+    twice, but ``STATE_PARTITIONS`` at least, and no more than the shuffle partitions that
+    are set. A query that goes on from a checkpoint keeps those it has."""
+    key = "spark.sql.shuffle.partitions"
+    given = spark.conf.get(key)
+    number = min(int(given), max(STATE_PARTITIONS, 2 * spark.sparkContext.defaultParallelism))
+    spark.conf.set(key, str(number))
+    try:
+        yield number
+    finally:
+        spark.conf.set(key, given)
+
+
 def slice_bounds(df: DataFrame, order_col: str, runs: int) -> list[tuple[int, int]]:
     """Equal-width [lo, hi) ranges of ``order_col`` (two numbers reach the
     driver: min and max)."""
@@ -100,7 +119,8 @@ def replay_runs(
     def start(trigger: dict) -> StreamingQuery:
         source = spark.readStream.schema(schema).option("maxFilesPerTrigger", MAX_FILES).parquet(landing)
         writer = build(source).writeStream.outputMode(output_mode).foreachBatch(sink(out))
-        return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+        with state_partitions(spark):
+            return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
     query = None
     try:

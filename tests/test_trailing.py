@@ -160,6 +160,26 @@ def _events(spark, rows):
     )
 
 
+def test_state_partitions_follow_the_cores(spark, tmp_dir):
+    """With many shuffle partitions the stores of an operator are as many as the cores ask
+    for, and the session's number is as before."""
+    import os
+
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "150")
+    try:
+        runner.replay_runs(
+            spark, _events(spark, [(i, i, T0 + dt.timedelta(minutes=i)) for i in range(9)]),
+            lambda src: src.groupBy("user_id").count(), runs=1, output_mode="update", tag="parts", checkpoint=tmp_dir,
+        )
+        assert spark.conf.get(key) == "150"
+    finally:
+        spark.conf.set(key, before)
+    stores = [p for p in os.listdir(f"{tmp_dir}/state/0") if p.isdigit()]
+    assert len(stores) == max(runner.STATE_PARTITIONS, 2 * spark.sparkContext.defaultParallelism) < 150
+
+
 def test_late_rows_count_as_in_the_batch(spark):
     """Arrivals 0:00, 1:05, 0:59, 1:06 of one name, landed in that order in
     four runs: counts 1, 1, 2, 3 by time, as in the batch changelog."""
