@@ -43,7 +43,7 @@ def in_pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str], path: st
     read back."""
     path = path or scratch_path(df.sparkSession, "pieces")
     pieced = df.repartitionByRange(*keys, *order).withColumn("_piece", F.spark_partition_id())
-    pieced.write.mode("overwrite").parquet(path)
+    pieced.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(pieced.schema).parquet(path)
 
 

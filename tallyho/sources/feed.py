@@ -122,6 +122,11 @@ def line_report(lines: DataFrame, line_col: str = "value") -> DataFrame:
     )
 
 
+def mention_id(key_col: str = "record_key", position_col: str = "position"):
+    """What identifies a mention: ``xxhash64(record key, position in the list)``."""
+    return F.xxhash64(key_col, position_col).alias("event_id")
+
+
 def record_mentions(
     records: DataFrame,
     strip: str = "last",
@@ -130,17 +135,25 @@ def record_mentions(
     """Published records (key, value = feed line, timestamp) -> (event_id,
     record_key, name, ts): one row per mentioned name, at the record's event
     time. Stateless, so it runs unchanged on a stream (R1) or a batch.
-
-    ``event_id`` identifies a mention: ``xxhash64(record key, position in
-    the list)``.
     """
+    return record_positions(records, strip, noise).select(mention_id(), "record_key", "name", "ts")
+
+
+def record_positions(
+    records: DataFrame,
+    strip: str = "last",
+    noise: Iterable[str] = NOISE_NAMES,
+) -> DataFrame:
+    """:func:`record_mentions` with the name's position in the list in place of the id that
+    follows from it: (record_key, position, name, ts), the form to store, as ids hardly
+    compress."""
     arts = articles_from_lines(records, keep=["key", "timestamp"])
     toks = arts.where(F.col("AllNames") != F.lit("")).select(
         "key", "timestamp", F.posexplode(name_tokens("AllNames")).alias("_pos", "_tok")
     )
     named = toks.select(
-        F.xxhash64("key", "_pos").alias("event_id"),
         F.col("key").alias("record_key"),
+        F.col("_pos").alias("position"),
         strip_offset("_tok", strip).alias("name"),
         F.col("timestamp").alias("ts"),
     )

@@ -6,8 +6,9 @@ segment; a Kafka topic written with the event time in a header and read with
 :func:`tallyho.sources.sinks.read_topic` has the same three columns.
 Two streaming queries follow, one on the output of the other:
 
-* ``mentions``: the parsed (event_id, record_key, name, ts) rows, appended
-  to ``<root>/mentions`` (the intermediate topic of the original, S12);
+* ``mentions``: the parsed (record_key, position, name, ts) rows, appended
+  to ``<root>/mentions`` (the intermediate topic of the original, S12); their
+  event_id follows from the first two and is made when they are read;
 * ``counter``: reads the mentions that are committed there, so records are parsed
   once: the trailing-hour counts of all names in keyed state (R2, R3), and
   their bounded leaderboard (R6, R7, R8, S15) under ``<root>/board``.
@@ -29,7 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.keys import first_field
 from ..operators.board import BOARD_SIZE
-from ..sources.feed import record_mentions
+from ..sources.feed import mention_id, record_positions
 from .board import BOARD_SCHEMA, board_sink
 from .runner import MAX_FILES, state_partitions, stream_conf
 from .trailing import board_stream
@@ -50,7 +51,7 @@ def publish(records: DataFrame, topic_path: str) -> None:
         pass
     else:
         new = new.join(there, "segment", "left_anti").select("key", "value", "timestamp", "segment")
-    new.write.mode("append").partitionBy("segment").parquet(topic_path)
+    new.write.mode("append").partitionBy("segment").option("compression", "zstd").parquet(topic_path)
 
 
 def records_source(spark: SparkSession, topic_path: str, max_files_per_trigger: int = MAX_FILES) -> DataFrame:
@@ -59,7 +60,7 @@ def records_source(spark: SparkSession, topic_path: str, max_files_per_trigger:
     return reader.parquet(topic_path).select("key", "value", "timestamp")
 
 
-MENTIONS_SCHEMA = "event_id long, record_key string, name string, ts timestamp"
+MENTIONS_SCHEMA = "record_key string, position int, name string, ts timestamp"
 
 
 def start(
@@ -87,8 +88,9 @@ def start(
         return writer
 
     tee = trigger(
-        record_mentions(records, strip)
+        record_positions(records, strip)
         .writeStream.format("parquet")
+        .option("compression", "zstd")
         .option("path", f"{root}/mentions")
         .option("checkpointLocation", f"{root}/checkpoints/mentions")
         .outputMode("append")
@@ -100,7 +102,7 @@ def start(
     mentions = source.parquet(f"{root}/mentions")
     with state_partitions(spark):
         counter = trigger(
-            board_stream(mentions.select("event_id", "name", "ts"), board_size)
+            board_stream(mentions.select(mention_id(), "name", "ts"), board_size)
             .writeStream.foreachBatch(board_sink(board_size)(f"{root}/board"))
             .option("checkpointLocation", f"{root}/checkpoints/counter")
             .queryName("counter")
@@ -109,8 +111,9 @@ def start(
 
 
 def read_mentions(spark: SparkSession, root: str) -> DataFrame:
-    """The mentions that are committed."""
-    return spark.read.schema(MENTIONS_SCHEMA).parquet(f"{root}/mentions")
+    """(event_id, record_key, name, ts): the mentions that are committed."""
+    rows = spark.read.schema(MENTIONS_SCHEMA).parquet(f"{root}/mentions")
+    return rows.select(mention_id(), "record_key", "name", "ts")
 
 
 def newest_board(spark: SparkSession, root: str) -> DataFrame:

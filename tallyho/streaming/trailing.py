@@ -26,8 +26,9 @@ order of (time, expiry before arrival, event id): the output is the batch change
 order the rows arrived within the watermark's delay. Rows later than that are
 dropped by Spark before they reach the state.
 
-State. A bucket's mentions are stored on RocksDB in chunks (``data``), with an index of
-the chunks (``meta``). A batch adds its rows as chunks of ``CHUNK_ROWS`` at most, each
+State. A bucket's mentions are stored on RocksDB in compressed chunks (``data``), with an
+index of the chunks (``meta``). Where no steps are handed on (board, flush), they are stored
+without ids, as a number for each name and time. A batch adds its rows as chunks of ``CHUNK_ROWS`` at most, each
 a range of due times, and when the watermark moves only chunks with something due are
 read. A bucket has one
 event-time timer, at its oldest due time. Counts are a map by name (``counts``); a name
@@ -67,7 +68,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 ROW_BUCKETS = 32
 NAME_BUCKETS = 32
 #: Mentions in one stored chunk.
-CHUNK_ROWS = 4096
+CHUNK_ROWS = 16_384
 SUM, BASE, TOP, FLUSH = "sum", "base", "top", "flush"
 STEP_SCHEMA = "bucket int, kind string, name string, event_id long, change_us long, n long"
 META_SCHEMA = "arrived boolean, oldest_us long"
@@ -82,6 +83,7 @@ class HeldMentions(StatefulProcessor):
     def __init__(self, retention_minutes: int, with_steps: bool, every_us: int | None = None):
         self.retention_us = int(retention_minutes) * _MINUTE_US
         self.with_steps = with_steps
+        self.columns = ["name", "event_id", "ts_us"] if with_steps else ["name", "ts_us", "n"]
         self.every_us = every_us  # steps are due when so long a time is over as a whole
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -108,7 +110,7 @@ class HeldMentions(StatefulProcessor):
             return
         table = pa.Table.from_pandas(rows, preserve_index=False)
         out = pa.BufferOutputStream()
-        with pa.ipc.new_stream(out, table.schema) as writer:
+        with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
             writer.write_table(table)
         index[chunk] = (arrived, int(rows["ts_us"].min()) + (self.retention_us if arrived else 0))
         self.meta.updateValue((chunk,), index[chunk])
@@ -123,7 +125,8 @@ class HeldMentions(StatefulProcessor):
         """Remove and return the mentions of one kind that are due at or
         before ``until_us``."""
         shift = self.retention_us if arrived else 0
-        out = [pd.DataFrame({"name": pd.Series(dtype=object), "event_id": np.empty(0, np.int64), "ts_us": np.empty(0, np.int64)})]
+        none = {c: pd.Series(dtype=object) if c == "name" else np.empty(0, np.int64) for c in self.columns}
+        out = [pd.DataFrame(none)]
         for chunk, entry in list(index.items()):
             if entry[0] == arrived and entry[1] <= until_us:
                 rows = self._read(chunk)
@@ -153,8 +156,11 @@ class HeldMentions(StatefulProcessor):
     # -- handlers ----------------------------------------------------------
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat([r[["name", "event_id", "ts_us"]] for r in rows], ignore_index=True)
+        given = [c for c in self.columns if c != "n"]
+        new = pd.concat([r[given] for r in rows], ignore_index=True)
         new = new[new["name"].notna()]
+        if not self.with_steps:
+            new = new.groupby(given, as_index=False, sort=False).size().rename(columns={"size": "n"})
         if len(new):
             index = self._index()
             old = self._fires(index)
@@ -175,16 +181,17 @@ class HeldMentions(StatefulProcessor):
         gone = pd.concat([gone, new[early]], ignore_index=True)
         self._add(index, True, new[~early])
         self._move_timer(None, index)  # the timer that fired is gone
-        steps = pd.concat(
-            [
-                new.assign(kind=ARRIVAL, change_us=new["ts_us"], n=1),
-                gone.assign(kind=EXPIRY, change_us=gone["ts_us"] + self.retention_us, n=-1),
-            ],
-            ignore_index=True,
-        )
+        if not self.with_steps:
+            new, gone = new.assign(change_us=new["ts_us"]), gone.assign(change_us=gone["ts_us"] + self.retention_us, n=-gone["n"])
+        else:
+            new = new.assign(kind=ARRIVAL, change_us=new["ts_us"], n=1)
+            gone = gone.assign(kind=EXPIRY, change_us=gone["ts_us"] + self.retention_us, n=-1)
+        steps = pd.concat([new, gone], ignore_index=True)
         if len(steps):
             steps_of = steps.assign(change_us=steps["change_us"] // self.every_us * self.every_us if self.every_us else 0)
             sums = steps_of.groupby(["name", "change_us"], as_index=False)["n"].sum()
+            if not self.with_steps and not self.every_us:
+                sums = sums[sums["n"] != 0]
             yield self._rows(key, sums.assign(kind=SUM, event_id=0))
             if self.with_steps:
                 yield self._rows(key, steps)
@@ -308,11 +315,13 @@ def _counted(
     every_us: int | None = None,
 ) -> DataFrame:
     row = F.pmod(F.xxhash64("event_id", "name", "ts"), F.lit(row_buckets)).cast("int")
+    with_steps = board_size is None and every_us is None
+    ids = ["event_id"] if with_steps else []
     keyed = mentions.withWatermark("ts", watermark).select(
-        row.alias("bucket"), "name", "event_id", "ts", F.unix_micros("ts").alias("ts_us")
+        row.alias("bucket"), "name", *ids, "ts", F.unix_micros("ts").alias("ts_us")
     )
     steps = keyed.groupBy("bucket").transformWithStateInPandas(
-        statefulProcessor=HeldMentions(retention_minutes, board_size is None and every_us is None, every_us),
+        statefulProcessor=HeldMentions(retention_minutes, with_steps, every_us),
         outputStructType=STEP_SCHEMA,
         outputMode="Append",
         timeMode="EventTime",

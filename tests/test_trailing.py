@@ -160,6 +160,44 @@ def _events(spark, rows):
     )
 
 
+class _Held(dict):
+    """A map variable and its handle in memory."""
+
+    def getMapState(self, name, *_):
+        return self.setdefault(name, _Held())
+
+    def iterator(self):
+        return iter(self.items())
+
+    def getValue(self, key):
+        return self[key]
+
+    def updateValue(self, key, value):
+        self[key] = value
+
+    def removeKey(self, key):
+        del self[key]
+
+    def registerTimer(self, at):
+        pass
+
+
+def test_held_mentions_are_stored_small():
+    """For a board a mention of some 25 bytes takes a few in the state, without its id."""
+    import numpy as np
+    import pandas as pd
+
+    at = np.arange(40_000, dtype=np.int64)
+    rows = pd.DataFrame({"name": [f"name_{i * 7919 % 300}" for i in at], "ts_us": at // 20 * 1_000_000})
+    held = stream_trailing.HeldMentions(60, False)
+    state = _Held()
+    held.init(state)
+    list(held.handleInputRows((0,), iter([rows[:30_000], rows[30_000:]]), None))
+    assert sum(len(v[0]) for v in state["data"].values()) < 6 * len(rows)
+    back = pd.concat([held._read(c) for (c,) in sorted(state["data"])])
+    assert set(back.columns) == {"name", "ts_us", "n"} and back["n"].sum() == len(rows)
+
+
 def test_state_partitions_follow_the_cores(spark, tmp_dir):
     """With many shuffle partitions the stores of an operator are as many as the cores ask
     for, and the session's number is as before."""
@@ -247,6 +285,23 @@ def test_pipeline_tee_and_board(spark, tmp_dir):
     assert [(r["name"], r["n"]) for r in pipeline.newest_board(spark, root).orderBy("rank").collect()] == top
 
 
+def test_stored_mentions_have_their_ids_when_read(spark, tmp_dir):
+    """The mentions topic holds positions, which compress, and gives the ids of the parse."""
+    from tallyho.sources import feed
+    from tallyho.streaming import pipeline
+
+    value = "\t".join(["20150218100000-1", "20150218100000"] + [""] * 21 + ["Ann,1;null,2;Ann,3", "", "", ""])
+    records = spark.createDataFrame([("20150218100000-1", value, T0)], "key string, value string, timestamp timestamp")
+    pipeline.publish(records, f"{tmp_dir}/topic")
+    source = pipeline.records_source(spark, f"{tmp_dir}/topic")
+    for q in pipeline.start(spark, source, f"{tmp_dir}/app", board_size=2, available_now=True).values():
+        q.awaitTermination()
+    assert "event_id" not in spark.read.parquet(f"{tmp_dir}/app/mentions").columns
+    got = pipeline.read_mentions(spark, f"{tmp_dir}/app")
+    want = feed.record_mentions(records)
+    assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect()) and want.count() == 2
+
+
 def test_stream_busy_name_chunks(spark):
     """One name with a mention every 7 minutes for 9 hours, another every 50,
     up to 9 minutes late within and across four landings: stored chunks arrive
