@@ -537,7 +537,7 @@ def feed_stream_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     lines = feed.read_lines(spark, _landed_feed(spark, sf_dir), glob_filter="*.txt", recursive=True)
     topic = scratch_path(spark, "feed-records")
-    replay.feed_records(lines).write.mode("errorifexists").parquet(topic)
+    replay.feed_records(lines).write.mode("errorifexists").option("compression", "zstd").parquet(topic)
     out = runner.replay_runs(
         spark,
         spark.read.parquet(topic),
@@ -545,6 +545,7 @@ def feed_stream_top(spark: SparkSession, sf_dir: str) -> DataFrame:
         order_col="event_ms",
         output_mode="update",
         tag="feed-stream",
+        spread=True,
     )
     final = sliding.window_counts(sliding.final_counts(runner.read_sink(spark, out)), 60, 15)
     top = topnames.rank_top(final, 10, by=("window_start", "window_end"))

@@ -148,13 +148,9 @@ def record_positions(
     follows from it: (record_key, position, name, ts), the form to store, as ids hardly
     compress."""
     arts = articles_from_lines(records, keep=["key", "timestamp"])
-    toks = arts.where(F.col("AllNames") != F.lit("")).select(
-        "key", "timestamp", F.posexplode(name_tokens("AllNames")).alias("_pos", "_tok")
-    )
-    named = toks.select(
-        F.col("key").alias("record_key"),
-        F.col("_pos").alias("position"),
-        strip_offset("_tok", strip).alias("name"),
-        F.col("timestamp").alias("ts"),
+    # Cut inside the list: a filter on the exploded names would cut each of them again.
+    names = F.transform(name_tokens("AllNames"), lambda t: strip_offset(t, strip))
+    named = arts.where(F.col("AllNames") != F.lit("")).select(
+        F.col("key").alias("record_key"), F.posexplode(names).alias("position", "name"), F.col("timestamp").alias("ts")
     )
     return named.where(is_name("name", noise))

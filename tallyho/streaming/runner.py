@@ -87,11 +87,14 @@ def replay_runs(
     heartbeat: str | None = None,
     restarts: bool = False,
     checkpoint: str | None = None,
+    spread: bool = False,
 ) -> str:
     """Land ``table`` in ``runs`` slices for the stream ``build``, one when the
     last one is done; returns the sink folder (``batch=<id>`` sub-folders). Rows
     without an ordering value land with the first slice. ``restarts`` ends the query
-    after each slice and goes on from its ``checkpoint``.
+    after each slice and goes on from its ``checkpoint``. ``spread`` deals the rows of a
+    slice over files of equal size, some for each core: for wide rows, of which one file holds
+    too many for a task.
 
     ``heartbeat`` names the event-time column of a last landing: one row that
     is null but for a time a day after the newest. It moves the watermark past
@@ -125,7 +128,9 @@ def replay_runs(
     query = None
     try:
         for part in parts:
-            part.write.mode("append").parquet(landing)
+            if spread:
+                part = part.repartition(min(4 * spark.sparkContext.defaultParallelism, MAX_FILES))
+            part.write.mode("append").option("compression", "zstd").parquet(landing)
             if restarts:
                 start({"availableNow": True}).awaitTermination()
             else:

@@ -397,6 +397,31 @@ def test_repeated_flush_sends_the_same(spark, tmp_dir):
     assert message["message"] == '[{"name":"a","count":0},{"name":"b","count":1}]' and message["entries"] == 2
 
 
+def test_landed_rows_are_spread_over_files(spark):
+    """A slice that one task wrote is read by many: its files hold equal shares, none is lost."""
+    rows = spark.range(4000).withColumn("line", F.concat(F.lit("x"), "id")).coalesce(1)
+    out = runner.replay_runs(
+        spark, rows, lambda src: src.select("id", F.input_file_name().alias("file")), order_col="id", runs=1, tag="spread", spread=True
+    )
+    got = runner.read_sink(spark, out)
+    assert got.select("id").distinct().count() == got.count() == 4000
+    sizes = [r["count"] for r in got.groupBy("file").count().collect()]
+    assert len(sizes) == 4 * spark.sparkContext.defaultParallelism and max(sizes) < 2 * 4000 / len(sizes)
+
+
+def test_windows_need_no_second_shuffle(spark):
+    from tallyho.streaming import sliding
+
+    minutes = lambda m: T0 + dt.timedelta(minutes=m)
+    updates = spark.createDataFrame([(minutes(0), "a", 1), (minutes(0), "a", 3), (minutes(15), "a", 2)], "slot_start timestamp, name string, n long")
+    windows = sliding.window_counts(sliding.final_counts(updates), 60, 15)
+    plan = windows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1, plan
+    assert sorted((r["window_start"], r["n"]) for r in windows.collect()) == [
+        (minutes(m), n) for m, n in ((-45, 3), (-30, 5), (-15, 5), (0, 5), (15, 2))
+    ]
+
+
 def test_rows_without_order_value_are_landed(spark):
     rows = [(i if i % 4 else None, 1, T0 + dt.timedelta(minutes=i)) for i in range(12)]
     events = _events(spark, rows)
