@@ -9,12 +9,12 @@ partition. Rows of equal sequence number are ordered by their record key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import first_field, parse_record_key
 from ..functions.times import millis_instant, stamp_instant
-from .running import row_index
+from .running import in_pieces, row_index
 
 # One file covers 15 minutes of feed; the release loop runs
 # once per second.
@@ -40,10 +40,13 @@ def spread_event_times(
         "first_key": F.min_by(F.col(key_col), F.struct(seq_col, key_col)),
     }
     indexed = row_index(records, [file_col], [seq_col, key_col], "line_no", totals=totals)
-    interval_ms = interval_minutes * 60_000
-    start_ms = F.unix_millis(stamp_instant(first_field("first_key", "-")))
-    step = F.expr(f"CAST({interval_ms} AS BIGINT) div lines")
-    return indexed.withColumn("event_ms", start_ms + (F.col("line_no") - F.lit(1)) * step).drop("first_key")
+    return indexed.withColumn("event_ms", _event_ms(first_field("first_key", "-"), interval_minutes)).drop("first_key")
+
+
+def _event_ms(stamp: Column | str, interval_minutes: int = INTERVAL_MINUTES) -> Column:
+    """The event time of row ``line_no`` of ``lines``, in a file that starts at ``stamp``."""
+    step = F.expr(f"CAST({interval_minutes * 60_000} AS BIGINT) div lines")
+    return F.unix_millis(stamp_instant(stamp)) + (F.col("line_no") - F.lit(1)) * step
 
 
 def pace_release(
@@ -109,7 +112,12 @@ def rejected_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     return _stamped(lines, line_col).where(F.col("_segment").isNull()).select("record_key", "value")
 
 
-def feed_records(lines: DataFrame, line_col: str = "value") -> DataFrame:
+def segment_ms(line_col: str = "value") -> Column:
+    """When the segment of a raw line starts, in epoch ms; null where its record id has no time."""
+    return F.unix_millis(stamp_instant(first_field(first_field(line_col), "-")))
+
+
+def feed_records(lines: DataFrame, line_col: str = "value", path: str | None = None) -> DataFrame:
     """Raw feed lines -> (key, value, timestamp, event_ms): what the feeder
     publishes. ``key`` is the record id (first field), ``timestamp`` the
     event time from :func:`spread_event_times`. Lines without a time in their
@@ -119,10 +127,24 @@ def feed_records(lines: DataFrame, line_col: str = "value") -> DataFrame:
     in a segment file starts with the file's stamp), so the result does not
     depend on how the files were split into tasks; rows are ordered inside a
     segment by the id's sequence number.
+
+    Whole lines are shuffled once: to sorted pieces, in which each row has its place
+    (in a new folder, or over ``path``). What a piece adds to the places is one row for
+    each segment in it, so there are no more of them than pieces and segments together.
     """
     records = _stamped(lines, line_col).where(F.col("_segment").isNotNull())
-    spread = spread_event_times(records, "_segment", "_seq", "record_key")
-    return spread.select(
+    rows = in_pieces(records, ["_segment"], ["_seq", "record_key"], path, place="_place")
+    segment = Window.partitionBy("_segment")
+    earlier = segment.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    shares = (
+        rows.groupBy("_segment", "_piece")
+        .agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
+        .withColumn("_shift", F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1)
+        .withColumn("lines", F.sum("_n").over(segment))
+        .select("_segment", "_piece", "_shift", "lines")
+    )
+    placed = rows.join(F.broadcast(shares), ["_segment", "_piece"]).withColumn("line_no", F.col("_place") + F.col("_shift"))
+    return placed.withColumn("event_ms", _event_ms("_segment")).select(
         F.col("record_key").alias("key"),
         "value",
         millis_instant("event_ms").alias("timestamp"),

@@ -37,12 +37,19 @@ def _same(pairs: Sequence[tuple[str, str]]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in pairs])
 
 
-def in_pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str], path: str | None = None) -> DataFrame:
+def in_pieces(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], path: str | None = None, place: str | None = None
+) -> DataFrame:
     """``df`` range-partitioned by (keys, order) with the number of each row's
     piece as ``_piece``, written (over what is in ``path``, if that is given) and
-    read back."""
+    read back. ``place`` names a column with the row's place in the order of its piece,
+    from 0: for wide rows, that need not be shuffled again to be counted."""
     path = path or scratch_path(df.sparkSession, "pieces")
-    pieced = df.repartitionByRange(*keys, *order).withColumn("_piece", F.spark_partition_id())
+    pieced = df.repartitionByRange(*keys, *order)
+    if place:
+        in_partition = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        pieced = pieced.sortWithinPartitions(*keys, *order).withColumn(place, in_partition)
+    pieced = pieced.withColumn("_piece", F.spark_partition_id())
     pieced.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(pieced.schema).parquet(path)
 

@@ -98,9 +98,9 @@ def noise_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _landed_feed(spark: SparkSession, sf_dir: str) -> str:
+def _landed_feed(spark: SparkSession, sf_dir: str, compression: str = "none") -> str:
     path = scratch_path(spark, "feed")
-    return fixtures.write_feed_files(_documents(spark, sf_dir), path)
+    return fixtures.write_feed_files(_documents(spark, sf_dir), path, compression)
 
 
 def feed_file_top_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -558,12 +558,14 @@ def stream_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     the mentions topic (S12), and the counter's board at its watermark (``window_start``
     null)."""
     configure(spark)
-    lines = feed.read_lines(spark, _landed_feed(spark, sf_dir), glob_filter="*.txt", recursive=True)
-    records = replay.feed_records(lines)
-    topic, root = scratch_path(spark, "outputs-topic"), scratch_path(spark, "outputs-app")
-    segment_ms = F.col("event_ms") - F.col("event_ms") % 900_000
-    for lo, hi in [*runner.slice_bounds(records, "event_ms", 2), (0, 0)]:
-        pipeline.publish(records.where((segment_ms >= lo - lo % 900_000) & (segment_ms < hi)), topic)
+    landed = _landed_feed(spark, sf_dir, "gzip")
+    lines = feed.read_lines(spark, landed, glob_filter="*.txt.gz", recursive=True).withColumn("start_ms", replay.segment_ms())
+    topic, root, pieces = (scratch_path(spark, f"outputs-{x}") for x in ("topic", "app", "pieces"))
+    start_ms = F.col("start_ms")
+    for lo, hi in [*runner.slice_bounds(lines, "start_ms", 2), (0, 0)]:
+        # each run's segments go through the same folder of pieces
+        records = replay.feed_records(lines.where((start_ms >= lo) & (start_ms < hi)), path=pieces)
+        pipeline.publish(records, topic)
         queries = pipeline.start(spark, pipeline.records_source(spark, topic), root, available_now=True)
         queries["counter"].awaitTermination()
     slots = (
@@ -572,7 +574,9 @@ def stream_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
         .select(F.col("w.start").alias("slot_start"), "name", "n")
     )
-    top = topnames.rank_top(sliding.window_counts(slots, 60, 15), 10, by=("window_start", "window_end"))
+    # Dealt by name, a few rows for each, so the windows' sums need no shuffle of all windows.
+    windows = sliding.window_counts(slots.repartition("name"), 60, 15)
+    top = topnames.rank_top(windows, 10, by=("window_start", "window_end"))
     board_rows = pipeline.newest_board(spark, root).withColumn("window_start", F.lit(None).cast("timestamp"))
     columns = [_ntz("window_start"), "rank", "name", "n"]
     return top.select(*columns).union(board_rows.select(*columns))

@@ -90,13 +90,13 @@ def feed_lines(documents: DataFrame) -> DataFrame:
     return feed_rows(documents).select(F.when(F.col("short"), cut).otherwise(whole).alias("value"))
 
 
-def write_feed_files(documents: DataFrame, path: str) -> str:
+def write_feed_files(documents: DataFrame, path: str, compression: str = "none") -> str:
     """Land the derived feed as text files, one folder per day (like daily
     segment folders). Returns the path written."""
     lines = feed_lines(documents).withColumn(
         "day", F.substring(F.col("value"), F.length(F.substring_index("value", "\t", 1)) + 2, 8)
     )
-    lines.write.mode("errorifexists").partitionBy("day").text(path)
+    lines.write.mode("errorifexists").partitionBy("day").text(path, compression=compression)
     return path
 
 

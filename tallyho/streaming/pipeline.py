@@ -50,7 +50,8 @@ def publish(records: DataFrame, topic_path: str) -> None:
     except AnalysisException:  # nothing published yet
         pass
     else:
-        new = new.join(there, "segment", "left_anti").select("key", "value", "timestamp", "segment")
+        # a name for each segment: fewer than the files that the driver has listed
+        new = new.join(F.broadcast(there), "segment", "left_anti").select("key", "value", "timestamp", "segment")
     new.write.mode("append").partitionBy("segment").option("compression", "zstd").parquet(topic_path)
 
 
@@ -102,7 +103,7 @@ def start(
     mentions = source.parquet(f"{root}/mentions")
     with state_partitions(spark):
         counter = trigger(
-            board_stream(mentions.select(mention_id(), "name", "ts"), board_size)
+            board_stream(mentions.select("name", "ts"), board_size, packed=True)
             .writeStream.foreachBatch(board_sink(board_size)(f"{root}/board"))
             .option("checkpointLocation", f"{root}/checkpoints/counter")
             .queryName("counter")

@@ -28,9 +28,11 @@ dropped by Spark before they reach the state.
 
 State. A bucket's mentions are stored on RocksDB in compressed chunks (``data``), with an
 index of the chunks (``meta``). Where no steps are handed on (board, flush), they are stored
-without ids, as a number for each name and time. A batch adds its rows as chunks of ``CHUNK_ROWS`` at most, each
+without ids, as a number for each name and time. Where many mentions have one time (those of
+a record), they also come so (:func:`by_time`): a row for each time, whose names are packed before
+the shuffle, and the bucket is a hash of that row. A batch adds its rows as chunks of ``CHUNK_ROWS`` at most, each
 a range of due times, and when the watermark moves only chunks with something due are
-read. A bucket has one
+read. A bucket takes rows in, and works through its chunks, ``HELD_ROWS`` at a time. It has one
 event-time timer, at its oldest due time. Counts are a map by name (``counts``); a name
 whose count is 0 has no entry. Rows without a name only move the watermark (a
 heartbeat). The numbers of buckets are fixed for the life of a checkpoint: take some
@@ -41,12 +43,14 @@ from __future__ import annotations
 
 import heapq
 import json
+import struct
 import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -67,14 +71,67 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROW_BUCKETS = 32
 NAME_BUCKETS = 32
-#: Mentions in one stored chunk.
+#: Mentions in one stored chunk, that a bucket holds in memory, and that are packed at once.
 CHUNK_ROWS = 16_384
+HELD_ROWS = 1 << 20
+PACK_ROWS = 1 << 16
 SUM, BASE, TOP, FLUSH = "sum", "base", "top", "flush"
 STEP_SCHEMA = "bucket int, kind string, name string, event_id long, change_us long, n long"
 META_SCHEMA = "arrived boolean, oldest_us long"
 CHANGELOG_SCHEMA = "name string, event_id long, kind string, change_ts timestamp, n long"
 _MINUTE_US = 60_000_000
 _SLOTS = 3
+_HEAD = "<QQ"
+
+
+def _pack(names: pa.StringArray, *numbers: np.ndarray) -> bytes:
+    """Names and numbers of as many rows. Lengths and numbers go byte by byte (all first
+    bytes, all second ones): the upper ones are mostly 0."""
+    offsets, text = np.zeros(1, np.int32), b""
+    if len(names):
+        offsets = np.frombuffer(names.buffers()[1], np.int32)[names.offset : names.offset + len(names) + 1]
+        text = names.buffers()[2][int(offsets[0]) : int(offsets[-1])] if offsets[-1] > offsets[0] else b""
+    columns = [np.ascontiguousarray(x, np.int64).view(np.uint8).reshape(-1, 8).T.tobytes() for x in (*numbers, np.diff(offsets))]
+    raw = b"".join([*columns, text])
+    return struct.pack(_HEAD, len(names), len(raw)) + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpack(packed: bytes, n_numbers: int) -> tuple[pa.StringArray, list[np.ndarray]]:
+    """What :func:`_pack` has put together."""
+    rows, size = struct.unpack_from(_HEAD, packed)
+    raw = pa.decompress(packed[struct.calcsize(_HEAD) :], decompressed_size=size, codec="zstd")
+    column = lambda i: np.ascontiguousarray(np.frombuffer(raw, np.uint8, 8 * rows, 8 * rows * i).reshape(8, rows).T).view(np.int64).ravel()
+    offsets = np.zeros(rows + 1, np.int32)
+    np.cumsum(column(n_numbers), out=offsets[1:])
+    names = pa.StringArray.from_buffers(rows, pa.py_buffer(offsets), raw.slice(8 * rows * (n_numbers + 1)))
+    return names, [column(i) for i in range(n_numbers)]
+
+
+def _packed_by_time(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(ts, name) -> (ts, packed): the names of a time, and the number of each, in one row for
+    each ``PACK_ROWS`` mentions or so. A time without names has a row too."""
+
+    def flush(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        table = table.filter(pc.is_valid(table["ts"]))
+        times, at = np.unique(table["ts"].combine_chunks().cast(pa.int64()).to_numpy(), return_inverse=True)
+        words = table["name"].combine_chunks().cast(pa.string()).dictionary_encode()
+        named = words.indices.is_valid().to_numpy(zero_copy_only=False)
+        order = pc.sort_indices(words.dictionary).to_numpy()
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        pairs, n = np.unique(at[named] * len(order) + rank[words.indices.drop_null().to_numpy()], return_counts=True)
+        names = words.dictionary.take(pa.array(order[pairs % max(len(order), 1)]))
+        ends = np.searchsorted(pairs, np.arange(len(times) + 1) * len(order))
+        packs = [_pack(names[a:b], n[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(times, pa.int64()).cast(table["ts"].type), pa.array(packs, pa.binary())], names=["ts", "packed"])
+
+    yield from map(flush, _runs(batches, PACK_ROWS))
+
+
+def by_time(mentions: DataFrame) -> DataFrame:
+    """Mentions (name, ts) of a stream -> (ts, packed), some for each time."""
+    return mentions.select("ts", "name").mapInArrow(_packed_by_time, "ts timestamp, packed binary")
 
 
 class HeldMentions(StatefulProcessor):
@@ -98,7 +155,11 @@ class HeldMentions(StatefulProcessor):
         return {int(k[0]): (bool(v[0]), int(v[1])) for k, v in self.meta.iterator()}
 
     def _read(self, chunk: int) -> pd.DataFrame:
-        with pa.ipc.open_stream(self.data.getValue((chunk,))[0]) as rows:
+        stored = self.data.getValue((chunk,))[0]
+        if not self.with_steps:
+            names, (ts_us, n) = _unpack(stored, 2)
+            return pd.DataFrame({"name": names.to_pandas(), "ts_us": ts_us, "n": n})
+        with pa.ipc.open_stream(stored) as rows:
             return rows.read_pandas()
 
     def _write(self, index: dict, chunk: int, arrived: bool, rows: pd.DataFrame) -> None:
@@ -108,32 +169,32 @@ class HeldMentions(StatefulProcessor):
                 self.meta.removeKey((chunk,))
                 self.data.removeKey((chunk,))
             return
-        table = pa.Table.from_pandas(rows, preserve_index=False)
-        out = pa.BufferOutputStream()
-        with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-            writer.write_table(table)
+        if self.with_steps:
+            table = pa.Table.from_pandas(rows, preserve_index=False)
+            out = pa.BufferOutputStream()
+            with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                writer.write_table(table)
+            stored = out.getvalue().to_pybytes()
+        else:
+            stored = _pack(pa.array(rows["name"], pa.string()), rows["ts_us"], rows["n"])
         index[chunk] = (arrived, int(rows["ts_us"].min()) + (self.retention_us if arrived else 0))
         self.meta.updateValue((chunk,), index[chunk])
-        self.data.updateValue((chunk,), (out.getvalue().to_pybytes(),))
+        self.data.updateValue((chunk,), (stored,))
 
     def _add(self, index: dict, arrived: bool, rows: pd.DataFrame) -> None:
-        rows = rows.sort_values("ts_us", ignore_index=True)
+        rows = rows.sort_values("ts_us", kind="stable", ignore_index=True)
         for at in range(0, len(rows), CHUNK_ROWS):
             self._write(index, max(index, default=-1) + 1, arrived, rows[at : at + CHUNK_ROWS])
 
-    def _take(self, index: dict, arrived: bool, until_us: int) -> pd.DataFrame:
-        """Remove and return the mentions of one kind that are due at or
-        before ``until_us``."""
-        shift = self.retention_us if arrived else 0
-        none = {c: pd.Series(dtype=object) if c == "name" else np.empty(0, np.int64) for c in self.columns}
-        out = [pd.DataFrame(none)]
-        for chunk, entry in list(index.items()):
-            if entry[0] == arrived and entry[1] <= until_us:
+    def _take(self, index: dict, until_us: int) -> Iterator[tuple[bool, pd.DataFrame]]:
+        """Remove and return the mentions that are due at or before ``until_us``, chunk by
+        chunk, with whether they had arrived."""
+        for chunk, (arrived, due_us) in list(index.items()):
+            if due_us <= until_us:
                 rows = self._read(chunk)
-                due = rows["ts_us"] + shift <= until_us
-                out.append(rows[due])
+                due = rows["ts_us"] + (self.retention_us if arrived else 0) <= until_us
                 self._write(index, chunk, arrived, rows[~due])
-        return pd.concat(out[1:] or out, ignore_index=True)
+                yield arrived, rows[due]
 
     def _fires(self, index: dict) -> int | None:
         """When something is due next, in ms (rounded up)."""
@@ -155,16 +216,24 @@ class HeldMentions(StatefulProcessor):
 
     # -- handlers ----------------------------------------------------------
 
-    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+    def _given(self, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        """The columns to hold, of rows as they come."""
+        if "packed" in rows.columns:
+            for part in _runs(((ts_us, *_unpack(packed, 1)) for ts_us, packed in zip(rows["ts_us"], rows["packed"], strict=True)), CHUNK_ROWS, 1):
+                names = pa.concat_arrays([names for _, names, _ in part])
+                times = np.repeat([ts_us for ts_us, _, _ in part], [len(names) for _, names, _ in part])
+                yield pd.DataFrame({"name": names.to_pandas(), "ts_us": times, "n": np.concatenate([n for _, _, (n,) in part])})
+            return
         given = [c for c in self.columns if c != "n"]
-        new = pd.concat([r[given] for r in rows], ignore_index=True)
-        new = new[new["name"].notna()]
-        if not self.with_steps:
-            new = new.groupby(given, as_index=False, sort=False).size().rename(columns={"size": "n"})
-        if len(new):
-            index = self._index()
-            old = self._fires(index)
-            self._add(index, False, new)
+        new = rows.loc[rows["name"].notna(), given]
+        yield new if self.with_steps else new.groupby(given, as_index=False, sort=False).size().rename(columns={"size": "n"})
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        index = self._index()
+        old = self._fires(index)
+        for new in _runs((part for r in rows for part in self._given(r)), HELD_ROWS):
+            self._add(index, False, pd.concat(new, ignore_index=True))
+        if self._fires(index) != old:
             self._move_timer(old, index)
         return iter(())
 
@@ -175,26 +244,48 @@ class HeldMentions(StatefulProcessor):
         until = int(timerValues.getCurrentWatermarkInMs()) * 1000
         if self.every_us:
             until = until // self.every_us * self.every_us - 1
-        new, gone = self._take(index, False, until), self._take(index, True, until)
-        # mentions that arrive and expire before this watermark
-        early = new["ts_us"] + self.retention_us <= until
-        gone = pd.concat([gone, new[early]], ignore_index=True)
-        self._add(index, True, new[~early])
+        sums: list[pd.DataFrame] = []
+
+        def steps(arrived: bool, due: pd.DataFrame) -> pd.DataFrame:
+            """The steps of a chunk's mentions, whose sums are kept."""
+            # of those that had not arrived, some arrive and expire before this watermark
+            gone = due if arrived else due[due["ts_us"] + self.retention_us <= until]
+            new = due[:0] if arrived else due
+            if not self.with_steps and not self.every_us and not arrived:
+                new, gone = due.drop(gone.index), due[:0]  # they don't count at the watermark
+            if not self.with_steps:
+                new, gone = new.assign(change_us=new["ts_us"]), gone.assign(change_us=gone["ts_us"] + self.retention_us, n=-gone["n"])
+            else:
+                new = new.assign(kind=ARRIVAL, change_us=new["ts_us"], n=1)
+                gone = gone.assign(kind=EXPIRY, change_us=gone["ts_us"] + self.retention_us, n=-1)
+            out = pd.concat([new, gone], ignore_index=True)
+            if len(out):
+                of = out.assign(change_us=out["change_us"] // self.every_us * self.every_us if self.every_us else 0)
+                sums.append(of.groupby(["name", "change_us"], as_index=False)["n"].sum())
+                if len(sums) > 64:
+                    sums[:] = [_summed(sums)]
+            return out
+
+        stay: list[pd.DataFrame] = []
+        n_stay = 0
+        for arrived, due in self._take(index, until):
+            if not arrived:
+                stay.append(due[due["ts_us"] + self.retention_us > until])
+                n_stay += len(stay[-1])
+                if n_stay >= HELD_ROWS:
+                    self._add(index, True, pd.concat(stay, ignore_index=True))
+                    stay, n_stay = [], 0
+            out = steps(arrived, due)
+            if self.with_steps and len(out):
+                yield self._rows(key, out)
+        if stay:
+            self._add(index, True, pd.concat(stay, ignore_index=True))
         self._move_timer(None, index)  # the timer that fired is gone
-        if not self.with_steps:
-            new, gone = new.assign(change_us=new["ts_us"]), gone.assign(change_us=gone["ts_us"] + self.retention_us, n=-gone["n"])
-        else:
-            new = new.assign(kind=ARRIVAL, change_us=new["ts_us"], n=1)
-            gone = gone.assign(kind=EXPIRY, change_us=gone["ts_us"] + self.retention_us, n=-1)
-        steps = pd.concat([new, gone], ignore_index=True)
-        if len(steps):
-            steps_of = steps.assign(change_us=steps["change_us"] // self.every_us * self.every_us if self.every_us else 0)
-            sums = steps_of.groupby(["name", "change_us"], as_index=False)["n"].sum()
+        if sums:
+            total = _summed(sums)
             if not self.with_steps and not self.every_us:
-                sums = sums[sums["n"] != 0]
-            yield self._rows(key, sums.assign(kind=SUM, event_id=0))
-            if self.with_steps:
-                yield self._rows(key, steps)
+                total = total[total["n"] != 0]
+            yield self._rows(key, total.assign(kind=SUM, event_id=0))
 
     def _rows(self, key, rows: pd.DataFrame) -> pd.DataFrame:
         return rows.assign(bucket=key[0])[["bucket", "kind", "name", "event_id", "change_us", "n"]]
@@ -203,6 +294,23 @@ class HeldMentions(StatefulProcessor):
         pass
 
 
+def _runs(parts: Iterator, rows: int, at: int | None = None) -> Iterator[list]:
+    """Parts (or tuples with one in place ``at``) in lists of ``rows`` rows or a little more."""
+    held, n = [], 0
+    for part in parts:
+        held.append(part)
+        n += len(part if at is None else part[at])
+        if n >= rows:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
+def _summed(sums: list[pd.DataFrame]) -> pd.DataFrame:
+    return pd.concat(sums, ignore_index=True).groupby(["name", "change_us"], as_index=False)["n"].sum()
+
+
 class Reserve:
     """The highest counts of a bucket, ordered by count and name, and some more.
 
@@ -313,12 +421,16 @@ def _counted(
     row_buckets: int,
     name_buckets: int,
     every_us: int | None = None,
+    packed: bool = False,
 ) -> DataFrame:
-    row = F.pmod(F.xxhash64("event_id", "name", "ts"), F.lit(row_buckets)).cast("int")
     with_steps = board_size is None and every_us is None
-    ids = ["event_id"] if with_steps else []
+    identity = ["event_id", "name", "ts"]
+    columns = ["name", "event_id"] if with_steps else ["name"]
+    if packed:
+        mentions, identity, columns = by_time(mentions), ["ts", "packed"], ["packed"]
+    row = F.pmod(F.xxhash64(*identity), F.lit(row_buckets)).cast("int")
     keyed = mentions.withWatermark("ts", watermark).select(
-        row.alias("bucket"), "name", *ids, "ts", F.unix_micros("ts").alias("ts_us")
+        row.alias("bucket"), *columns, "ts", F.unix_micros("ts").alias("ts_us")
     )
     steps = keyed.groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=HeldMentions(retention_minutes, with_steps, every_us),
@@ -360,11 +472,14 @@ def board_stream(
     watermark: str = "10 minutes",
     row_buckets: int = ROW_BUCKETS,
     name_buckets: int = NAME_BUCKETS,
+    packed: bool = False,
 ) -> DataFrame:
     """Streaming mentions (event_id, name, ts) -> (bucket, name, n): the ``board_size``
     highest counts at the watermark, of each bucket of names where they changed
-    (one row without a name where none is left)."""
-    return _counted(mentions, retention_minutes, watermark, board_size, row_buckets, name_buckets).select("bucket", "name", "n")
+    (one row without a name where none is left). ``packed`` is for mentions of which many
+    have one time; they need no event_id."""
+    rows = _counted(mentions, retention_minutes, watermark, board_size, row_buckets, name_buckets, packed=packed)
+    return rows.select("bucket", "name", "n")
 
 
 def flush_stream(

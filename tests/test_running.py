@@ -124,6 +124,25 @@ def test_equal_sequence_numbers_are_ordered_by_key(spark):
     assert got == {"a": 1, "b": 2}
 
 
+def test_feed_lines_are_shuffled_once(spark, pieces, tmp_dir):
+    """One segment over many pieces, lines with equal numbers and equal ids among them: every
+    line has a time of its own in order, and after the pieces no line is shuffled again."""
+    ids = [(i % 3 == 0, i // 2 if i < 600 else 7) for i in range(700)]
+    lines = [f"20150218{'101500' if a else '103000'}-{n}\tline {i}" for i, (a, n) in enumerate(ids)]
+    df = spark.createDataFrame([(v,) for v in lines], "value string")
+    records = replay.feed_records(df, path=f"{tmp_dir}/pieces")
+    assert spark.read.parquet(f"{tmp_dir}/pieces").select("_piece").distinct().count() > 3
+    plan = records._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: plan.index("BroadcastExchange")], plan  # the lines' side of the join
+    got = records.orderBy("event_ms").collect()
+    assert sorted(r["value"] for r in got) == sorted(lines)
+    for stamp, base in (("20150218101500", 1424254500000), ("20150218103000", 1424255400000)):
+        own = [r for r in got if r["key"].startswith(stamp)]
+        assert [r["event_ms"] for r in own] == [base + i * (900_000 // len(own)) for i in range(len(own))]
+        numbers = [(int(r["key"].split("-")[1]), r["key"]) for r in own]
+        assert numbers == sorted(numbers)
+
+
 def test_trailing_hot_name(spark, pieces):
     rng = np.random.default_rng(3)
     ts = pd.to_datetime("2015-02-18") + pd.to_timedelta(np.sort(rng.integers(0, 86400, 800)), unit="s")

@@ -302,6 +302,64 @@ def test_stored_mentions_have_their_ids_when_read(spark, tmp_dir):
     assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect()) and want.count() == 2
 
 
+def test_mentions_of_a_time_are_packed():
+    """One row for the names of a time, whatever they hold; nulls leave no name, and a record's
+    500 names take a few bytes each."""
+    import numpy as np
+    import pyarrow as pa
+
+    at = pa.array([7, 5, 7, 5, 9, None], pa.timestamp("us", tz="UTC"))
+    batch = pa.record_batch([at, pa.array(["é;", "", "é;", None, None, "lost"])], names=["ts", "name"])
+    (out,) = stream_trailing._packed_by_time(iter([batch, batch.slice(0, 1)]))
+    got = {}
+    for us, packed in zip(out["ts"].cast(pa.int64()).to_pylist(), out["packed"].to_pylist(), strict=True):
+        names, (n,) = stream_trailing._unpack(packed, 1)
+        got[us] = dict(zip(names.to_pylist(), n.tolist(), strict=True))
+    assert got == {5: {"": 1}, 7: {"é;": 3}, 9: {}}
+    names = pa.array([f"name_{i * 7919 % 300}" for i in range(500)])
+    ts = pa.array(np.full(500, 10**15), pa.timestamp("us", tz="UTC"))
+    (row,) = stream_trailing._packed_by_time(iter([pa.record_batch([ts, names], names=["ts", "name"])]))
+    assert row.num_rows == 1 and len(row["packed"][0].as_py()) < 4 * 500
+
+
+def test_packed_mentions_give_the_same_boards(spark, monkeypatch):
+    """Twelve mentions at each time, in rows of a few and chunks of fewer: boards and deltas
+    are those of mentions that come one by one."""
+    monkeypatch.setattr(stream_trailing, "PACK_ROWS", 9)
+    monkeypatch.setattr(stream_trailing, "CHUNK_ROWS", 7)
+    monkeypatch.setattr(stream_trailing, "HELD_ROWS", 11)
+    rows = [(i, i * 31 % (7 + i // 100), T0 + dt.timedelta(minutes=i // 12 * 3)) for i in range(480)]
+    steps = []
+    for packed in (False, True):
+        out = runner.replay_runs(
+            spark, _events(spark, rows),
+            lambda src, p=packed: stream_trailing.board_stream(fixtures.mentions(src), 3, row_buckets=4, name_buckets=2, packed=p),
+            runs=3, sink=stream_board.board_sink(3), tag="packed", heartbeat="ts", restarts=True,
+        )
+        steps.append(sorted(map(tuple, stream_board.delta_steps(spark, out).collect())))
+    assert steps[0] == steps[1] and len({s for s, _, _ in steps[0]}) == 4
+
+
+def test_shuffled_mentions_of_records_are_small(spark, tmp_dir):
+    """The counter packs the mentions of a record before it shuffles them."""
+    from tallyho.streaming import pipeline
+
+    names = ";".join(f"name_{i * 7919 % 300},{i}" for i in range(600))
+    values = ["\t".join([f"20150218100000-{k}", "20150218100000"] + [""] * 21 + [names, "", "", ""]) for k in range(20)]
+    records = [(v.split("\t")[0], v, T0 + dt.timedelta(seconds=40 * k)) for k, v in enumerate(values)]
+    pipeline.publish(spark.createDataFrame(records, "key string, value string, timestamp timestamp"), f"{tmp_dir}/topic")
+    queries = pipeline.start(spark, pipeline.records_source(spark, f"{tmp_dir}/topic"), f"{tmp_dir}/app", board_size=2, available_now=True)
+    queries["counter"].awaitTermination()
+    assert pipeline.read_mentions(spark, f"{tmp_dir}/app").count() == 20 * 600
+    plan = queries["counter"]._jsq.explainInternal(False)
+    assert plan.index("TransformWithState") < plan.index("Exchange") < plan.rindex("MapInArrow")
+
+
+def test_stores_take_no_disk_ahead(spark):
+    runner.stream_conf(spark)
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.allowFAllocate") == "false"
+
+
 def test_stream_busy_name_chunks(spark):
     """One name with a mention every 7 minutes for 9 hours, another every 50,
     up to 9 minutes late within and across four landings: stored chunks arrive
