@@ -18,7 +18,7 @@ from ..functions.names import is_name, name_tokens, strip_offset
 from ..functions.times import as_instant, segment_name, slot_end, slot_start, stamp_instant
 from ..functions.keys import first_field
 from ..operators import board, increments, replay, segments, topnames, trailing
-from ..session import configure, scratch_path
+from ..session import configure, drop_scratch, scratch_path, shuffles_dropped
 from ..sources import arrivals, feed, fixtures, packing, rejects, sinks, upserts
 from ..streaming import board as stream_board
 from ..streaming import pipeline, runner, sliding, stored
@@ -562,18 +562,18 @@ def stream_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = feed.read_lines(spark, landed, glob_filter="*.txt.gz", recursive=True).withColumn("start_ms", replay.segment_ms())
     topic, root, pieces = (scratch_path(spark, f"outputs-{x}") for x in ("topic", "app", "pieces"))
     start_ms = F.col("start_ms")
-    for lo, hi in [*runner.slice_bounds(lines, "start_ms", 2), (0, 0)]:
-        # each run's segments go through the same folder of pieces
-        records = replay.feed_records(lines.where((start_ms >= lo) & (start_ms < hi)), path=pieces)
-        pipeline.publish(records, topic)
+    slices = [lines.where((start_ms >= lo) & (start_ms < hi)) for lo, hi in runner.slice_bounds(lines, "start_ms", 2)]
+    for run, part in enumerate([*slices, lines.limit(0)], 1):
+        # each run's segments go through the same folder of pieces, to the topic
+        with shuffles_dropped(spark):
+            pipeline.publish(replay.feed_records(part, path=pieces), topic)
+        drop_scratch(spark, pieces)
+        if run == len(slices):  # the topic has the whole feed
+            drop_scratch(spark, landed)
         queries = pipeline.start(spark, pipeline.records_source(spark, topic), root, available_now=True)
         queries["counter"].awaitTermination()
-    slots = (
-        pipeline.read_mentions(spark, root)
-        .groupBy(F.window("ts", "15 minutes").alias("w"), "name")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.col("w.start").alias("slot_start"), "name", "n")
-    )
+    mentions = pipeline.read_mentions(spark, root).select(slot_start("ts").alias("slot_start"), "name")
+    slots = mentions.groupBy("slot_start", "name").agg(F.count(F.lit(1)).alias("n"))
     # Dealt by name, a few rows for each, so the windows' sums need no shuffle of all windows.
     windows = sliding.window_counts(slots.repartition("name"), 60, 15)
     top = topnames.rank_top(windows, 10, by=("window_start", "window_end"))

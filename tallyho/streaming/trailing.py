@@ -34,8 +34,10 @@ the shuffle, and the bucket is a hash of that row. A batch adds its rows as chun
 a range of due times, and when the watermark moves only chunks with something due are
 read. A bucket takes rows in, and works through its chunks, ``HELD_ROWS`` at a time. It has one
 event-time timer, at its oldest due time. Counts are a map by name (``counts``); a name
-whose count is 0 has no entry. Rows without a name only move the watermark (a
-heartbeat). The numbers of buckets are fixed for the life of a checkpoint: take some
+whose count is 0 has no entry. For a board they lie in ``NAME_PAGES`` pages of a bucket (``pages``),
+each with the counts of the names of one hash, so a batch that changes many names reads and
+writes pages, not single names. Rows without a name only move the watermark (a
+heartbeat). The numbers of buckets and pages are fixed for the life of a checkpoint: take some buckets
 for each core of the cluster.
 """
 
@@ -45,6 +47,7 @@ import heapq
 import json
 import struct
 import sys
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -71,6 +74,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROW_BUCKETS = 32
 NAME_BUCKETS = 32
+NAME_PAGES = 1024
 #: Mentions in one stored chunk, that a bucket holds in memory, and that are packed at once.
 CHUNK_ROWS = 16_384
 HELD_ROWS = 1 << 20
@@ -364,8 +368,10 @@ class NameCounts(StatefulProcessor):
         self.flush = flush
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.counts = handle.getMapState("counts", "name string", "n long")
-        if self.board_size is not None:
+        if self.board_size is None:
+            self.counts = handle.getMapState("counts", "name string", "n long")
+        else:
+            self.pages = handle.getMapState("pages", "page int", "counts string")
             self.reserve = handle.getValueState("reserve", "stored string")
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
@@ -376,6 +382,9 @@ class NameCounts(StatefulProcessor):
         sums = pd.concat([r[["name", "change_us", "n"]] for r in rows], ignore_index=True)
         changes = sums.groupby("name")["n"].sum()
         names, before, after = list(changes.index), [], []
+        if self.board_size is not None:
+            yield from self._board(key, self._turned(changes))
+            return
         for name, change in changes.items():
             held = self.counts.getValue((name,))
             before.append(int(held[0]) if held else 0)
@@ -388,18 +397,34 @@ class NameCounts(StatefulProcessor):
             at = sums.groupby(["name", "change_us"], as_index=False)["n"].sum().sort_values(["name", "change_us"], ignore_index=True)
             counts = at["name"].map(dict(zip(names, before, strict=True))) + at.groupby("name")["n"].cumsum()
             yield self._rows(key, FLUSH, list(at["name"]), list(counts), list(at["change_us"]))
-        elif self.board_size is None:
-            yield self._rows(key, BASE, names, before)
         else:
-            yield from self._board(key, names, after)
+            yield self._rows(key, BASE, names, before)
 
-    def _board(self, key, names: list[str], after: list[int]) -> Iterator[pd.DataFrame]:
+    def _turned(self, changes: pd.Series) -> Iterator[tuple[str, int]]:
+        """The changed names and their counts now, as the pages have them from now on."""
+        by_page: dict[int, list[tuple[str, int]]] = {}
+        for name, change in changes.items():
+            by_page.setdefault(zlib.crc32(name.encode()) % NAME_PAGES, []).append((name, int(change)))
+        for page, changed in by_page.items():
+            stored = self.pages.getValue((page,))
+            counts = json.loads(stored[0]) if stored else {}
+            for name, change in changed:
+                n = counts.pop(name, 0) + change
+                if n:
+                    counts[name] = n
+                yield name, n
+            if counts:
+                self.pages.updateValue((page,), (json.dumps(counts, ensure_ascii=False, separators=(",", ":")),))
+            elif stored:
+                self.pages.removeKey((page,))
+
+    def _board(self, key, changed: Iterator[tuple[str, int]]) -> Iterator[pd.DataFrame]:
         stored = self.reserve.get()
         reserve = Reserve(self.board_size, stored[0] if stored else None)
         before = reserve.top()
-        for name, n in zip(names, after, strict=True):
+        for name, n in changed:
             reserve.put(name, n)
-        reserve.settle(lambda: ((k[0], int(v[0])) for k, v in self.counts.iterator()))
+        reserve.settle(lambda: (item for _, page in self.pages.iterator() for item in json.loads(page[0]).items()))
         self.reserve.update((reserve.stored(),))
         top = reserve.top()
         if top != before:

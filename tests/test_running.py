@@ -143,6 +143,27 @@ def test_feed_lines_are_shuffled_once(spark, pieces, tmp_dir):
         assert numbers == sorted(numbers)
 
 
+def test_scratch_that_is_no_longer_read_goes(spark, tmp_dir):
+    import os
+
+    from tallyho.session import drop_scratch, scratch_path, shuffles_dropped
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    with shuffles_dropped(spark):
+        assert spark.conf.get(key) == "true"
+        running.in_pieces(spark.range(9), ["id"], [], gone := scratch_path(spark, "gone"))
+    assert spark.conf.get(key, None) == before
+    spark.range(9).write.parquet(kept := scratch_path(spark, "kept"))
+    drop_scratch(spark, gone)
+    local = lambda p: p.removeprefix("file:")
+    assert not os.path.exists(local(gone)) and os.path.exists(local(kept))
+    for other in (tmp_dir, os.path.dirname(gone), os.path.dirname(gone) + "/"):
+        with pytest.raises(ValueError):
+            drop_scratch(spark, other)
+    assert os.path.exists(local(kept))
+
+
 def test_trailing_hot_name(spark, pieces):
     rng = np.random.default_rng(3)
     ts = pd.to_datetime("2015-02-18") + pd.to_timedelta(np.sort(rng.integers(0, 86400, 800)), unit="s")

@@ -1,6 +1,7 @@
 """Trailing counts: batch changelog cases, board, and stream/batch parity."""
 
 import datetime as dt
+import json
 
 from pyspark.sql import functions as F
 
@@ -182,6 +183,18 @@ class _Held(dict):
         pass
 
 
+class _Value:
+    """A value variable in memory."""
+
+    stored = None
+
+    def get(self):
+        return self.stored
+
+    def update(self, value):
+        self.stored = value
+
+
 def test_held_mentions_are_stored_small():
     """For a board a mention of some 25 bytes takes a few in the state, without its id."""
     import numpy as np
@@ -355,6 +368,35 @@ def test_shuffled_mentions_of_records_are_small(spark, tmp_dir):
     assert plan.index("TransformWithState") < plan.index("Exchange") < plan.rindex("MapInArrow")
 
 
+def test_board_counts_lie_in_pages(monkeypatch):
+    """Many names of a bucket take few state calls, and their counts rise, fall and leave."""
+    import random
+
+    import pandas as pd
+
+    monkeypatch.setattr(stream_trailing, "NAME_PAGES", 4)
+    calls = []
+    state = _Held()
+    state.getMapState("pages").getValue = lambda key: calls.append(key) or dict.get(state["pages"], key)
+    monkeypatch.setattr(_Held, "getValueState", lambda self, name, _: _Value(), raising=False)
+    counts = stream_trailing.NameCounts(5)
+    counts.init(state)
+    r, want = random.Random(3), {}
+    for _ in range(6):
+        changes = [(f"näme {r.randrange(200)}", r.randrange(4)) for _ in range(300)]
+        changes += [(name, -n) for name, n in want.items() if r.random() < 0.3]
+        for name, n in changes:
+            want[name] = want.get(name, 0) + n
+        rows = pd.DataFrame(changes, columns=["name", "n"]).assign(change_us=0)
+        out = list(counts.handleInputRows((0,), iter([rows]), None))
+        top = sorted(((-n, name) for name, n in want.items() if n))[:5]
+        assert not out or [(n, name) for name, n in zip(out[-1]["name"], -out[-1]["n"], strict=True)] == top
+    held = {}
+    for (counts_of,) in state["pages"].values():
+        held |= json.loads(counts_of)
+    assert held == {name: n for name, n in want.items() if n} and len(calls) <= 6 * 4
+
+
 def test_stores_take_no_disk_ahead(spark):
     runner.stream_conf(spark)
     assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.allowFAllocate") == "false"
